@@ -49,5 +49,5 @@ def decode_enum(c: Column | str) -> Column:
 def encode_symbol_sql(v: str) -> str:
     """DuckDB SQL of :func:`encode_enum` for the oracle."""
     return (f"case when {v} is null then null else array_to_string(list_transform("
-            f"string_split({v}, ''), ch -> case when regexp_matches(ch, '{KEEP_CLASS}') then ch "
+            f"string_split({v}, ''), lambda ch: case when regexp_matches(ch, '{KEEP_CLASS}') then ch "
             f"else '_' || lpad(printf('%x', unicode(ch)), 2, '0') || '_' end), '') end")

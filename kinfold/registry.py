@@ -8,22 +8,37 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kinfold.functions.enums import decode_enum, encode_enum, encode_symbol_sql
+from kinfold.functions.props import json_int
+from kinfold.model import Dictionary, tables_graph
 from kinfold.operators import cohort as co
+from kinfold.operators import restore as rs
 from kinfold.operators.records import relations_text, walk_records
 from kinfold.operators.traverse import walk_graph
+from kinfold.plans import typegraph as tg
 from kinfold.sources import star
+from kinfold.sources.jdbc import keyed_scan
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# fixed values of the flagship request
+# fixed values of the registered requests
 ROOT = "customer"
 FLAGSHIP_FILTER = {"AND": [{"=": {"c_nationkey": 7}}, {"=": {"c_mktsegment": "BUILDING"}}]}
 FLAGSHIP_EXTRA = ["supplier"]
+EQ_FILTER = {"=": {"c_mktsegment": "BUILDING"}}
+IN_FILTER = {"in": {"c_mktsegment": ["BUILDING", "MACHINERY"]}}
+RANGE_FILTER = {">=": {"c_acctbal": 5000}}
+REGION_ROOT_FILTER = {"=": {"n_regionkey": 2}}
+N_LABELS = len(star.LABELS)
 
 
+# --------------------------------------------------------------------------
+# shared building blocks
+
 def flagship_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = star.cohort_index(spark, sf_dir)
     return co.select_cohort(index, ROOT, FLAGSHIP_FILTER, star.grants(spark, sf_dir))
@@ -35,31 +50,301 @@ def flagship_walk(spark: SparkSession, sf_dir: str, extra=FLAGSHIP_EXTRA,
     return walk_graph(graph, flagship_cohort(spark, sf_dir), ROOT, extra, include_upward)
 
 
-def q_export_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    recs = walk_records(flagship_walk(spark, sf_dir))
+def flagship_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return walk_records(flagship_walk(spark, sf_dir))
+
+
+def _shape(recs: DataFrame) -> DataFrame:
     return recs.select("topo_rank", "name", "id", relations_text("relations").alias("relations"))
 
 
+def _state_rows(walk, labels) -> DataFrame:
+    frames = [walk.state(lbl).select(F.lit(lbl).alias("name"), "id",
+                                     relations_text(F.sort_array("relations")).alias("relations"))
+              for lbl in labels]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+# --------------------------------------------------------------------------
+# walk and records
+
+def q_export_records(spark, sf_dir):
+    """B1: the flagship export (customer cohort, extra supplier, upward)."""
+    return _shape(flagship_records(spark, sf_dir))
+
+
+def q_traverse_up(spark, sf_dir):
+    """Ids and relations of the upward path (root, nation, region)."""
+    w = flagship_walk(spark, sf_dir, extra=None)
+    return _state_rows(w, ["customer", "nation", "region"])
+
+
+def q_traverse_down(spark, sf_dir):
+    """J1, semantics 9: downward only; root records carry no relations."""
+    w = flagship_walk(spark, sf_dir, extra=None, include_upward=False)
+    return _state_rows(w, ["customer", "orders", "lineitem"])
+
+
+def q_traverse_multi_parent(spark, sf_dir):
+    """Line items reached through orders OR suppliers of five nations."""
+    graph = star.star_graph(spark, sf_dir)
+    index = star.read(spark, sf_dir, "nation").withColumn(
+        "_nation_id", F.col("n_nationkey").cast("string"))
+    cohort = co.select_cohort(index, "nation", REGION_ROOT_FILTER)
+    w = walk_graph(graph, cohort, "nation", None, include_upward=False)
+    return _state_rows(w, ["lineitem"])
+
+
+def q_selected_nodes(spark, sf_dir):
+    """Per type, ids selected by the walk and node rows emitted."""
+    w = flagship_walk(spark, sf_dir)
+    recs = walk_records(w)
+    sel = None
+    for lbl in sorted(w.states):
+        f = w.frontier(lbl).agg(F.count(F.lit(1)).alias("n_selected")) \
+            .select(F.lit(lbl).alias("name"), "n_selected")
+        sel = f if sel is None else sel.unionByName(f)
+    emitted = recs.groupBy("name").agg(F.count(F.lit(1)).alias("n_nodes"))
+    return sel.join(emitted, "name", "left").select(
+        "name", "n_selected", F.coalesce("n_nodes", F.lit(0)).alias("n_nodes"))
+
+
+def q_relations_by_node(spark, sf_dir):
+    """A1: flat relations of every selected node."""
+    w = flagship_walk(spark, sf_dir)
+    frames = [w.relation_rows(lbl) for lbl in sorted(w.states)]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def q_edge_projection(spark, sf_dir):
+    """Every edge of every edge table as (edge_table, src_id, dst_id)."""
+    graph = star.star_graph(spark, sf_dir)
+    out = None
+    for e in graph.dictionary.edge_types:
+        f = graph.edges(e.edge_table).select(F.lit(e.edge_table).alias("edge_table"),
+                                             "src_id", "dst_id")
+        out = f if out is None else out.unionByName(f)
+    return out
+
+
+def q_keyed_scan(spark, sf_dir):
+    """Orders rows whose customer is in the flagship cohort."""
+    orders = star.read(spark, sf_dir, "orders")
+    rows = keyed_scan(orders, flagship_cohort(spark, sf_dir), "o_custkey")
+    return rows.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                       "o_orderpriority")
+
+
+def q_record_objects(spark, sf_dir):
+    """Order objects of the export parsed back with enum fields decoded."""
+    d = star.star_dictionary(spark, sf_dir)
+    recs = flagship_records(spark, sf_dir).where(F.col("name") == "orders")
+    schema = rs._props_schema(d, "orders")
+    p = F.from_json("object", schema)
+    return recs.select(
+        "id", p["o_orderkey"].alias("o_orderkey"), p["o_custkey"].alias("o_custkey"),
+        decode_enum(p["o_orderstatus"]).alias("o_orderstatus"),
+        p["o_totalprice"].alias("o_totalprice"), p["o_orderdate"].alias("o_orderdate"),
+        decode_enum(p["o_orderpriority"]).alias("o_orderpriority"))
+
+
+# --------------------------------------------------------------------------
+# cohort
+
+def q_cohort_ids(spark, sf_dir):
+    """Ids of the flagship cohort."""
+    return flagship_cohort(spark, sf_dir)
+
+
+def q_cohort_filter_eq(spark, sf_dir):
+    """Index rows matching an equality filter, no access restriction."""
+    index = star.cohort_index(spark, sf_dir)
+    return co.cohort_rows(index, EQ_FILTER).select("_customer_id", "auth_resource_path")
+
+
+def q_cohort_accessible(spark, sf_dir):
+    """Every index row the caller may read."""
+    index = star.cohort_index(spark, sf_dir)
+    return co.cohort_rows(index, {}, star.grants(spark, sf_dir)).select(
+        "_customer_id", "auth_resource_path")
+
+
+def q_cohort_count(spark, sf_dir):
+    """A5: size of an accessible cohort."""
+    index = star.cohort_index(spark, sf_dir)
+    return co.cohort_count(index, IN_FILTER, star.grants(spark, sf_dir))
+
+
+def q_cohort_authz(spark, sf_dir):
+    """Distinct authorization paths of an accessible cohort."""
+    index = star.cohort_index(spark, sf_dir)
+    return co.cohort_authz(index, RANGE_FILTER, star.grants(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------
+# type graph over the populated edge types
+
+def _populated(spark, sf_dir) -> DataFrame:
+    return tg.populated_edge_types(star.star_graph(spark, sf_dir))
+
+
+def q_dictionary_edges(spark, sf_dir):
+    """Edge types present in the data with their edge counts."""
+    return _populated(spark, sf_dir)
+
+
+def q_edges_by_type(spark, sf_dir):
+    """Per child type, its edge tables."""
+    return tg.edges_by_type(_populated(spark, sf_dir))
+
+
+def q_ambiguous_edges(spark, sf_dir):
+    """Type pairs with more than one edge table (none in the fixture)."""
+    return tg.ambiguous_edges(_populated(spark, sf_dir))
+
+
+def q_type_topology(spark, sf_dir):
+    """Upward and downward orders from the root type."""
+    return tg.type_topology(_populated(spark, sf_dir), ROOT, N_LABELS)
+
+
+def q_type_bfs(spark, sf_dir):
+    """Breadth-first levels below the top type."""
+    return tg.type_bfs(_populated(spark, sf_dir), "region", N_LABELS)
+
+
+def q_traversal_plan(spark, sf_dir):
+    """The flagship's visit plan."""
+    return tg.traversal_plan_df(_populated(spark, sf_dir), ROOT, FLAGSHIP_EXTRA, True,
+                                N_LABELS)
+
+
+# --------------------------------------------------------------------------
+# import
+
+def _restored(spark, sf_dir, d: Dictionary | None = None):
+    d = d or star.star_dictionary(spark, sf_dir)
+    return rs.restore_records(flagship_records(spark, sf_dir), d)
+
+
+def q_import_nodes(spark, sf_dir):
+    """Node rows by target table; prop count checks the object."""
+    r = _restored(spark, sf_dir)
+    return r.nodes.select("node_table", "node_id",
+                          F.size(F.json_object_keys("_props")).alias("n_props"))
+
+
+def q_import_edges(spark, sf_dir):
+    """Edge rows by target table."""
+    r = _restored(spark, sf_dir)
+    return r.edges.select("edge_table", "src_id", "dst_id")
+
+
+def q_distinct_types(spark, sf_dir):
+    """A2: entity types in the export."""
+    return rs.distinct_types(flagship_records(spark, sf_dir))
+
+
+def q_distinct_edge_tables(spark, sf_dir):
+    """A3: edge tables the export writes to."""
+    return rs.distinct_edge_tables(flagship_records(spark, sf_dir),
+                                   star.star_dictionary(spark, sf_dir))
+
+
+def _without_supplier(d: Dictionary) -> Dictionary:
+    return Dictionary(
+        node_tables={k: v for k, v in d.node_tables.items() if k != "supplier"},
+        edge_types=[e for e in d.edge_types if "supplier" not in (e.src_label, e.dst_label)],
+        props=[p for p in d.props if p.label != "supplier"])
+
+
+def q_unknown_types(spark, sf_dir):
+    """J6 check: export restored into a dictionary without ``supplier``."""
+    d = _without_supplier(star.star_dictionary(spark, sf_dir))
+    return rs.unknown_types(flagship_records(spark, sf_dir), d)
+
+
+def q_unknown_edges(spark, sf_dir):
+    """J5 check: relations without an edge table in that dictionary."""
+    d = _without_supplier(star.star_dictionary(spark, sf_dir))
+    return rs.unknown_edges(flagship_records(spark, sf_dir), d)
+
+
+def q_roundtrip_edges(spark, sf_dir):
+    """Export -> restore -> export from the restored tables gives the same records."""
+    d = star.star_dictionary(spark, sf_dir)
+    r = _restored(spark, sf_dir, d)
+    nodes = r.nodes.persist(StorageLevel.MEMORY_AND_DISK)
+    edges = r.edges.persist(StorageLevel.MEMORY_AND_DISK)
+    by_label = {t: lbl for lbl, t in d.node_tables.items()}
+
+    def read_table(name: str) -> DataFrame:
+        if name in by_label:
+            return nodes.where(F.col("node_table") == name)
+        return edges.where(F.col("edge_table") == name)
+
+    g2 = tables_graph(spark, d, read_table)
+    w2 = walk_graph(g2, flagship_cohort(spark, sf_dir), ROOT, FLAGSHIP_EXTRA, True)
+    return _shape(walk_records(w2))
+
+
+# --------------------------------------------------------------------------
+# scalar functions
+
+def q_props_extract(spark, sf_dir):
+    """Integer field of the JSON props of every event."""
+    ev = star.read(spark, sf_dir, "events")
+    return ev.select("event_id", json_int("props", "k").alias("k"))
+
+
+def q_encode_enum(spark, sf_dir):
+    """Enum symbols of part names, brands and types."""
+    part = star.read(spark, sf_dir, "part")
+    return part.select("p_partkey", encode_enum("p_name").alias("name_symbol"),
+                       encode_enum("p_brand").alias("brand_symbol"),
+                       encode_enum("p_type").alias("type_symbol"))
+
+
+def q_decode_enum(spark, sf_dir):
+    """decode(encode(x)) == x over part names and brands and order priorities."""
+    part = star.read(spark, sf_dir, "part")
+    return part.select("p_partkey", decode_enum(encode_enum("p_name")).alias("p_name"),
+                       decode_enum(encode_enum("p_brand")).alias("p_brand"))
+
+
 # --------------------------------------------------------------------------
 # DuckDB oracles
 
 _GRANTED = ", ".join(f"'{p}'" for p in star.GRANTED_PROGRAMS)
+_INDEX_SQL = """
+select c.c_custkey::varchar _customer_id, c.*,
+       '/programs/' || r.r_name || '/projects/' || n.n_name auth_resource_path
+from customer c left join nation n on c.c_nationkey = n.n_nationkey
+  left join region r on n.n_regionkey = r.r_regionkey"""
+_ACCESSIBLE_SQL = f"""
+select * from ({_INDEX_SQL}) where auth_resource_path in (
+  select '/programs/' || r.r_name || '/projects/' || n.n_name from nation n
+  join region r on n.n_regionkey = r.r_regionkey where r.r_name in ({_GRANTED}))"""
 _COHORT_SQL = f"""
-select c.* from customer c join nation n on c.c_nationkey = n.n_nationkey
-  join region r on n.n_regionkey = r.r_regionkey
-where c.c_nationkey = 7 and c.c_mktsegment = 'BUILDING' and r.r_name in ({_GRANTED})"""
+select * from ({_ACCESSIBLE_SQL}) where c_nationkey = 7 and c_mktsegment = 'BUILDING'"""
 
 _LI_ID = star.node_id_sql("lineitem")
 
-ORACLE_EXPORT_RECORDS = f"""
-with cu as ({_COHORT_SQL}),
+_FLAGSHIP_CTES = f"""
+cu as ({_COHORT_SQL}),
 na as (select * from nation where n_nationkey in (select c_nationkey from cu)),
 re as (select * from region where r_regionkey in (select n_regionkey from na)),
 su as (select * from supplier where s_nationkey in (select n_nationkey from na)),
 o as (select * from orders where o_custkey in (select c_custkey from cu)),
 li as (select *, {_LI_ID} id from lineitem
        where l_orderkey in (select o_orderkey from o) or l_suppkey in (select s_suppkey from su)),
-rel as (
+rel as (select distinct * from (
  select 'nation' name, n_nationkey::varchar id, 'region' dst_name, n_regionkey::varchar dst_id from na
  union all select 'customer', c_custkey::varchar, 'nation', c_nationkey::varchar from cu
  union all select 'supplier', s_suppkey::varchar, 'nation', s_nationkey::varchar from su
@@ -67,28 +352,231 @@ rel as (
  union all select 'lineitem', id, 'orders', l_orderkey::varchar from li
    where l_orderkey in (select o_orderkey from o)
  union all select 'lineitem', id, 'supplier', l_suppkey::varchar from li
-   where l_suppkey in (select s_suppkey from su)),
+   where l_suppkey in (select s_suppkey from su))),
 n as (select 0 topo_rank, 'region' name, r_regionkey::varchar id from re
  union all select 1, 'nation', n_nationkey::varchar from na
  union all select 2, 'customer', c_custkey::varchar from cu
  union all select 3, 'supplier', s_suppkey::varchar from su
  union all select 4, 'orders', o_orderkey::varchar from o
- union all select 5, 'lineitem', id from li)
-select n.topo_rank, n.name, n.id,
-       coalesce(string_agg(r.dst_name || ':' || r.dst_id, ',' order by r.dst_name, r.dst_id), '')
-         as relations
-from n left join (select distinct * from rel) r on r.name = n.name and r.id = n.id
+ union all select 5, 'lineitem', id from li)"""
+
+_REL_TEXT = "coalesce(string_agg(r.dst_name || ':' || r.dst_id, ',' order by r.dst_name, r.dst_id), '')"
+
+ORACLE_EXPORT_RECORDS = f"""
+with {_FLAGSHIP_CTES}
+select n.topo_rank, n.name, n.id, {_REL_TEXT} as relations
+from n left join rel r on r.name = n.name and r.id = n.id
 group by all
 """
 
+ORACLE_TRAVERSE_UP = f"""
+with cu as ({_COHORT_SQL}),
+na as (select * from nation where n_nationkey in (select c_nationkey from cu)),
+re as (select * from region where r_regionkey in (select n_regionkey from na)),
+n as (select 'customer' name, c_custkey::varchar id, 'nation' dst_name, c_nationkey::varchar dst_id from cu
+ union all select 'nation', n_nationkey::varchar, 'region', n_regionkey::varchar from na
+ union all select 'region', r_regionkey::varchar, null, null from re)
+select name, id, coalesce(string_agg(dst_name || ':' || dst_id, ',' order by dst_name, dst_id), '')
+  as relations
+from (select distinct * from n) group by all
+"""
+
+ORACLE_TRAVERSE_DOWN = f"""
+with cu as ({_COHORT_SQL}),
+o as (select * from orders where o_custkey in (select c_custkey from cu)),
+li as (select *, {_LI_ID} id from lineitem where l_orderkey in (select o_orderkey from o))
+select 'customer' name, c_custkey::varchar id, '' relations from cu
+union all select 'orders', o_orderkey::varchar, 'customer:' || o_custkey from o
+union all select 'lineitem', id, 'orders:' || l_orderkey from li
+"""
+
+ORACLE_TRAVERSE_MULTI_PARENT = f"""
+with na as (select * from nation where n_regionkey = 2),
+cu as (select * from customer where c_nationkey in (select n_nationkey from na)),
+su as (select * from supplier where s_nationkey in (select n_nationkey from na)),
+o as (select * from orders where o_custkey in (select c_custkey from cu)),
+r as (select distinct * from (
+  select {_LI_ID} id, 'orders' dst_name, l_orderkey::varchar dst_id from lineitem
+    where l_orderkey in (select o_orderkey from o)
+  union all
+  select {_LI_ID} id, 'supplier', l_suppkey::varchar from lineitem
+    where l_suppkey in (select s_suppkey from su)))
+select 'lineitem' name, id,
+       string_agg(dst_name || ':' || dst_id, ',' order by dst_name, dst_id) relations
+from r group by id
+"""
+
+ORACLE_SELECTED_NODES = f"""
+with {_FLAGSHIP_CTES}
+select name, count(*) n_selected, count(*) n_nodes from n group by name
+"""
+
+ORACLE_RELATIONS_BY_NODE = f"""
+with {_FLAGSHIP_CTES}
+select name, id, dst_name, dst_id from rel
+"""
+
+ORACLE_EDGE_PROJECTION = f"""
+select 'nation_region' edge_table, n_nationkey::varchar src_id, n_regionkey::varchar dst_id
+  from nation where n_regionkey is not null
+union all select 'customer_nation', c_custkey::varchar, c_nationkey::varchar from customer
+  where c_nationkey is not null
+union all select 'supplier_nation', s_suppkey::varchar, s_nationkey::varchar from supplier
+  where s_nationkey is not null
+union all select 'orders_customer', o_orderkey::varchar, o_custkey::varchar from orders
+  where o_custkey is not null
+union all select 'lineitem_orders', {_LI_ID}, l_orderkey::varchar from lineitem
+  where l_orderkey is not null
+union all select 'lineitem_part', {_LI_ID}, l_partkey::varchar from lineitem
+  where l_partkey is not null
+union all select 'lineitem_supplier', {_LI_ID}, l_suppkey::varchar from lineitem
+  where l_suppkey is not null
+"""
+
+ORACLE_KEYED_SCAN = f"""
+select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority from orders
+where o_custkey in (select c_custkey from ({_COHORT_SQL}))
+"""
+
+ORACLE_RECORD_OBJECTS = f"""
+select o_orderkey::varchar id, o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+       o_orderpriority
+from orders where o_custkey in (select c_custkey from ({_COHORT_SQL}))
+"""
+
+ORACLE_COHORT_IDS = f"select c_custkey::varchar id from ({_COHORT_SQL})"
+ORACLE_COHORT_FILTER_EQ = f"""
+select _customer_id, auth_resource_path from ({_INDEX_SQL}) where c_mktsegment = 'BUILDING'"""
+ORACLE_COHORT_ACCESSIBLE = f"select _customer_id, auth_resource_path from ({_ACCESSIBLE_SQL})"
+ORACLE_COHORT_COUNT = f"""
+select count(*) total_count from ({_ACCESSIBLE_SQL})
+where c_mktsegment in ('BUILDING', 'MACHINERY')"""
+ORACLE_COHORT_AUTHZ = f"""
+select distinct auth_resource_path from ({_ACCESSIBLE_SQL})
+where c_acctbal >= 5000 and auth_resource_path is not null"""
+
+_POPULATED_SQL = """
+select * from (
+ select 'customer_nation' edge_table, 'customer' src_label, 'nation' dst_label, count(*) n_edges
+   from customer where c_nationkey is not null
+ union all select 'lineitem_orders', 'lineitem', 'orders', count(*) from lineitem
+   where l_orderkey is not null
+ union all select 'lineitem_part', 'lineitem', 'part', count(*) from lineitem
+   where l_partkey is not null
+ union all select 'lineitem_supplier', 'lineitem', 'supplier', count(*) from lineitem
+   where l_suppkey is not null
+ union all select 'nation_region', 'nation', 'region', count(*) from nation
+   where n_regionkey is not null
+ union all select 'orders_customer', 'orders', 'customer', count(*) from orders
+   where o_custkey is not null
+ union all select 'supplier_nation', 'supplier', 'nation', count(*) from supplier
+   where s_nationkey is not null
+) where n_edges > 0"""
+
+ORACLE_DICTIONARY_EDGES = _POPULATED_SQL
+ORACLE_EDGES_BY_TYPE = f"""
+select src_label label, string_agg(edge_table, ',' order by edge_table) edge_tables
+from ({_POPULATED_SQL}) group by src_label"""
+ORACLE_AMBIGUOUS_EDGES = f"""
+select src_label, dst_label, count(*) n_tables,
+       string_agg(edge_table, ',' order by edge_table) edge_tables
+from ({_POPULATED_SQL}) group by src_label, dst_label having count(*) > 1"""
+
+_DEPTHS_SQL = f"""
+recursive et as ({_POPULATED_SQL}),
+up_links as (select distinct src_label frm, dst_label dst from et),
+down_links as (select distinct dst_label frm, src_label dst from et),
+up_walk(label, depth) as (select '{ROOT}', 0 union all
+  select l.dst, w.depth + 1 from up_walk w join up_links l on w.label = l.frm),
+down_walk(label, depth) as (select '{ROOT}', 0 union all
+  select l.dst, w.depth + 1 from down_walk w join down_links l on w.label = l.frm),
+topo as (
+  select 'up' direction, label, max(depth)::int depth from up_walk group by label
+  union all select 'down', label, max(depth)::int from down_walk group by label),
+ranked as (select direction, label, depth,
+  (row_number() over (partition by direction order by depth, label) - 1)::int pos from topo)"""
+
+ORACLE_TYPE_TOPOLOGY = f"with {_DEPTHS_SQL} select * from ranked"
+ORACLE_TYPE_BFS = f"""
+with recursive et as ({_POPULATED_SQL}),
+links as (select distinct dst_label frm, src_label dst from et),
+walk(label, level) as (select 'region', 0 union all
+  select l.dst, w.level + 1 from walk w join links l on w.label = l.frm)
+select label, min(level)::int level from walk group by label"""
+ORACLE_TRAVERSAL_PLAN = f"""
+with {_DEPTHS_SQL},
+steps as (
+  select 0 block, pos, 'up' way, label from ranked where direction = 'up'
+  union all select 1, 0, 'down', 'supplier'
+  union all select 2, pos, 'down', label from ranked where direction = 'down' and pos > 0)
+select (row_number() over (order by block, pos) - 1)::int pos, way, label from steps"""
+
+ORACLE_IMPORT_NODES = f"""
+with {_FLAGSHIP_CTES},
+ncols as (select table_name, count(*)::int n_props from information_schema.columns
+          group by table_name)
+select 'node_' || n.name node_table, n.id node_id, c.n_props
+from n join ncols c on c.table_name = n.name
+"""
+ORACLE_IMPORT_EDGES = f"""
+with {_FLAGSHIP_CTES}
+select name || '_' || dst_name edge_table, id src_id, dst_id from rel
+"""
+ORACLE_DISTINCT_TYPES = f"with {_FLAGSHIP_CTES} select distinct name from n"
+ORACLE_DISTINCT_EDGE_TABLES = f"""
+with {_FLAGSHIP_CTES} select distinct name || '_' || dst_name edge_table from rel"""
+ORACLE_UNKNOWN_TYPES = f"""
+with {_FLAGSHIP_CTES} select name, count(*) n_records from n where name = 'supplier'
+group by name"""
+ORACLE_UNKNOWN_EDGES = f"""
+with {_FLAGSHIP_CTES} select name, dst_name, count(*) n_relations from rel
+where name = 'supplier' or dst_name = 'supplier' group by name, dst_name"""
+
+ORACLE_PROPS_EXTRACT = "select event_id, json_extract(props, '$.k')::integer k from events"
+ORACLE_ENCODE_ENUM = f"""
+select p_partkey, {encode_symbol_sql('p_name')} name_symbol,
+       {encode_symbol_sql('p_brand')} brand_symbol, {encode_symbol_sql('p_type')} type_symbol
+from part"""
+ORACLE_DECODE_ENUM = "select p_partkey, p_name, p_brand from part"
+
+
+_QUERIES: dict[str, tuple[Query, str | None]] = {
+    "export_records": (q_export_records, ORACLE_EXPORT_RECORDS),
+    "traverse_up": (q_traverse_up, ORACLE_TRAVERSE_UP),
+    "traverse_down": (q_traverse_down, ORACLE_TRAVERSE_DOWN),
+    "traverse_multi_parent": (q_traverse_multi_parent, ORACLE_TRAVERSE_MULTI_PARENT),
+    "selected_nodes": (q_selected_nodes, ORACLE_SELECTED_NODES),
+    "relations_by_node": (q_relations_by_node, ORACLE_RELATIONS_BY_NODE),
+    "edge_projection": (q_edge_projection, ORACLE_EDGE_PROJECTION),
+    "keyed_scan": (q_keyed_scan, ORACLE_KEYED_SCAN),
+    "record_objects": (q_record_objects, ORACLE_RECORD_OBJECTS),
+    "cohort_ids": (q_cohort_ids, ORACLE_COHORT_IDS),
+    "cohort_filter_eq": (q_cohort_filter_eq, ORACLE_COHORT_FILTER_EQ),
+    "cohort_accessible": (q_cohort_accessible, ORACLE_COHORT_ACCESSIBLE),
+    "cohort_count": (q_cohort_count, ORACLE_COHORT_COUNT),
+    "cohort_authz": (q_cohort_authz, ORACLE_COHORT_AUTHZ),
+    "dictionary_edges": (q_dictionary_edges, ORACLE_DICTIONARY_EDGES),
+    "edges_by_type": (q_edges_by_type, ORACLE_EDGES_BY_TYPE),
+    "ambiguous_edges": (q_ambiguous_edges, ORACLE_AMBIGUOUS_EDGES),
+    "type_topology": (q_type_topology, ORACLE_TYPE_TOPOLOGY),
+    "type_bfs": (q_type_bfs, ORACLE_TYPE_BFS),
+    "traversal_plan": (q_traversal_plan, ORACLE_TRAVERSAL_PLAN),
+    "import_nodes": (q_import_nodes, ORACLE_IMPORT_NODES),
+    "import_edges": (q_import_edges, ORACLE_IMPORT_EDGES),
+    "distinct_types": (q_distinct_types, ORACLE_DISTINCT_TYPES),
+    "distinct_edge_tables": (q_distinct_edge_tables, ORACLE_DISTINCT_EDGE_TABLES),
+    "unknown_types": (q_unknown_types, ORACLE_UNKNOWN_TYPES),
+    "unknown_edges": (q_unknown_edges, ORACLE_UNKNOWN_EDGES),
+    "roundtrip_edges": (q_roundtrip_edges, ORACLE_EXPORT_RECORDS),
+    "props_extract": (q_props_extract, ORACLE_PROPS_EXTRACT),
+    "encode_enum": (q_encode_enum, ORACLE_ENCODE_ENUM),
+    "decode_enum": (q_decode_enum, ORACLE_DECODE_ENUM),
+}
+
 
 def queries() -> dict[str, Query]:
-    return {
-        "export_records": q_export_records,
-    }
+    return {k: v[0] for k, v in _QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
-        "export_records": ORACLE_EXPORT_RECORDS,
-    }
+    return {k: v[1] for k, v in _QUERIES.items() if v[1] is not None}
