@@ -3,9 +3,13 @@
 A graph is a *dictionary* (entity types, parent links, typed fields) plus two
 loaders that return Spark DataFrames:
 
-* ``nodes(label)``      -> ``(node_id STRING, object STRING)``  -- object is JSON text
+* ``nodes(label)``      -> ``(node_id STRING, <property columns>)``
+* ``node_object(label)`` -> ``Column`` building the JSON object from those columns
 * ``edges(edge_table)`` -> ``(src_id STRING, dst_id STRING)``  -- src = child, dst = parent
 
+The object is built from the property columns only after the node rows are
+joined to the selected ids, so unselected rows are never serialized.
+
 The dictionary is metadata (tens of rows) and lives on the driver as plain
 Python; every row of data stays in DataFrames.
 """
@@ -15,7 +19,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
@@ -162,11 +166,20 @@ class Graph:
     dictionary: Dictionary
     node_loader: Callable[[str], DataFrame]
     edge_loader: Callable[[str], DataFrame]
+    object_builder: Callable[[str], Column] | None = None
 
     def nodes(self, label: str) -> DataFrame:
         self.dictionary.node_table(label)
         return self.node_loader(label)
 
+    def node_object(self, label: str) -> Column:
+        """JSON object of a node row of ``label`` (defaults to column ``object``)."""
+        if self.object_builder is None:
+            from pyspark.sql import functions as F
+
+            return F.col("object")
+        return self.object_builder(label)
+
     def edges(self, edge_table: str) -> DataFrame:
         self.dictionary.edge(edge_table)
         return self.edge_loader(edge_table)
@@ -189,15 +202,14 @@ def tables_graph(spark: SparkSession, dictionary: Dictionary,
 
     def nodes(label: str) -> DataFrame:
         df = read_table(dictionary.node_table(label))
-        return df.select(F.col("node_id").cast("string").alias("node_id"),
-                         F.col("_props").alias("object"))
+        return df.select(F.col("node_id").cast("string").alias("node_id"), F.col("_props"))
 
     def edges(edge_table: str) -> DataFrame:
         df = read_table(edge_table)
         return df.select(F.col("src_id").cast("string").alias("src_id"),
                          F.col("dst_id").cast("string").alias("dst_id"))
 
-    return Graph(spark, dictionary, nodes, edges)
+    return Graph(spark, dictionary, nodes, edges, lambda label: F.col("_props"))
 
 
 def dictionary_from_rows(node_types: Sequence[tuple[str, str]],

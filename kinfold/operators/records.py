@@ -25,15 +25,16 @@ RECORD_COLUMNS = ("topo_rank", "name", "id", "object", "relations")
 
 def label_records(walk: Walk, label: str) -> DataFrame:
     """Records of one label: node rows joined to the label's state (J3 + J4)."""
-    state = walk.states[label]
+    state = walk.states[label].withColumnRenamed("id", "node_id")
     nodes = walk.graph.nodes(label)
-    joined = nodes.join(state, nodes["node_id"] == state["id"], "inner")
+    # join first, then serialize: only selected rows build their object
+    joined = nodes.join(state, "node_id", "inner")
     return joined.select(
         F.lit(walk.ranks[label]).cast("int").alias("topo_rank"),
         F.lit(label).alias("name"),
-        state["id"].alias("id"),
-        nodes["object"].alias("object"),
-        sorted_relations(state["relations"]).alias("relations"),
+        F.col("node_id").alias("id"),
+        walk.graph.node_object(label).alias("object"),
+        sorted_relations(F.col("relations")).alias("relations"),
     )
 
 
@@ -50,12 +51,12 @@ def walk_records(walk: Walk) -> DataFrame:
 
 def export_records(graph: Graph, cohort: DataFrame, root: str,
                    extra: list[str] | None = None, include_upward: bool = True,
-                   checkpoint_every: int = 0) -> DataFrame:
+                   materialize: str = "parquet") -> DataFrame:
     """Flagship export: cohort -> walk -> nested records.
 
     The default includes the upward walk, as the export job does.
     """
-    walk = walk_graph(graph, cohort, root, extra, include_upward, checkpoint_every)
+    walk = walk_graph(graph, cohort, root, extra, include_upward, materialize)
     return walk_records(walk)
 
 

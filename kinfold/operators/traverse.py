@@ -4,15 +4,21 @@ Every visit is a set of left-semi joins between an edge table and the
 frontier of the label on the other side (J1/J2); the frontier of a label is
 the key set of its *state* DataFrame ``(id, relations)``, built by a single
 ``groupBy(id)`` over the cohort/parent seeds and the relation rows found so
-far.  States are persisted because several children and the record assembly
-read them; lineage can be cut with a reliable checkpoint every few levels.
-
-Join strategy is left to AQE: a frontier is broadcast at run time only when
-its measured size is under the adaptive threshold, otherwise both sides are
-shuffled on the id; skewed parents are split by the skew-join rule.  No
-frontier, id list or relation map is collected on the driver.
-
-Semantics (see README):
+far.
+
+States are reused by several children and by the record assembly, and a
+walk over tens of types would otherwise grow one huge plan (each state
+embeds the lineage of all states above it).  So each sealed state is
+*materialized*: by default written as Parquet into a fresh folder under the
+session's shared ``spark.checkpoint.dir`` and read back.  That cuts the
+lineage, survives executor loss, and hands the optimizer real file sizes, so
+a frontier is broadcast only when its measured size is under the broadcast
+threshold; otherwise both sides are shuffled on the id and AQE splits skewed
+parents.  ``materialize="checkpoint"`` uses ``Dataset.checkpoint`` in the same
+folder; ``"persist"`` keeps everything lazy and cached (small graphs, tests).
+No frontier, id list or relation map is ever collected on the driver.
+
+Semantics:
 
 * up visit of L: for every edge type with child L, the edges whose child is
   selected give L its relations and add their parents to the parents' seeds;
@@ -34,8 +40,10 @@ from pyspark.sql import functions as F
 
 from kinfold.model import Graph, GraphError
 from kinfold.plans.topology import UP, Step, record_ranks, traversal_plan
+from kinfold.session import scratch_dir
 
-REL_FIELDS = ("dst_id", "dst_name")
+REL_TYPE = "struct<dst_name:string,dst_id:string>"
+MATERIALIZE_MODES = ("parquet", "checkpoint", "persist")
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -61,16 +69,48 @@ def checked_ids(ids: DataFrame, column: str = "id") -> DataFrame:
         F.when(c.isNull(), F.raise_error(F.lit("null id in cohort"))).otherwise(c).alias("id"))
 
 
+class Materializer:
+    """Cuts lineage of intermediate frames (see module doc)."""
+
+    def __init__(self, spark, mode: str = "parquet",
+                 storage: StorageLevel = StorageLevel.MEMORY_AND_DISK):
+        if mode not in MATERIALIZE_MODES:
+            raise ValueError(f"materialize must be one of {MATERIALIZE_MODES}")
+        self.spark = spark
+        self.mode = mode
+        self.storage = storage
+        self.folder = scratch_dir(spark, "walk") if mode == "parquet" else None
+        self.held: list[DataFrame] = []
+        self.n = 0
+
+    def __call__(self, df: DataFrame, name: str) -> DataFrame:
+        self.n += 1
+        if self.mode == "parquet":
+            path = f"{self.folder}/{self.n:03d}-{name}"
+            df.write.mode("errorifexists").parquet(path)
+            # known schema: no inference job on read-back
+            return self.spark.read.schema(df.schema).parquet(path)
+        if self.mode == "checkpoint":
+            return df.checkpoint(eager=True)
+        df = df.persist(self.storage)
+        self.held.append(df)
+        return df
+
+    def release(self) -> None:
+        for df in self.held:
+            df.unpersist()
+        self.held.clear()
+
+
 @dataclass
 class Walk:
-    """Result of a walk: one persisted state per reached label."""
+    """Result of a walk: one materialized state per reached label."""
 
     graph: Graph
     plan: list[Step]
     ranks: dict[str, int]
+    materializer: Materializer
     states: dict[str, DataFrame] = field(default_factory=dict)
-    hits: list[DataFrame] = field(default_factory=list)
-    _held: list[DataFrame] = field(default_factory=list)
 
     def frontier(self, label: str) -> DataFrame:
         """Distinct selected ids of ``label`` (dangling ids included)."""
@@ -81,7 +121,7 @@ class Walk:
     def state(self, label: str) -> DataFrame:
         if label not in self.states:
             return self.graph.spark.createDataFrame(
-                [], "id string, relations array<struct<dst_name:string,dst_id:string>>")
+                [], f"id string, relations array<{REL_TYPE}>")
         return self.states[label]
 
     def relation_rows(self, label: str) -> DataFrame:
@@ -92,64 +132,74 @@ class Walk:
                           F.col("r.dst_name").alias("dst_name"),
                           F.col("r.dst_id").alias("dst_id")))
 
-    def unpersist(self) -> None:
-        for df in self._held:
-            df.unpersist()
-        self._held.clear()
+    @property
+    def folder(self) -> str | None:
+        """Scratch folder of the written states (parquet mode)."""
+        return self.materializer.folder
+
+    def release(self) -> None:
+        """Drop cached frames (persist mode); written states stay readable."""
+        self.materializer.release()
 
 
 class _Walker:
     def __init__(self, graph: Graph, plan: list[Step], cohort: DataFrame,
-                 root: str, checkpoint_every: int, storage: StorageLevel):
+                 root: str, materializer: Materializer):
         self.g = graph
         self.d = graph.dictionary
-        self.plan = plan
-        self.storage = storage
-        self.checkpoint_every = checkpoint_every
+        self.m = materializer
         self.seeds: dict[str, list[DataFrame]] = {root: [cohort]}
         self.rels: dict[str, list[DataFrame]] = {}
-        self.walk = Walk(graph, plan, record_ranks(plan))
-        self.sealed = 0
+        self.walk = Walk(graph, plan, record_ranks(plan), materializer)
+        self.pos = 0
 
-    def _hold(self, df: DataFrame) -> DataFrame:
-        df = df.persist(self.storage)
-        self.walk._held.append(df)
-        return df
+    def _read_later(self, label: str) -> bool:
+        """Does a later visit read this label's state (static, from the plan)?
 
-    def _seal(self, label: str) -> None:
-        parts = [s.select("id", F.lit(None).cast(
-            "struct<dst_name:string,dst_id:string>").alias("rel"))
-            for s in self.seeds.get(label, [])]
+        Only such states are materialized; a state read by the record
+        assembly alone stays lazy and runs inside the final job.
+        """
+        for step in self.walk.plan[self.pos + 1:]:
+            if step.way == UP:
+                continue  # up visits read their own seeds only, handled below
+            if any(e.dst_label == label for e in self.d.edges_by_child(step.label)):
+                return True
+        return False
+
+    def _seal(self, label: str, reused: bool | None = None) -> None:
+        parts = [s.select("id", F.lit(None).cast(REL_TYPE).alias("rel"))
+                 for s in self.seeds.get(label, [])]
         parts += self.rels.get(label, [])
         if not parts:
             return
+        # map-side partial aggregation: one row per id and task reaches the shuffle
         state = (_union(parts).groupBy("id")
                  .agg(F.collect_set("rel").alias("relations")))
-        self.sealed += 1
-        if self.checkpoint_every and self.sealed % self.checkpoint_every == 0:
-            # reliable checkpoint in the shared folder cuts the lineage
-            state = state.checkpoint(eager=True)
-        else:
-            state = self._hold(state)
-        self.walk.states[label] = state
+        if reused is None:
+            reused = self._read_later(label)
+        self.walk.states[label] = self.m(state, f"state-{label}") if reused else state
 
     def _visit_up(self, label: str) -> None:
         seeds = self.seeds.get(label)
         if not seeds:
             return
-        ids = _union(seeds)
+        ids = _union(seeds).select(F.col("id").alias("src_id"))
+        parents = []
         for e in self.d.edges_by_child(label):
-            edges = self.g.edges(e.edge_table)
-            hits = edges.join(ids.withColumnRenamed("id", "src_id"), "src_id", "left_semi")
-            # read twice (own relations, parent seeds): keep it
-            hits = self._hold(hits)
-            self.walk.hits.append(hits)
+            hits = self.g.edges(e.edge_table).join(ids, "src_id", "left_semi")
             self.rels.setdefault(label, []).append(hits.select(
                 F.col("src_id").alias("id"),
                 relation_struct(F.lit(e.dst_label), F.col("dst_id")).alias("rel")))
-            self.seeds.setdefault(e.dst_label, []).append(
-                hits.select(F.col("dst_id").alias("id")))
-        self._seal(label)
+            parents.append(e.dst_label)
+        # parents' up visits read this state twice (their edges and their state)
+        self._seal(label, reused=True if parents else None)
+        # parents' seeds come back from the written state: edges are read once
+        state = self.walk.states[label]
+        for p in sorted(set(parents)):
+            self.seeds.setdefault(p, []).append(
+                state.select(F.explode("relations").alias("r"))
+                     .where(F.col("r.dst_name") == p)
+                     .select(F.col("r.dst_id").alias("id")))
 
     def _visit_down(self, label: str) -> None:
         found = False
@@ -167,7 +217,8 @@ class _Walker:
             self._seal(label)
 
     def run(self) -> Walk:
-        for step in self.plan:
+        for i, step in enumerate(self.walk.plan):
+            self.pos = i
             if step.way == UP:
                 self._visit_up(step.label)
             else:
@@ -177,18 +228,19 @@ class _Walker:
 
 def walk_graph(graph: Graph, cohort: DataFrame, root: str,
                extra: list[str] | None = None, include_upward: bool = False,
-               checkpoint_every: int = 0,
+               materialize: str = "parquet",
                storage: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Walk:
     """Walk the graph from a cohort of ``root`` ids.
 
     ``cohort`` is a DataFrame with an ``id`` column (any type; cast to string,
-    null fails the job).  Returns per-label states; nothing is executed yet
-    except reliable checkpoints when ``checkpoint_every`` > 0.
+    a null id fails the job).  Each visit runs when its label is sealed
+    (``materialize`` "parquet"/"checkpoint"); with "persist" nothing runs
+    until the caller's action.
     """
     graph.dictionary.validate()
     graph.check_labels([root] + list(extra or []))
     plan = traversal_plan(graph.dictionary, root, extra, include_upward)
     if not plan or plan[0].label != root:
         raise GraphError("plan does not start at the root")
-    seeds = checked_ids(cohort)
-    return _Walker(graph, plan, seeds, root, checkpoint_every, storage).run()
+    m = Materializer(graph.spark, materialize, storage)
+    return _Walker(graph, plan, checked_ids(cohort), root, m).run()

@@ -39,8 +39,22 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+_SCANS: dict[tuple[int, str], DataFrame] = {}
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+    """Scan of one table, resolved once per session and path.
+
+    Resolving runs schema inference (a footer-reading job) and a listing;
+    the walk reads the same tables many times, so the scan is reused.
+    """
+    path = table_path(sf_dir, name)
+    key = (id(spark._jsparkSession), path)
+    df = _SCANS.get(key)
+    if df is None:
+        df = spark.read.parquet(path)
+        _SCANS[key] = df
+    return df
 
 
 def node_id(label: str) -> Column:
@@ -79,14 +93,16 @@ def star_graph(spark: SparkSession, sf_dir: str, encode_enums: bool = True) -> G
 
     def nodes(label: str) -> DataFrame:
         df = read(spark, sf_dir, label)
+        return df.select(node_id(label).alias("node_id"), *df.columns)
+
+    def node_object(label: str) -> Column:
         fields = []
-        for name in df.columns:
-            c = F.col(name)
-            if encode_enums and name in ENUM_COLUMNS:
+        for f in d.fields(label):
+            c = F.col(f.field)
+            if encode_enums and f.is_enum:
                 c = encode_enum(c)
-            fields.append(c.alias(name))
-        return df.select(node_id(label).alias("node_id"),
-                         F.to_json(F.struct(*fields)).alias("object"))
+            fields.append(c.alias(f.field))
+        return F.to_json(F.struct(*fields))
 
     def edges(edge_table: str) -> DataFrame:
         child, col = links[edge_table]
@@ -95,7 +111,7 @@ def star_graph(spark: SparkSession, sf_dir: str, encode_enums: bool = True) -> G
                   .select(node_id(child).alias("src_id"),
                           F.col(col).cast("string").alias("dst_id")))
 
-    return Graph(spark, d, nodes, edges)
+    return Graph(spark, d, nodes, edges, node_object)
 
 
 def cohort_index(spark: SparkSession, sf_dir: str) -> DataFrame:
