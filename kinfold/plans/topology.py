@@ -111,10 +111,11 @@ def record_ranks(plan: list[Step]) -> dict[str, int]:
     """
     up = [s.label for s in plan if s.way == UP]
     seq = list(reversed(up)) + [s.label for s in plan if s.way == DOWN]
-    ranks: dict[str, int] = {}
+    pos: dict[str, int] = {}
     for i, lbl in enumerate(seq):
         if i < len(up):
-            ranks[lbl] = i
+            pos[lbl] = i
         elif lbl not in up:
-            ranks[lbl] = i
-    return ranks
+            pos[lbl] = i
+    # dense ranks 0..n-1 in position order
+    return {lbl: r for r, lbl in enumerate(sorted(pos, key=pos.__getitem__))}

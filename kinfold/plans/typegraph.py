@@ -6,7 +6,8 @@ dictionary.  The functions here compute the same answers with Spark over an
 the edge types that are actually *populated* in the data, so users can query
 the type graph like any table.  Iteration counts are bounded by the number of
 labels of the dictionary (known up front), so no action is needed to decide
-termination; a cycle makes the job fail through ``raise_error``.
+termination beyond Spark's own recursive-CTE fixed point; a cycle makes the
+job fail through ``raise_error``.
 """
 
 from __future__ import annotations
@@ -52,32 +53,30 @@ def ambiguous_edges(edge_types: DataFrame) -> DataFrame:
             .where(F.col("n_tables") > 1))
 
 
-def _links(edge_types: DataFrame, direction: str) -> DataFrame:
-    if direction == UP:
-        return edge_types.select(F.col("src_label").alias("frm"),
-                                 F.col("dst_label").alias("to")).distinct()
-    return edge_types.select(F.col("dst_label").alias("frm"),
-                             F.col("src_label").alias("to")).distinct()
+def _walk_sql(direction: str, agg: str) -> str:
+    # recursive CTE: Spark iterates until no new row appears; the depth guard
+    # stops a cycle after n_labels steps so the check below can report it
+    frm, to = ("src_label", "dst_label") if direction == UP else ("dst_label", "src_label")
+    return f"""
+    with recursive links as (select distinct {frm} frm, {to} dst from {{edge_types}}),
+    walk(label, depth) as (
+      select cast({{root}} as string), 0
+      union all
+      select l.dst, w.depth + 1 from walk w join links l on w.label = l.frm
+      where w.depth < {{n_labels}})
+    select label, cast({agg}(depth) as int) depth from walk group by label"""
 
 
 def type_depths(edge_types: DataFrame, root: str, direction: str,
                 n_labels: int) -> DataFrame:
     """Longest-path depth ``(label, depth)`` of labels reachable from ``root``.
 
-    Paths are extended ``n_labels`` times; a path still growing after that
-    can only come from a cycle and fails the job.
+    Paths are extended until none grows, at most ``n_labels`` steps; a path
+    still growing then can only come from a cycle and fails the job.
     """
     spark = edge_types.sparkSession
-    links = _links(edge_types, direction)
-    cur = spark.createDataFrame([(root, 0)], "label string, depth int")
-    levels = [cur]
-    for _ in range(n_labels):
-        cur = (cur.join(links, cur.label == links.frm)
-               .select(F.col("to").alias("label"), (F.col("depth") + 1).alias("depth"))
-               .distinct())
-        levels.append(cur)
-    allv = reduce(lambda a, b: a.unionByName(b), levels)
-    out = allv.groupBy("label").agg(F.max("depth").alias("depth"))
+    out = spark.sql(_walk_sql(direction, "max"), edge_types=edge_types, root=root,
+                    n_labels=n_labels)
     return out.select("label", F.when(F.col("depth") >= n_labels, F.raise_error(
         F.concat(F.lit("type graph has a cycle through "), F.col("label"))))
         .otherwise(F.col("depth")).cast("int").alias("depth"))
@@ -86,16 +85,9 @@ def type_depths(edge_types: DataFrame, root: str, direction: str,
 def type_bfs(edge_types: DataFrame, root: str, n_labels: int) -> DataFrame:
     """Breadth-first level ``(label, level)`` of descendant types."""
     spark = edge_types.sparkSession
-    links = _links(edge_types, DOWN)
-    cur = spark.createDataFrame([(root, 0)], "label string, level int")
-    levels = [cur]
-    for _ in range(n_labels):
-        cur = (cur.join(links, cur.label == links.frm)
-               .select(F.col("to").alias("label"), (F.col("level") + 1).alias("level"))
-               .distinct())
-        levels.append(cur)
-    allv = reduce(lambda a, b: a.unionByName(b), levels)
-    return allv.groupBy("label").agg(F.min("level").cast("int").alias("level"))
+    out = spark.sql(_walk_sql(DOWN, "min"), edge_types=edge_types, root=root,
+                    n_labels=n_labels)
+    return out.select("label", F.col("depth").alias("level"))
 
 
 def type_topology(edge_types: DataFrame, root: str, n_labels: int) -> DataFrame:

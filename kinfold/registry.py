@@ -18,7 +18,7 @@ from kinfold.model import Dictionary, tables_graph
 from kinfold.operators import cohort as co
 from kinfold.operators import restore as rs
 from kinfold.operators.records import relations_text, walk_records
-from kinfold.operators.traverse import walk_graph
+from kinfold.operators.traverse import Materializer, walk_graph
 from kinfold.plans import typegraph as tg
 from kinfold.sources import star
 from kinfold.sources.jdbc import keyed_scan
@@ -190,8 +190,14 @@ def q_cohort_authz(spark, sf_dir):
 # --------------------------------------------------------------------------
 # type graph over the populated edge types
 
-def _populated(spark, sf_dir) -> DataFrame:
-    return tg.populated_edge_types(star.star_graph(spark, sf_dir))
+N_EDGE_TYPES = len(star.LINKS)
+
+
+def _populated(spark, sf_dir, written: bool = False) -> DataFrame:
+    """Populated edge types; ``written`` stores the small aggregate once so the
+    iterative type-graph queries do not rescan the edge tables per step."""
+    df = tg.populated_edge_types(star.star_graph(spark, sf_dir))
+    return Materializer(spark)(df, "edge-types") if written else df
 
 
 def q_dictionary_edges(spark, sf_dir):
@@ -211,17 +217,17 @@ def q_ambiguous_edges(spark, sf_dir):
 
 def q_type_topology(spark, sf_dir):
     """Upward and downward orders from the root type."""
-    return tg.type_topology(_populated(spark, sf_dir), ROOT, N_LABELS)
+    return tg.type_topology(_populated(spark, sf_dir, True), ROOT, N_LABELS)
 
 
 def q_type_bfs(spark, sf_dir):
     """Breadth-first levels below the top type."""
-    return tg.type_bfs(_populated(spark, sf_dir), "region", N_LABELS)
+    return tg.type_bfs(_populated(spark, sf_dir, True), "region", N_LABELS)
 
 
 def q_traversal_plan(spark, sf_dir):
     """The flagship's visit plan."""
-    return tg.traversal_plan_df(_populated(spark, sf_dir), ROOT, FLAGSHIP_EXTRA, True,
+    return tg.traversal_plan_df(_populated(spark, sf_dir, True), ROOT, FLAGSHIP_EXTRA, True,
                                 N_LABELS)
 
 
