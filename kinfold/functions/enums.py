@@ -28,9 +28,15 @@ def _col(c: Column | str) -> Column:
 def encode_enum(c: Column | str) -> Column:
     """Text -> enum symbol; null stays null, '' stays ''."""
     v = _col(c)
-    chars = F.split(v, "")
+    chars = F.filter(F.split(v, ""), lambda ch: ch != "")  # split('', '') gives ['']
+    # code point from the UTF-32 bytes (ascii() is wrong above the BMP); at
+    # least two hex digits (lpad would cut longer values, so pad by hand)
+    def hexcode(ch: Column) -> Column:
+        h = F.lower(F.regexp_replace(F.hex(F.encode(ch, "UTF-32")), "^0+", ""))
+        return F.when(F.length(h) < 2, F.lpad(h, 2, "0")).otherwise(h)
+
     escaped = F.transform(chars, lambda ch: F.when(ch.rlike(KEEP_CLASS), ch).otherwise(
-        F.concat(F.lit("_"), F.lpad(F.lower(F.hex(F.ascii(ch))), 2, "0"), F.lit("_"))))
+        F.concat(F.lit("_"), hexcode(ch), F.lit("_"))))
     return F.when(v.isNull(), F.lit(None).cast("string")).otherwise(F.array_join(escaped, ""))
 
 
@@ -50,4 +56,4 @@ def encode_symbol_sql(v: str) -> str:
     """DuckDB SQL of :func:`encode_enum` for the oracle."""
     return (f"case when {v} is null then null else array_to_string(list_transform("
             f"string_split({v}, ''), lambda ch: case when regexp_matches(ch, '{KEEP_CLASS}') then ch "
-            f"else '_' || lpad(printf('%x', unicode(ch)), 2, '0') || '_' end), '') end")
+            f"else '_' || printf('%02x', unicode(ch)) || '_' end), '') end")

@@ -102,11 +102,11 @@ def q_selected_nodes(spark, sf_dir):
     """Per type, ids selected by the walk and node rows emitted."""
     w = flagship_walk(spark, sf_dir)
     recs = walk_records(w)
-    sel = None
+    ids = None
     for lbl in sorted(w.states):
-        f = w.frontier(lbl).agg(F.count(F.lit(1)).alias("n_selected")) \
-            .select(F.lit(lbl).alias("name"), "n_selected")
-        sel = f if sel is None else sel.unionByName(f)
+        f = w.frontier(lbl).select(F.lit(lbl).alias("name"), "id")
+        ids = f if ids is None else ids.unionByName(f)
+    sel = ids.groupBy("name").agg(F.count(F.lit(1)).alias("n_selected"))
     emitted = recs.groupBy("name").agg(F.count(F.lit(1)).alias("n_nodes"))
     return sel.join(emitted, "name", "left").select(
         "name", "n_selected", F.coalesce("n_nodes", F.lit(0)).alias("n_nodes"))
