@@ -1,12 +1,14 @@
 """Enum symbol codec as built-in column expressions.
 
-Avro enum symbols may only hold ``[A-Za-z0-9_]``; any other character is
-written as ``_<code point in lower-case hex, at least two digits>_``.  Both
+Avro enum symbols may only hold ``[A-Za-z0-9_]`` and may not start with a
+digit; any other character (and a leading digit) is written as
+``_<code point in lower-case hex, at least two digits>_``.  Both
 directions are plain Spark SQL expressions, so they stay inside whole-stage
 code generation; no Python UDF is involved.
 
-Fixed values (must match the container format): the kept character class
-``[A-Za-z0-9_]``, the escape ``_`` + hex + ``_``, hex of 2 to 6 digits.
+Fixed values (must match the container format): the kept character classes
+``[A-Za-z_]`` first and ``[A-Za-z0-9_]`` after, the escape ``_`` + hex + ``_``,
+hex of 2 to 6 digits.
 Known limit: text that already contains ``_<hex>_`` decodes ambiguously.
 """
 
@@ -17,6 +19,7 @@ from pyspark.sql import functions as F
 
 # fixed values of the symbol convention
 KEEP_CLASS = "^[A-Za-z0-9_]$"
+KEEP_FIRST = "^[A-Za-z_]$"
 ESCAPE_RE = "_([0-9a-f]{2,6})_"
 SPLIT_RE = "_[0-9a-f]{2,6}_"
 
@@ -35,8 +38,9 @@ def encode_enum(c: Column | str) -> Column:
         h = F.lower(F.regexp_replace(F.hex(F.encode(ch, "UTF-32")), "^0+", ""))
         return F.when(F.length(h) < 2, F.lpad(h, 2, "0")).otherwise(h)
 
-    escaped = F.transform(chars, lambda ch: F.when(ch.rlike(KEEP_CLASS), ch).otherwise(
-        F.concat(F.lit("_"), hexcode(ch), F.lit("_"))))
+    escaped = F.transform(chars, lambda ch, i: F.when(
+        F.when(i == 0, ch.rlike(KEEP_FIRST)).otherwise(ch.rlike(KEEP_CLASS)), ch
+    ).otherwise(F.concat(F.lit("_"), hexcode(ch), F.lit("_"))))
     return F.when(v.isNull(), F.lit(None).cast("string")).otherwise(F.array_join(escaped, ""))
 
 
@@ -55,5 +59,17 @@ def decode_enum(c: Column | str) -> Column:
 def encode_symbol_sql(v: str) -> str:
     """DuckDB SQL of :func:`encode_enum` for the oracle."""
     return (f"case when {v} is null then null else array_to_string(list_transform("
-            f"string_split({v}, ''), lambda ch: case when regexp_matches(ch, '{KEEP_CLASS}') then ch "
+            f"string_split({v}, ''), lambda ch, i: case when regexp_matches(ch, "
+            f"case when i = 1 then '{KEEP_FIRST}' else '{KEEP_CLASS}' end) then ch "
             f"else '_' || printf('%02x', unicode(ch)) || '_' end), '') end")
+
+
+def encode_symbol(text: str) -> str:
+    """Python form of :func:`encode_enum` for schema metadata (symbol lists)."""
+    out = []
+    for i, ch in enumerate(text):
+        if ch.isascii() and (ch.isalpha() or ch == "_" or (i > 0 and ch.isdigit())):
+            out.append(ch)
+        else:
+            out.append(f"_{ord(ch):02x}_")
+    return "".join(out)

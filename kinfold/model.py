@@ -40,6 +40,7 @@ class PropField:
     field: str
     type: str  # Spark SQL type name, e.g. "string", "bigint", "double"
     is_enum: bool = False
+    symbols: tuple[str, ...] = ()  # enum values (plain text), for container schemas
 
 
 NODE_TYPES_SCHEMA = T.StructType([
@@ -113,6 +114,13 @@ class Dictionary:
     def fields(self, label: str) -> list[PropField]:
         return [p for p in self.props if p.label == label]
 
+    def spark_schema(self, label: str) -> T.StructType:
+        """Typed schema of a label's object; enum fields are strings."""
+        return T.StructType([
+            T.StructField(p.field, T.StringType() if p.is_enum
+                          else T._parse_datatype_string(p.type), True)
+            for p in self.fields(label)])
+
     # -- validation (M7) -------------------------------------------------
     def validate(self) -> None:
         """Raise before any work on unknown labels, self links or cycles."""
@@ -167,6 +175,7 @@ class Graph:
     node_loader: Callable[[str], DataFrame]
     edge_loader: Callable[[str], DataFrame]
     object_builder: Callable[[str], Column] | None = None
+    typed_builder: Callable[[str], Column] | None = None
 
     def nodes(self, label: str) -> DataFrame:
         self.dictionary.node_table(label)
@@ -180,6 +189,23 @@ class Graph:
             return F.col("object")
         return self.object_builder(label)
 
+    def typed_object(self, label: str) -> Column:
+        """Object as a typed struct (enum values as encoded symbols).
+
+        Defaults to parsing the JSON object with the dictionary schema.
+        """
+        if self.typed_builder is not None:
+            return self.typed_builder(label)
+        from pyspark.sql import functions as F
+
+        from kinfold.functions.enums import encode_enum
+
+        parsed = F.from_json(self.node_object(label), self.dictionary.spark_schema(label))
+        enums = set(self.dictionary.enum_fields(label))
+        return F.struct(*[(encode_enum(parsed[p.field]) if p.field in enums
+                           else parsed[p.field]).alias(p.field)
+                          for p in self.dictionary.fields(label)])
+
     def edges(self, edge_table: str) -> DataFrame:
         self.dictionary.edge(edge_table)
         return self.edge_loader(edge_table)

@@ -21,7 +21,11 @@ from kinfold.operators.records import relations_text, walk_records
 from kinfold.operators.traverse import Materializer, walk_graph
 from kinfold.plans import typegraph as tg
 from kinfold.sources import star
+from kinfold.sources import container as ct
 from kinfold.sources.jdbc import keyed_scan
+from kinfold.sources.manifest import artifact_manifest
+from kinfold.sources.sinks import write_records
+from kinfold.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -300,6 +304,33 @@ def q_roundtrip_edges(spark, sf_dir):
     return _shape(walk_records(w2))
 
 
+# --------------------------------------------------------------------------
+# container
+
+def _written_container(spark, sf_dir) -> str:
+    path = scratch_dir(spark, "container")
+    ct.write_container(flagship_walk(spark, sf_dir), path)
+    return path
+
+
+def q_container_scan(spark, sf_dir):
+    """K4/K5 + S3/X1: export written as an Avro container and read back."""
+    recs = rs.data_records(ct.read_container(spark, _written_container(spark, sf_dir)))
+    return recs.select("name", "id", relations_text("relations").alias("relations"))
+
+
+def q_artifact_manifest(spark, sf_dir):
+    """Manifest of the written export parts (rows only: paths vary)."""
+    path = scratch_dir(spark, "export")
+    write_records(flagship_records(spark, sf_dir), path)
+    return artifact_manifest(spark, path, glob="*.parquet")
+
+
+def q_container_schema_fields(spark, sf_dir):
+    """Entity types, fields and enum flags from the container header."""
+    return ct.container_schema_fields(spark, _written_container(spark, sf_dir))
+
+
 # --------------------------------------------------------------------------
 # scalar functions
 
@@ -538,6 +569,24 @@ ORACLE_UNKNOWN_EDGES = f"""
 with {_FLAGSHIP_CTES} select name, dst_name, count(*) n_relations from rel
 where name = 'supplier' or dst_name = 'supplier' group by name, dst_name"""
 
+ORACLE_CONTAINER_SCAN = f"""
+with {_FLAGSHIP_CTES}
+select n.name, n.id, {_REL_TEXT} as relations
+from n left join rel r on r.name = n.name and r.id = n.id
+group by all
+"""
+_ENUMS = ", ".join(f"'{c}'" for c in star.ENUM_COLUMNS)
+_TABLES = ", ".join(f"'{t}'" for t in star.LABELS)
+ORACLE_CONTAINER_SCHEMA_FIELDS = f"""
+select table_name name, column_name field,
+  case when column_name in ({_ENUMS}) then 'enum'
+       when data_type = 'BIGINT' then 'long' when data_type = 'INTEGER' then 'int'
+       when data_type = 'DOUBLE' then 'double' when data_type like 'TIMESTAMP%' then 'long'
+       else 'string' end type,
+  column_name in ({_ENUMS}) is_enum
+from information_schema.columns where table_name in ({_TABLES})
+"""
+
 ORACLE_PROPS_EXTRACT = "select event_id, json_extract(props, '$.k')::integer k from events"
 ORACLE_ENCODE_ENUM = f"""
 select p_partkey, {encode_symbol_sql('p_name')} name_symbol,
@@ -574,6 +623,9 @@ _QUERIES: dict[str, tuple[Query, str | None]] = {
     "unknown_types": (q_unknown_types, ORACLE_UNKNOWN_TYPES),
     "unknown_edges": (q_unknown_edges, ORACLE_UNKNOWN_EDGES),
     "roundtrip_edges": (q_roundtrip_edges, ORACLE_EXPORT_RECORDS),
+    "container_scan": (q_container_scan, ORACLE_CONTAINER_SCAN),
+    "container_schema_fields": (q_container_schema_fields, ORACLE_CONTAINER_SCHEMA_FIELDS),
+    "artifact_manifest": (q_artifact_manifest, None),
     "props_extract": (q_props_extract, ORACLE_PROPS_EXTRACT),
     "encode_enum": (q_encode_enum, ORACLE_ENCODE_ENUM),
     "decode_enum": (q_decode_enum, ORACLE_DECODE_ENUM),

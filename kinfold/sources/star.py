@@ -27,8 +27,14 @@ LINKS = (
     ("lineitem_part", "lineitem", "part", "l_partkey"),
     ("lineitem_supplier", "lineitem", "supplier", "l_suppkey"),
 )
-ENUM_COLUMNS = ("c_mktsegment", "o_orderstatus", "o_orderpriority", "l_returnflag",
-                "l_linestatus")
+ENUM_SYMBOLS = {
+    "c_mktsegment": ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"),
+    "o_orderstatus": ("F", "O", "P"),
+    "o_orderpriority": ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"),
+    "l_returnflag": ("A", "N", "R"),
+    "l_linestatus": ("F", "O"),
+}
+ENUM_COLUMNS = tuple(ENUM_SYMBOLS)
 KEY_COLUMNS = {
     "region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey",
     "supplier": "s_suppkey", "part": "p_partkey", "orders": "o_orderkey",
@@ -79,7 +85,7 @@ def star_dictionary(spark: SparkSession, sf_dir: str) -> Dictionary:
     for label in LABELS:
         for f in read(spark, sf_dir, label).schema.fields:
             props.append(PropField(label, f.name, f.dataType.simpleString(),
-                                   f.name in ENUM_COLUMNS))
+                                   f.name in ENUM_COLUMNS, ENUM_SYMBOLS.get(f.name, ())))
     return Dictionary(
         node_tables={lbl: f"node_{lbl}" for lbl in LABELS},
         edge_types=[EdgeType(t, c, p) for t, c, p, _ in LINKS],
@@ -95,14 +101,17 @@ def star_graph(spark: SparkSession, sf_dir: str, encode_enums: bool = True) -> G
         df = read(spark, sf_dir, label)
         return df.select(node_id(label).alias("node_id"), *df.columns)
 
-    def node_object(label: str) -> Column:
+    def typed_object(label: str) -> Column:
         fields = []
         for f in d.fields(label):
             c = F.col(f.field)
             if encode_enums and f.is_enum:
                 c = encode_enum(c)
             fields.append(c.alias(f.field))
-        return F.to_json(F.struct(*fields))
+        return F.struct(*fields)
+
+    def node_object(label: str) -> Column:
+        return F.to_json(typed_object(label))
 
     def edges(edge_table: str) -> DataFrame:
         child, col = links[edge_table]
@@ -111,7 +120,7 @@ def star_graph(spark: SparkSession, sf_dir: str, encode_enums: bool = True) -> G
                   .select(node_id(child).alias("src_id"),
                           F.col(col).cast("string").alias("dst_id")))
 
-    return Graph(spark, d, nodes, edges, node_object)
+    return Graph(spark, d, nodes, edges, node_object, typed_object)
 
 
 def cohort_index(spark: SparkSession, sf_dir: str) -> DataFrame:

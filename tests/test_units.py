@@ -7,7 +7,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from kinfold.functions.enums import decode_enum, encode_enum
+from kinfold.functions.enums import decode_enum, encode_enum, encode_symbol
 from kinfold.functions.props import json_int, malformed
 from kinfold.model import Dictionary, EdgeType, GraphError, PropField
 from kinfold.operators import cohort as co
@@ -104,7 +104,8 @@ def test_filter_documents(spark):
 # -- enum codec and props ------------------------------------------------------------
 
 def test_enum_codec(spark):
-    vals = ["bpm > 60", "äü", "a\U0001F600b", "", None, "x\ny", "Brand#17", "plain_1"]
+    vals = ["bpm > 60", "äü", "a\U0001F600b", "", None, "x\ny", "Brand#17", "plain_1",
+            "1-URGENT"]
     df = spark.createDataFrame([(v,) for v in vals], "v string")
     rows = df.select("v", encode_enum("v").alias("e")).select(
         "v", "e", decode_enum("e").alias("d")).collect()
@@ -115,6 +116,9 @@ def test_enum_codec(spark):
     assert enc[""] == "" and enc[None] is None
     assert enc["x\ny"] == "x_0a_y"
     assert enc["plain_1"] == "plain_1"
+    assert enc["Brand#17"] == "Brand_23_17"
+    assert encode_symbol("1-URGENT") == "_31__2d_URGENT"
+    assert encode_symbol("bpm > 60") == enc["bpm > 60"]
     for r in rows:
         assert r["d"] == r["v"]
 
