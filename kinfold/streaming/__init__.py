@@ -1,0 +1,2 @@
+"""Streaming: the reference has no streaming operator; only an incremental
+form of the batch restore is offered (:mod:`kinfold.streaming.restore_stream`)."""

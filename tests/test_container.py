@@ -72,3 +72,20 @@ def test_records_sink_and_manifest(spark):
     assert m and all(r["size"] > 0 and len(r["md5"]) == 32 for r in m)
     assert all(r["form"] == "object" and r["urls"][0].endswith(r["file_name"]) for r in m)
     assert all(r["expires_at"] > 0 for r in m)
+
+
+def test_restore_stream(spark):
+    from kinfold.streaming.restore_stream import restore_stream
+
+    w = _walk(spark)
+    src = scratch_dir(spark, f"test-stream-src-{uuid.uuid4().hex[:6]}")
+    dst = scratch_dir(spark, f"test-stream-dst-{uuid.uuid4().hex[:6]}")
+    walk_records(w).write.parquet(f"{src}/batch-1")
+    q = restore_stream(spark, src, dst, w.graph.dictionary)
+    q.awaitTermination(120)
+    nodes = spark.read.parquet(f"{dst}/nodes")
+    assert sorted((r["node_table"], r["node_id"]) for r in nodes.collect()) == [
+        ("node_case", "C1"), ("node_case", "C2"), ("node_study", "T1")]
+    edges = spark.read.parquet(f"{dst}/edges")
+    assert sorted((r["edge_table"], r["src_id"], r["dst_id"]) for r in edges.collect()) == [
+        ("case_study", "C1", "T1"), ("case_study", "C2", "T1")]
