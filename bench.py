@@ -4,7 +4,7 @@ Environment: ``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS``
 (default 8), ``BENCH_QUERIES`` (comma list, default the headline set; ``all``
 for every registered query).  Each query runs to completion into the
 ``noop`` sink (the whole plan executes, no rows go to the driver); the
-session is warmed by one untimed run of the flagship on the smoke scale.
+session is warmed by one untimed run of the flagship at the same scale.
 """
 
 from __future__ import annotations
@@ -33,9 +33,8 @@ def main() -> None:
     qs = registry.queries()
     names = list(qs) if wanted == "all" else (wanted.split(",") if wanted else HEADLINE)
     spark = local_session(cpus, shuffle_partitions=int(cpus))
-    # warm-up: JVM class loading and codegen caches, untimed
-    qs["export_records"](spark, "/root/testdata/sf0.001").write.format("noop") \
-        .mode("overwrite").save()
+    # warm-up, untimed: JVM class loading, codegen caches, table schemas
+    qs["export_records"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     times: dict[str, float] = {}
     for name in names:
         t0 = time.perf_counter()

@@ -94,21 +94,35 @@ def _props_schema(d: Dictionary, label: str) -> T.StructType:
     return T.StructType(fields)
 
 
+def _enum_labels(d: Dictionary) -> list[str]:
+    return [lbl for lbl in sorted(d.node_tables) if d.enum_fields(lbl)]
+
+
+def with_parsed_props(records: DataFrame, d: Dictionary) -> DataFrame:
+    """Add one parsed-object column per type that has enum fields.
+
+    Each object is parsed once, only for rows of its own type; the next
+    projection reads the parsed struct instead of re-parsing per field
+    (subexpression elimination does not reach inside CASE branches).
+    """
+    cols = [F.when(F.col("name") == lbl, F.from_json("object", _props_schema(d, lbl)))
+            .alias(f"__parsed_{i}") for i, lbl in enumerate(_enum_labels(d))]
+    return records.select("*", *cols) if cols else records
+
+
 def decoded_props(d: Dictionary, name: Column, obj: Column) -> Column:
     """Object JSON with enum fields decoded, other fields kept.
 
-    Only types with enum fields are re-parsed, with their dictionary schema;
-    nulls are kept as JSON nulls like the stored form.
+    Expects the columns added by :func:`with_parsed_props`; types without enum
+    fields pass through unchanged.  Nulls are kept as JSON nulls like the
+    stored form.
     """
     out: Column | None = None
-    for label in sorted(d.node_tables):
+    for i, label in enumerate(_enum_labels(d)):
         enums = set(d.enum_fields(label))
-        if not enums:
-            continue
-        schema = _props_schema(d, label)
-        parsed = F.from_json(obj, schema)
+        parsed = F.col(f"__parsed_{i}")
         fields = [(decode_enum(parsed[f.name]) if f.name in enums else parsed[f.name])
-                  .alias(f.name) for f in schema.fields]
+                  .alias(f.name) for f in _props_schema(d, label).fields]
         js = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
         out = (F.when(name == label, js) if out is None
                else out.when(name == label, js))
@@ -129,7 +143,7 @@ def restore_records(records: DataFrame, d: Dictionary, check: bool = True) -> Re
     instead of being dropped, before anything is appended.
     """
     d.edge_table_by_labels()  # ambiguous pairs raise here
-    recs = data_records(records)
+    recs = with_parsed_props(data_records(records), d)
     now = F.current_timestamp()
     table = node_table_of(d, F.col("name"))
     if check:

@@ -144,7 +144,8 @@ class Walk:
 
 class _Walker:
     def __init__(self, graph: Graph, plan: list[Step], cohort: DataFrame,
-                 root: str, materializer: Materializer):
+                 root: str, materializer: Materializer, lazy_leaves: bool = False):
+        self.lazy_leaves = lazy_leaves
         self.g = graph
         self.d = graph.dictionary
         self.m = materializer
@@ -156,9 +157,14 @@ class _Walker:
     def _read_later(self, label: str) -> bool:
         """Does a later visit read this label's state (static, from the plan)?
 
-        Only such states are materialized; a state read by the record
-        assembly alone stays lazy and runs inside the final job.
+        With ``lazy_leaves`` only such states are materialized and a state
+        read by the record assembly alone runs inside the final job.  By
+        default every state is written: the node join then sees the state's
+        measured size and builds on the small side instead of guessing from a
+        pruned scan estimate.
         """
+        if not self.lazy_leaves:
+            return True
         for step in self.walk.plan[self.pos + 1:]:
             if step.way == UP:
                 continue  # up visits read their own seeds only, handled below
@@ -229,7 +235,8 @@ class _Walker:
 def walk_graph(graph: Graph, cohort: DataFrame, root: str,
                extra: list[str] | None = None, include_upward: bool = False,
                materialize: str = "parquet",
-               storage: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Walk:
+               storage: StorageLevel = StorageLevel.MEMORY_AND_DISK,
+               lazy_leaves: bool = False) -> Walk:
     """Walk the graph from a cohort of ``root`` ids.
 
     ``cohort`` is a DataFrame with an ``id`` column (any type; cast to string,
@@ -243,4 +250,4 @@ def walk_graph(graph: Graph, cohort: DataFrame, root: str,
     if not plan or plan[0].label != root:
         raise GraphError("plan does not start at the root")
     m = Materializer(graph.spark, materialize, storage)
-    return _Walker(graph, plan, checked_ids(cohort), root, m).run()
+    return _Walker(graph, plan, checked_ids(cohort), root, m, lazy_leaves).run()

@@ -79,8 +79,19 @@ def node_id_sql(label: str) -> str:
     return f"{KEY_COLUMNS[label]}::varchar"
 
 
+_DICTS: dict[tuple[int, str], Dictionary] = {}
+_GRAPHS: dict[tuple[int, str, bool], Graph] = {}
+
+
 def star_dictionary(spark: SparkSession, sf_dir: str) -> Dictionary:
     """Dictionary of the star schema; field types read from the Parquet footers."""
+    key = (id(spark._jsparkSession), sf_dir)
+    if key not in _DICTS:
+        _DICTS[key] = _build_dictionary(spark, sf_dir)
+    return _DICTS[key]
+
+
+def _build_dictionary(spark: SparkSession, sf_dir: str) -> Dictionary:
     props: list[PropField] = []
     for label in LABELS:
         for f in read(spark, sf_dir, label).schema.fields:
@@ -94,7 +105,21 @@ def star_dictionary(spark: SparkSession, sf_dir: str) -> Dictionary:
 
 
 def star_graph(spark: SparkSession, sf_dir: str, encode_enums: bool = True) -> Graph:
+    """The fixture as a graph; one instance per session and folder.
+
+    Object expressions are built once per type and reused: building the
+    enum-codec lambdas costs hundreds of py4j calls per type.
+    """
+    key = (id(spark._jsparkSession), sf_dir, encode_enums)
+    if key not in _GRAPHS:
+        _GRAPHS[key] = _build_graph(spark, sf_dir, encode_enums)
+    return _GRAPHS[key]
+
+
+def _build_graph(spark: SparkSession, sf_dir: str, encode_enums: bool) -> Graph:
     d = star_dictionary(spark, sf_dir)
+    typed_cache: dict[str, Column] = {}
+    json_cache: dict[str, Column] = {}
     links = {t: (c, col) for t, c, _, col in LINKS}
 
     def nodes(label: str) -> DataFrame:
@@ -102,16 +127,20 @@ def star_graph(spark: SparkSession, sf_dir: str, encode_enums: bool = True) -> G
         return df.select(node_id(label).alias("node_id"), *df.columns)
 
     def typed_object(label: str) -> Column:
-        fields = []
-        for f in d.fields(label):
-            c = F.col(f.field)
-            if encode_enums and f.is_enum:
-                c = encode_enum(c)
-            fields.append(c.alias(f.field))
-        return F.struct(*fields)
+        if label not in typed_cache:
+            fields = []
+            for f in d.fields(label):
+                c = F.col(f.field)
+                if encode_enums and f.is_enum:
+                    c = encode_enum(c)
+                fields.append(c.alias(f.field))
+            typed_cache[label] = F.struct(*fields)
+        return typed_cache[label]
 
     def node_object(label: str) -> Column:
-        return F.to_json(typed_object(label))
+        if label not in json_cache:
+            json_cache[label] = F.to_json(typed_object(label))
+        return json_cache[label]
 
     def edges(edge_table: str) -> DataFrame:
         child, col = links[edge_table]
