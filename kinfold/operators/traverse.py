@@ -189,7 +189,10 @@ class _Walker:
         seeds = self.seeds.get(label)
         if not seeds:
             return
-        ids = _union(seeds).select(F.col("id").alias("src_id"))
+        # seeds repeat a parent once per selected child (a hot parent may hold
+        # a third of all rows): dedupe with a map-side partial aggregate before
+        # they become the build side of a semi join
+        ids = _union(seeds).select(F.col("id").alias("src_id")).distinct()
         parents = []
         for e in self.d.edges_by_child(label):
             hits = self.g.edges(e.edge_table).join(ids, "src_id", "left_semi")

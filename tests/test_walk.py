@@ -226,3 +226,32 @@ def test_walk_matches_brute_force(spark, case):
     edges = {t: rows for t, _, _, rows in links}
     want = brute_walk(g.dictionary, node_ids, edges, root, coh, extra, up)
     assert got == want
+
+
+def test_hot_parent_walks_whole_group(spark):
+    # one project holds most subjects; every one of its samples must be exported
+    n = 3000
+    nodes = {
+        "program": [("P1", {})],
+        "project": [("J1", {}), ("J2", {})],
+        "subject": [(f"S{i}", {}) for i in range(n)],
+        "sample": [(f"X{i}", {}) for i in range(n)],
+    }
+    links = [
+        ("project_program", "project", "program", [("J1", "P1"), ("J2", "P1")]),
+        ("subject_project", "subject", "project",
+         [(f"S{i}", "J1" if i % 10 else "J2") for i in range(n)]),
+        ("sample_subject", "sample", "subject", [(f"X{i}", f"S{i}") for i in range(n)]),
+    ]
+    g = make_graph(spark, nodes, links)
+    # cohort: all subjects of the hot project; walk up and back down through extras
+    hot = [f"S{i}" for i in range(n) if i % 10]
+    recs = export_records(g, cohort(spark, hot), "subject", extra=["project"],
+                          include_upward=True)
+    counts = {r["name"]: r["n"] for r in recs.groupBy("name").count()
+              .withColumnRenamed("count", "n").collect()}
+    assert counts == {"program": 1, "project": 2, "subject": len(hot), "sample": len(hot)}
+    plan = walk_graph(g, cohort(spark, hot), "subject", include_upward=True,
+                      materialize="persist").states["project"]
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" in text  # parent seeds deduplicated before the semi join
