@@ -68,9 +68,10 @@ def relations_text(col: Column | str = "relations") -> Column:
 
 
 def ordered_for_write(records: DataFrame) -> DataFrame:
-    """Range-partition by rank and sort inside partitions (O1).
+    """Sort inside partitions only (O1).
 
-    Part files then hold parents before children when read in file order.
+    Order across types comes from the ``topo_rank`` folders of the sink; the
+    records frame is a union of per-type joins, so each task holds one type
+    and no shuffle or range-sampling pass is needed.
     """
-    return (records.repartitionByRange("topo_rank", "name", "id")
-            .sortWithinPartitions("topo_rank", "name", "id"))
+    return records.sortWithinPartitions("topo_rank", "name", "id")

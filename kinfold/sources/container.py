@@ -152,28 +152,39 @@ def container_frame(walk: Walk) -> DataFrame:
     return out
 
 
+def rank_dir(topo_rank: Column) -> Column:
+    """Zero-padded directory value: ``rank=0000`` holds Metadata, then 0001, ..."""
+    return F.lpad((topo_rank + 1).cast("string"), 4, "0")
+
+
 def write_container(walk: Walk, path: str, mode: str = "errorifexists",
                     max_records_per_file: int = 1_000_000) -> dict:
     """Write the walk's entities as an Avro container directory (K4).
 
-    Rows are range-partitioned on (rank, id) and sorted inside partitions, so
-    part files read in name order list parents before children and the
-    Metadata record first; hot types are spread over many tasks.
-    Returns the writer schema.
+    Files go to ``rank=NNNN/`` sub-folders: listing them in name order gives
+    the Metadata record first and parents before children.  The frame is a
+    union of per-type joins, so every task holds one type and writes one
+    file per rank; no shuffle or sampling pass is added and a large type
+    stays spread over all its tasks.  Returns the writer schema.
     """
     schema = entity_schema(walk.graph.dictionary)
     frame = container_frame(walk)
-    ordered = (frame.repartitionByRange("topo_rank", "id")
-               .sortWithinPartitions("topo_rank", "id").drop("topo_rank"))
+    ordered = (frame.withColumn("rank", rank_dir(F.col("topo_rank"))).drop("topo_rank")
+               .sortWithinPartitions("rank", "id"))
     (ordered.write.mode(mode).format(AVRO_FORMAT)
      .option("avroSchema", json.dumps(schema))
      .option("maxRecordsPerFile", max_records_per_file)
+     .partitionBy("rank")
      .save(path))
     return schema
 
 
 def read_container_raw(spark: SparkSession, path: str) -> DataFrame:
-    """Container rows as Spark reads them (union ``object`` as member struct) (S3)."""
+    """Container rows as Spark reads them (union ``object`` as member struct) (S3).
+
+    Part files are read split by split; the ``rank`` folder value comes back
+    as a column when the container was written by :func:`write_container`.
+    """
     return spark.read.format(AVRO_FORMAT).option("pathGlobFilter", "*.avro").load(path)
 
 
@@ -197,6 +208,8 @@ def container_schema(spark: SparkSession, path: str) -> dict:
     root = jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(conf)
     status = fs.globStatus(jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/*.avro"))
+    if status is None or len(status) == 0:
+        status = fs.globStatus(jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/*/*.avro"))
     if status is None or len(status) == 0:
         status = [fs.getFileStatus(root)]
     first = sorted(status, key=lambda s: s.getPath().toString())[0].getPath()

@@ -21,7 +21,7 @@ EDGE_COLUMNS = ["src_id", "dst_id", "_props", "acl", "_sysan", "created"]
 
 def write_records(records: DataFrame, path: str, max_records_per_file: int = 1_000_000,
                   mode: str = "errorifexists") -> None:
-    """Export sink: Parquet partitioned by rank and type, parents first (K4, O1)."""
+    """Export sink: Parquet in ``topo_rank=/name=`` folders, parents first (K4, O1)."""
     (ordered_for_write(records).write.mode(mode)
      .option("maxRecordsPerFile", max_records_per_file)
      .partitionBy("topo_rank", "name").parquet(path))
