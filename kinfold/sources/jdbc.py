@@ -17,14 +17,22 @@ from pyspark.sql import functions as F
 FETCH_SIZE = 10000
 
 
-def keyed_scan(table: DataFrame, ids: DataFrame, id_column: str,
+def keyed_scan(table: DataFrame, ids: DataFrame | Sequence[str], id_column: str,
                ids_column: str = "id") -> DataFrame:
-    """Rows of ``table`` whose ``id_column`` is in ``ids[ids_column]``.
-
-    The id set is cast to the key's type (not the other way round) so a
-    filter on the key can still reach the scan.
+    """Rows of ``table`` whose ``id_column`` is in the id set.
+
+    ``ids`` as a DataFrame: a left-semi join; the id set is cast to the key's
+    type (not the other way round) so a filter on the key can still reach
+    the scan, and Spark picks broadcast or shuffle from measured sizes.
+    ``ids`` as a literal list the caller already holds (bounded, e.g. a
+    request): an ``IN`` filter pushed into the source (Parquet row groups,
+    a JDBC ``WHERE``).  Empty input gives an empty frame, no special case.
     """
     key_type = table.schema[id_column].dataType
+    if not isinstance(ids, DataFrame):
+        values = [v for v in ids if v is not None]
+        return table.where(F.col(id_column).isin(
+            [F.lit(v).cast(key_type) for v in values]) if values else F.lit(False))
     keys = ids.select(F.col(ids_column).cast(key_type).alias(id_column))
     return table.join(keys, id_column, "left_semi")
 

@@ -74,3 +74,17 @@ def test_oracle(spark, duck, name):
     idx = [ocols.index(c) for c in cols]
     want = sorted((tuple(_norm(r[i]) for i in idx) for r in res.fetchall()), key=repr)
     assert got == want
+
+
+def test_keyed_scan_literal_ids_push_in_filter(spark):
+    from kinfold.sources.jdbc import keyed_scan
+
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    df = keyed_scan(orders, ["1", "2", "3"], "o_orderkey")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [In(o_orderkey, [1,2,3])" in plan or "In(o_orderkey" in plan
+    assert sorted(r["o_orderkey"] for r in df.collect()) == [
+        k for k in (1, 2, 3) if orders.where(f"o_orderkey = {k}").count()]
+    assert keyed_scan(orders, [], "o_orderkey").count() == 0
+    ids = spark.createDataFrame([("1",), ("2",)], "id string")
+    assert keyed_scan(orders, ids, "o_orderkey").count() == df.where("o_orderkey <= 2").count()
