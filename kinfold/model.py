@@ -246,3 +246,40 @@ def dictionary_from_rows(node_types: Sequence[tuple[str, str]],
         edge_types=[EdgeType(*e) for e in edge_types],
         props=[PropField(*p) for p in props],
     )
+
+
+def save_dictionary(spark: SparkSession, d: Dictionary, path: str, mode: str = "overwrite") -> None:
+    """Write the dictionary as three JSON tables: node_types, edge_types, props."""
+    d.node_types_df(spark).coalesce(1).write.mode(mode).json(f"{path}/node_types")
+    d.edge_types_df(spark).coalesce(1).write.mode(mode).json(f"{path}/edge_types")
+    props = spark.createDataFrame(
+        [(i, p.label, p.field, p.type, p.is_enum, list(p.symbols)) for i, p in enumerate(d.props)],
+        "pos int, label string, field string, type string, is_enum boolean, symbols array<string>")
+    props.coalesce(1).write.mode(mode).json(f"{path}/props")
+
+
+def load_dictionary(spark: SparkSession, path: str) -> Dictionary:
+    """Read a dictionary saved by :func:`save_dictionary`.
+
+    The three tables are read with Spark and brought to the driver: they are
+    metadata with one row per type, edge type and field, which the planner
+    needs as plain values.  The dictionary is validated before it is returned.
+    """
+    from pyspark.sql import functions as F
+
+    nt = spark.read.schema(NODE_TYPES_SCHEMA).json(f"{path}/node_types").collect()
+    et = spark.read.schema(EDGE_TYPES_SCHEMA).json(f"{path}/edge_types").collect()
+    pr = (spark.read.schema("pos int, label string, field string, type string, "
+                            "is_enum boolean, symbols array<string>").json(f"{path}/props")
+          .orderBy("pos")
+          .select("label", "field", "type", F.coalesce("is_enum", F.lit(False)).alias("is_enum"),
+                  F.coalesce("symbols", F.array().cast("array<string>")).alias("symbols"))
+          .collect())
+    d = Dictionary(
+        node_tables={r["label"]: r["node_table"] for r in nt},
+        edge_types=sorted((EdgeType(r["edge_table"], r["src_label"], r["dst_label"]) for r in et),
+                          key=lambda e: e.edge_table),
+        props=[PropField(r["label"], r["field"], r["type"], bool(r["is_enum"]),
+                         tuple(r["symbols"])) for r in pr])
+    d.validate()
+    return d

@@ -183,3 +183,20 @@ def test_restore_decodes_enums_and_keeps_nulls(spark):
     r = rs.restore_records(recs, d)
     got = {x["node_id"]: json.loads(x["_props"]) for x in r.nodes.collect()}
     assert got == {"1": {"kind": "bpm > 60", "n": 1}, "2": {"kind": None, "n": None}}
+
+
+def test_dictionary_save_and_load(spark):
+    import uuid
+
+    from kinfold.model import load_dictionary, save_dictionary
+    from kinfold.session import scratch_dir
+    from kinfold.sources import star
+
+    d = star.star_dictionary(spark, "/root/testdata/sf0.001")
+    path = scratch_dir(spark, f"test-dict-{uuid.uuid4().hex[:6]}")
+    save_dictionary(spark, d, path)
+    back = load_dictionary(spark, path)
+    assert back.node_tables == d.node_tables
+    assert sorted(back.edge_types, key=lambda e: e.edge_table) == sorted(
+        d.edge_types, key=lambda e: e.edge_table)
+    assert back.props == d.props
