@@ -101,6 +101,19 @@ def q_traverse_multi_parent(spark, sf_dir):
     return _state_rows(w, ["lineitem"])
 
 
+def q_traverse_extra_siblings(spark, sf_dir):
+    """Semantics 7: an extra on the upward path pulls in its siblings once."""
+    w = flagship_walk(spark, sf_dir, extra=["nation"])
+    return _state_rows(w, ["nation", "region"])
+
+
+def q_traverse_extra_orphan(spark, sf_dir):
+    """Semantics 6: an extra type without parents selects nothing; counts per type."""
+    w = flagship_walk(spark, sf_dir, extra=["part"])
+    recs = walk_records(w)
+    return recs.groupBy("name").agg(F.count(F.lit(1)).alias("n_records"))
+
+
 def q_selected_nodes(spark, sf_dir):
     """Per type, ids selected by the walk and node rows emitted."""
     w = flagship_walk(spark, sf_dir)
@@ -448,6 +461,29 @@ select 'lineitem' name, id,
 from r group by id
 """
 
+ORACLE_TRAVERSE_EXTRA_SIBLINGS = f"""
+with cu as ({_COHORT_SQL}),
+na0 as (select * from nation where n_nationkey in (select c_nationkey from cu)),
+re as (select * from region where r_regionkey in (select n_regionkey from na0)),
+na as (select * from nation where n_nationkey in (select n_nationkey from na0)
+                              or n_regionkey in (select r_regionkey from re))
+select 'nation' name, n_nationkey::varchar id, 'region:' || n_regionkey relations from na
+union all select 'region', r_regionkey::varchar, '' from re
+"""
+
+ORACLE_TRAVERSE_EXTRA_ORPHAN = f"""
+with cu as ({_COHORT_SQL}),
+na as (select * from nation where n_nationkey in (select c_nationkey from cu)),
+re as (select * from region where r_regionkey in (select n_regionkey from na)),
+o as (select * from orders where o_custkey in (select c_custkey from cu)),
+li as (select * from lineitem where l_orderkey in (select o_orderkey from o))
+select 'region' name, count(*) n_records from re having count(*) > 0
+union all select 'nation', count(*) from na having count(*) > 0
+union all select 'customer', count(*) from cu having count(*) > 0
+union all select 'orders', count(*) from o having count(*) > 0
+union all select 'lineitem', count(*) from li having count(*) > 0
+"""
+
 ORACLE_SELECTED_NODES = f"""
 with {_FLAGSHIP_CTES}
 select name, count(*) n_selected, count(*) n_nodes from n group by name
@@ -605,6 +641,8 @@ _QUERIES: dict[str, tuple[Query, str | None]] = {
     "traverse_up": (q_traverse_up, ORACLE_TRAVERSE_UP),
     "traverse_down": (q_traverse_down, ORACLE_TRAVERSE_DOWN),
     "traverse_multi_parent": (q_traverse_multi_parent, ORACLE_TRAVERSE_MULTI_PARENT),
+    "traverse_extra_siblings": (q_traverse_extra_siblings, ORACLE_TRAVERSE_EXTRA_SIBLINGS),
+    "traverse_extra_orphan": (q_traverse_extra_orphan, ORACLE_TRAVERSE_EXTRA_ORPHAN),
     "selected_nodes": (q_selected_nodes, ORACLE_SELECTED_NODES),
     "relations_by_node": (q_relations_by_node, ORACLE_RELATIONS_BY_NODE),
     "edge_projection": (q_edge_projection, ORACLE_EDGE_PROJECTION),
