@@ -106,24 +106,28 @@ def type_topology(edge_types: DataFrame, root: str, n_labels: int) -> DataFrame:
 
 def traversal_plan_df(edge_types: DataFrame, root: str, extra: list[str] | None,
                       include_upward: bool, n_labels: int) -> DataFrame:
-    """``(pos, way, label)`` of the walk (G9) computed from ``edge_types``."""
+    """``(pos, way, label)`` of the walk (G9) computed from ``edge_types``.
+
+    Positions are offsets, not a global window: up labels keep their upward
+    position, extras follow the up block, the downward path (root dropped
+    when walking up first) follows the extras.
+    """
     spark = edge_types.sparkSession
     topo = type_topology(edge_types, root, n_labels)
     extra = list(extra or []) if include_upward else []
     ex = spark.createDataFrame([(i, lbl) for i, lbl in enumerate(extra)],
                                "pos int, label string")
     if include_upward:
-        up = topo.where(F.col("direction") == UP).select(
-            F.lit(0).alias("block"), F.col("pos"), F.lit(UP).alias("way"), "label")
-        down = topo.where((F.col("direction") == DOWN) & (F.col("pos") > 0)).select(
-            F.lit(2).alias("block"), F.col("pos"), F.lit(DOWN).alias("way"), "label")
+        sql = """
+        with up as (select pos, label from {topo} where direction = 'up'),
+        n_up as (select count(*) n from up)
+        select pos, 'up' way, label from up
+        union all
+        select (select n from n_up) + pos, 'down', label from {ex}
+        union all
+        select (select n from n_up) + {n_extra} + pos - 1, 'down', label from {topo}
+        where direction = 'down' and pos > 0"""
     else:
-        up = spark.createDataFrame([], "block int, pos int, way string, label string")
-        down = topo.where(F.col("direction") == DOWN).select(
-            F.lit(2).alias("block"), F.col("pos"), F.lit(DOWN).alias("way"), "label")
-    mid = ex.select(F.lit(1).alias("block"), "pos", F.lit(DOWN).alias("way"), "label")
-    from pyspark.sql import Window
-
-    allp = up.unionByName(mid).unionByName(down)
-    w = Window.orderBy("block", "pos")
-    return allp.select((F.row_number().over(w) - 1).cast("int").alias("pos"), "way", "label")
+        sql = "select pos, 'down' way, label from {topo} where direction = 'down'"
+    out = spark.sql(sql, topo=topo, ex=ex, n_extra=len(extra))
+    return out.select(F.col("pos").cast("int").alias("pos"), "way", "label")

@@ -63,11 +63,17 @@ def _norm(v):
     return v
 
 
+BAD_PLAN_NODES = ("CartesianProduct", "BroadcastNestedLoopJoin") + PY_NODES
+
+
 @pytest.mark.parametrize("name", sorted(entry_mod.oracle_sql()))
 def test_oracle(spark, duck, name):
     df = entry_mod.queries()[name](spark, SF)
     cols = df.columns
     got = sorted((tuple(_norm(r[c]) for c in cols) for r in df.collect()), key=repr)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for node in BAD_PLAN_NODES:
+        assert node not in plan, f"{name}: {node} in plan"
     res = duck.execute(entry_mod.oracle_sql()[name])
     ocols = [d[0] for d in res.description]
     assert sorted(cols) == sorted(ocols)
