@@ -176,11 +176,24 @@ class Graph:
     edge_loader: Callable[[str], DataFrame]
     object_builder: Callable[[str], Column] | None = None
     typed_builder: Callable[[str], Column] | None = None
+    lookup: Callable[[str, DataFrame], DataFrame] | None = None
+    edge_filter: Callable[[str, str, DataFrame], DataFrame] | None = None
 
     def nodes(self, label: str) -> DataFrame:
         self.dictionary.node_table(label)
         return self.node_loader(label)
 
+    def lookup_nodes(self, label: str, selected: DataFrame) -> DataFrame:
+        """Node rows of ``label`` joined to ``selected`` (which has ``node_id``).
+
+        Defaults to an equi-join on ``node_id``; a graph whose ids are built
+        from several key columns can join on those columns instead, so the
+        id is not rebuilt for every node row.
+        """
+        if self.lookup is not None:
+            return self.lookup(label, selected)
+        return self.nodes(label).join(selected, "node_id", "inner")
+
     def node_object(self, label: str) -> Column:
         """JSON object of a node row of ``label`` (defaults to column ``object``)."""
         if self.object_builder is None:
@@ -210,11 +223,31 @@ class Graph:
         self.dictionary.edge(edge_table)
         return self.edge_loader(edge_table)
 
+    def semi_edges(self, edge_table: str, side: str, ids: DataFrame) -> DataFrame:
+        """Edges ``(src_id, dst_id)`` whose ``side`` ("src"/"dst") id is in ``ids.id``.
+
+        Defaults to a left-semi join on the id column; a graph whose edges are
+        projections of a wider table can semi-join on the raw key first so
+        that ids are only built for matching rows.
+        """
+        if side not in ("src", "dst"):
+            raise ValueError("side must be 'src' or 'dst'")
+        if self.edge_filter is not None:
+            return self.edge_filter(edge_table, side, ids)
+        key = f"{side}_id"
+        return self.edges(edge_table).join(ids.select(F_col_alias(key)), key, "left_semi")
+
     def check_labels(self, labels: Iterable[str]) -> None:
         for lbl in labels:
             self.dictionary.node_table(lbl)
 
 
+def F_col_alias(name: str) -> Column:
+    from pyspark.sql import functions as F
+
+    return F.col("id").alias(name)
+
+
 def tables_graph(spark: SparkSession, dictionary: Dictionary,
                  read_table: Callable[[str], DataFrame]) -> Graph:
     """Graph over tables in the stored layout.

@@ -26,9 +26,8 @@ RECORD_COLUMNS = ("topo_rank", "name", "id", "object", "relations")
 def label_records(walk: Walk, label: str) -> DataFrame:
     """Records of one label: node rows joined to the label's state (J3 + J4)."""
     state = walk.states[label].select(F.col("id").alias("node_id"), "relations")
-    nodes = walk.graph.nodes(label)
     # join first, then serialize: only selected rows build their object
-    joined = nodes.join(state, "node_id", "inner")
+    joined = walk.graph.lookup_nodes(label, state)
     return joined.select(
         F.lit(walk.ranks[label]).cast("int").alias("topo_rank"),
         F.lit(label).alias("name"),

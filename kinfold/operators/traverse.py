@@ -31,6 +31,7 @@ Semantics:
 
 from __future__ import annotations
 
+from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -70,10 +71,16 @@ def checked_ids(ids: DataFrame, column: str = "id") -> DataFrame:
 
 
 class Materializer:
-    """Cuts lineage of intermediate frames (see module doc)."""
+    """Cuts lineage of intermediate frames (see module doc).
+
+    In parquet mode writes may run on a small thread pool: a write is a
+    Spark job, so independent states (siblings in the plan) are written at
+    the same time and a visit waits only for the states it reads.
+    """
 
     def __init__(self, spark, mode: str = "parquet",
-                 storage: StorageLevel = StorageLevel.MEMORY_AND_DISK):
+                 storage: StorageLevel = StorageLevel.MEMORY_AND_DISK,
+                 concurrent_writes: int = 4):
         if mode not in MATERIALIZE_MODES:
             raise ValueError(f"materialize must be one of {MATERIALIZE_MODES}")
         self.spark = spark
@@ -82,25 +89,42 @@ class Materializer:
         self.folder = scratch_dir(spark, "walk") if mode == "parquet" else None
         self.held: list[DataFrame] = []
         self.n = 0
+        self.pool = (ThreadPoolExecutor(max_workers=concurrent_writes)
+                     if mode == "parquet" and concurrent_writes > 1 else None)
 
-    def __call__(self, df: DataFrame, name: str) -> DataFrame:
+    def _write_read(self, df: DataFrame, path: str) -> DataFrame:
+        df.write.mode("errorifexists").parquet(path)
+        # known schema: no inference job on read-back
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def submit(self, df: DataFrame, name: str) -> DataFrame | Future:
+        """Materialize; in parquet mode with a pool, return a future of the frame."""
         self.n += 1
         if self.mode == "parquet":
             path = f"{self.folder}/{self.n:03d}-{name}"
-            df.write.mode("errorifexists").parquet(path)
-            # known schema: no inference job on read-back
-            return self.spark.read.schema(df.schema).parquet(path)
+            if self.pool is not None:
+                return self.pool.submit(self._write_read, df, path)
+            return self._write_read(df, path)
         if self.mode == "checkpoint":
             return df.checkpoint(eager=True)
         df = df.persist(self.storage)
         self.held.append(df)
         return df
 
+    def __call__(self, df: DataFrame, name: str) -> DataFrame:
+        out = self.submit(df, name)
+        return out.result() if isinstance(out, Future) else out
+
     def release(self) -> None:
         for df in self.held:
             df.unpersist()
         self.held.clear()
 
+    def close(self) -> None:
+        if self.pool is not None:
+            self.pool.shutdown(wait=True)
+            self.pool = None
+
 
 @dataclass
 class Walk:
@@ -183,7 +207,15 @@ class _Walker:
                  .agg(F.collect_set("rel").alias("relations")))
         if reused is None:
             reused = self._read_later(label)
-        self.walk.states[label] = self.m(state, f"state-{label}") if reused else state
+        self.walk.states[label] = self.m.submit(state, f"state-{label}") if reused else state
+
+    def _state(self, label: str) -> DataFrame | None:
+        """A label's state, waiting for its write if one is running."""
+        st = self.walk.states.get(label)
+        if isinstance(st, Future):
+            st = st.result()
+            self.walk.states[label] = st
+        return st
 
     def _visit_up(self, label: str) -> None:
         seeds = self.seeds.get(label)
@@ -192,10 +224,10 @@ class _Walker:
         # seeds repeat a parent once per selected child (a hot parent may hold
         # a third of all rows): dedupe with a map-side partial aggregate before
         # they become the build side of a semi join
-        ids = _union(seeds).select(F.col("id").alias("src_id")).distinct()
+        ids = _union(seeds).select("id").distinct()
         parents = []
         for e in self.d.edges_by_child(label):
-            hits = self.g.edges(e.edge_table).join(ids, "src_id", "left_semi")
+            hits = self.g.semi_edges(e.edge_table, "src", ids)
             self.rels.setdefault(label, []).append(hits.select(
                 F.col("src_id").alias("id"),
                 relation_struct(F.lit(e.dst_label), F.col("dst_id")).alias("rel")))
@@ -203,7 +235,7 @@ class _Walker:
         # parents' up visits read this state twice (their edges and their state)
         self._seal(label, reused=True if parents else None)
         # parents' seeds come back from the written state: edges are read once
-        state = self.walk.states[label]
+        state = self._state(label)
         for p in sorted(set(parents)):
             self.seeds.setdefault(p, []).append(
                 state.select(F.explode("relations").alias("r"))
@@ -213,11 +245,10 @@ class _Walker:
     def _visit_down(self, label: str) -> None:
         found = False
         for e in self.d.edges_by_child(label):
-            parent_state = self.walk.states.get(e.dst_label)
+            parent_state = self._state(e.dst_label)
             if parent_state is None:  # parent not selected (yet): nothing to follow
                 continue
-            parents = parent_state.select(F.col("id").alias("dst_id"))
-            hits = self.g.edges(e.edge_table).join(parents, "dst_id", "left_semi")
+            hits = self.g.semi_edges(e.edge_table, "dst", parent_state.select("id"))
             self.rels.setdefault(label, []).append(hits.select(
                 F.col("src_id").alias("id"),
                 relation_struct(F.lit(e.dst_label), F.col("dst_id")).alias("rel")))
@@ -226,12 +257,17 @@ class _Walker:
             self._seal(label)
 
     def run(self) -> Walk:
-        for i, step in enumerate(self.walk.plan):
-            self.pos = i
-            if step.way == UP:
-                self._visit_up(step.label)
-            else:
-                self._visit_down(step.label)
+        try:
+            for i, step in enumerate(self.walk.plan):
+                self.pos = i
+                if step.way == UP:
+                    self._visit_up(step.label)
+                else:
+                    self._visit_down(step.label)
+            for label in list(self.walk.states):
+                self._state(label)
+        finally:
+            self.m.close()
         return self.walk
 
 
@@ -239,18 +275,19 @@ def walk_graph(graph: Graph, cohort: DataFrame, root: str,
                extra: list[str] | None = None, include_upward: bool = False,
                materialize: str = "parquet",
                storage: StorageLevel = StorageLevel.MEMORY_AND_DISK,
-               lazy_leaves: bool = False) -> Walk:
+               lazy_leaves: bool = False, concurrent_writes: int = 4) -> Walk:
     """Walk the graph from a cohort of ``root`` ids.
 
     ``cohort`` is a DataFrame with an ``id`` column (any type; cast to string,
     a null id fails the job).  Each visit runs when its label is sealed
     (``materialize`` "parquet"/"checkpoint"); with "persist" nothing runs
-    until the caller's action.
+    until the caller's action.  ``concurrent_writes`` independent state
+    writes may run at once (parquet mode).
     """
     graph.dictionary.validate()
     graph.check_labels([root] + list(extra or []))
     plan = traversal_plan(graph.dictionary, root, extra, include_upward)
     if not plan or plan[0].label != root:
         raise GraphError("plan does not start at the root")
-    m = Materializer(graph.spark, materialize, storage)
+    m = Materializer(graph.spark, materialize, storage, concurrent_writes)
     return _Walker(graph, plan, checked_ids(cohort), root, m, lazy_leaves).run()

@@ -139,8 +139,8 @@ def container_frame(walk: Walk) -> DataFrame:
     g, d = walk.graph, walk.graph.dictionary
     frames = [_metadata_frame(g.spark, d)]
     for label in sorted(walk.states, key=lambda lbl: (walk.ranks[lbl], lbl)):
-        state = walk.states[label].withColumnRenamed("id", "node_id")
-        joined = g.nodes(label).join(state, "node_id", "inner")
+        state = walk.states[label].select(F.col("id").alias("node_id"), "relations")
+        joined = g.lookup_nodes(label, state)
         frames.append(joined.select(
             F.lit(walk.ranks[label]).alias("topo_rank"), F.col("node_id").alias("id"),
             F.lit(label).alias("name"),

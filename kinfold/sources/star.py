@@ -142,6 +142,50 @@ def _build_graph(spark: SparkSession, sf_dir: str, encode_enums: bool) -> Graph:
             json_cache[label] = F.to_json(typed_object(label))
         return json_cache[label]
 
+    def match_ids(label: str, df: DataFrame, selected: DataFrame, id_col: str,
+                  how: str) -> DataFrame:
+        """Join rows of ``label``'s table to ids on the typed key columns.
+
+        Ids are parsed on the (small) selected side instead of being built
+        for every table row; a line item's date part is checked after the
+        join, on matching rows only.
+        """
+        if label != "lineitem":
+            key = KEY_COLUMNS[label]
+            keyed = selected.withColumn("__k", F.col(id_col).cast(df.schema[key].dataType))
+            cond = df[key] == keyed["__k"]
+            if how == "left_semi":
+                return df.join(keyed.select("__k"), cond, "left_semi")
+            return df.join(keyed, cond, how).drop("__k")
+        parts = F.split(F.col(id_col), "-")
+        keyed = selected.select(
+            "*", parts[0].cast("bigint").alias("__ok"), parts[1].cast("int").alias("__ln"),
+            parts[2].cast("bigint").alias("__pk"), parts[3].cast("bigint").alias("__sk"),
+            parts[4].alias("__day"))
+        cond = ((df.l_orderkey == keyed.__ok) & (df.l_linenumber == keyed.__ln)
+                & (df.l_partkey == keyed.__pk) & (df.l_suppkey == keyed.__sk)
+                & (F.date_format(df.l_shipdate, "yyyyMMdd") == keyed.__day))
+        if how == "left_semi":
+            return df.join(keyed.select("__ok", "__ln", "__pk", "__sk", "__day"), cond,
+                           "left_semi")
+        return df.join(keyed, cond, how).drop("__ok", "__ln", "__pk", "__sk", "__day")
+
+    def lookup(label: str, selected: DataFrame) -> DataFrame:
+        df = read(spark, sf_dir, label)
+        return match_ids(label, df, selected, "node_id", "inner")
+
+    def edge_filter(edge_table: str, side: str, ids: DataFrame) -> DataFrame:
+        child, col = links[edge_table]
+        df = read(spark, sf_dir, child).where(F.col(col).isNotNull())
+        if side == "dst":
+            parent_type = df.schema[col].dataType
+            keys = ids.select(F.col("id").cast(parent_type).alias("__p"))
+            df = df.join(keys, df[col] == keys["__p"], "left_semi")
+        else:
+            df = match_ids(child, df, ids, "id", "left_semi")
+        return df.select(node_id(child).alias("src_id"),
+                         F.col(col).cast("string").alias("dst_id"))
+
     def edges(edge_table: str) -> DataFrame:
         child, col = links[edge_table]
         df = read(spark, sf_dir, child)
@@ -149,7 +193,7 @@ def _build_graph(spark: SparkSession, sf_dir: str, encode_enums: bool) -> Graph:
                   .select(node_id(child).alias("src_id"),
                           F.col(col).cast("string").alias("dst_id")))
 
-    return Graph(spark, d, nodes, edges, node_object, typed_object)
+    return Graph(spark, d, nodes, edges, node_object, typed_object, lookup, edge_filter)
 
 
 def cohort_index(spark: SparkSession, sf_dir: str) -> DataFrame:
