@@ -165,6 +165,15 @@ class Walk:
         """Drop cached frames (persist mode); written states stay readable."""
         self.materializer.release()
 
+    def cleanup(self) -> None:
+        """Delete the written states (parquet mode) once results are consumed."""
+        self.materializer.release()
+        folder = self.materializer.folder
+        if folder:
+            jvm = self.graph.spark._jvm
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(self.graph.spark._jsc.hadoopConfiguration()).delete(path, True)
+
 
 class _Walker:
     def __init__(self, graph: Graph, plan: list[Step], cohort: DataFrame,
