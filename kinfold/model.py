@@ -20,6 +20,7 @@ from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -197,8 +198,6 @@ class Graph:
     def node_object(self, label: str) -> Column:
         """JSON object of a node row of ``label`` (defaults to column ``object``)."""
         if self.object_builder is None:
-            from pyspark.sql import functions as F
-
             return F.col("object")
         return self.object_builder(label)
 
@@ -209,8 +208,6 @@ class Graph:
         """
         if self.typed_builder is not None:
             return self.typed_builder(label)
-        from pyspark.sql import functions as F
-
         from kinfold.functions.enums import encode_enum
 
         parsed = F.from_json(self.node_object(label), self.dictionary.spark_schema(label))
@@ -235,19 +232,13 @@ class Graph:
         if self.edge_filter is not None:
             return self.edge_filter(edge_table, side, ids)
         key = f"{side}_id"
-        return self.edges(edge_table).join(ids.select(F_col_alias(key)), key, "left_semi")
+        return self.edges(edge_table).join(ids.select(F.col("id").alias(key)), key, "left_semi")
 
     def check_labels(self, labels: Iterable[str]) -> None:
         for lbl in labels:
             self.dictionary.node_table(lbl)
 
 
-def F_col_alias(name: str) -> Column:
-    from pyspark.sql import functions as F
-
-    return F.col("id").alias(name)
-
-
 def tables_graph(spark: SparkSession, dictionary: Dictionary,
                  read_table: Callable[[str], DataFrame]) -> Graph:
     """Graph over tables in the stored layout.
@@ -257,7 +248,6 @@ def tables_graph(spark: SparkSession, dictionary: Dictionary,
     (``spark.table``, a Parquet path, a JDBC reader); only the needed columns
     are selected so that pruning reaches the source.
     """
-    from pyspark.sql import functions as F
 
     def nodes(label: str) -> DataFrame:
         df = read_table(dictionary.node_table(label))
@@ -298,8 +288,6 @@ def load_dictionary(spark: SparkSession, path: str) -> Dictionary:
     metadata with one row per type, edge type and field, which the planner
     needs as plain values.  The dictionary is validated before it is returned.
     """
-    from pyspark.sql import functions as F
-
     nt = spark.read.schema(NODE_TYPES_SCHEMA).json(f"{path}/node_types").collect()
     et = spark.read.schema(EDGE_TYPES_SCHEMA).json(f"{path}/edge_types").collect()
     pr = (spark.read.schema("pos int, label string, field string, type string, "

@@ -176,8 +176,3 @@ def validate_records(records: DataFrame, d: Dictionary) -> None:
     if bad_e:
         pairs = [(r["name"], r["dst_name"]) for r in bad_e]
         raise GraphError(f"records hold relations without an edge table: {pairs}")
-
-
-def restored_graph_tables(restored: Restored) -> tuple[DataFrame, DataFrame]:
-    """Node and edge rows in the stored layout, for :func:`kinfold.model.tables_graph`."""
-    return restored.nodes, restored.edges

@@ -255,3 +255,16 @@ def test_hot_parent_walks_whole_group(spark):
                       materialize="persist").states["project"]
     text = plan._jdf.queryExecution().optimizedPlan().toString()
     assert "Aggregate" in text  # parent seeds deduplicated before the semi join
+
+
+def test_cleanup_removes_written_states(spark):
+    import os
+
+    g = make_graph(spark, M1_NODES, M1_LINKS)
+    w = walk_graph(g, cohort(spark, ["S1"]), "subject", include_upward=True)
+    assert records_of(walk_records(w))
+    folder = w.folder
+    local = folder.replace("file:", "")
+    assert os.path.isdir(local)
+    w.cleanup()
+    assert not os.path.exists(local)
