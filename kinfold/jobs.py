@@ -23,7 +23,8 @@ from kinfold.operators.cohort import cohort_authz, select_cohort
 from kinfold.operators.records import walk_records
 from kinfold.operators.restore import Restored, restore_records, validate_records
 from kinfold.operators.traverse import walk_graph
-from kinfold.sources.container import read_container, write_container
+from kinfold.sources.container import (container_schema, props_from_schema, read_container,
+                                       write_container)
 from kinfold.sources.manifest import EXPIRY_DAYS, artifact_manifest
 from kinfold.sources.sinks import write_records, write_restored_files, write_restored_jdbc
 
@@ -99,6 +100,20 @@ def export_job(graph: Graph, index: DataFrame, request: ExportRequest, base_path
                         cohort_authz(index, request.filter, grants))
 
 
+def with_container_props(d: Dictionary, schema: dict) -> Dictionary:
+    """Fill in field types and enum flags from a container header.
+
+    Types the dictionary already describes keep their own fields; the
+    container's writer schema covers the rest, so its enum fields are decoded.
+    """
+    described = {p.label for p in d.props}
+    extra = [p for p in props_from_schema(schema)
+             if p.label not in described and p.label in d.node_tables]
+    if not extra:
+        return d
+    return Dictionary(dict(d.node_tables), list(d.edge_types), list(d.props) + extra)
+
+
 def read_export(spark: SparkSession, path: str, fmt: str = "avro") -> DataFrame:
     if fmt == "avro":
         return read_container(spark, path)
@@ -115,6 +130,8 @@ def import_job(spark: SparkSession, path: str, d: Dictionary, target: str | None
     """
     t0 = time.time()
     records = read_export(spark, path, fmt)
+    if fmt == "avro":
+        d = with_container_props(d, container_schema(spark, path))
     validate_records(records, d)
     restored = restore_records(records, d)
     if target:

@@ -257,3 +257,45 @@ def schema_fields(schema: dict) -> list[tuple[str, str, str, bool]]:
 def container_schema_fields(spark: SparkSession, path: str) -> DataFrame:
     rows = schema_fields(container_schema(spark, path))
     return spark.createDataFrame(rows, "name string, field string, type string, is_enum boolean")
+
+
+_SPARK_OF_AVRO = {"string": "string", "long": "bigint", "int": "int", "double": "double",
+                  "float": "float", "boolean": "boolean", "bytes": "binary"}
+_SPARK_OF_LOGICAL = {"timestamp-micros": "timestamp", "timestamp-millis": "timestamp",
+                     "local-timestamp-micros": "timestamp_ntz",
+                     "local-timestamp-millis": "timestamp_ntz", "date": "date"}
+
+
+def _spark_type(t) -> tuple[str, bool, tuple[str, ...]]:
+    """(Spark type, is_enum, symbols) of an Avro field type."""
+    if isinstance(t, list):
+        inner = [x for x in t if x != "null"]
+        return _spark_type(inner[0]) if len(inner) == 1 else ("string", False, ())
+    if isinstance(t, dict):
+        if t.get("type") == "enum":
+            return "string", True, tuple(t.get("symbols", ()))
+        if t.get("logicalType") in _SPARK_OF_LOGICAL:
+            return _SPARK_OF_LOGICAL[t["logicalType"]], False, ()
+        if t.get("type") == "array":
+            item, _, _ = _spark_type(t.get("items", "string"))
+            return f"array<{item}>", False, ()
+        return _spark_type(t.get("type", "string"))
+    return _SPARK_OF_AVRO.get(str(t), "string"), False, ()
+
+
+def props_from_schema(schema: dict) -> list[PropField]:
+    """Typed fields and enum flags of every entity branch.
+
+    Enum symbols are kept as written (encoded); decoding needs the flag only.
+    """
+    out = []
+    for f in schema["fields"]:
+        if f["name"] != "object":
+            continue
+        for branch in f["type"]:
+            if branch.get("name") == METADATA:
+                continue
+            for fld in branch["fields"]:
+                typ, is_enum, symbols = _spark_type(fld["type"])
+                out.append(PropField(branch["name"], fld["name"], typ, is_enum, symbols))
+    return out

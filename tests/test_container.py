@@ -89,3 +89,22 @@ def test_restore_stream(spark):
     edges = spark.read.parquet(f"{dst}/edges")
     assert sorted((r["edge_table"], r["src_id"], r["dst_id"]) for r in edges.collect()) == [
         ("case_study", "C1", "T1"), ("case_study", "C2", "T1")]
+
+
+def test_import_decodes_with_container_schema(spark):
+    from kinfold import jobs
+    from kinfold.model import Dictionary
+
+    w = _walk(spark)
+    path = scratch_dir(spark, f"test-container-s5-{uuid.uuid4().hex[:6]}")
+    schema = ct.write_container(w, path)
+    props = {(p.label, p.field): p for p in ct.props_from_schema(schema)}
+    assert props[("case", "vital")].is_enum and props[("case", "age")].type == "bigint"
+    # a target dictionary without field descriptions: enum flags come from the header
+    bare = Dictionary(dict(w.graph.dictionary.node_tables), list(w.graph.dictionary.edge_types))
+    target = scratch_dir(spark, f"test-container-s5-out-{uuid.uuid4().hex[:6]}")
+    jobs.import_job(spark, path, bare, target=target)
+    got = {r["node_id"]: json.loads(r["_props"])
+           for r in spark.read.parquet(f"{target}/nodes").collect()}
+    assert got["C1"] == {"age": 30, "vital": "alive > 1y"}
+    assert got["T1"]["phase"] == "phase 1"
