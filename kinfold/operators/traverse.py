@@ -64,7 +64,14 @@ def sorted_relations(col: Column) -> Column:
 
 
 def checked_ids(ids: DataFrame, column: str = "id") -> DataFrame:
-    """Cast ids to string and fail the job on a null id (fix of silent loss)."""
+    """Cast ids to string and fail the job on a null id (fix of silent loss).
+
+    A one-column frame may name its column freely.
+    """
+    if column not in ids.columns:
+        if len(ids.columns) != 1:
+            raise GraphError(f"cohort needs an {column!r} column, got {ids.columns}")
+        column = ids.columns[0]
     c = F.col(column).cast("string")
     return ids.select(
         F.when(c.isNull(), F.raise_error(F.lit("null id in cohort"))).otherwise(c).alias("id"))

@@ -45,3 +45,29 @@ def test_export_then_import(spark):
     seg = nodes.where(F.col("node_table") == "node_customer").select(
         F.get_json_object("_props", "$.c_mktsegment").alias("s")).distinct().collect()
     assert {r["s"] for r in seg} <= set(star.ENUM_SYMBOLS["c_mktsegment"])
+
+
+def test_star_export_properties(spark):
+    """Relations point at exported records of a lower rank (no dangling edges here)."""
+    from kinfold import registry
+
+    recs = registry.flagship_records(spark, "/root/testdata/sf0.01")
+    rows = recs.select("topo_rank", "name", "id", "relations").collect()
+    rank = {(r["name"], r["id"]): r["topo_rank"] for r in rows}
+    n_rel = 0
+    for r in rows:
+        for rel in r["relations"]:
+            n_rel += 1
+            assert (rel["dst_name"], rel["dst_id"]) in rank
+            assert rank[(rel["dst_name"], rel["dst_id"])] < r["topo_rank"]
+    assert n_rel > 0
+
+
+def test_cohort_column_name_is_free(spark):
+    from kinfold.operators.records import walk_records
+    from kinfold.operators.traverse import walk_graph
+
+    g = star.star_graph(spark, SF)
+    c = spark.read.parquet(f"{SF}/customer.parquet").where("c_nationkey = 7").select("c_custkey")
+    recs = walk_records(walk_graph(g, c, "customer", include_upward=True))
+    assert recs.where("name = 'customer'").count() == c.count()
