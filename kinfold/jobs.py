@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from kinfold.model import Dictionary, Graph
 from kinfold.operators.cohort import cohort_authz, select_cohort
 from kinfold.operators.records import walk_records
-from kinfold.operators.restore import Restored, restore_records, validate_records
+from kinfold.operators.restore import (Restored, restore_records, validate_records,
+                                       without_existing)
 from kinfold.operators.traverse import walk_graph
 from kinfold.sources.container import (container_schema, props_from_schema, read_container,
                                        write_container)
@@ -120,13 +121,23 @@ def read_export(spark: SparkSession, path: str, fmt: str = "avro") -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _existing(spark: SparkSession, path: str) -> DataFrame | None:
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
+        return None
+    return spark.read.parquet(path)
+
+
 def import_job(spark: SparkSession, path: str, d: Dictionary, target: str | None = None,
                jdbc_url: str | None = None, jdbc_properties: dict[str, str] | None = None,
-               fmt: str = "avro") -> Restored:
+               fmt: str = "avro", skip_existing: bool = False) -> Restored:
     """Read an export, check it against the dictionary, append the tables.
 
     Checks run before any write.  ``target`` writes Parquet tables
-    partitioned by table name; ``jdbc_url`` appends over JDBC.
+    partitioned by table name; ``jdbc_url`` appends over JDBC.  Appending is
+    the default; ``skip_existing`` drops rows whose keys the Parquet target
+    already holds.
     """
     t0 = time.time()
     records = read_export(spark, path, fmt)
@@ -134,6 +145,9 @@ def import_job(spark: SparkSession, path: str, d: Dictionary, target: str | None
         d = with_container_props(d, container_schema(spark, path))
     validate_records(records, d)
     restored = restore_records(records, d)
+    if skip_existing and target:
+        restored = without_existing(restored, _existing(spark, f"{target}/nodes"),
+                                    _existing(spark, f"{target}/edges"))
     if target:
         write_restored_files(restored, target)
     if jdbc_url:

@@ -176,3 +176,20 @@ def validate_records(records: DataFrame, d: Dictionary) -> None:
     if bad_e:
         pairs = [(r["name"], r["dst_name"]) for r in bad_e]
         raise GraphError(f"records hold relations without an edge table: {pairs}")
+
+
+def without_existing(restored: Restored, existing_nodes: DataFrame | None = None,
+                     existing_edges: DataFrame | None = None) -> Restored:
+    """Drop rows already present in the target (re-import without duplicates).
+
+    Left-anti joins on ``(node_table, node_id)`` and ``(edge_table, src_id,
+    dst_id)``; Spark picks broadcast or shuffle from the sizes.
+    """
+    nodes, edges = restored.nodes, restored.edges
+    if existing_nodes is not None:
+        nodes = nodes.join(existing_nodes.select("node_table", "node_id"),
+                           ["node_table", "node_id"], "left_anti")
+    if existing_edges is not None:
+        edges = edges.join(existing_edges.select("edge_table", "src_id", "dst_id"),
+                           ["edge_table", "src_id", "dst_id"], "left_anti")
+    return Restored(nodes, edges)

@@ -108,3 +108,19 @@ def test_import_decodes_with_container_schema(spark):
            for r in spark.read.parquet(f"{target}/nodes").collect()}
     assert got["C1"] == {"age": 30, "vital": "alive > 1y"}
     assert got["T1"]["phase"] == "phase 1"
+
+
+def test_reimport_skips_existing_rows(spark):
+    from kinfold import jobs
+
+    w = _walk(spark)
+    path = scratch_dir(spark, f"test-reimport-{uuid.uuid4().hex[:6]}")
+    ct.write_container(w, path)
+    target = scratch_dir(spark, f"test-reimport-out-{uuid.uuid4().hex[:6]}")
+    d = w.graph.dictionary
+    jobs.import_job(spark, path, d, target=target)
+    jobs.import_job(spark, path, d, target=target, skip_existing=True)
+    assert spark.read.parquet(f"{target}/nodes").count() == 3
+    assert spark.read.parquet(f"{target}/edges").count() == 2
+    jobs.import_job(spark, path, d, target=target)  # plain append duplicates, as before
+    assert spark.read.parquet(f"{target}/nodes").count() == 6
