@@ -35,7 +35,7 @@ from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -110,7 +110,9 @@ class Materializer:
         if self.mode == "parquet":
             path = f"{self.folder}/{self.n:03d}-{name}"
             if self.pool is not None:
-                return self.pool.submit(self._write_read, df, path)
+                # carry the caller's job group / pool into the writing thread
+                target = inheritable_thread_target(self.spark)(self._write_read)
+                return self.pool.submit(target, df, path)
             return self._write_read(df, path)
         if self.mode == "checkpoint":
             return df.checkpoint(eager=True)
