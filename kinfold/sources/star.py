@@ -139,7 +139,8 @@ def _build_graph(spark: SparkSession, sf_dir: str, encode_enums: bool) -> Graph:
 
     def node_object(label: str) -> Column:
         if label not in json_cache:
-            json_cache[label] = F.to_json(typed_object(label))
+            # every field, nulls included, like a record read from a container
+            json_cache[label] = F.to_json(typed_object(label), {"ignoreNullFields": "false"})
         return json_cache[label]
 
     def match_ids(label: str, df: DataFrame, selected: DataFrame, id_col: str,
