@@ -337,6 +337,15 @@ def q_container_scan(spark, sf_dir):
     return recs.select("name", "id", relations_text("relations").alias("relations"))
 
 
+def q_container_import_nodes(spark, sf_dir):
+    """S3 -> B2: restore from the written container; node rows by target table."""
+    d = star.star_dictionary(spark, sf_dir)
+    recs = ct.read_container(spark, _written_container(spark, sf_dir))
+    r = rs.restore_records(recs, d)
+    return r.nodes.select("node_table", "node_id",
+                          F.size(F.json_object_keys("_props")).alias("n_props"))
+
+
 def q_artifact_manifest(spark, sf_dir):
     """Manifest of the written export parts (rows only: paths vary)."""
     path = scratch_dir(spark, "export")
@@ -668,6 +677,7 @@ _QUERIES: dict[str, tuple[Query, str | None]] = {
     "roundtrip_edges": (q_roundtrip_edges, ORACLE_EXPORT_RECORDS),
     "container_scan": (q_container_scan, ORACLE_CONTAINER_SCAN),
     "container_schema_fields": (q_container_schema_fields, ORACLE_CONTAINER_SCHEMA_FIELDS),
+    "container_import_nodes": (q_container_import_nodes, ORACLE_IMPORT_NODES),
     "artifact_manifest": (q_artifact_manifest, None),
     "props_extract": (q_props_extract, ORACLE_PROPS_EXTRACT),
     "encode_enum": (q_encode_enum, ORACLE_ENCODE_ENUM),
