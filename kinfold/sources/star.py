@@ -63,11 +63,18 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
+def day_key(c: Column) -> Column:
+    """``yyyyMMdd`` digits of a timestamp without a session-time-zone round trip."""
+    d = F.to_date(c)
+    return F.lpad((F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).cast("string"),
+                  8, "0")
+
+
 def node_id(label: str) -> Column:
     """String id of a row; a line item needs five parts to be unique."""
     if label == "lineitem":
         return F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                           F.date_format("l_shipdate", "yyyyMMdd"))
+                           day_key(F.col("l_shipdate")))
     return F.col(KEY_COLUMNS[label]).cast("string")
 
 
@@ -165,7 +172,7 @@ def _build_graph(spark: SparkSession, sf_dir: str, encode_enums: bool) -> Graph:
             parts[4].alias("__day"))
         cond = ((df.l_orderkey == keyed.__ok) & (df.l_linenumber == keyed.__ln)
                 & (df.l_partkey == keyed.__pk) & (df.l_suppkey == keyed.__sk)
-                & (F.date_format(df.l_shipdate, "yyyyMMdd") == keyed.__day))
+                & (day_key(df.l_shipdate) == keyed.__day))
         if how == "left_semi":
             return df.join(keyed.select("__ok", "__ln", "__pk", "__sk", "__day"), cond,
                            "left_semi")
