@@ -194,11 +194,7 @@ def read_container(spark: SparkSession, path: str) -> DataFrame:
     The branch that is set is the entity's own type; its struct is turned
     back into JSON text so the import path is shared with Parquet records.
     """
-    raw = read_container_raw(spark, path)
-    members = [f.name for f in raw.schema["object"].dataType.fields if f.name != "member0"]
-    obj = F.coalesce(*[F.to_json(F.col(f"object.{m}"), {"ignoreNullFields": "false"})
-                       for m in members]) if members else F.lit(None).cast("string")
-    return raw.select("name", "id", obj.alias("object"), "relations")
+    return container_records(read_container_raw(spark, path))
 
 
 def container_schema(spark: SparkSession, path: str) -> dict:
@@ -299,3 +295,22 @@ def props_from_schema(schema: dict) -> list[PropField]:
                 typ, is_enum, symbols = _spark_type(fld["type"])
                 out.append(PropField(branch["name"], fld["name"], typ, is_enum, symbols))
     return out
+
+
+def container_read_schema(spark: SparkSession, d: Dictionary) -> T.StructType:
+    """Spark schema of a container written for ``d`` (for streaming reads).
+
+    Converted by Spark's own Avro schema converter, so no sample file is needed.
+    """
+    jvm = spark._jvm
+    avro = jvm.org.apache.avro.Schema.Parser().parse(json.dumps(entity_schema(d)))
+    sql_type = jvm.org.apache.spark.sql.avro.SchemaConverters.toSqlType(avro)
+    return T.StructType.fromJson(json.loads(sql_type.dataType().json()))
+
+
+def container_records(raw: DataFrame) -> DataFrame:
+    """Raw container rows -> records ``(name, id, object JSON, relations)``."""
+    members = [f.name for f in raw.schema["object"].dataType.fields if f.name != "member0"]
+    obj = F.coalesce(*[F.to_json(F.col(f"object.{m}"), {"ignoreNullFields": "false"})
+                       for m in members]) if members else F.lit(None).cast("string")
+    return raw.select("name", "id", obj.alias("object"), "relations")

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from kinfold.model import Dictionary
 from kinfold.operators.restore import restore_records
 from kinfold.session import scratch_dir
+from kinfold.sources.container import AVRO_FORMAT, container_read_schema, container_records
 
 RECORD_SCHEMA = T.StructType([
     T.StructField("topo_rank", T.IntegerType()),
@@ -30,16 +31,25 @@ RECORD_SCHEMA = T.StructType([
 
 def restore_stream(spark: SparkSession, source: str, target: str, d: Dictionary,
                    checkpoint: str | None = None, trigger_available_now: bool = True,
-                   max_files_per_trigger: int | None = None):
+                   max_files_per_trigger: int | None = None, fmt: str = "parquet"):
     """Start a stream restoring record files under ``source`` into ``target``.
 
-    ``target/nodes/node_table=…`` and ``target/edges/edge_table=…`` receive
-    appends.  Returns the ``StreamingQuery``.
+    ``fmt`` is "parquet" (record files) or "avro" (entity containers written
+    for dictionary ``d``).  ``target/nodes/node_table=…`` and
+    ``target/edges/edge_table=…`` receive appends.  Returns the
+    ``StreamingQuery``.
     """
-    reader = spark.readStream.schema(RECORD_SCHEMA).option("recursiveFileLookup", "true")
+    schema = RECORD_SCHEMA if fmt == "parquet" else container_read_schema(spark, d)
+    reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    records = reader.parquet(source)
+    if fmt == "parquet":
+        records = reader.parquet(source)
+    elif fmt == "avro":
+        records = container_records(reader.format(AVRO_FORMAT)
+                                    .option("pathGlobFilter", "*.avro").load(source))
+    else:
+        raise ValueError(f"unknown record format {fmt!r}")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         r = restore_records(batch, d)

@@ -124,3 +124,18 @@ def test_reimport_skips_existing_rows(spark):
     assert spark.read.parquet(f"{target}/edges").count() == 2
     jobs.import_job(spark, path, d, target=target)  # plain append duplicates, as before
     assert spark.read.parquet(f"{target}/nodes").count() == 6
+
+
+def test_restore_stream_from_containers(spark):
+    from kinfold.streaming.restore_stream import restore_stream
+
+    w = _walk(spark)
+    src = scratch_dir(spark, f"test-stream-avro-{uuid.uuid4().hex[:6]}")
+    dst = scratch_dir(spark, f"test-stream-avro-out-{uuid.uuid4().hex[:6]}")
+    ct.write_container(w, f"{src}/export-1")
+    q = restore_stream(spark, src, dst, w.graph.dictionary, fmt="avro")
+    q.awaitTermination(120)
+    nodes = {r["node_id"]: json.loads(r["_props"]) for r in
+             spark.read.parquet(f"{dst}/nodes").collect()}
+    assert nodes["C1"] == {"age": 30, "vital": "alive > 1y"}
+    assert sorted(nodes) == ["C1", "C2", "T1"]

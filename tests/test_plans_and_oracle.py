@@ -94,3 +94,16 @@ def test_keyed_scan_literal_ids_push_in_filter(spark):
     assert keyed_scan(orders, [], "o_orderkey").count() == 0
     ids = spark.createDataFrame([("1",), ("2",)], "id string")
     assert keyed_scan(orders, ids, "o_orderkey").count() == df.where("o_orderkey <= 2").count()
+
+
+def test_flagship_independent_of_session_time_zone(spark, duck):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        df = registry.q_export_records(spark, SF)
+        got = sorted(tuple(r) for r in df.select("topo_rank", "name", "id", "relations").collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    want = sorted(duck.execute(
+        f"select topo_rank, name, id, relations from ({registry.ORACLE_EXPORT_RECORDS})").fetchall())
+    assert got == want
