@@ -200,3 +200,13 @@ def test_dictionary_save_and_load(spark):
     assert sorted(back.edge_types, key=lambda e: e.edge_table) == sorted(
         d.edge_types, key=lambda e: e.edge_table)
     assert back.props == d.props
+
+
+def test_jdbc_predicates_cover_all_buckets():
+    from kinfold.sources.jdbc import hash_predicates, postgres_properties
+
+    preds = hash_predicates("node_id", 4, hash_expr="hashtext(node_id)")
+    assert preds == [f"ABS(MOD(hashtext(node_id), 4)) = {i}" for i in range(4)]
+    assert hash_predicates("id", 2) == ["ABS(MOD(id, 2)) = 0", "ABS(MOD(id, 2)) = 1"]
+    props = postgres_properties("u", "p")
+    assert props["stringtype"] == "unspecified" and props["driver"] == "org.postgresql.Driver"
