@@ -304,3 +304,8 @@ def load_dictionary(spark: SparkSession, path: str) -> Dictionary:
                          tuple(r["symbols"])) for r in pr])
     d.validate()
     return d
+
+
+def catalog_graph(spark: SparkSession, dictionary: Dictionary, database: str) -> Graph:
+    """Graph over catalog tables in the stored layout (e.g. bucketed restores)."""
+    return tables_graph(spark, dictionary, lambda name: spark.table(f"{database}.{name}"))

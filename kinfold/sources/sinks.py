@@ -53,3 +53,30 @@ def write_restored_jdbc(restored: Restored, url: str, properties: dict[str, str]
     finally:
         nodes.unpersist()
         edges.unpersist()
+
+
+def write_restored_tables(restored: Restored, node_tables: list[str], edge_tables: list[str],
+                          database: str, location: str, buckets: int,
+                          mode: str = "append") -> None:
+    """Restore into catalog tables bucketed on their join keys (K1/K2 at scale).
+
+    Node tables are bucketed and sorted by ``node_id``, edge tables by
+    ``dst_id`` (the key of down visits, where the large tables are).  Later
+    walks and node joins over these tables then shuffle only the frontier
+    side; the big side is read bucket by bucket without an exchange.  Data
+    files live under ``location`` (shared storage), one folder per table.
+    """
+    nodes = restored.nodes.persist(StorageLevel.MEMORY_AND_DISK)
+    edges = restored.edges.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        for t in node_tables:
+            (nodes.where(F.col("node_table") == t).select(*NODE_COLUMNS).write.mode(mode)
+             .bucketBy(buckets, "node_id").sortBy("node_id")
+             .option("path", f"{location}/{t}").saveAsTable(f"{database}.{t}"))
+        for t in edge_tables:
+            (edges.where(F.col("edge_table") == t).select(*EDGE_COLUMNS).write.mode(mode)
+             .bucketBy(buckets, "dst_id").sortBy("dst_id")
+             .option("path", f"{location}/{t}").saveAsTable(f"{database}.{t}"))
+    finally:
+        nodes.unpersist()
+        edges.unpersist()

@@ -139,3 +139,34 @@ def test_restore_stream_from_containers(spark):
              spark.read.parquet(f"{dst}/nodes").collect()}
     assert nodes["C1"] == {"age": 30, "vital": "alive > 1y"}
     assert sorted(nodes) == ["C1", "C2", "T1"]
+
+
+def test_bucketed_restore_and_walk_back(spark):
+    from kinfold.model import catalog_graph
+    from kinfold.sources.sinks import write_restored_tables
+
+    w = _walk(spark)
+    d = w.graph.dictionary
+    db = f"kf_{uuid.uuid4().hex[:8]}"
+    loc = scratch_dir(spark, db)
+    spark.sql(f"create database {db} location '{loc}/db'")
+    r = rs.restore_records(walk_records(w), d)
+    write_restored_tables(r, sorted(d.node_tables.values()),
+                          [e.edge_table for e in d.edge_types], db, loc, buckets=4)
+    g2 = catalog_graph(spark, d, db)
+    c = spark.createDataFrame([("C1",), ("C2",)], "id string")
+    again = walk_records(walk_graph(g2, c, "case", include_upward=True))
+    key = lambda df: sorted((x["topo_rank"], x["name"], x["id"],
+                             tuple((y["dst_id"], y["dst_name"]) for y in x["relations"]))
+                            for x in df.collect())
+    assert key(again) == key(walk_records(w))
+    # with a frontier too large to broadcast, the bucketed side is read without an exchange
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sel = c.select(c.id.alias("node_id")).distinct()
+        plan = g2.nodes("case").join(sel, "node_id")._jdf.queryExecution().executedPlan()
+        text = plan.toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "Bucketed: true" in text
