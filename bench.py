@@ -4,7 +4,7 @@ Environment: ``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS``
 (default 8), ``BENCH_QUERIES`` (comma list, default the headline set; ``all``
 for every registered query).  Each query runs to completion into the
 ``noop`` sink (the whole plan executes, no rows go to the driver); the
-session is warmed by two untimed runs of the flagship at the same scale, and
+session is warmed by three untimed runs of the flagship at the same scale, and
 the flagship (the headline value) is the median of three timed runs.
 """
 
@@ -35,7 +35,7 @@ def main() -> None:
     names = list(qs) if wanted == "all" else (wanted.split(",") if wanted else HEADLINE)
     spark = local_session(cpus, shuffle_partitions=int(cpus))
     # warm-up, untimed: JVM class loading and JIT, codegen caches, table schemas
-    for _ in range(2):
+    for _ in range(3):
         qs["export_records"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     times: dict[str, float] = {}
     flagship_runs: list[float] = []
