@@ -56,6 +56,18 @@ def decode_enum(c: Column | str) -> Column:
     return F.when(e.isNull() | ~e.rlike(SPLIT_RE), e).otherwise(F.array_join(joined, ""))
 
 
+def encode_value(c: Column | str, is_array: bool = False) -> Column:
+    """Encode a field holding one enum value or an array of them."""
+    c = _col(c)
+    return F.transform(c, encode_enum) if is_array else encode_enum(c)
+
+
+def decode_value(c: Column | str, is_array: bool = False) -> Column:
+    """Decode a field holding one enum symbol or an array of them."""
+    c = _col(c)
+    return F.transform(c, decode_enum) if is_array else decode_enum(c)
+
+
 def encode_symbol_sql(v: str) -> str:
     """DuckDB SQL of :func:`encode_enum` for the oracle."""
     return (f"case when {v} is null then null else array_to_string(list_transform("

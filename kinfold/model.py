@@ -43,6 +43,14 @@ class PropField:
     is_enum: bool = False
     symbols: tuple[str, ...] = ()  # enum values (plain text), for container schemas
 
+    @property
+    def is_array(self) -> bool:
+        return self.type.lower().startswith("array<")
+
+    def enum_type(self) -> T.DataType:
+        """Type of the field when it holds enum text: string or array<string>."""
+        return T.ArrayType(T.StringType()) if self.is_array else T.StringType()
+
 
 NODE_TYPES_SCHEMA = T.StructType([
     T.StructField("label", T.StringType(), False),
@@ -118,7 +126,7 @@ class Dictionary:
     def spark_schema(self, label: str) -> T.StructType:
         """Typed schema of a label's object; enum fields are strings."""
         return T.StructType([
-            T.StructField(p.field, T.StringType() if p.is_enum
+            T.StructField(p.field, p.enum_type() if p.is_enum
                           else T._parse_datatype_string(p.type), True)
             for p in self.fields(label)])
 
@@ -208,11 +216,10 @@ class Graph:
         """
         if self.typed_builder is not None:
             return self.typed_builder(label)
-        from kinfold.functions.enums import encode_enum
+        from kinfold.functions.enums import encode_value
 
         parsed = F.from_json(self.node_object(label), self.dictionary.spark_schema(label))
-        enums = set(self.dictionary.enum_fields(label))
-        return F.struct(*[(encode_enum(parsed[p.field]) if p.field in enums
+        return F.struct(*[(encode_value(parsed[p.field], p.is_array) if p.is_enum
                            else parsed[p.field]).alias(p.field)
                           for p in self.dictionary.fields(label)])
 

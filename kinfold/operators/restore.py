@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kinfold.functions.enums import decode_enum
+from kinfold.functions.enums import decode_value
 from kinfold.model import Dictionary, GraphError
 
 METADATA = "Metadata"
@@ -87,9 +87,7 @@ def unknown_edges(records: DataFrame, d: Dictionary) -> DataFrame:
 def _props_schema(d: Dictionary, label: str) -> T.StructType:
     fields = []
     for p in d.fields(label):
-        dt = T._parse_datatype_string(p.type)
-        if p.is_enum:
-            dt = T.StringType()
+        dt = p.enum_type() if p.is_enum else T._parse_datatype_string(p.type)
         fields.append(T.StructField(p.field, dt, True))
     return T.StructType(fields)
 
@@ -119,10 +117,11 @@ def decoded_props(d: Dictionary, name: Column, obj: Column) -> Column:
     """
     out: Column | None = None
     for i, label in enumerate(_enum_labels(d)):
-        enums = set(d.enum_fields(label))
+        props = {p.field: p for p in d.fields(label)}
         parsed = F.col(f"__parsed_{i}")
-        fields = [(decode_enum(parsed[f.name]) if f.name in enums else parsed[f.name])
-                  .alias(f.name) for f in _props_schema(d, label).fields]
+        fields = [(decode_value(parsed[f.name], props[f.name].is_array)
+                   if props[f.name].is_enum else parsed[f.name]).alias(f.name)
+                  for f in _props_schema(d, label).fields]
         js = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
         out = (F.when(name == label, js) if out is None
                else out.when(name == label, js))

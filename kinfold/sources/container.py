@@ -40,8 +40,9 @@ _PRIMITIVES = {
 
 def _avro_field_type(label: str, p: PropField):
     if p.is_enum:
-        return ["null", {"type": "enum", "name": f"{label}_{p.field}",
-                         "symbols": [encode_symbol(s) for s in p.symbols]}]
+        enum = {"type": "enum", "name": f"{label}_{p.field}",
+                "symbols": [encode_symbol(s) for s in p.symbols]}
+        return ["null", {"type": "array", "items": enum}] if p.is_array else ["null", enum]
     t = p.type.lower()
     if t in _PRIMITIVES:
         return ["null", _PRIMITIVES[t]]
@@ -220,6 +221,8 @@ def container_schema(spark: SparkSession, path: str) -> dict:
 
 def _is_enum(t) -> bool:
     if isinstance(t, dict):
+        if t.get("type") == "array":
+            return _is_enum(t.get("items"))
         return t.get("type") == "enum"
     if isinstance(t, list):
         return any(_is_enum(x) for x in t)
@@ -273,8 +276,8 @@ def _spark_type(t) -> tuple[str, bool, tuple[str, ...]]:
         if t.get("logicalType") in _SPARK_OF_LOGICAL:
             return _SPARK_OF_LOGICAL[t["logicalType"]], False, ()
         if t.get("type") == "array":
-            item, _, _ = _spark_type(t.get("items", "string"))
-            return f"array<{item}>", False, ()
+            item, is_enum, symbols = _spark_type(t.get("items", "string"))
+            return f"array<{item}>", is_enum, symbols
         return _spark_type(t.get("type", "string"))
     return _SPARK_OF_AVRO.get(str(t), "string"), False, ()
 

@@ -170,3 +170,24 @@ def test_bucketed_restore_and_walk_back(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "Bucketed: true" in text
+
+
+def test_enum_arrays_round_trip(spark):
+    nodes = {"study": [("T1", {"tags": ["a b", "c"], "one": "x-y"}), ("T2", {"tags": None, "one": None})]}
+    props = [PropField("study", "tags", "array<string>", True, ("a b", "c")),
+             PropField("study", "one", "string", True, ("x-y",))]
+    g = make_graph(spark, nodes, [], props)
+    c = spark.createDataFrame([("T1",), ("T2",)], "id string")
+    w = walk_graph(g, c, "study", include_upward=True)
+    path = scratch_dir(spark, f"test-enum-arrays-{uuid.uuid4().hex[:6]}")
+    ct.write_container(w, path)
+    recs = ct.read_container(spark, path)
+    raw = {r["id"]: json.loads(r["object"]) for r in rs.data_records(recs).collect()}
+    assert raw["T1"] == {"tags": ["a_20_b", "c"], "one": "x_2d_y"}
+    back = {r["node_id"]: json.loads(r["_props"])
+            for r in rs.restore_records(recs, g.dictionary).nodes.collect()}
+    assert back["T1"] == {"tags": ["a b", "c"], "one": "x-y"}
+    assert back["T2"] == {"tags": None, "one": None}
+    fields = {(r["name"], r["field"]): r["is_enum"]
+              for r in ct.container_schema_fields(spark, path).collect()}
+    assert fields[("study", "tags")] is True
