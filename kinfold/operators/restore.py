@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kinfold.functions.enums import decode_value
+from kinfold.functions.props import malformed
 from kinfold.model import Dictionary, GraphError
 
 METADATA = "Metadata"
@@ -166,8 +167,16 @@ def restore_records(records: DataFrame, d: Dictionary, check: bool = True) -> Re
     return Restored(nodes, edges)
 
 
+def malformed_objects(records: DataFrame) -> DataFrame:
+    """Reject frame: records whose object text is not valid JSON."""
+    return data_records(records).where(malformed(F.col("object"))).select("name", "id", "object")
+
+
 def validate_records(records: DataFrame, d: Dictionary) -> None:
-    """Raise before any write when types or edges are unknown (one small job each)."""
+    """Raise before any write on unknown types or edges or malformed objects.
+
+    One small job per check; at most five offending rows reach the driver.
+    """
     bad_t = unknown_types(records, d).limit(5).collect()
     if bad_t:
         raise GraphError(f"records hold unknown entity types: {[r['name'] for r in bad_t]}")
@@ -175,6 +184,9 @@ def validate_records(records: DataFrame, d: Dictionary) -> None:
     if bad_e:
         pairs = [(r["name"], r["dst_name"]) for r in bad_e]
         raise GraphError(f"records hold relations without an edge table: {pairs}")
+    bad_o = malformed_objects(records).limit(5).collect()
+    if bad_o:
+        raise GraphError(f"records hold malformed objects: {[(r['name'], r['id']) for r in bad_o]}")
 
 
 def without_existing(restored: Restored, existing_nodes: DataFrame | None = None,

@@ -210,3 +210,14 @@ def test_jdbc_predicates_cover_all_buckets():
     assert hash_predicates("id", 2) == ["ABS(MOD(id, 2)) = 0", "ABS(MOD(id, 2)) = 1"]
     props = postgres_properties("u", "p")
     assert props["stringtype"] == "unspecified" and props["driver"] == "org.postgresql.Driver"
+
+
+def test_malformed_objects_are_rejected(spark):
+    d = Dictionary({"s": "node_s"}, [], [PropField("s", "n", "int")])
+    recs = spark.createDataFrame(
+        [("s", "1", '{"n": 1}', []), ("s", "2", "{broken", [])],
+        "name string, id string, object string, "
+        "relations array<struct<dst_id:string,dst_name:string>>")
+    assert [r["id"] for r in rs.malformed_objects(recs).collect()] == ["2"]
+    with pytest.raises(GraphError, match="malformed"):
+        rs.validate_records(recs, d)
