@@ -114,6 +114,23 @@ def q_traverse_extra_orphan(spark, sf_dir):
     return recs.groupBy("name").agg(F.count(F.lit(1)).alias("n_records"))
 
 
+def q_export_downward_records(spark, sf_dir):
+    """Records of a downward-only export: root records without relations."""
+    return _shape(walk_records(flagship_walk(spark, sf_dir, extra=None, include_upward=False)))
+
+
+LINEITEM_FILTER = {"=": {"l_returnflag": "R"}}
+
+
+def q_export_up_from_lineitem(spark, sf_dir):
+    """Up walk from line items: three parent types, ids parsed on the child side."""
+    graph = star.star_graph(spark, sf_dir)
+    li = star.read(spark, sf_dir, "lineitem")
+    index = li.select(star.node_id("lineitem").alias("_lineitem_id"), *li.columns)
+    cohort = co.select_cohort(index, "lineitem", LINEITEM_FILTER)
+    return _shape(walk_records(walk_graph(graph, cohort, "lineitem", None, True)))
+
+
 def q_selected_nodes(spark, sf_dir):
     """Per type, ids selected by the walk and node rows emitted."""
     w = flagship_walk(spark, sf_dir)
@@ -493,6 +510,34 @@ union all select 'orders', count(*) from o having count(*) > 0
 union all select 'lineitem', count(*) from li having count(*) > 0
 """
 
+ORACLE_EXPORT_DOWNWARD_RECORDS = f"""
+with cu as ({_COHORT_SQL}),
+o as (select * from orders where o_custkey in (select c_custkey from cu)),
+li as (select *, {_LI_ID} id from lineitem where l_orderkey in (select o_orderkey from o))
+select 0 topo_rank, 'customer' name, c_custkey::varchar id, '' relations from cu
+union all select 1, 'orders', o_orderkey::varchar, 'customer:' || o_custkey from o
+union all select 2, 'lineitem', id, 'orders:' || l_orderkey from li
+"""
+
+ORACLE_EXPORT_UP_FROM_LINEITEM = f"""
+with li as (select *, {_LI_ID} id from lineitem where l_returnflag = 'R'),
+o as (select * from orders where o_orderkey in (select l_orderkey from li)),
+pa as (select * from part where p_partkey in (select l_partkey from li)),
+su as (select * from supplier where s_suppkey in (select l_suppkey from li)),
+cu as (select * from customer where c_custkey in (select o_custkey from o)),
+na as (select * from nation where n_nationkey in (select c_nationkey from cu)
+                              or n_nationkey in (select s_nationkey from su)),
+re as (select * from region where r_regionkey in (select n_regionkey from na))
+select 0 topo_rank, 'region' name, r_regionkey::varchar id, '' relations from re
+union all select 1, 'nation', n_nationkey::varchar, 'region:' || n_regionkey from na
+union all select 2, 'customer', c_custkey::varchar, 'nation:' || c_nationkey from cu
+union all select 3, 'supplier', s_suppkey::varchar, 'nation:' || s_nationkey from su
+union all select 4, 'part', p_partkey::varchar, '' from pa
+union all select 5, 'orders', o_orderkey::varchar, 'customer:' || o_custkey from o
+union all select 6, 'lineitem', id,
+  'orders:' || l_orderkey || ',part:' || l_partkey || ',supplier:' || l_suppkey from li
+"""
+
 ORACLE_SELECTED_NODES = f"""
 with {_FLAGSHIP_CTES}
 select name, count(*) n_selected, count(*) n_nodes from n group by name
@@ -652,6 +697,8 @@ _QUERIES: dict[str, tuple[Query, str | None]] = {
     "traverse_multi_parent": (q_traverse_multi_parent, ORACLE_TRAVERSE_MULTI_PARENT),
     "traverse_extra_siblings": (q_traverse_extra_siblings, ORACLE_TRAVERSE_EXTRA_SIBLINGS),
     "traverse_extra_orphan": (q_traverse_extra_orphan, ORACLE_TRAVERSE_EXTRA_ORPHAN),
+    "export_downward_records": (q_export_downward_records, ORACLE_EXPORT_DOWNWARD_RECORDS),
+    "export_up_from_lineitem": (q_export_up_from_lineitem, ORACLE_EXPORT_UP_FROM_LINEITEM),
     "selected_nodes": (q_selected_nodes, ORACLE_SELECTED_NODES),
     "relations_by_node": (q_relations_by_node, ORACLE_RELATIONS_BY_NODE),
     "edge_projection": (q_edge_projection, ORACLE_EDGE_PROJECTION),
