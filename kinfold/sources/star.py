@@ -63,11 +63,15 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
-def day_key(c: Column) -> Column:
-    """``yyyyMMdd`` digits of a timestamp without a session-time-zone round trip."""
+def day_number(c: Column) -> Column:
+    """``yyyyMMdd`` as an integer, without a session-time-zone round trip."""
     d = F.to_date(c)
-    return F.lpad((F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).cast("string"),
-                  8, "0")
+    return F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)
+
+
+def day_key(c: Column) -> Column:
+    """``yyyyMMdd`` digits of a timestamp (id part)."""
+    return F.lpad(day_number(c).cast("string"), 8, "0")
 
 
 def node_id(label: str) -> Column:
@@ -169,10 +173,10 @@ def _build_graph(spark: SparkSession, sf_dir: str, encode_enums: bool) -> Graph:
         keyed = selected.select(
             "*", parts[0].cast("bigint").alias("__ok"), parts[1].cast("int").alias("__ln"),
             parts[2].cast("bigint").alias("__pk"), parts[3].cast("bigint").alias("__sk"),
-            parts[4].alias("__day"))
+            parts[4].cast("int").alias("__day"))
         cond = ((df.l_orderkey == keyed.__ok) & (df.l_linenumber == keyed.__ln)
                 & (df.l_partkey == keyed.__pk) & (df.l_suppkey == keyed.__sk)
-                & (day_key(df.l_shipdate) == keyed.__day))
+                & (day_number(df.l_shipdate) == keyed.__day))
         if how == "left_semi":
             return df.join(keyed.select("__ok", "__ln", "__pk", "__sk", "__day"), cond,
                            "left_semi")
