@@ -188,13 +188,19 @@ def _build_graph(spark: SparkSession, sf_dir: str, encode_enums: bool) -> Graph:
 
     def edge_filter(edge_table: str, side: str, ids: DataFrame) -> DataFrame:
         child, col = links[edge_table]
-        df = read(spark, sf_dir, child).where(F.col(col).isNotNull())
+        df = read(spark, sf_dir, child)
         if side == "dst":
+            df = df.where(F.col(col).isNotNull())
             parent_type = df.schema[col].dataType
             keys = ids.select(F.col("id").cast(parent_type).alias("__p"))
             df = df.join(keys, df[col] == keys["__p"], "left_semi")
-        else:
+        elif child == "lineitem":
+            # every parent key is part of the id, so the key join already drops
+            # nulls; without a per-edge filter the child side of all three
+            # edges is the same plan and its shuffle is reused
             df = match_ids(child, df, ids, "id", "left_semi")
+        else:
+            df = match_ids(child, df.where(F.col(col).isNotNull()), ids, "id", "left_semi")
         return df.select(node_id(child).alias("src_id"),
                          F.col(col).cast("string").alias("dst_id"))
 
