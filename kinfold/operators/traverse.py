@@ -98,6 +98,7 @@ class Materializer:
         self.n = 0
         self.pool = (ThreadPoolExecutor(max_workers=concurrent_writes)
                      if mode == "parquet" and concurrent_writes > 1 else None)
+        self.futures: list[Future] = []
 
     def _write_read(self, df: DataFrame, path: str) -> DataFrame:
         df.write.mode("errorifexists").parquet(path)
@@ -112,7 +113,9 @@ class Materializer:
             if self.pool is not None:
                 # carry the caller's job group / pool into the writing thread
                 target = inheritable_thread_target(self.spark)(self._write_read)
-                return self.pool.submit(target, df, path)
+                fut = self.pool.submit(target, df, path)
+                self.futures.append(fut)
+                return fut
             return self._write_read(df, path)
         if self.mode == "checkpoint":
             return df.checkpoint(eager=True)
@@ -130,9 +133,13 @@ class Materializer:
         self.held.clear()
 
     def close(self) -> None:
+        """Wait for every write, including superseded ones, and surface errors."""
         if self.pool is not None:
             self.pool.shutdown(wait=True)
             self.pool = None
+        for fut in self.futures:
+            fut.result()
+        self.futures.clear()
 
 
 @dataclass
