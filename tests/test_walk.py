@@ -268,3 +268,11 @@ def test_cleanup_removes_written_states(spark):
     assert os.path.isdir(local)
     w.cleanup()
     assert not os.path.exists(local)
+
+
+def test_write_errors_surface_from_the_walk(spark):
+    # the null id fails the root state's write, which runs on a writer thread
+    g = make_graph(spark, M1_NODES, M1_LINKS)
+    c = spark.createDataFrame([("S1",), (None,)], "id string")
+    with pytest.raises(Exception, match="null id"):
+        walk_graph(g, c, "subject", include_upward=True)
