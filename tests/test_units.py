@@ -221,3 +221,12 @@ def test_malformed_objects_are_rejected(spark):
     assert [r["id"] for r in rs.malformed_objects(recs).collect()] == ["2"]
     with pytest.raises(GraphError, match="malformed"):
         rs.validate_records(recs, d)
+
+
+def test_typegraph_plan_downward_only(spark):
+    et = M1_DICT.edge_types_df(spark)
+    plan = [(r["pos"], r["way"], r["label"]) for r in
+            tg.traversal_plan_df(et, "project", ["program"], False, 4).orderBy("pos").collect()]
+    assert plan == [(i, s.way, s.label) for i, s in enumerate(
+        tp.traversal_plan(M1_DICT, "project", ["program"], False))]
+    assert [x[2] for x in plan] == ["project", "subject", "sample"]
