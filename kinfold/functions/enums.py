@@ -8,12 +8,15 @@ code generation; no Python UDF is involved.
 
 Fixed values (must match the container format): the kept character classes
 ``[A-Za-z_]`` first and ``[A-Za-z0-9_]`` after, the escape ``_`` + hex + ``_``,
-hex of 2 to 6 digits.
-Known limit: text that already contains ``_<hex>_`` decodes ambiguously.
+hex of 2 to 6 digits.  A ``_`` that an escape could be read from (hex digits and
+then ``_`` or an escaped character follow) is itself written ``_5f_``, so that
+``decode_enum(encode_enum(x)) = x`` for every text.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,6 +25,8 @@ KEEP_CLASS = "^[A-Za-z0-9_]$"
 KEEP_FIRST = "^[A-Za-z_]$"
 ESCAPE_RE = "_([0-9a-f]{2,6})_"
 SPLIT_RE = "_[0-9a-f]{2,6}_"
+LOOKS_ESCAPED = "[0-9a-f]{2,6}[^A-Za-z0-9]"
+ESCAPED_UNDERSCORE = "_5f_"
 
 
 def _col(c: Column | str) -> Column:
@@ -31,7 +36,8 @@ def _col(c: Column | str) -> Column:
 def encode_enum(c: Column | str) -> Column:
     """Text -> enum symbol; null stays null, '' stays ''."""
     v = _col(c)
-    chars = F.filter(F.split(v, ""), lambda ch: ch != "")  # split('', '') gives ['']
+    safe = F.regexp_replace(v, f"_(?={LOOKS_ESCAPED})", ESCAPED_UNDERSCORE)
+    chars = F.filter(F.split(safe, ""), lambda ch: ch != "")  # split('', '') gives ['']
     # code point from the UTF-32 bytes (ascii() is wrong above the BMP); at
     # least two hex digits (lpad would cut longer values, so pad by hand)
     def hexcode(ch: Column) -> Column:
@@ -71,8 +77,9 @@ def decode_value(c: Column | str, is_array: bool = False) -> Column:
 def encode_symbol_sql(v: str) -> str:
     """DuckDB SQL of :func:`encode_enum` for the oracle."""
     return (f"case when {v} is null then null else array_to_string(list_transform("
-            f"string_split({v}, ''), lambda ch, i: case when regexp_matches(ch, "
-            f"case when i = 1 then '{KEEP_FIRST}' else '{KEEP_CLASS}' end) then ch "
+            f"string_split({v}, ''), lambda ch, i: case when ch = '_' and regexp_matches("
+            f"substr({v}, i + 1, 7), '^{LOOKS_ESCAPED}') then '{ESCAPED_UNDERSCORE}' "
+            f"when regexp_matches(ch, case when i = 1 then '{KEEP_FIRST}' else '{KEEP_CLASS}' end) then ch "
             f"else '_' || printf('%02x', unicode(ch)) || '_' end), '') end")
 
 
@@ -80,7 +87,9 @@ def encode_symbol(text: str) -> str:
     """Python form of :func:`encode_enum` for schema metadata (symbol lists)."""
     out = []
     for i, ch in enumerate(text):
-        if ch.isascii() and (ch.isalpha() or ch == "_" or (i > 0 and ch.isdigit())):
+        if ch == "_" and re.match(LOOKS_ESCAPED, text[i + 1:]):
+            out.append(ESCAPED_UNDERSCORE)
+        elif ch.isascii() and (ch.isalpha() or ch == "_" or (i > 0 and ch.isdigit())):
             out.append(ch)
         else:
             out.append(f"_{ord(ch):02x}_")

@@ -1,8 +1,7 @@
 """Property (JSON object) expressions.
 
 Objects travel as JSON text.  Typed access goes through ``parse_json`` and
-``variant_get`` (binary VARIANT, parsed once per row inside codegen) or
-``from_json`` with the type's dictionary schema; malformed text becomes a
+``variant_get`` (binary VARIANT, parsed once per row); malformed text becomes a
 null with ``try_parse_json`` so bad rows can be split off instead of failing
 a whole task.
 """
@@ -11,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def _col(c: Column | str) -> Column:
@@ -32,16 +30,6 @@ def json_int(c: Column | str, field: str) -> Column:
     return json_field(c, field, "int")
 
 
-def parse_props(c: Column | str, schema: T.StructType) -> Column:
-    """JSON text -> struct of the given schema."""
-    return F.from_json(_col(c), schema)
-
-
-def props_json(struct: Column, keep_nulls: bool = True) -> Column:
-    """Struct -> JSON text; null fields kept as in the stored form."""
-    return F.to_json(struct, {"ignoreNullFields": "false" if keep_nulls else "true"})
-
-
 def malformed(c: Column | str) -> Column:
     """True for non-null text that is not valid JSON (reject frame filter)."""
     v = _col(c)

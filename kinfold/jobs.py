@@ -2,7 +2,7 @@
 
 Arguments replace the reference's environment wiring (P13, E8, K8): the
 request document holds the filter and an optional root type; extras come as a
-comma list (empty string = none, items kept as given); site-specific
+comma list (empty string = only the root's own, items kept as given); site-specific
 defaults are a caller-supplied ``{root: [extra, ...]}`` mapping.  Output
 locations are folders under a base path named by the run time, without
 ``:`` (not allowed in Hadoop paths).
@@ -17,13 +17,14 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from kinfold.model import Dictionary, Graph
 from kinfold.operators.cohort import cohort_authz, select_cohort
 from kinfold.operators.records import walk_records
-from kinfold.operators.restore import (Restored, restore_records, validate_records,
-                                       without_existing)
-from kinfold.operators.traverse import walk_graph
+from kinfold.operators.restore import (Restored, decoded_props, restore_records,
+                                       validate_records, without_existing)
+from kinfold.operators.traverse import Walk, walk_graph
 from kinfold.sources.container import (container_schema, props_from_schema, read_container,
                                        write_container)
 from kinfold.sources.manifest import EXPIRY_DAYS, artifact_manifest
@@ -41,13 +42,8 @@ class ExportRequest:
 
 def parse_extra(value: str | None, root: str,
                 root_extras: dict[str, list[str]] | None = None) -> list[str]:
-    """Comma list -> extras; ``None`` = use ``root_extras``, ``''`` = none."""
-    if value is None:
-        extras: list[str] = []
-    elif value.strip() == "":
-        return []
-    else:
-        extras = value.split(",")  # items are not trimmed
+    """Comma list -> extras (``None`` and ``''``: none), then the root's own extras."""
+    extras = value.split(",") if value and value.strip() else []  # items are not trimmed
     for e in (root_extras or {}).get(root, []):
         if e not in extras:
             extras.append(e)
@@ -76,6 +72,17 @@ class ExportResult:
     authz: DataFrame
 
 
+def plain_records(walk: Walk) -> DataFrame:
+    """Records whose objects hold plain text, whatever the graph's own form is.
+
+    Containers hold enum symbols, Parquet records plain text; the import decodes only the former.
+    """
+    records = walk_records(walk)
+    if not walk.graph.object_encoded:
+        return records
+    return records.withColumn("object", decoded_props(walk.graph.dictionary, F.col("name"), F.col("object")))
+
+
 def export_job(graph: Graph, index: DataFrame, request: ExportRequest, base_path: str,
                grants: DataFrame | None = None, fmt: str = "avro",
                include_upward: bool = True, expires_days: int = EXPIRY_DAYS) -> ExportResult:
@@ -85,17 +92,20 @@ def export_job(graph: Graph, index: DataFrame, request: ExportRequest, base_path
     and the cohort's authorization paths.
     """
     t0 = time.time()
+    if fmt not in ("avro", "parquet"):
+        raise ValueError(f"unknown export format {fmt!r}")
     cohort = select_cohort(index, request.root, request.filter, grants)
     walk = walk_graph(graph, cohort, request.root, request.extra, include_upward)
     path = f"{base_path.rstrip('/')}/{run_name()}"
-    if fmt == "avro":
-        write_container(walk, path)
-        glob = "*.avro"
-    elif fmt == "parquet":
-        write_records(walk_records(walk), path)
-        glob = "*.parquet"
-    else:
-        raise ValueError(f"unknown export format {fmt!r}")
+    try:
+        if fmt == "avro":
+            write_container(walk, path)
+            glob = "*.avro"
+        else:
+            write_records(plain_records(walk), path)
+            glob = "*.parquet"
+    finally:
+        walk.cleanup()
     log.info("export written to %s in %.1fs", path, time.time() - t0)
     return ExportResult(path, artifact_manifest(graph.spark, path, glob, expires_days),
                         cohort_authz(index, request.filter, grants))
@@ -144,13 +154,13 @@ def import_job(spark: SparkSession, path: str, d: Dictionary, target: str | None
     if fmt == "avro":
         d = with_container_props(d, container_schema(spark, path))
     validate_records(records, d)
-    restored = restore_records(records, d)
+    restored = restore_records(records, d, encoded=fmt == "avro")
     if skip_existing and target:
         restored = without_existing(restored, _existing(spark, f"{target}/nodes"),
                                     _existing(spark, f"{target}/edges"))
     if target:
         write_restored_files(restored, target)
     if jdbc_url:
-        write_restored_jdbc(restored, jdbc_url, jdbc_properties or {})
+        write_restored_jdbc(restored, d, jdbc_url, jdbc_properties or {})
     log.info("import of %s finished in %.1fs", path, time.time() - t0)
     return restored

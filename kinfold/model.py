@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -187,6 +188,8 @@ class Graph:
     typed_builder: Callable[[str], Column] | None = None
     lookup: Callable[[str, DataFrame], DataFrame] | None = None
     edge_filter: Callable[[str, str, DataFrame], DataFrame] | None = None
+    object_encoded: bool = False  # node_object() holds enum symbols instead of plain text
+    edge_counts: Callable[[str], DataFrame] | None = None  # child label -> (edge_table, n_edges), one scan
 
     def nodes(self, label: str) -> DataFrame:
         self.dictionary.node_table(label)
@@ -212,16 +215,32 @@ class Graph:
     def typed_object(self, label: str) -> Column:
         """Object as a typed struct (enum values as encoded symbols).
 
-        Defaults to parsing the JSON object with the dictionary schema.
+        Defaults to parsing the JSON object with the dictionary schema.  A field that
+        the dictionary lacks, a value of another type or malformed text fails the job
+        with the type and id: a container cannot hold it.
         """
         if self.typed_builder is not None:
             return self.typed_builder(label)
         from kinfold.functions.enums import encode_value
 
-        parsed = F.from_json(self.node_object(label), self.dictionary.spark_schema(label))
-        return F.struct(*[(encode_value(parsed[p.field], p.is_array) if p.is_enum
-                           else parsed[p.field]).alias(p.field)
-                          for p in self.dictionary.fields(label)])
+        text = self.node_object(label)
+        parsed = F.from_json(text, self.dictionary.spark_schema(label))
+        given = F.from_json(text, "map<string,variant>")
+        declared = self.dictionary.fields(label)
+        lost = [F.size(F.array_except(F.map_keys(given), F.array(*(F.lit(p.field) for p in declared)).cast("array<string>"))) > 0,
+                text.isNotNull() & F.try_parse_json(text).isNull()]
+        for p in declared:
+            value = given[p.field]
+            kind = F.schema_of_variant(value)
+            wrong = parsed[p.field].isNull()
+            if p.type.lower() == "string":
+                wrong = kind != "STRING"
+            lost.append(value.isNotNull() & (kind != "VOID") & wrong)
+        failed = F.raise_error(F.concat(F.lit(f"object does not fit type {label}: id "), F.coalesce("node_id", F.lit("null"))))
+        # a null struct in the one branch of a failing row is never reached
+        return F.when(F.coalesce(reduce(Column.__or__, lost), F.lit(False)), failed).otherwise(
+            F.struct(*[(encode_value(parsed[p.field], p.is_array) if p.is_enum
+                        else parsed[p.field]).alias(p.field) for p in declared]))
 
     def edges(self, edge_table: str) -> DataFrame:
         self.dictionary.edge(edge_table)
@@ -241,6 +260,18 @@ class Graph:
         key = f"{side}_id"
         return self.edges(edge_table).join(ids.select(F.col("id").alias(key)), key, "left_semi")
 
+    def count_edges(self, label: str) -> DataFrame:
+        """``(edge_table, n_edges)`` of a child label's edge tables.
+
+        A graph whose edge tables are columns of one table can count them in one scan.
+        """
+        if self.edge_counts is not None:
+            return self.edge_counts(label)
+        return reduce(DataFrame.unionByName, (
+            self.edges(e.edge_table).agg(F.count(F.lit(1)).alias("n_edges"))
+            .select(F.lit(e.edge_table).alias("edge_table"), "n_edges")
+            for e in self.dictionary.edges_by_child(label)))
+
     def check_labels(self, labels: Iterable[str]) -> None:
         for lbl in labels:
             self.dictionary.node_table(lbl)

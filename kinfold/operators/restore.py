@@ -4,7 +4,9 @@ Input: a records DataFrame ``(name, id, object JSON, relations)`` as written by
 the export (``Metadata`` rows allowed, they are skipped).  The dictionary is
 metadata of bounded size (one entry per type / edge type), so the type and
 edge-table lookups are literal map expressions evaluated in codegen: no join,
-no broadcast of data.  Checks run as anti-style filters before any write.
+no broadcast of data.  ``import_problems`` finds everything that must not be
+written in one scan.  Objects keep every field as it is; only enum symbols of
+encoded exports (containers) are turned back into text.
 """
 
 from __future__ import annotations
@@ -13,9 +15,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from kinfold.functions.enums import decode_value
+from kinfold.functions.enums import ESCAPE_RE, decode_enum
 from kinfold.functions.props import malformed
 from kinfold.model import Dictionary, GraphError
 
@@ -47,8 +48,8 @@ def edge_table_of(d: Dictionary, name: Column, dst_name: Column) -> Column:
 
 
 def data_records(records: DataFrame) -> DataFrame:
-    """Records without the metadata record."""
-    return records.where(F.col("name") != METADATA)
+    """Records without the metadata record (P6); a null name is a data record (and rejected)."""
+    return records.where(~F.col("name").eqNullSafe(METADATA))
 
 
 def distinct_types(records: DataFrame) -> DataFrame:
@@ -85,48 +86,38 @@ def unknown_edges(records: DataFrame, d: Dictionary) -> DataFrame:
             .groupBy("name", "dst_name").agg(F.count(F.lit(1)).alias("n_relations")))
 
 
-def _props_schema(d: Dictionary, label: str) -> T.StructType:
-    fields = []
-    for p in d.fields(label):
-        dt = p.enum_type() if p.is_enum else T._parse_datatype_string(p.type)
-        fields.append(T.StructField(p.field, dt, True))
-    return T.StructType(fields)
-
-
-def _enum_labels(d: Dictionary) -> list[str]:
-    return [lbl for lbl in sorted(d.node_tables) if d.enum_fields(lbl)]
+def _enum_fields_lit(d: Dictionary) -> Column | None:
+    """Literal map type -> its enum fields; None when no type has one."""
+    args: list[Column] = []
+    for label in sorted(d.node_tables):
+        names = sorted(p.field for p in d.fields(label) if p.is_enum)
+        if names:
+            args += [F.lit(label), F.array(*map(F.lit, names))]
+    return F.create_map(*args) if args else None
 
 
-def with_parsed_props(records: DataFrame, d: Dictionary) -> DataFrame:
-    """Add one parsed-object column per type that has enum fields.
+def decoded_props(d: Dictionary, name: Column, obj: Column) -> Column:
+    """Object JSON with the enum symbols of its type's enum fields decoded.
 
-    Each object is parsed once, only for rows of its own type; the next
-    projection reads the parsed struct instead of re-parsing per field
-    (subexpression elimination does not reach inside CASE branches).
+    Only objects that hold an escape are rebuilt, as a map of VARIANTs in which
+    the enum fields' strings (or arrays of strings) are replaced: undeclared
+    fields and values of other types stay as they are.  One expression serves
+    all types.
     """
-    cols = [F.when(F.col("name") == lbl, F.from_json("object", _props_schema(d, lbl)))
-            .alias(f"__parsed_{i}") for i, lbl in enumerate(_enum_labels(d))]
-    return records.select("*", *cols) if cols else records
-
+    fields = _enum_fields_lit(d)
+    if fields is None:
+        return obj
+    own = fields[name]
 
-def decoded_props(d: Dictionary, name: Column, obj: Column) -> Column:
-    """Object JSON with enum fields decoded, other fields kept.
+    def decoded(key: Column, value: Column) -> Column:
+        kind = F.schema_of_variant(value)
+        text = decode_enum(F.try_variant_get(value, "$", "string")).cast("variant")
+        items = F.transform(F.try_variant_get(value, "$", "array<string>"), decode_enum).cast("variant")
+        return F.when(~F.array_contains(own, key), value).when(kind == "STRING", text).when(
+            kind == "ARRAY<STRING>", items).otherwise(value)
 
-    Expects the columns added by :func:`with_parsed_props`; types without enum
-    fields pass through unchanged.  Nulls are kept as JSON nulls like the
-    stored form.
-    """
-    out: Column | None = None
-    for i, label in enumerate(_enum_labels(d)):
-        props = {p.field: p for p in d.fields(label)}
-        parsed = F.col(f"__parsed_{i}")
-        fields = [(decode_value(parsed[f.name], props[f.name].is_array)
-                   if props[f.name].is_enum else parsed[f.name]).alias(f.name)
-                  for f in _props_schema(d, label).fields]
-        js = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
-        out = (F.when(name == label, js) if out is None
-               else out.when(name == label, js))
-    return obj if out is None else out.otherwise(obj)
+    parsed = F.from_json(obj, "map<string,variant>")
+    return F.when(own.isNotNull() & obj.rlike(ESCAPE_RE), F.to_json(F.transform_values(parsed, decoded))).otherwise(obj)
 
 
 @dataclass
@@ -135,31 +126,37 @@ class Restored:
     edges: DataFrame  # edge_table, src_id, dst_id, _props, acl, _sysan, created
 
 
-def restore_records(records: DataFrame, d: Dictionary, check: bool = True) -> Restored:
+def restore_records(records: DataFrame, d: Dictionary, check: bool = True,
+                    encoded: bool = False) -> Restored:
     """Records -> node rows and edge rows tagged with their target table.
 
-    With ``check`` the ambiguity of the dictionary is verified at plan time;
-    unknown types or edges make the rows fail at run time (``raise_error``)
-    instead of being dropped, before anything is appended.
+    ``encoded``: the objects hold enum symbols (container exports), to be decoded;
+    plain objects are passed on unchanged.  With ``check`` the ambiguity of the
+    dictionary is verified at plan time, and unknown types, unknown edges and null
+    ids make a write fail (``raise_error``) instead of being dropped.  That happens
+    while writing: run ``validate_records`` first to fail before any write.
     """
     d.edge_table_by_labels()  # ambiguous pairs raise here
-    recs = with_parsed_props(data_records(records), d)
+    recs = data_records(records)
     now = F.current_timestamp()
     table = node_table_of(d, F.col("name"))
     if check:
-        table = F.when(table.isNull(), F.raise_error(
-            F.concat(F.lit("unknown entity type "), F.col("name")))).otherwise(table)
+        table = F.when(table.isNull(), F.raise_error(F.concat(
+            F.lit("unknown entity type "), F.coalesce("name", F.lit("null"))))).when(
+            F.col("id").isNull(), F.raise_error(F.concat(F.lit("null id of type "), F.col("name")))
+        ).otherwise(table)
     nodes = recs.select(
         table.alias("node_table"),
         F.col("id").alias("node_id"),
-        decoded_props(d, F.col("name"), F.col("object")).alias("_props"),
+        (decoded_props(d, F.col("name"), F.col("object")) if encoded else F.col("object")).alias("_props"),
+        # fixed values of the stored layout: empty acl, system annotations and edge properties
         F.lit("{}").alias("acl"), F.lit("{}").alias("_sysan"), now.alias("created"))
     rel = relation_rows(records)
     etable = edge_table_of(d, F.col("name"), F.col("dst_name"))
     if check:
         etable = F.when(etable.isNull(), F.raise_error(
-            F.concat(F.lit("no edge table for "), F.col("name"), F.lit(" -> "),
-                     F.col("dst_name")))).otherwise(etable)
+            F.concat(F.lit("no edge table for "), F.coalesce("name", F.lit("null")), F.lit(" -> "),
+                     F.coalesce("dst_name", F.lit("null"))))).otherwise(etable)
     edges = rel.select(
         etable.alias("edge_table"), "src_id", "dst_id",
         F.lit("{}").alias("_props"), F.lit("{}").alias("acl"), F.lit("{}").alias("_sysan"),
@@ -172,21 +169,40 @@ def malformed_objects(records: DataFrame) -> DataFrame:
     return data_records(records).where(malformed(F.col("object"))).select("name", "id", "object")
 
 
-def validate_records(records: DataFrame, d: Dictionary) -> None:
-    """Raise before any write on unknown types or edges or malformed objects.
+def import_problems(records: DataFrame, d: Dictionary) -> DataFrame:
+    """Everything an import must not write, in one scan: ``(problem, name, dst_name, n)``.
 
-    One small job per check; at most five offending rows reach the driver.
+    Problems: ``unknown type`` (null names too), ``null id``, ``malformed object``,
+    ``unknown edge``, ``null relation id``; at most one row per problem and pair of types.
     """
-    bad_t = unknown_types(records, d).limit(5).collect()
-    if bad_t:
-        raise GraphError(f"records hold unknown entity types: {[r['name'] for r in bad_t]}")
-    bad_e = unknown_edges(records, d).limit(5).collect()
-    if bad_e:
-        pairs = [(r["name"], r["dst_name"]) for r in bad_e]
-        raise GraphError(f"records hold relations without an edge table: {pairs}")
-    bad_o = malformed_objects(records).limit(5).collect()
-    if bad_o:
-        raise GraphError(f"records hold malformed objects: {[(r['name'], r['id']) for r in bad_o]}")
+    def found(condition: Column, problem: str, dst: Column | None = None) -> Column:
+        row = F.struct(F.lit(problem).alias("problem"), (F.lit(None) if dst is None else dst).cast("string").alias("dst_name"))
+        return F.when(condition, F.array(row)).otherwise(F.array().cast("array<struct<problem:string,dst_name:string>>"))
+
+    def relation(r: Column) -> Column:
+        known = edge_table_of(d, F.col("name"), r["dst_name"])
+        return F.when(known.isNull(), F.lit("unknown edge")).when(r["dst_id"].isNull(), F.lit("null relation id"))
+
+    bad_relations = F.filter(
+        F.transform(F.coalesce("relations", F.array().cast("array<struct<dst_id:string,dst_name:string>>")),
+                    lambda r: F.struct(relation(r).alias("problem"), r["dst_name"].alias("dst_name"))),
+        lambda x: x["problem"].isNotNull())
+    problems = F.concat(
+        found(node_table_of(d, F.col("name")).isNull(), "unknown type"),
+        found(F.col("id").isNull(), "null id"),
+        found(malformed(F.col("object")), "malformed object"),
+        bad_relations)
+    rows = data_records(records).select("name", F.explode(problems).alias("p"))
+    return (rows.select(F.col("p.problem").alias("problem"), "name", F.col("p.dst_name").alias("dst_name"))
+            .groupBy("problem", "name", "dst_name").agg(F.count(F.lit(1)).alias("n")))
+
+
+def validate_records(records: DataFrame, d: Dictionary) -> None:
+    """Raise before any write when :func:`import_problems` finds something."""
+    bad = import_problems(records, d).orderBy("problem", "name", "dst_name").limit(20).collect()
+    if bad:
+        raise GraphError("records cannot be imported: " + "; ".join(
+            f"{r['problem']} {r['name']}" + (f" -> {r['dst_name']}" if r["problem"].endswith(("edge", "relation id")) else "") + f" ({r['n']})" for r in bad))
 
 
 def without_existing(restored: Restored, existing_nodes: DataFrame | None = None,

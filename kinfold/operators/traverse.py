@@ -193,46 +193,30 @@ class Walk:
 
 class _Walker:
     def __init__(self, graph: Graph, plan: list[Step], cohort: DataFrame,
-                 root: str, materializer: Materializer, lazy_leaves: bool = False):
-        self.lazy_leaves = lazy_leaves
+                 root: str, materializer: Materializer):
         self.g = graph
         self.d = graph.dictionary
         self.m = materializer
         self.seeds: dict[str, list[DataFrame]] = {root: [cohort]}
         self.rels: dict[str, list[DataFrame]] = {}
         self.walk = Walk(graph, plan, record_ranks(plan), materializer)
-        self.pos = 0
-
-    def _read_later(self, label: str) -> bool:
-        """Does a later visit read this label's state (static, from the plan)?
-
-        With ``lazy_leaves`` only such states are materialized and a state
-        read by the record assembly alone runs inside the final job.  By
-        default every state is written: the node join then sees the state's
-        measured size and builds on the small side instead of guessing from a
-        pruned scan estimate.
-        """
-        if not self.lazy_leaves:
-            return True
-        for step in self.walk.plan[self.pos + 1:]:
-            if step.way == UP:
-                continue  # up visits read their own seeds only, handled below
-            if any(e.dst_label == label for e in self.d.edges_by_child(step.label)):
-                return True
-        return False
-
-    def _seal(self, label: str, reused: bool | None = None) -> None:
+
+    def _seal(self, label: str) -> None:
         parts = [s.select("id", F.lit(None).cast(REL_TYPE).alias("rel"))
                  for s in self.seeds.get(label, [])]
         parts += self.rels.get(label, [])
         if not parts:
             return
+        before = self._state(label)
+        if before is not None:  # a second visit adds to what the first one wrote
+            parts.append(before.select("id", F.explode_outer("relations").alias("rel")))
         # map-side partial aggregation: one row per id and task reaches the shuffle
         state = (_union(parts).groupBy("id")
                  .agg(F.collect_set("rel").alias("relations")))
-        if reused is None:
-            reused = self._read_later(label)
-        self.walk.states[label] = self.m.submit(state, f"state-{label}") if reused else state
+        # every state is written: later joins see its measured size
+        self.walk.states[label] = self.m.submit(state, f"state-{label}")
+        self.seeds.pop(label, None)
+        self.rels[label] = []
 
     def _state(self, label: str) -> DataFrame | None:
         """A label's state, waiting for its write if one is running."""
@@ -257,8 +241,7 @@ class _Walker:
                 F.col("src_id").alias("id"),
                 relation_struct(F.lit(e.dst_label), F.col("dst_id")).alias("rel")))
             parents.append(e.dst_label)
-        # parents' up visits read this state twice (their edges and their state)
-        self._seal(label, reused=True if parents else None)
+        self._seal(label)
         # parents' seeds come back from the written state: edges are read once
         state = self._state(label)
         for p in sorted(set(parents)):
@@ -283,8 +266,7 @@ class _Walker:
 
     def run(self) -> Walk:
         try:
-            for i, step in enumerate(self.walk.plan):
-                self.pos = i
+            for step in self.walk.plan:
                 if step.way == UP:
                     self._visit_up(step.label)
                 else:
@@ -300,7 +282,7 @@ def walk_graph(graph: Graph, cohort: DataFrame, root: str,
                extra: list[str] | None = None, include_upward: bool = False,
                materialize: str = "parquet",
                storage: StorageLevel = StorageLevel.MEMORY_AND_DISK,
-               lazy_leaves: bool = False, concurrent_writes: int = 4) -> Walk:
+               concurrent_writes: int = 4) -> Walk:
     """Walk the graph from a cohort of ``root`` ids.
 
     ``cohort`` is a DataFrame with an ``id`` column (any type; cast to string,
@@ -315,4 +297,7 @@ def walk_graph(graph: Graph, cohort: DataFrame, root: str,
     if not plan or plan[0].label != root:
         raise GraphError("plan does not start at the root")
     m = Materializer(graph.spark, materialize, storage, concurrent_writes)
-    return _Walker(graph, plan, checked_ids(cohort), root, m, lazy_leaves).run()
+    ids = checked_ids(cohort)
+    if materialize == "parquet":
+        ids = m(ids, "cohort")  # evaluated once: a changing index cannot split the walk
+    return _Walker(graph, plan, ids, root, m).run()

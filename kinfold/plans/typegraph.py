@@ -4,37 +4,33 @@ The driver-side planner in :mod:`kinfold.plans.topology` works on the
 dictionary.  The functions here compute the same answers with Spark over an
 ``edge_types`` DataFrame ``(edge_table, src_label, dst_label)``, for instance
 the edge types that are actually *populated* in the data, so users can query
-the type graph like any table.  Iteration counts are bounded by the number of
-labels of the dictionary (known up front), so no action is needed to decide
-termination beyond Spark's own recursive-CTE fixed point; a cycle makes the
-job fail through ``raise_error``.
+the type graph like any table.  Levels are found by one join each; their number
+is bounded by the number of labels, and a cycle fails.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.model import Graph
+from kinfold.model import Graph, GraphError
 from kinfold.plans.topology import DOWN, UP
 
 
 def populated_edge_types(graph: Graph) -> DataFrame:
     """Edge types with at least one edge row, and their edge counts (G1 over data).
 
-    One aggregation per edge table over its key columns only; the partial
-    counts are combined map-side, so the shuffle is one row per task.
+    One scan per child table over its key columns only; the partial counts are
+    combined map-side, so the shuffle is one row per task.
     """
-    frames = []
-    for e in sorted(graph.dictionary.edge_types, key=lambda e: e.edge_table):
-        frames.append(graph.edges(e.edge_table).agg(F.count(F.lit(1)).alias("n_edges"))
-                      .select(F.lit(e.edge_table).alias("edge_table"),
-                              F.lit(e.src_label).alias("src_label"),
-                              F.lit(e.dst_label).alias("dst_label"), "n_edges"))
-    out = reduce(lambda a, b: a.unionByName(b), frames)
-    return out.where(F.col("n_edges") > 0)
+    d = graph.dictionary
+    counts = reduce(DataFrame.unionByName, (graph.count_edges(c) for c in sorted({e.src_label for e in d.edge_types})))
+    known = reduce(Column.__or__, (F.col("edge_table") == e.edge_table for e in d.edge_types))
+    labels = {k: F.create_map(*(F.lit(x) for e in d.edge_types for x in (e.edge_table, getattr(e, k)))) for k in ("src_label", "dst_label")}
+    return counts.where(known & (F.col("n_edges") > 0)).select(
+        "edge_table", *(m[F.col("edge_table")].alias(k) for k, m in labels.items()), "n_edges")
 
 
 def edges_by_type(edge_types: DataFrame) -> DataFrame:
@@ -53,41 +49,43 @@ def ambiguous_edges(edge_types: DataFrame) -> DataFrame:
             .where(F.col("n_tables") > 1))
 
 
-def _walk_sql(direction: str, agg: str) -> str:
-    # recursive CTE: Spark iterates until no new row appears; the depth guard
-    # stops a cycle after n_labels steps so the check below can report it
+def _levels(edge_types: DataFrame, root: str, direction: str, n_labels: int, longest: bool) -> DataFrame:
+    """``(label, depth)`` by one join per level, at most ``n_labels`` of them.
+
+    A level's labels are a bounded list (there are ``n_labels`` in all), so the levels are kept
+    as literal rows: no path is enumerated and no plan grows with the depth.
+    """
+    spark = edge_types.sparkSession
     frm, to = ("src_label", "dst_label") if direction == UP else ("dst_label", "src_label")
-    return f"""
-    with recursive links as (select distinct {frm} frm, {to} dst from {{edge_types}}),
-    walk(label, depth) as (
-      select cast({{root}} as string), 0
-      union all
-      select l.dst, w.depth + 1 from walk w join links l on w.label = l.frm
-      where w.depth < {{n_labels}})
-    select label, cast({agg}(depth) as int) depth from walk group by label"""
+    links = edge_types.select(F.col(frm).alias("label"), F.col(to).alias("dst")).distinct().cache()
+    depth, frontier = {root: 0}, [root]
+    try:
+        for level in range(1, n_labels + 2):
+            here = spark.createDataFrame([(x,) for x in frontier], "label string")
+            reached = sorted(r["dst"] for r in links.join(here, "label").select("dst").distinct().collect())
+            frontier = reached if longest else [x for x in reached if x not in depth]
+            depth |= dict.fromkeys(frontier, level)
+            if not frontier:
+                break
+    finally:
+        links.unpersist()
+    if frontier:
+        raise GraphError(f"type graph has a cycle through {frontier}")
+    return spark.createDataFrame(sorted(depth.items()), "label string, depth int")
 
 
 def type_depths(edge_types: DataFrame, root: str, direction: str,
                 n_labels: int) -> DataFrame:
     """Longest-path depth ``(label, depth)`` of labels reachable from ``root``.
 
-    Paths are extended until none grows, at most ``n_labels`` steps; a path
-    still growing then can only come from a cycle and fails the job.
+    A frontier still alive after ``n_labels`` steps can only come from a cycle and fails.
     """
-    spark = edge_types.sparkSession
-    out = spark.sql(_walk_sql(direction, "max"), edge_types=edge_types, root=root,
-                    n_labels=n_labels)
-    return out.select("label", F.when(F.col("depth") >= n_labels, F.raise_error(
-        F.concat(F.lit("type graph has a cycle through "), F.col("label"))))
-        .otherwise(F.col("depth")).cast("int").alias("depth"))
+    return _levels(edge_types, root, direction, n_labels, longest=True)
 
 
 def type_bfs(edge_types: DataFrame, root: str, n_labels: int) -> DataFrame:
     """Breadth-first level ``(label, level)`` of descendant types."""
-    spark = edge_types.sparkSession
-    out = spark.sql(_walk_sql(DOWN, "min"), edge_types=edge_types, root=root,
-                    n_labels=n_labels)
-    return out.select("label", F.col("depth").alias("level"))
+    return _levels(edge_types, root, DOWN, n_labels, longest=False).withColumnRenamed("depth", "level")
 
 
 def type_topology(edge_types: DataFrame, root: str, n_labels: int) -> DataFrame:

@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinfold.functions.enums import decode_enum, encode_enum, encode_symbol_sql
 from kinfold.functions.props import json_int
-from kinfold.model import Dictionary, tables_graph
+from kinfold.model import Dictionary, load_dictionary, save_dictionary, tables_graph
 from kinfold.operators import cohort as co
 from kinfold.operators import restore as rs
 from kinfold.operators.records import relations_text, walk_records
@@ -57,8 +57,42 @@ def flagship_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return walk_records(flagship_walk(spark, sf_dir))
 
 
-def _shape(recs: DataFrame) -> DataFrame:
-    return recs.select("topo_rank", "name", "id", relations_text("relations").alias("relations"))
+def with_object_values(df: DataFrame, d: Dictionary, encoded: bool, obj: str = "object") -> DataFrame:
+    """df (with ``name``) plus ``values``: all of the object's values as sorted ``field=value`` pairs joined by ``|``.
+
+    Enum symbols are decoded first; doubles are shown with four decimals, timestamps
+    to the second, nulls as ``null``.  Fields beyond the dictionary would show as ``+field``.
+    """
+    labels = sorted(d.node_tables)
+    fields = {lbl: sorted(d.fields(lbl), key=lambda p: p.field) for lbl in labels}
+    plain = rs.decoded_props(d, F.col("name"), F.col(obj)) if encoded else F.col(obj)
+    # one parse of each row, in a projection of its own
+    parsed = df.withColumn("_plain", plain).select("*", *(
+        F.when(F.col("name") == lbl, F.from_json("_plain", ", ".join(f"`{p.field}` {p.type}" for p in fields[lbl]))).alias(f"_parsed{i}")
+        for i, lbl in enumerate(labels)))
+
+    def shown(i: int, p) -> Column:
+        v = F.col(f"_parsed{i}")[p.field]
+        if p.type == "double":
+            v = v.cast("decimal(20,4)")
+        elif p.type.startswith("timestamp"):
+            v = F.date_format(v, "yyyy-MM-dd HH:mm:ss")
+        return F.concat(F.lit(f"{p.field}="), F.coalesce(v.cast("string"), F.lit("null")))
+
+    keys = F.coalesce(F.json_object_keys("_plain"), F.array().cast("array<string>"))
+    out: Column | None = None
+    for i, lbl in enumerate(labels):
+        extra = F.transform(F.array_sort(F.array_except(keys, F.array(*(F.lit(p.field) for p in fields[lbl])))), lambda k: F.concat(F.lit("+"), k))
+        value = F.array_join(F.concat(F.array(*(shown(i, p) for p in fields[lbl])), extra), "|")
+        out = F.when(F.col("name") == lbl, value) if out is None else out.when(F.col("name") == lbl, value)
+    return parsed.withColumn("values", out)
+
+
+def _shape(recs: DataFrame, spark, sf_dir, encoded: bool = True, rank: bool = True) -> DataFrame:
+    """Records as ids, relations and all object values; objects of the star graph hold enum symbols."""
+    valued = with_object_values(recs, star.star_dictionary(spark, sf_dir), encoded)
+    return valued.select(*(["topo_rank"] if rank else []), "name", "id", F.col("values").alias("object"),
+                         relations_text("relations").alias("relations"))
 
 
 def _state_rows(walk, labels) -> DataFrame:
@@ -76,7 +110,7 @@ def _state_rows(walk, labels) -> DataFrame:
 
 def q_export_records(spark, sf_dir):
     """B1: the flagship export (customer cohort, extra supplier, upward)."""
-    return _shape(flagship_records(spark, sf_dir))
+    return _shape(flagship_records(spark, sf_dir), spark, sf_dir)
 
 
 def q_traverse_up(spark, sf_dir):
@@ -116,7 +150,7 @@ def q_traverse_extra_orphan(spark, sf_dir):
 
 def q_export_downward_records(spark, sf_dir):
     """Records of a downward-only export: root records without relations."""
-    return _shape(walk_records(flagship_walk(spark, sf_dir, extra=None, include_upward=False)))
+    return _shape(walk_records(flagship_walk(spark, sf_dir, extra=None, include_upward=False)), spark, sf_dir)
 
 
 LINEITEM_FILTER = {"=": {"l_returnflag": "R"}}
@@ -128,7 +162,7 @@ def q_export_up_from_lineitem(spark, sf_dir):
     li = star.read(spark, sf_dir, "lineitem")
     index = li.select(star.node_id("lineitem").alias("_lineitem_id"), *li.columns)
     cohort = co.select_cohort(index, "lineitem", LINEITEM_FILTER)
-    return _shape(walk_records(walk_graph(graph, cohort, "lineitem", None, True)))
+    return _shape(walk_records(walk_graph(graph, cohort, "lineitem", None, True)), spark, sf_dir)
 
 
 def q_selected_nodes(spark, sf_dir):
@@ -178,13 +212,9 @@ def q_record_objects(spark, sf_dir):
     """Order objects of the export parsed back with enum fields decoded."""
     d = star.star_dictionary(spark, sf_dir)
     recs = flagship_records(spark, sf_dir).where(F.col("name") == "orders")
-    schema = rs._props_schema(d, "orders")
-    p = F.from_json("object", schema)
-    return recs.select(
-        "id", p["o_orderkey"].alias("o_orderkey"), p["o_custkey"].alias("o_custkey"),
-        decode_enum(p["o_orderstatus"]).alias("o_orderstatus"),
-        p["o_totalprice"].alias("o_totalprice"), p["o_orderdate"].alias("o_orderdate"),
-        decode_enum(p["o_orderpriority"]).alias("o_orderpriority"))
+    p = F.from_json(rs.decoded_props(d, F.col("name"), F.col("object")), d.spark_schema("orders"))
+    return recs.select("id", *(p[c].alias(c) for c in (
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")))
 
 
 # --------------------------------------------------------------------------
@@ -228,14 +258,37 @@ N_EDGE_TYPES = len(star.LINKS)
 
 def _populated(spark, sf_dir, written: bool = False) -> DataFrame:
     """Populated edge types; ``written`` stores the small aggregate once so the
-    iterative type-graph queries do not rescan the edge tables per step."""
+    type-graph queries do not rescan the edge tables per step."""
     df = tg.populated_edge_types(star.star_graph(spark, sf_dir))
-    return Materializer(spark)(df, "edge-types") if written else df
+    return Materializer(spark, concurrent_writes=1)(df, "edge-types") if written else df
 
 
 def q_dictionary_edges(spark, sf_dir):
-    """Edge types present in the data with their edge counts."""
-    return _populated(spark, sf_dir)
+    """Edge types of a dictionary saved to and loaded from files, with their edge counts in the data."""
+    path = scratch_dir(spark, "dictionary")
+    save_dictionary(spark, star.star_dictionary(spark, sf_dir), path)
+    known = load_dictionary(spark, path).edge_types_df(spark)
+    return _populated(spark, sf_dir).join(known, ["edge_table", "src_label", "dst_label"])
+
+
+def q_type_tables(spark, sf_dir):
+    """Node table of every type that has rows, by the loaded dictionary, with its row count."""
+    d = star.star_dictionary(spark, sf_dir)
+    counted = [star.read(spark, sf_dir, lbl).agg(F.count(F.lit(1)).alias("n_nodes"))
+               .select(F.lit(lbl).alias("label"), "n_nodes") for lbl in sorted(d.node_tables)]
+    rows = counted[0]
+    for f in counted[1:]:
+        rows = rows.unionByName(f)
+    return rows.where("n_nodes > 0").join(d.node_types_df(spark), "label")
+
+
+def q_edge_labels(spark, sf_dir):
+    """Child and parent type of the edge tables that an export's relations go to, with counts."""
+    d = star.star_dictionary(spark, sf_dir)
+    rel = rs.relation_rows(flagship_records(spark, sf_dir))
+    table = rs.edge_table_of(d, F.col("name"), F.col("dst_name"))
+    used = rel.groupBy(table.alias("edge_table")).agg(F.count(F.lit(1)).alias("n_relations"))
+    return used.join(d.edge_types_df(spark), "edge_table")
 
 
 def q_edges_by_type(spark, sf_dir):
@@ -244,8 +297,10 @@ def q_edges_by_type(spark, sf_dir):
 
 
 def q_ambiguous_edges(spark, sf_dir):
-    """Type pairs with more than one edge table (none in the fixture)."""
-    return tg.ambiguous_edges(_populated(spark, sf_dir))
+    """Type pairs with more than one edge table; orders and line items are one type here."""
+    merged = F.when(F.col("src_label") == "lineitem", "orders").otherwise(F.col("src_label"))
+    parent = F.when(F.col("dst_label") == "supplier", "part").otherwise(F.col("dst_label"))
+    return tg.ambiguous_edges(_populated(spark, sf_dir).withColumns({"src_label": merged, "dst_label": parent}))
 
 
 def q_type_topology(spark, sf_dir):
@@ -269,14 +324,20 @@ def q_traversal_plan(spark, sf_dir):
 
 def _restored(spark, sf_dir, d: Dictionary | None = None):
     d = d or star.star_dictionary(spark, sf_dir)
-    return rs.restore_records(flagship_records(spark, sf_dir), d)
+    return rs.restore_records(flagship_records(spark, sf_dir), d, encoded=True)
+
+
+def _node_values(r, d: Dictionary) -> DataFrame:
+    """Restored node rows with all property values."""
+    label = F.create_map(*(F.lit(x) for lbl, t in sorted(d.node_tables.items()) for x in (t, lbl)))[F.col("node_table")]
+    rows = with_object_values(r.nodes.withColumn("name", label), d, False, obj="_props")
+    return rows.select("node_table", "node_id", F.size(F.json_object_keys("_props")).alias("n_props"),
+                       F.col("values").alias("props"))
 
 
 def q_import_nodes(spark, sf_dir):
-    """Node rows by target table; prop count checks the object."""
-    r = _restored(spark, sf_dir)
-    return r.nodes.select("node_table", "node_id",
-                          F.size(F.json_object_keys("_props")).alias("n_props"))
+    """Node rows by target table with every property value."""
+    return _node_values(_restored(spark, sf_dir), star.star_dictionary(spark, sf_dir))
 
 
 def q_import_edges(spark, sf_dir):
@@ -315,6 +376,12 @@ def q_unknown_edges(spark, sf_dir):
     return rs.unknown_edges(flagship_records(spark, sf_dir), d)
 
 
+def q_import_problems(spark, sf_dir):
+    """B2: all reasons to refuse the export, in one scan, for a dictionary without ``supplier``."""
+    d = _without_supplier(star.star_dictionary(spark, sf_dir))
+    return rs.import_problems(flagship_records(spark, sf_dir), d)
+
+
 def q_roundtrip_edges(spark, sf_dir):
     """Export -> restore into tables -> export from the restored tables.
 
@@ -324,7 +391,10 @@ def q_roundtrip_edges(spark, sf_dir):
     """
     d = star.star_dictionary(spark, sf_dir)
     path = scratch_dir(spark, "restored")
-    write_restored_files(_restored(spark, sf_dir, d), path)
+    export = flagship_records(spark, sf_dir)
+    write_records(export, f"{path}/export")  # once; the node and the edge write each prune it
+    records = spark.read.schema(export.schema).parquet(f"{path}/export")
+    write_restored_files(rs.restore_records(records, d, encoded=True), path)
     by_label = {t: lbl for lbl, t in d.node_tables.items()}
     nodes = spark.read.parquet(f"{path}/nodes")
     edges = spark.read.parquet(f"{path}/edges")
@@ -336,7 +406,7 @@ def q_roundtrip_edges(spark, sf_dir):
 
     g2 = tables_graph(spark, d, read_table)
     w2 = walk_graph(g2, flagship_cohort(spark, sf_dir), ROOT, FLAGSHIP_EXTRA, True)
-    return _shape(walk_records(w2))
+    return _shape(walk_records(w2), spark, sf_dir, encoded=False)
 
 
 # --------------------------------------------------------------------------
@@ -351,23 +421,33 @@ def _written_container(spark, sf_dir) -> str:
 def q_container_scan(spark, sf_dir):
     """K4/K5 + S3/X1: export written as an Avro container and read back."""
     recs = rs.data_records(ct.read_container(spark, _written_container(spark, sf_dir)))
-    return recs.select("name", "id", relations_text("relations").alias("relations"))
+    return _shape(recs, spark, sf_dir, rank=False)
 
 
 def q_container_import_nodes(spark, sf_dir):
     """S3 -> B2: restore from the written container; node rows by target table."""
     d = star.star_dictionary(spark, sf_dir)
     recs = ct.read_container(spark, _written_container(spark, sf_dir))
-    r = rs.restore_records(recs, d)
-    return r.nodes.select("node_table", "node_id",
-                          F.size(F.json_object_keys("_props")).alias("n_props"))
+    return _node_values(rs.restore_records(recs, d, encoded=True), d)
 
 
 def q_artifact_manifest(spark, sf_dir):
-    """Manifest of the written export parts (rows only: paths vary)."""
+    """What must hold of the manifest of the written parts, per type.
+
+    Names, hashes and sizes vary from run to run; their form, the records of the listed files and
+    the cohort's authorization paths do not.
+    """
     path = scratch_dir(spark, "export")
     write_records(flagship_records(spark, sf_dir), path)
-    return artifact_manifest(spark, path, glob="*.parquet")
+    name = F.regexp_extract(F.col("urls")[0], "name=([^/]+)/", 1)
+    days = F.round((F.col("expires_at") - F.unix_timestamp()) / 86400).cast("int")
+    ok = ((F.length("md5") == 32) & (F.col("hashes")["md5"] == F.col("md5")) & (F.col("size") > 0)
+          & F.col("urls")[0].endswith(F.col("file_name")))
+    parts = artifact_manifest(spark, path, glob="*.parquet").groupBy(name.alias("name")).agg(
+        F.max("form").alias("form"), F.min(ok).alias("all_valid"), F.max(days).alias("expires_in_days"))
+    held = spark.read.parquet(path).groupBy("name").agg(F.count(F.lit(1)).alias("n_records"))
+    authz = co.cohort_authz(star.cohort_index(spark, sf_dir), FLAGSHIP_FILTER, star.grants(spark, sf_dir))
+    return parts.join(held, "name").withColumn("authz", F.lit(",".join(sorted(r[0] for r in authz.collect()))))
 
 
 def q_container_schema_fields(spark, sf_dir):
@@ -399,6 +479,18 @@ def q_decode_enum(spark, sf_dir):
                        decode_enum(encode_enum("p_brand")).alias("p_brand"))
 
 
+def q_encode_enum_text(spark, sf_dir):
+    """E3 on real text: the symbol of every document's whole text, as its length and hash."""
+    docs = star.read(spark, sf_dir, "documents").select("doc_id", encode_enum("text").alias("symbol"))
+    return docs.select("doc_id", F.length("symbol").alias("n_chars"), F.md5("symbol").alias("md5"))
+
+
+def q_decode_enum_text(spark, sf_dir):
+    """E2 on real text: decode(encode(x)) of every document's whole text, as its hash."""
+    docs = star.read(spark, sf_dir, "documents").select("doc_id", encode_enum("text").alias("symbol"))
+    return docs.select("doc_id", F.md5(decode_enum("symbol")).alias("md5"))
+
+
 # --------------------------------------------------------------------------
 # DuckDB oracles
 
@@ -417,6 +509,24 @@ select * from ({_ACCESSIBLE_SQL}) where c_nationkey = 7 and c_mktsegment = 'BUIL
 
 _LI_ID = star.node_id_sql("lineitem")
 
+
+def _values_sql(label: str, alias: str = "t") -> str:
+    """DuckDB expression of :func:`object_values` over a row of the label's table."""
+    shown = []
+    for column, kind in sorted(star.COLUMNS[label].items()):
+        c = f"{alias}.{column}"
+        if kind == "double":
+            c = f"{c}::decimal(20,4)"
+        elif kind == "timestamp":
+            c = f"strftime({c}, '%Y-%m-%d %H:%M:%S')"
+        shown.append(f"'{column}=' || coalesce({c}::varchar, 'null')")
+    return "concat_ws('|', " + ", ".join(shown) + ")"
+
+
+#: (name, id, object) of every row of every table
+_OBJECTS_SQL = " union all ".join(
+    f"select '{lbl}' name, {star.node_id_sql(lbl)} id, {_values_sql(lbl)} as object from {lbl} t" for lbl in star.LABELS)
+
 _FLAGSHIP_CTES = f"""
 cu as ({_COHORT_SQL}),
 na as (select * from nation where n_nationkey in (select c_nationkey from cu)),
@@ -445,8 +555,9 @@ _REL_TEXT = "coalesce(string_agg(r.dst_name || ':' || r.dst_id, ',' order by r.d
 
 ORACLE_EXPORT_RECORDS = f"""
 with {_FLAGSHIP_CTES}
-select n.topo_rank, n.name, n.id, {_REL_TEXT} as relations
-from n left join rel r on r.name = n.name and r.id = n.id
+select n.topo_rank, n.name, n.id, ob.object, {_REL_TEXT} as relations
+from n join ({_OBJECTS_SQL}) ob on ob.name = n.name and ob.id = n.id
+  left join rel r on r.name = n.name and r.id = n.id
 group by all
 """
 
@@ -511,15 +622,18 @@ union all select 'lineitem', count(*) from li having count(*) > 0
 """
 
 ORACLE_EXPORT_DOWNWARD_RECORDS = f"""
+select x.topo_rank, x.name, x.id, ob.object, x.relations from (
 with cu as ({_COHORT_SQL}),
 o as (select * from orders where o_custkey in (select c_custkey from cu)),
 li as (select *, {_LI_ID} id from lineitem where l_orderkey in (select o_orderkey from o))
 select 0 topo_rank, 'customer' name, c_custkey::varchar id, '' relations from cu
 union all select 1, 'orders', o_orderkey::varchar, 'customer:' || o_custkey from o
 union all select 2, 'lineitem', id, 'orders:' || l_orderkey from li
+) x join ({_OBJECTS_SQL}) ob on ob.name = x.name and ob.id = x.id
 """
 
 ORACLE_EXPORT_UP_FROM_LINEITEM = f"""
+select x.topo_rank, x.name, x.id, ob.object, x.relations from (
 with li as (select *, {_LI_ID} id from lineitem where l_returnflag = 'R'),
 o as (select * from orders where o_orderkey in (select l_orderkey from li)),
 pa as (select * from part where p_partkey in (select l_partkey from li)),
@@ -536,6 +650,7 @@ union all select 4, 'part', p_partkey::varchar, '' from pa
 union all select 5, 'orders', o_orderkey::varchar, 'customer:' || o_custkey from o
 union all select 6, 'lineitem', id,
   'orders:' || l_orderkey || ',part:' || l_partkey || ',supplier:' || l_suppkey from li
+) x join ({_OBJECTS_SQL}) ob on ob.name = x.name and ob.id = x.id
 """
 
 ORACLE_SELECTED_NODES = f"""
@@ -612,7 +727,9 @@ from ({_POPULATED_SQL}) group by src_label"""
 ORACLE_AMBIGUOUS_EDGES = f"""
 select src_label, dst_label, count(*) n_tables,
        string_agg(edge_table, ',' order by edge_table) edge_tables
-from ({_POPULATED_SQL}) group by src_label, dst_label having count(*) > 1"""
+from (select edge_table, case src_label when 'lineitem' then 'orders' else src_label end src_label,
+        case dst_label when 'supplier' then 'part' else dst_label end dst_label from ({_POPULATED_SQL}))
+group by src_label, dst_label having count(*) > 1"""
 
 _DEPTHS_SQL = f"""
 recursive et as ({_POPULATED_SQL}),
@@ -647,9 +764,30 @@ ORACLE_IMPORT_NODES = f"""
 with {_FLAGSHIP_CTES},
 ncols as (select table_name, count(*)::int n_props from information_schema.columns
           group by table_name)
-select 'node_' || n.name node_table, n.id node_id, c.n_props
+select 'node_' || n.name node_table, n.id node_id, c.n_props, ob.object props
 from n join ncols c on c.table_name = n.name
+  join ({_OBJECTS_SQL}) ob on ob.name = n.name and ob.id = n.id
+"""
+ORACLE_IMPORT_PROBLEMS = f"""
+with {_FLAGSHIP_CTES}
+select 'unknown type' problem, name, null::varchar dst_name, count(*) n from n where name = 'supplier' group by name
+union all
+select 'unknown edge', name, dst_name, count(*) from rel
+where name = 'supplier' or dst_name = 'supplier' group by name, dst_name
+"""
+ORACLE_ARTIFACT_MANIFEST = f"""
+with {_FLAGSHIP_CTES}
+select name, 'object' form, true all_valid, 14 expires_in_days, count(*) n_records,
+  (select string_agg(distinct auth_resource_path, ',' order by auth_resource_path) from ({_COHORT_SQL})) authz
+from n group by name
+"""
+ORACLE_EDGE_LABELS = f"""
+with {_FLAGSHIP_CTES}
+select name || '_' || dst_name edge_table, name src_label, dst_name dst_label, count(*) n_relations
+from rel group by name, dst_name
 """
+ORACLE_TYPE_TABLES = " union all ".join(
+    f"select '{lbl}' as label, 'node_{lbl}' node_table, count(*) n_nodes from {lbl} having count(*) > 0" for lbl in star.LABELS)
 ORACLE_IMPORT_EDGES = f"""
 with {_FLAGSHIP_CTES}
 select name || '_' || dst_name edge_table, id src_id, dst_id from rel
@@ -664,12 +802,7 @@ ORACLE_UNKNOWN_EDGES = f"""
 with {_FLAGSHIP_CTES} select name, dst_name, count(*) n_relations from rel
 where name = 'supplier' or dst_name = 'supplier' group by name, dst_name"""
 
-ORACLE_CONTAINER_SCAN = f"""
-with {_FLAGSHIP_CTES}
-select n.name, n.id, {_REL_TEXT} as relations
-from n left join rel r on r.name = n.name and r.id = n.id
-group by all
-"""
+ORACLE_CONTAINER_SCAN = f"select name, id, object, relations from ({ORACLE_EXPORT_RECORDS})"
 _ENUMS = ", ".join(f"'{c}'" for c in star.ENUM_COLUMNS)
 _TABLES = ", ".join(f"'{t}'" for t in star.LABELS)
 ORACLE_CONTAINER_SCHEMA_FIELDS = f"""
@@ -688,6 +821,10 @@ select p_partkey, {encode_symbol_sql('p_name')} name_symbol,
        {encode_symbol_sql('p_brand')} brand_symbol, {encode_symbol_sql('p_type')} type_symbol
 from part"""
 ORACLE_DECODE_ENUM = "select p_partkey, p_name, p_brand from part"
+ORACLE_ENCODE_ENUM_TEXT = f"""
+select doc_id, length(symbol)::int n_chars, md5(symbol) md5
+from (select doc_id, {encode_symbol_sql('text')} symbol from documents)"""
+ORACLE_DECODE_ENUM_TEXT = "select doc_id, md5(text) md5 from documents"
 
 
 _QUERIES: dict[str, tuple[Query, str | None]] = {
@@ -725,7 +862,12 @@ _QUERIES: dict[str, tuple[Query, str | None]] = {
     "container_scan": (q_container_scan, ORACLE_CONTAINER_SCAN),
     "container_schema_fields": (q_container_schema_fields, ORACLE_CONTAINER_SCHEMA_FIELDS),
     "container_import_nodes": (q_container_import_nodes, ORACLE_IMPORT_NODES),
-    "artifact_manifest": (q_artifact_manifest, None),
+    "artifact_manifest": (q_artifact_manifest, ORACLE_ARTIFACT_MANIFEST),
+    "import_problems": (q_import_problems, ORACLE_IMPORT_PROBLEMS),
+    "type_tables": (q_type_tables, ORACLE_TYPE_TABLES),
+    "edge_labels": (q_edge_labels, ORACLE_EDGE_LABELS),
+    "encode_enum_text": (q_encode_enum_text, ORACLE_ENCODE_ENUM_TEXT),
+    "decode_enum_text": (q_decode_enum_text, ORACLE_DECODE_ENUM_TEXT),
     "props_extract": (q_props_extract, ORACLE_PROPS_EXTRACT),
     "encode_enum": (q_encode_enum, ORACLE_ENCODE_ENUM),
     "decode_enum": (q_decode_enum, ORACLE_DECODE_ENUM),

@@ -238,19 +238,17 @@ def _type_name(t) -> str:
     return str(t)
 
 
+def _entity_fields(schema: dict):
+    """(type name, Avro field) of every entity branch of ``object``."""
+    objects = next(f for f in schema["fields"] if f["name"] == "object")
+    return [(branch["name"], fld) for branch in objects["type"]
+            if branch.get("name") != METADATA for fld in branch["fields"]]
+
+
 def schema_fields(schema: dict) -> list[tuple[str, str, str, bool]]:
     """(type name, field, Avro type, is_enum) for every entity branch."""
-    out = []
-    for f in schema["fields"]:
-        if f["name"] != "object":
-            continue
-        for branch in f["type"]:
-            if branch.get("name") == METADATA:
-                continue
-            for fld in branch["fields"]:
-                out.append((branch["name"], fld["name"], _type_name(fld["type"]),
-                            _is_enum(fld["type"])))
-    return out
+    return [(name, fld["name"], _type_name(fld["type"]), _is_enum(fld["type"]))
+            for name, fld in _entity_fields(schema)]
 
 
 def container_schema_fields(spark: SparkSession, path: str) -> DataFrame:
@@ -287,28 +285,8 @@ def props_from_schema(schema: dict) -> list[PropField]:
 
     Enum symbols are kept as written (encoded); decoding needs the flag only.
     """
-    out = []
-    for f in schema["fields"]:
-        if f["name"] != "object":
-            continue
-        for branch in f["type"]:
-            if branch.get("name") == METADATA:
-                continue
-            for fld in branch["fields"]:
-                typ, is_enum, symbols = _spark_type(fld["type"])
-                out.append(PropField(branch["name"], fld["name"], typ, is_enum, symbols))
-    return out
-
-
-def container_read_schema(spark: SparkSession, d: Dictionary) -> T.StructType:
-    """Spark schema of a container written for ``d`` (for streaming reads).
-
-    Converted by Spark's own Avro schema converter, so no sample file is needed.
-    """
-    jvm = spark._jvm
-    avro = jvm.org.apache.avro.Schema.Parser().parse(json.dumps(entity_schema(d)))
-    sql_type = jvm.org.apache.spark.sql.avro.SchemaConverters.toSqlType(avro)
-    return T.StructType.fromJson(json.loads(sql_type.dataType().json()))
+    return [PropField(name, fld["name"], *_spark_type(fld["type"]))
+            for name, fld in _entity_fields(schema)]
 
 
 def container_records(raw: DataFrame) -> DataFrame:

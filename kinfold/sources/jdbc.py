@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kinfold.model import GraphError
+
 # fixed value: rows per JDBC round trip used by the export reads
 FETCH_SIZE = 10000
 
@@ -30,7 +32,9 @@ def keyed_scan(table: DataFrame, ids: DataFrame | Sequence[str], id_column: str,
     """
     key_type = table.schema[id_column].dataType
     if not isinstance(ids, DataFrame):
-        values = [v for v in ids if v is not None]
+        values = list(ids)
+        if any(v is None for v in values):
+            raise GraphError("null id in the id list")
         return table.where(F.col(id_column).isin(
             [F.lit(v).cast(key_type) for v in values]) if values else F.lit(False))
     keys = ids.select(F.col(ids_column).cast(key_type).alias(id_column))
@@ -90,9 +94,14 @@ def postgres_properties(user: str, password: str) -> dict[str, str]:
 
 
 def append_table(df: DataFrame, url: str, table: str, properties: dict[str, str],
+                 partitions: int | None = None, batch_size: int | None = None,
                  column_types: str | None = None) -> None:
-    """Append rows to a table (K1/K2); one connection per task, batched inserts."""
+    """Append rows to a table (K1/K2): at most ``partitions`` connections, batched inserts."""
     w = df.write.mode("append")
+    if partitions:
+        w = w.option("numPartitions", partitions)
+    if batch_size:
+        w = w.option("batchsize", batch_size)
     if column_types:
         w = w.option("createTableColumnTypes", column_types)
     w.jdbc(url, table, properties=properties)

@@ -31,7 +31,7 @@ def artifact_manifest(spark: SparkSession, path: str, glob: str = "*",
         F.current_timestamp() + F.make_dt_interval(F.lit(int(expires_days))))
     return files.select(
         F.element_at(F.split("path", "/"), -1).alias("file_name"),
-        F.col("length").alias("size"),
+        F.col("_metadata.file_size").alias("size"),
         F.md5("content").alias("md5"),
         F.array("path").alias("urls"),
         F.create_map(F.lit("md5"), F.md5("content")).alias("hashes"),

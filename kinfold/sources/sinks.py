@@ -1,18 +1,18 @@
 """Writers for restored tables and exported records.
 
-Restored rows are computed once and persisted, then fanned out per target
-table; for files a single ``partitionBy`` write does the fan-out without
-rescanning the input per table.
+A single ``partitionBy`` write fans the restored rows out by target table.  Sinks with
+one write per table read that table's folder back, so nothing is computed twice or cached.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kinfold.model import Dictionary
 from kinfold.operators.records import ordered_for_write
 from kinfold.operators.restore import Restored
+from kinfold.session import scratch_dir
 from kinfold.sources.jdbc import append_table
 
 NODE_COLUMNS = ["node_id", "_props", "acl", "_sysan", "created"]
@@ -33,50 +33,44 @@ def write_restored_files(restored: Restored, path: str, mode: str = "append") ->
     restored.edges.write.mode(mode).partitionBy("edge_table").parquet(f"{path}/edges")
 
 
-def write_restored_jdbc(restored: Restored, url: str, properties: dict[str, str]) -> None:
-    """Append every node and edge table over JDBC.
+def _staged(restored: Restored) -> tuple[DataFrame, DataFrame]:
+    """The restored rows, written once to the shared folder by target table; a filter on the table then prunes."""
+    spark = restored.nodes.sparkSession
+    path = scratch_dir(spark, "restored-staging")
+    write_restored_files(restored, path, mode="errorifexists")
+    return (spark.read.schema(restored.nodes.schema).parquet(f"{path}/nodes"),
+            spark.read.schema(restored.edges.schema).parquet(f"{path}/edges"))
 
-    The restored frames are persisted so the per-table writes scan them once;
-    the table lists are small aggregates (one row per type).
+
+def write_restored_jdbc(restored: Restored, d: Dictionary, url: str, properties: dict[str, str],
+                        partitions: int | None = None, batch_size: int | None = None) -> None:
+    """Append every node and edge table of the dictionary over JDBC.
+
+    ``partitions`` bounds the connections that are open at once, ``batch_size`` the rows of a statement.
     """
-    nodes = restored.nodes.persist(StorageLevel.MEMORY_AND_DISK)
-    edges = restored.edges.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        for row in nodes.select("node_table").distinct().collect():
-            t = row["node_table"]
-            append_table(nodes.where(F.col("node_table") == t).select(*NODE_COLUMNS),
-                         url, t, properties)
-        for row in edges.select("edge_table").distinct().collect():
-            t = row["edge_table"]
-            append_table(edges.where(F.col("edge_table") == t).select(*EDGE_COLUMNS),
-                         url, t, properties)
-    finally:
-        nodes.unpersist()
-        edges.unpersist()
+    nodes, edges = _staged(restored)
+    for frame, column, names, keep in (
+            (nodes, "node_table", sorted(d.node_tables.values()), NODE_COLUMNS),
+            (edges, "edge_table", [e.edge_table for e in d.edge_types], EDGE_COLUMNS)):
+        for t in names:
+            append_table(frame.where(F.col(column) == t).select(*keep), url, t, properties, partitions, batch_size)
 
 
 def write_restored_tables(restored: Restored, node_tables: list[str], edge_tables: list[str],
                           database: str, location: str, buckets: int,
                           mode: str = "append") -> None:
-    """Restore into catalog tables bucketed on their join keys (K1/K2 at scale).
+    """Restore into catalog tables bucketed on their unique keys (K1/K2 at scale).
 
-    Node tables are bucketed and sorted by ``node_id``, edge tables by
-    ``dst_id`` (the key of down visits, where the large tables are).  Later
-    walks and node joins over these tables then shuffle only the frontier
-    side; the big side is read bucket by bucket without an exchange.  Data
+    Node tables are bucketed and sorted by ``node_id``, edge tables by ``src_id``: a child has a few
+    parents, while a parent may hold a third of all edges and would fill one bucket.  Up visits and
+    node joins then shuffle only the frontier side; down visits shuffle the edges, where AQE can split a
+    hot parent.  Rows are dealt out by the bucket key first, so there is one file per bucket.  Data
     files live under ``location`` (shared storage), one folder per table.
     """
-    nodes = restored.nodes.persist(StorageLevel.MEMORY_AND_DISK)
-    edges = restored.edges.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        for t in node_tables:
-            (nodes.where(F.col("node_table") == t).select(*NODE_COLUMNS).write.mode(mode)
-             .bucketBy(buckets, "node_id").sortBy("node_id")
-             .option("path", f"{location}/{t}").saveAsTable(f"{database}.{t}"))
-        for t in edge_tables:
-            (edges.where(F.col("edge_table") == t).select(*EDGE_COLUMNS).write.mode(mode)
-             .bucketBy(buckets, "dst_id").sortBy("dst_id")
+    nodes, edges = _staged(restored)
+    for frame, column, names, keep, key in ((nodes, "node_table", node_tables, NODE_COLUMNS, "node_id"),
+                                            (edges, "edge_table", edge_tables, EDGE_COLUMNS, "src_id")):
+        for t in names:
+            (frame.where(F.col(column) == t).select(*keep).repartition(buckets, key).write.mode(mode)
+             .bucketBy(buckets, key).sortBy(key)
              .option("path", f"{location}/{t}").saveAsTable(f"{database}.{t}"))
-    finally:
-        nodes.unpersist()
-        edges.unpersist()

@@ -27,6 +27,22 @@ LINKS = (
     ("lineitem_part", "lineitem", "part", "l_partkey"),
     ("lineitem_supplier", "lineitem", "supplier", "l_suppkey"),
 )
+# fixed values: columns of the given tables, for the oracles
+COLUMNS = {
+    "region": {"r_regionkey": "int", "r_name": "string"},
+    "nation": {"n_nationkey": "int", "n_name": "string", "n_regionkey": "int"},
+    "customer": {"c_custkey": "bigint", "c_name": "string", "c_nationkey": "int",
+                 "c_acctbal": "double", "c_mktsegment": "string"},
+    "supplier": {"s_suppkey": "bigint", "s_name": "string", "s_nationkey": "int", "s_acctbal": "double"},
+    "part": {"p_partkey": "bigint", "p_name": "string", "p_brand": "string", "p_type": "string",
+             "p_size": "int", "p_retailprice": "double"},
+    "orders": {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string",
+               "o_totalprice": "double", "o_orderdate": "timestamp", "o_orderpriority": "string"},
+    "lineitem": {"l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint",
+                 "l_linenumber": "int", "l_quantity": "double", "l_extendedprice": "double",
+                 "l_discount": "double", "l_tax": "double", "l_returnflag": "string",
+                 "l_linestatus": "string", "l_shipdate": "timestamp"},
+}
 ENUM_SYMBOLS = {
     "c_mktsegment": ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"),
     "o_orderstatus": ("F", "O", "P"),
@@ -45,7 +61,7 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-_SCANS: dict[tuple[int, str], DataFrame] = {}
+_SCANS: dict[tuple[str, str], DataFrame] = {}
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,7 +71,7 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     the walk reads the same tables many times, so the scan is reused.
     """
     path = table_path(sf_dir, name)
-    key = (id(spark._jsparkSession), path)
+    key = (spark.sparkContext.applicationId, path)
     df = _SCANS.get(key)
     if df is None:
         df = spark.read.parquet(path)
@@ -90,13 +106,13 @@ def node_id_sql(label: str) -> str:
     return f"{KEY_COLUMNS[label]}::varchar"
 
 
-_DICTS: dict[tuple[int, str], Dictionary] = {}
-_GRAPHS: dict[tuple[int, str, bool], Graph] = {}
+_DICTS: dict[tuple[str, str], Dictionary] = {}
+_GRAPHS: dict[tuple[str, str, bool], Graph] = {}
 
 
 def star_dictionary(spark: SparkSession, sf_dir: str) -> Dictionary:
     """Dictionary of the star schema; field types read from the Parquet footers."""
-    key = (id(spark._jsparkSession), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _DICTS:
         _DICTS[key] = _build_dictionary(spark, sf_dir)
     return _DICTS[key]
@@ -121,7 +137,7 @@ def star_graph(spark: SparkSession, sf_dir: str, encode_enums: bool = True) -> G
     Object expressions are built once per type and reused: building the
     enum-codec lambdas costs hundreds of py4j calls per type.
     """
-    key = (id(spark._jsparkSession), sf_dir, encode_enums)
+    key = (spark.sparkContext.applicationId, sf_dir, encode_enums)
     if key not in _GRAPHS:
         _GRAPHS[key] = _build_graph(spark, sf_dir, encode_enums)
     return _GRAPHS[key]
@@ -211,7 +227,14 @@ def _build_graph(spark: SparkSession, sf_dir: str, encode_enums: bool) -> Graph:
                   .select(node_id(child).alias("src_id"),
                           F.col(col).cast("string").alias("dst_id")))
 
-    return Graph(spark, d, nodes, edges, node_object, typed_object, lookup, edge_filter)
+    def edge_counts(label: str) -> DataFrame:
+        own = [(t, col) for t, c, _, col in LINKS if c == label]
+        counted = read(spark, sf_dir, label).agg(*(F.count(col).alias(t) for t, col in own))
+        return counted.select(F.inline(F.array(*(
+            F.struct(F.lit(t).alias("edge_table"), F.col(t).alias("n_edges")) for t, _ in own))))
+
+    return Graph(spark, d, nodes, edges, node_object, typed_object, lookup, edge_filter,
+                 object_encoded=encode_enums, edge_counts=edge_counts)
 
 
 def cohort_index(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -56,7 +56,7 @@ def test_container_round_trip(spark):
     # restore decodes the enum symbols back to text
     d = w.graph.dictionary
     nodes = {r["node_id"]: json.loads(r["_props"])
-             for r in rs.restore_records(recs, d).nodes.collect()}
+             for r in rs.restore_records(recs, d, encoded=True).nodes.collect()}
     assert nodes["C1"] == {"age": 30, "vital": "alive > 1y"}
     assert nodes["T1"] == {"title": "t one", "phase": "phase 1"}
 
@@ -74,23 +74,6 @@ def test_records_sink_and_manifest(spark):
     assert all(r["expires_at"] > 0 for r in m)
 
 
-def test_restore_stream(spark):
-    from kinfold.streaming.restore_stream import restore_stream
-
-    w = _walk(spark)
-    src = scratch_dir(spark, f"test-stream-src-{uuid.uuid4().hex[:6]}")
-    dst = scratch_dir(spark, f"test-stream-dst-{uuid.uuid4().hex[:6]}")
-    walk_records(w).write.parquet(f"{src}/batch-1")
-    q = restore_stream(spark, src, dst, w.graph.dictionary)
-    q.awaitTermination(120)
-    nodes = spark.read.parquet(f"{dst}/nodes")
-    assert sorted((r["node_table"], r["node_id"]) for r in nodes.collect()) == [
-        ("node_case", "C1"), ("node_case", "C2"), ("node_study", "T1")]
-    edges = spark.read.parquet(f"{dst}/edges")
-    assert sorted((r["edge_table"], r["src_id"], r["dst_id"]) for r in edges.collect()) == [
-        ("case_study", "C1", "T1"), ("case_study", "C2", "T1")]
-
-
 def test_import_decodes_with_container_schema(spark):
     from kinfold import jobs
     from kinfold.model import Dictionary
@@ -126,21 +109,6 @@ def test_reimport_skips_existing_rows(spark):
     assert spark.read.parquet(f"{target}/nodes").count() == 6
 
 
-def test_restore_stream_from_containers(spark):
-    from kinfold.streaming.restore_stream import restore_stream
-
-    w = _walk(spark)
-    src = scratch_dir(spark, f"test-stream-avro-{uuid.uuid4().hex[:6]}")
-    dst = scratch_dir(spark, f"test-stream-avro-out-{uuid.uuid4().hex[:6]}")
-    ct.write_container(w, f"{src}/export-1")
-    q = restore_stream(spark, src, dst, w.graph.dictionary, fmt="avro")
-    q.awaitTermination(120)
-    nodes = {r["node_id"]: json.loads(r["_props"]) for r in
-             spark.read.parquet(f"{dst}/nodes").collect()}
-    assert nodes["C1"] == {"age": 30, "vital": "alive > 1y"}
-    assert sorted(nodes) == ["C1", "C2", "T1"]
-
-
 def test_bucketed_restore_and_walk_back(spark):
     from kinfold.model import catalog_graph
     from kinfold.sources.sinks import write_restored_tables
@@ -185,9 +153,55 @@ def test_enum_arrays_round_trip(spark):
     raw = {r["id"]: json.loads(r["object"]) for r in rs.data_records(recs).collect()}
     assert raw["T1"] == {"tags": ["a_20_b", "c"], "one": "x_2d_y"}
     back = {r["node_id"]: json.loads(r["_props"])
-            for r in rs.restore_records(recs, g.dictionary).nodes.collect()}
+            for r in rs.restore_records(recs, g.dictionary, encoded=True).nodes.collect()}
     assert back["T1"] == {"tags": ["a b", "c"], "one": "x-y"}
     assert back["T2"] == {"tags": None, "one": None}
     fields = {(r["name"], r["field"]): r["is_enum"]
               for r in ct.container_schema_fields(spark, path).collect()}
     assert fields[("study", "tags")] is True
+
+
+def test_bucketed_edges_spread_a_hot_parent(spark):
+    from kinfold.model import Dictionary, EdgeType, catalog_graph
+    from kinfold.sources.sinks import write_restored_tables
+
+    d = Dictionary({"p": "node_p", "c": "node_c"}, [EdgeType("c_p", "c", "p")])
+    rel = "array<struct<dst_id:string,dst_name:string>>"
+    rows = [("p", f"P{i}", "{}", []) for i in range(40)] + [
+        ("c", f"C{i}", "{}", [("P0" if i % 3 == 0 else f"P{i % 40}", "p")]) for i in range(600)]
+    recs = spark.createDataFrame(rows, f"name string, id string, object string, relations {rel}")
+    db = f"kf_{uuid.uuid4().hex[:8]}"
+    loc = scratch_dir(spark, db)
+    spark.sql(f"create database {db} location '{loc}/db'")
+    write_restored_tables(rs.restore_records(recs, d), ["node_p", "node_c"], ["c_p"], db, loc, buckets=8)
+    edges = spark.table(f"{db}.c_p")
+    per_file = [r["count"] for r in edges.groupBy("_metadata.file_path").count().collect()]
+    assert len(per_file) == 8 and max(per_file) < 2 * 600 / 8  # a third of the edges has one parent
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ids = spark.createDataFrame([("P0",)], "id string")
+        plan = catalog_graph(spark, d, db).semi_edges("c_p", "dst", ids)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "Bucketed: true" not in plan and "hashpartitioning(dst_id" in plan
+
+
+def test_stored_objects_that_a_container_cannot_hold_fail(spark):
+    import pytest
+
+    from kinfold.model import Dictionary, PropField, tables_graph
+
+    d = Dictionary({"s": "node_s"}, [], [PropField("s", "n", "bigint"), PropField("s", "t", "string")])
+    good = '{"n": 12, "t": "x"}'
+    c = spark.createDataFrame([("1",), ("2",)], "id string")
+    for bad in ('{"n":"12"}', '{"n":1.5}', '{"n":1,"x":1}', "not json", '{"t":5}'):
+        table = spark.createDataFrame([("1", good), ("2", bad)], "node_id string, _props string")
+        w = walk_graph(tables_graph(spark, d, lambda name, table=table: table), c, "s")
+        with pytest.raises(Exception, match="does not fit type s: id 2"):
+            ct.write_container(w, scratch_dir(spark, f"test-misfit-{uuid.uuid4().hex[:6]}"))
+    table = spark.createDataFrame([("1", good), ("2", '{"n":null}')], "node_id string, _props string")
+    path = scratch_dir(spark, f"test-fit-{uuid.uuid4().hex[:6]}")
+    ct.write_container(walk_graph(tables_graph(spark, d, lambda name: table), c, "s"), path)
+    back = {r["id"]: json.loads(r["object"]) for r in rs.data_records(ct.read_container(spark, path)).collect()}
+    assert back == {"1": {"n": 12, "t": "x"}, "2": {"n": None, "t": None}}

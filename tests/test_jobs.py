@@ -13,12 +13,22 @@ from kinfold.sources import star
 SF = "/root/testdata/sf0.001"
 
 
+def walk_folders(spark):
+    from kinfold.session import ensure_checkpoint_dir
+
+    jvm = spark._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path(ensure_checkpoint_dir(spark).rstrip("/") + "/walk-*")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    return {f.getPath().toString() for f in found}
+
+
 def test_request_parsing():
     r = jobs.parse_request('{"filter": {"=": {"c_nationkey": 7}}}', "customer")
     assert r.root == "customer" and r.filter == {"=": {"c_nationkey": 7}} and r.extra == []
     r = jobs.parse_request({"root_node": "orders"}, "customer", "part, supplier")
     assert r.root == "orders" and r.extra == ["part", " supplier"]  # items not trimmed
-    assert jobs.parse_extra("", "x", {"x": ["y"]}) == []
+    assert jobs.parse_extra("", "x", {"x": ["y"]}) == ["y"]  # the root's own extras always apply
+    assert jobs.parse_extra("", "x") == []
     assert jobs.parse_extra(None, "x", {"x": ["y"]}) == ["y"]
     assert jobs.parse_extra("a", "x", {"x": ["y"]}) == ["a", "y"]
     assert ":" not in jobs.run_name()
@@ -29,9 +39,11 @@ def test_export_then_import(spark):
     index = star.cohort_index(spark, SF)
     req = jobs.parse_request({"filter": {"=": {"c_nationkey": 7}}}, "customer", "supplier")
     base = scratch_dir(spark, f"test-jobs-{uuid.uuid4().hex[:6]}")
+    before = walk_folders(spark)
     res = jobs.export_job(graph, index, req, base, star.grants(spark, SF))
     files = res.manifest.collect()
     assert files and all(f["file_name"].endswith(".avro") for f in files)
+    assert not [p for p in walk_folders(spark) if p not in before]  # the walk's states are deleted
     assert [r[0] for r in res.authz.collect()] == ["/programs/ASIA/projects/NATION_7"]
     target = f"{base}/restored"
     restored = jobs.import_job(spark, res.path, star.star_dictionary(spark, SF), target=target)
@@ -85,5 +97,10 @@ def test_parquet_export_then_import(spark):
     assert ranks["region"] < ranks["nation"] < ranks["customer"] < ranks["orders"] < ranks["lineitem"]
     target = f"{base}/restored"
     jobs.import_job(spark, res.path, star.star_dictionary(spark, SF), target=target, fmt="parquet")
-    n = spark.read.parquet(f"{target}/nodes").count()
-    assert n == recs.count()
+    nodes = spark.read.parquet(f"{target}/nodes")
+    assert nodes.count() == recs.count()
+    # Parquet records hold plain text, and the import leaves it as it is
+    plain = recs.where("name = 'orders'").select("id", "object").collect()
+    assert any('"5-LOW"' in r["object"] or '"1-URGENT"' in r["object"] for r in plain)
+    back = {r["node_id"]: r["_props"] for r in nodes.where("node_table = 'node_orders'").collect()}
+    assert back == {r["id"]: r["object"] for r in plain}

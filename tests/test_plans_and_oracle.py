@@ -43,10 +43,39 @@ def test_edge_scans_read_key_columns_only(spark):
             assert "l_quantity" not in line and "l_extendedprice" not in line
 
 
+def test_exports_read_every_node_column(spark):
+    plan = executed_plan(registry.q_export_records(spark, SF))
+    for column in ("l_extendedprice", "o_totalprice", "c_mktsegment", "s_acctbal", "n_name", "r_name"):
+        assert column in plan
+
+
+def test_edge_tables_are_read_once_per_visit(spark):
+    """A second visit of a type builds on the written state of the first."""
+    from kinfold.sources import star
+
+    graph = star.star_graph(spark, SF)
+    reads = []
+    counted = graph.edge_filter
+
+    def edge_filter(table, side, ids):
+        reads.append((table, side))
+        return counted(table, side, ids)
+
+    from dataclasses import replace
+
+    from kinfold.operators.traverse import walk_graph
+
+    walk = walk_graph(replace(graph, edge_filter=edge_filter), registry.flagship_cohort(spark, SF), "customer", ["nation"], True)
+    assert len(reads) == len(set(reads))
+    plan = walk.states["nation"]._jdf.queryExecution().executedPlan().toString()
+    assert "customer.parquet" not in plan and "nation.parquet" not in plan
+    walk.cleanup()
+
+
 def test_entry_smoke(spark):
     df = entry_mod.entry(spark)
     rows = df.collect()
-    assert rows and df.columns == ["topo_rank", "name", "id", "relations"]
+    assert rows and df.columns == ["topo_rank", "name", "id", "object", "relations"]
 
 
 @pytest.fixture(scope="module")

@@ -180,11 +180,78 @@ def test_restore_decodes_enums_and_keeps_nulls(spark):
          ("Metadata", "m", "{}", [])],
         "name string, id string, object string, "
         "relations array<struct<dst_id:string,dst_name:string>>")
-    r = rs.restore_records(recs, d)
+    r = rs.restore_records(recs, d, encoded=True)
     got = {x["node_id"]: json.loads(x["_props"]) for x in r.nodes.collect()}
     assert got == {"1": {"kind": "bpm > 60", "n": 1}, "2": {"kind": None, "n": None}}
 
 
+def _rows(spark, rows):
+    return spark.createDataFrame(rows, "name string, id string, object string, relations array<struct<dst_id:string,dst_name:string>>")
+
+
+KIND = Dictionary({"s": "node_s"}, [], [PropField("s", "kind", "string", True), PropField("s", "n", "int"),
+                                        PropField("s", "tags", "array<string>", True)])
+
+
+def test_restore_keeps_every_field_and_value(spark):
+    objects = ['{"kind":"a_20_b","n":"12","extra_field":{"deep":[1,2.50,null]}}', '{"kind":"plain","n":1.5}',
+               '{"kind":5,"tags":["x_20_y","z"],"other":"x_20_y"}', '{"tags":"x_20_y"}', "{}", None]
+    recs = _rows(spark, [("s", str(i), o, []) for i, o in enumerate(objects)])
+    plain = {r["node_id"]: r["_props"] for r in rs.restore_records(recs, KIND).nodes.collect()}
+    assert [plain[str(i)] for i in range(6)] == objects  # never encoded: nothing is decoded
+    got = {r["node_id"]: r["_props"] for r in rs.restore_records(recs, KIND, encoded=True).nodes.collect()}
+    assert [got[str(i)] and json.loads(got[str(i)]) for i in range(6)] == [
+        {"kind": "a b", "n": "12", "extra_field": {"deep": [1, 2.5, None]}}, {"kind": "plain", "n": 1.5},
+        {"kind": 5, "tags": ["x y", "z"], "other": "x_20_y"}, {"tags": "x y"}, {}, None]
+
+
+def test_import_problems_in_one_scan(spark):
+    recs = _rows(spark, [("s", "1", "{}", []), (None, "2", "{}", []), ("s", None, "{}", []), ("x", "3", "{}", [("1", "s")]),
+                         ("s", "4", "{bad", [("1", "s"), (None, "s")]), ("Metadata", None, "{}", []), ("s", "5", None, None)])
+    d = Dictionary({"s": "node_s", "t": "node_t"}, [EdgeType("s_t", "s", "t")])
+    frame = rs.import_problems(recs, d)
+    assert sorted((tuple(r) for r in frame.collect()), key=repr) == sorted([
+        ("unknown type", None, None, 1), ("null id", "s", None, 1), ("unknown type", "x", None, 1),
+        ("unknown edge", "x", "s", 1), ("malformed object", "s", None, 1), ("unknown edge", "s", "s", 2)], key=repr)
+    with pytest.raises(GraphError, match="unknown type None"):
+        rs.validate_records(recs, d)
+    for bad in ("name IS NULL", "id IS NULL AND name = 's'"):
+        with pytest.raises(Exception, match="unknown entity type null|null id of type s"):
+            rs.restore_records(recs.where(bad), d).nodes.collect()
+
+
+def test_import_problems_scan_the_input_once(spark, tmp_path):
+    recs = _rows(spark, [("s", "1", "{}", [])])
+    recs.write.parquet(str(tmp_path / "r"))
+    plan = rs.import_problems(spark.read.parquet(str(tmp_path / "r")), KIND)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+
+
+def test_literal_null_ids_fail(spark):
+    from kinfold.sources.jdbc import keyed_scan
+
+    with pytest.raises(GraphError, match="null id"):
+        keyed_scan(spark.range(3), ["1", None], "id")
+
+
+@pytest.mark.parametrize("text", ["x_20_y", "_ab c", "__20__", "a_5f_b", "_1f600_", "1_20 _30_", "_20", "é_e9_é", "_abc1234_", "a _ b", "_ab_20_cd_ "])
+def test_enum_codec_is_exact_for_text_that_looks_escaped(spark, text):
+    row = spark.createDataFrame([(text,)], "v string").select(encode_enum("v").alias("e")).select("e", decode_enum("e").alias("d")).first()
+    assert row["d"] == text and row["e"] == encode_symbol(text)
+
+
+def test_type_graph_of_many_layers(spark):
+    # every layer's two types link to both types above: 2 ** 30 paths, 30 levels
+    edges = [(f"e{i}{a}{b}", f"t{i + 1}{a}", f"t{i}{b}") for i in range(30) for a in "xy" for b in "xy"]
+    et = spark.createDataFrame(edges, "edge_table string, src_label string, dst_label string")
+    up = {r["label"]: r["depth"] for r in tg.type_depths(et, "t30x", "up", 62).collect()}
+    assert up["t0x"] == up["t0y"] == 30 and len(up) == 61
+    assert {r["label"]: r["level"] for r in tg.type_bfs(et, "t0x", 62).collect()}["t30y"] == 30
+    loop = spark.createDataFrame([("a", "x", "y"), ("b", "y", "x")], "edge_table string, src_label string, dst_label string")
+    with pytest.raises(GraphError, match="cycle"):
+        tg.type_depths(loop, "x", "up", 2)
+
+
 def test_dictionary_save_and_load(spark):
     import uuid
 
