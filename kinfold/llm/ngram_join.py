@@ -12,9 +12,11 @@ spare + 1 of them equal.  A set may therefore leave out its `spare` most common
 empty partitions first) and still shares one with every linked set: each signature left stands for
 all subsets of spare + 1 partitions that contain it as the rarest.  Sets with too few shared signatures have no link.
 
-Verification.  Sets joined by kept signatures form clusters; a cluster's sets are compared exactly
-within tasks, a large cluster as pairs of blocks of bounded size.  Tasks return spanning links and
-degrees, never pairs.  Nothing is capped.
+Verification.  Sets joined by kept signatures form clusters.  Within a cluster, first the shared signatures
+are compared: two sets that have fewer in common than linked sets must have are no pair, and the pairs left
+form finer clusters.  Only their members' sets are made again and compared exactly.  Both times a
+large cluster is compared as pairs of blocks of bounded size, and tasks return spanning links and degrees,
+never pairs.  Nothing is capped.
 
 Documents without words have an empty set, are linked with nothing and are their own component.  Null
 texts count as empty; rows with a null id are returned, but a component is named by its smallest
@@ -183,6 +185,51 @@ def intersections(sets: list[np.ndarray]) -> np.ndarray:
     return total.astype(np.int64)
 
 
+def _spanning(sid: np.ndarray, linked: np.ndarray) -> np.ndarray:
+    """The smallest sid that each set reaches by the links of a task."""
+    label = sid.copy()
+    while True:
+        low = np.minimum(label, np.where(linked, label[None, :], np.iinfo(np.int64).max).min(axis=1))
+        if (low == label).all():
+            return label
+        label = low
+
+
+def _across(linked: np.ndarray, side: np.ndarray) -> np.ndarray:
+    """Only links between the two blocks (sides 1 and 2) of a pair of blocks, or within a task's only block (0)."""
+    linked &= (side[:, None] == 0) | (side[:, None] != side[None, :])
+    np.fill_diagonal(linked, False)
+    return linked
+
+
+def _candidates(group: pa.Table) -> pa.Table:
+    """Spanning links of the sets that have as many signatures of a band in common as linked sets must have."""
+    cluster, sid, side = (group[c].to_numpy() for c in ("cluster", "sid", "side"))
+    lists = [group[c].combine_chunks() for c in ("sigs", "needs")]
+    offsets = lists[0].offsets.to_numpy()
+    sigs, needs = (x.values.to_numpy() for x in lists)
+    order = np.argsort(cluster, kind="stable")
+    out: list[np.ndarray] = []
+    for at in np.split(order, np.flatnonzero(np.diff(cluster[order])) + 1):
+        linked = np.zeros((len(at), len(at)), bool)
+        own = [slice(offsets[i], offsets[i + 1]) for i in at]
+        row = np.repeat(np.arange(len(at)), [x.stop - x.start for x in own])
+        sig, need = (np.concatenate([x[y] for y in own]) for x in (sigs, needs))
+        for level in np.unique(sig & (_LEVELS - 1)):
+            here = np.flatnonzero(sig & (_LEVELS - 1) == level)
+            docs, first = np.unique(row[here], return_index=True)
+            if len(docs) < 2:
+                continue
+            both = intersections(np.split(sig[here], first[1:]))
+            least = need[here][first]
+            linked[np.ix_(docs, docs)] |= both >= np.maximum(least[:, None], least[None, :])
+        linked = _across(linked, side[at])
+        some = linked.any(axis=1)
+        out.append(np.stack((sid[at], _spanning(sid[at], linked)))[:, some])
+    a, b = np.concatenate(out, axis=1)
+    return pa.table([a, b], ["a", "b"])
+
+
 def _verify(threshold: int):
     def verify(group: pa.Table) -> pa.Table:
         """Spanning links of the linked sets of a task, and each set's number of linked documents."""
@@ -195,25 +242,35 @@ def _verify(threshold: int):
             at = at[first]
             sets = [np.frombuffer(features[i], np.uint64) for i in at]
             size = np.array([len(s) for s in sets])
-            both = intersections(sets)
-            linked = (100 + threshold) * both >= threshold * (size[:, None] + size[None, :])
-            # side 1 and 2 are the two blocks of a pair of blocks, 0 is a task's only block
-            linked &= (side[at][:, None] == 0) | (side[at][:, None] != side[at][None, :])
-            np.fill_diagonal(linked, False)
-            label = sid[at].copy()
-            while True:
-                low = np.minimum(label, np.where(linked, label[None, :], np.iinfo(np.int64).max).min(axis=1))
-                if (low == label).all():
-                    break
-                label = low
+            linked = _across((100 + threshold) * intersections(sets) >= threshold * (size[:, None] + size[None, :]), side[at])
             some = linked.any(axis=1)
-            out.append(np.stack((sid[at], label, linked @ copies[at]))[:, some])
+            out.append(np.stack((sid[at], _spanning(sid[at], linked), linked @ copies[at]))[:, some])
         a, b, degree = np.concatenate(out, axis=1) if out else np.empty((3, 0), np.int64)
         return pa.table([a, b, degree], ["a", "b", "degree"])
 
     return verify
 
 
+def _tasks(members: DataFrame, threshold: int, block: int) -> DataFrame:
+    """members (cluster, sid, size, ...) with a task and a side: small clusters share tasks, large ones become pairs of blocks.
+
+    The blocks of a large cluster hold sets of one size band, as only sets of the same or the next band can be linked.
+    """
+    totals = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("total"))
+    band = F.when(F.col("total") > block, F.floor(F.log(F.col("size").cast("double")) / F.lit(float(np.log(100 / threshold))))).otherwise(0).cast("int")
+    banded = members.join(totals, "cluster").withColumn("band", band)
+    blocks = banded.groupBy("cluster", "band").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("blocks"))
+    plan = blocks.groupBy("cluster").agg(F.map_from_entries(F.collect_list(F.struct("band", "blocks"))).alias("plan"))
+    few = max(1, members.count() // block)
+    own = F.pmod(F.xxhash64("sid"), F.element_at("plan", F.col("band"))).cast("int")
+    other = F.explode(F.expr("flatten(transform(filter(map_keys(plan), x -> abs(x - band) <= 1), x -> transform(sequence(0, plan[x] - 1), y -> struct(x AS band, y AS block))))"))
+    placed = banded.join(plan, "cluster").withColumn("own", F.struct(F.col("band").alias("band"), own.alias("block"))).withColumn("other", other)
+    side = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).cast("long")
+    pair = F.xxhash64("cluster", F.least("own", "other"), F.greatest("own", "other"))
+    task = F.when(F.col("total") <= block, F.pmod(F.xxhash64("cluster"), F.lit(few))).otherwise(F.least(F.lit(-1), -F.abs(pair / 2).cast("long")))
+    return placed.select(task.alias("task"), side.alias("side"), *members.columns)
+
+
 def joined(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, threshold: int = THRESHOLD, block: int = BLOCK) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, n_links (other documents it is linked to)."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
@@ -224,32 +281,25 @@ def joined(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: i
     classes = written(documents.where("size > 0").groupBy("sid").agg(
         F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies"), F.first("size").alias("size")), "classes")
 
-    # signatures that more than one set has, without each set's `need - 1` most common ones
+    # signatures that more than one set has; clusters by those without each set's `need - 1` most common ones
     level = (F.col("sig").bitwiseAND(F.lit(_LEVELS - 1))).alias("level")
     per_set = met.where("sig IS NOT NULL").groupBy("sid", level).agg(F.max("need").alias("need"), F.sort_array(F.collect_list(F.struct("met", "sig"))).alias("own"))
-    kept = per_set.where("size(own) >= need").select("sid", F.explode(F.expr("transform(slice(own, 1, size(own) - need + 1), x -> x.sig)")).alias("sig"))
-    kept = written(kept, "kept")
+    shared = written(per_set.where("size(own) >= need"), "shared")
+    kept = shared.select("sid", F.explode(F.expr("transform(slice(own, 1, size(own) - need + 1), x -> x.sig)")).alias("sig"))
     low = kept.groupBy("sig").agg(F.min("sid").alias("low"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = components(kept.join(low, "sig").select(F.col("sid").alias("a"), F.col("low").alias("b")).distinct())
-    members = written(members.withColumnRenamed("node", "sid").withColumnRenamed("component", "cluster").join(classes, "sid"), "members")
+    rough = components(kept.join(low, "sig").select(F.col("sid").alias("a"), F.col("low").alias("b")).distinct())
 
-    # tasks: small clusters together, large ones as pairs of blocks of sets of near sizes
-    totals = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("total"))
-    band = F.when(F.col("total") > block, F.floor(F.log(F.col("size").cast("double")) / F.lit(float(np.log(100 / threshold))))).otherwise(0).cast("int")
-    banded = members.join(totals, "cluster").withColumn("band", band)
-    blocks = banded.groupBy("cluster", "band").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("blocks"))
-    plan = blocks.groupBy("cluster").agg(F.map_from_entries(F.collect_list(F.struct("band", "blocks"))).alias("plan"))
-    few = max(1, members.count() // block)
-    own = F.pmod(F.xxhash64("sid"), F.element_at("plan", F.col("band"))).cast("int")
-    other = F.explode(F.expr("flatten(transform(filter(map_keys(plan), x -> abs(x - band) <= 1), x -> transform(sequence(0, plan[x] - 1), y -> struct(x AS band, y AS block))))"))
-    placed = banded.join(plan, "cluster").withColumn("own", F.struct(F.col("band").alias("band"), own.alias("block"))).withColumn("other", other)
-    alone = F.col("own") == F.col("other")
-    placed = placed.withColumn("side", F.when(alone, 0).when(F.col("own") < F.col("other"), 1).otherwise(2)).withColumn(
-        "task", F.when(F.col("total") <= block, F.pmod(F.xxhash64("cluster"), F.lit(few))).otherwise(
-            F.least(F.lit(-1), -F.abs(F.xxhash64("cluster", F.least("own", "other"), F.greatest("own", "other")) / 2).cast("long"))))
-    placed = placed.select("task", "cluster", "sid", F.col("side").cast("long").alias("side"), "copies")
+    # finer clusters: the pairs that have enough signatures in common
+    signed_sets = shared.select("sid", F.expr("transform(own, x -> x.sig)").alias("sigs"), F.expr("transform(own, x -> need)").alias("needs")).groupBy("sid").agg(
+        F.flatten(F.collect_list("sigs")).alias("sigs"), F.flatten(F.collect_list("needs")).alias("needs"))
+    rough = rough.withColumnRenamed("node", "sid").withColumnRenamed("component", "cluster").join(classes.select("sid", "size"), "sid")
+    rough = written(rough.join(signed_sets, "sid"), "rough")
+    pairs = _tasks(rough, threshold, block).groupBy("task").applyInArrow(_candidates, "a long, b long")
+    fine = components(written(pairs.where("a <> b"), "pairs"))
+    members = written(fine.withColumnRenamed("node", "sid").withColumnRenamed("component", "cluster").join(classes, "sid"), "members")
 
     # the sets of the clusters' members, made again from one document of each
+    placed = _tasks(members, threshold, block).select("task", "cluster", "sid", "side", "copies")
     reps = members.where("first IS NOT NULL").select(F.col("first").alias("doc_id"), "sid")
     possible = possible_members(rows, F.col("doc_id"), reps, F.col("doc_id")).where("_possible").drop("_possible")
     sets = possible.join(reps, "doc_id").select("sid", "text").mapInArrow(_sets(width), "sid long, own long, features binary").where("sid = own").drop("own")
