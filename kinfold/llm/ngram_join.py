@@ -160,7 +160,7 @@ def _sets(width: int):
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in chunks(batches):
             found = [shingles(t, width) for t in texts]
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(signed(np.array([set_id(s) for s in found], np.uint64))), pa.array([s.tobytes() for s in found], pa.binary())], ["sid", "own", "features"])
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(signed(np.array([set_id(s) for s in found], np.uint64))), pa.array([s.tobytes() for s in found], pa.binary())], ["sid", "places", "own", "features"])
 
     return make
 
@@ -257,9 +257,11 @@ def _tasks(members: DataFrame, threshold: int, block: int) -> DataFrame:
     The blocks of a large cluster hold sets of one size band, as only sets of the same or the next band can be linked.
     """
     totals = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("total"))
-    band = F.when(F.col("total") > block, F.floor(F.log(F.col("size").cast("double")) / F.lit(float(np.log(100 / threshold))))).otherwise(0).cast("int")
+    whole = 4 * block  # sets of a cluster that one task compares as they are
+    band = F.when(F.col("total") > whole, F.floor(F.log(F.col("size").cast("double")) / F.lit(float(np.log(100 / threshold))))).otherwise(0).cast("int")
     banded = members.join(totals, "cluster").withColumn("band", band)
-    blocks = banded.groupBy("cluster", "band").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("blocks"))
+    blocks = banded.groupBy("cluster", "band").agg(
+        F.when(F.max("total") > whole, F.ceil(F.count(F.lit(1)) / F.lit(block))).otherwise(1).cast("int").alias("blocks"))
     plan = blocks.groupBy("cluster").agg(F.map_from_entries(F.collect_list(F.struct("band", "blocks"))).alias("plan"))
     few = max(1, members.count() // block)
     own = F.pmod(F.xxhash64("sid"), F.element_at("plan", F.col("band"))).cast("int")
@@ -267,7 +269,7 @@ def _tasks(members: DataFrame, threshold: int, block: int) -> DataFrame:
     placed = banded.join(plan, "cluster").withColumn("own", F.struct(F.col("band").alias("band"), own.alias("block"))).withColumn("other", other)
     side = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).cast("long")
     pair = F.xxhash64("cluster", F.least("own", "other"), F.greatest("own", "other"))
-    task = F.when(F.col("total") <= block, F.pmod(F.xxhash64("cluster"), F.lit(few))).otherwise(F.least(F.lit(-1), -F.abs(pair / 2).cast("long")))
+    task = F.when(F.col("total") <= whole, F.pmod(F.xxhash64("cluster"), F.lit(few))).otherwise(F.least(F.lit(-1), -F.abs(pair / 2).cast("long")))
     return placed.select(task.alias("task"), side.alias("side"), *members.columns)
 
 
@@ -299,11 +301,15 @@ def joined(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: i
     members = written(fine.withColumnRenamed("node", "sid").withColumnRenamed("component", "cluster").join(classes, "sid"), "members")
 
     # the sets of the clusters' members, made again from one document of each
-    placed = _tasks(members, threshold, block).select("task", "cluster", "sid", "side", "copies")
-    reps = members.where("first IS NOT NULL").select(F.col("first").alias("doc_id"), "sid")
+    # (a set goes straight to its tasks: only texts of members and the placed sets are shuffled)
+    place = "struct<task:long,cluster:long,side:long,copies:long>"
+    places = _tasks(members, threshold, block).groupBy("sid").agg(F.collect_list(F.struct("task", "cluster", "side", "copies")).alias("places"))
+    reps = members.where("first IS NOT NULL").select(F.col("first").alias("doc_id"), "sid").join(places, "sid")
+    reps = written(reps, "places")
     possible = possible_members(rows, F.col("doc_id"), reps, F.col("doc_id")).where("_possible").drop("_possible")
-    sets = possible.join(reps, "doc_id").select("sid", "text").mapInArrow(_sets(width), "sid long, own long, features binary").where("sid = own").drop("own")
-    found = written(placed.join(sets, "sid").groupBy("task").applyInArrow(_verify(threshold), "a long, b long, degree long"), "links")
+    sets = possible.join(reps, "doc_id").select("sid", "places", "text").mapInArrow(_sets(width), f"sid long, places array<{place}>, own long, features binary")
+    placed = sets.where("sid = own").select("sid", "features", F.inline("places"))
+    found = written(placed.groupBy("task").applyInArrow(_verify(threshold), "a long, b long, degree long"), "links")
 
     merged = components(found.select("a", "b").where("a <> b"))
     merged = merged.withColumnRenamed("node", "sid").join(classes.select("sid", "first"), "sid")
