@@ -12,9 +12,10 @@ spare + 1 of them equal.  A set may therefore leave out its `spare` most common
 empty partitions first) and still shares one with every linked set: each signature left stands for
 all subsets of spare + 1 partitions that contain it as the rarest.  Sets with too few shared signatures have no link.
 
-Verification.  Sets joined by kept signatures form clusters.  Within a cluster, first the shared signatures
-are compared: two sets that have fewer in common than linked sets must have are no pair, and the pairs left
-form finer clusters.  Only their members' sets are made again and compared exactly.  Both times a
+Verification.  Sets joined by kept signatures form clusters.  Within a cluster, first parity sketches are
+compared: a sketch has 2 to 4 bits a shingle, each the parity of how many shingles fall on it, so two sketches never
+differ in more bits than the sets differ in shingles.  Pairs with more than k differing bits are no links; the
+pairs left form finer clusters, and only their members' sets are made again and compared exactly.  Both times a
 large cluster is compared as pairs of blocks of bounded size, and tasks return spanning links and degrees,
 never pairs.  Nothing is capped.
 
@@ -41,6 +42,7 @@ BLOCK = 512
 BUCKET_BYTES = 2_000_000
 _COLUMNS = 8192
 _LEVELS = 64
+_SKETCH_BITS = 1 << 16
 
 
 def levels(threshold: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -96,23 +98,30 @@ def signatures(s: np.ndarray, threshold: int, tables: tuple) -> Iterator[tuple[n
         yield (h & ~np.uint64(_LEVELS - 1)) | np.uint64(level), max(1, free + 1 - len(empty))
 
 
+def sketch(s: np.ndarray) -> bytes:
+    """The parity of the number of shingles on each bit; 2 to 4 bits a shingle, 64 at least and _SKETCH_BITS at most."""
+    bits = min(_SKETCH_BITS, max(64, 1 << (2 * len(s) - 1).bit_length())) if len(s) else 0
+    return np.packbits(np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1, bitorder="little").tobytes() if bits else b""
+
+
 def _sign(width: int, threshold: int, buckets: int):
     tables = levels(threshold)
     shift = np.uint64(64 - buckets.bit_length() + 1)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, (part, texts) in enumerate(chunks(batches)):
-            ids, sizes, sids, parts = part.column(0), [], [], {}
+            ids, sizes, sids, parts, sketches = part.column(0), [], [], {}, []
             for text in texts:
                 s = shingles(text, width)
                 sid = set_id(s)
                 sizes.append(len(s))
                 sids.append(sid)
+                sketches.append(None if sid in parts or not sid else sketch(s))
                 if sid not in parts:  # equal sets of a chunk sign once
                     parts[sid] = list(signatures(s, threshold, tables)) if sid else []
             found = [(h, need, sid) for sid, own in parts.items() for h, need in own]
             rows: list[tuple] = [(buckets + (TaskContext.get().partitionId() * 8191 + number) % buckets, ids.cast(pa.int64()).fill_null(0).to_numpy().tobytes(), np.array(sids, np.uint64).tobytes(),
-                                  np.array(sizes, np.int64).tobytes(), np.array(ids.is_null()).astype(np.uint8).tobytes())]
+                                  np.array(sizes, np.int64).tobytes(), np.array(ids.is_null()).astype(np.uint8).tobytes(), sketches)]
             if found:
                 h = np.concatenate([x for x, _, _ in found])
                 lengths = [len(x) for x, _, _ in found]
@@ -123,8 +132,8 @@ def _sign(width: int, threshold: int, buckets: int):
                 bucket = (h >> shift).astype(np.int64) if buckets > 1 else np.zeros(len(h), np.int64)
                 cuts = np.flatnonzero(np.diff(bucket)) + 1
                 for b, x, y, z in zip(bucket[np.concatenate(([0], cuts))], np.split(h, cuts), np.split(sid, cuts), np.split(need, cuts), strict=True):
-                    rows.append((int(b), x.tobytes(), y.tobytes(), z.tobytes(), None))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int64()] + [pa.binary()] * 4, strict=True)], ["bucket", "a", "b", "c", "d"])
+                    rows.append((int(b), x.tobytes(), y.tobytes(), z.tobytes(), None, None))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int64()] + [pa.binary()] * 4 + [pa.list_(pa.binary())], strict=True)], ["bucket", "a", "b", "c", "d", "e"])
 
     return sign
 
@@ -134,14 +143,14 @@ def _joined(column: pa.ChunkedArray, dtype: type) -> np.ndarray:
 
 
 def _meet(buckets: int):
-    names = ["doc_id", "sid", "size", "sig", "met", "need"]
+    names = ["doc_id", "sid", "size", "sketch", "sig", "met", "need"]
 
     def meet(group: pa.Table) -> pa.Table:
         """Document rows as they are; of the signatures those that more than one set has."""
         if group["bucket"][0].as_py() >= buckets:
             ids = pa.array(_joined(group["a"], np.int64), mask=_joined(group["d"], np.uint8).astype(bool))
             n = len(ids)
-            return pa.table([ids, signed(_joined(group["b"], np.uint64)), _joined(group["c"], np.int64)] + [pa.nulls(n, pa.int64())] * 3, names)
+            return pa.table([ids, signed(_joined(group["b"], np.uint64)), _joined(group["c"], np.int64), pa.array([x for e in group["e"].to_pylist() for x in e], pa.binary())] + [pa.nulls(n, pa.int64())] * 3, names)
         h, sid, need = _joined(group["a"], np.uint64), _joined(group["b"], np.uint64), _joined(group["c"], np.uint8)
         order = np.lexsort((sid, h))
         h, sid, need = h[order], sid[order], need[order]
@@ -151,7 +160,7 @@ def _meet(buckets: int):
         met = np.repeat(np.diff(np.append(starts, len(h))), np.diff(np.append(starts, len(h))))
         many = met > 1
         n = int(many.sum())
-        return pa.table([pa.nulls(n, pa.int64()), signed(sid[many]), pa.nulls(n, pa.int64()), signed(h[many]), met[many].astype(np.int64), need[many].astype(np.int64)], names)
+        return pa.table([pa.nulls(n, pa.int64()), signed(sid[many]), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), signed(h[many]), met[many].astype(np.int64), need[many].astype(np.int64)], names)
 
     return meet
 
@@ -202,32 +211,39 @@ def _across(linked: np.ndarray, side: np.ndarray) -> np.ndarray:
     return linked
 
 
-def _candidates(group: pa.Table) -> pa.Table:
-    """Spanning links of the sets that have as many signatures of a band in common as linked sets must have."""
-    cluster, sid, side = (group[c].to_numpy() for c in ("cluster", "sid", "side"))
-    lists = [group[c].combine_chunks() for c in ("sigs", "needs")]
-    offsets = lists[0].offsets.to_numpy()
-    sigs, needs = (x.values.to_numpy() for x in lists)
-    order = np.argsort(cluster, kind="stable")
-    out: list[np.ndarray] = []
-    for at in np.split(order, np.flatnonzero(np.diff(cluster[order])) + 1):
-        linked = np.zeros((len(at), len(at)), bool)
-        own = [slice(offsets[i], offsets[i + 1]) for i in at]
-        row = np.repeat(np.arange(len(at)), [x.stop - x.start for x in own])
-        sig, need = (np.concatenate([x[y] for y in own]) for x in (sigs, needs))
-        for level in np.unique(sig & (_LEVELS - 1)):
-            here = np.flatnonzero(sig & (_LEVELS - 1) == level)
-            docs, first = np.unique(row[here], return_index=True)
-            if len(docs) < 2:
-                continue
-            both = intersections(np.split(sig[here], first[1:]))
-            least = need[here][first]
-            linked[np.ix_(docs, docs)] |= both >= np.maximum(least[:, None], least[None, :])
-        linked = _across(linked, side[at])
-        some = linked.any(axis=1)
-        out.append(np.stack((sid[at], _spanning(sid[at], linked)))[:, some])
-    a, b = np.concatenate(out, axis=1)
-    return pa.table([a, b], ["a", "b"])
+def possible_links(size: np.ndarray, sketches: list[bytes], threshold: int) -> np.ndarray:
+    """Which pairs of sets may be linked by their sizes and sketches; the longer sketch of a pair is folded onto the shorter."""
+    order = np.argsort(size, kind="stable")
+    size, rows = size[order], [np.frombuffer(sketches[i], np.uint64) for i in order]
+    words = np.array([len(r) for r in rows])
+    reach = np.searchsorted(size, size * 100 // threshold, "right")
+    near = np.zeros((len(size), len(size)), bool)
+    for w in np.unique(words):
+        low, high = np.searchsorted(words, w), np.searchsorted(words, w, "right")
+        folded = np.stack([np.bitwise_xor.reduce(r.reshape(-1, w), axis=0) for r in rows[low : reach[high - 1]]])
+        for i in range(low, high):
+            differ = np.bitwise_count(folded[i - low] ^ folded[i - low + 1 : reach[i] - low]).sum(axis=1, dtype=np.int64)
+            near[i, i + 1 : reach[i]] = (100 + threshold) * differ <= (100 - threshold) * (size[i] + size[i + 1 : reach[i]])
+    out = np.zeros_like(near)
+    out[np.ix_(order, order)] = near | near.T
+    return out
+
+
+def _candidates(threshold: int):
+    def candidates(group: pa.Table) -> pa.Table:
+        """Spanning links of the sets of a task whose sketches do not rule a link out."""
+        cluster, sid, side, size = (group[c].to_numpy() for c in ("cluster", "sid", "side", "size"))
+        sketches = group["sketch"].to_pylist()
+        order = np.argsort(cluster, kind="stable")
+        out: list[np.ndarray] = []
+        for at in np.split(order, np.flatnonzero(np.diff(cluster[order])) + 1):
+            linked = _across(possible_links(size[at], [sketches[i] for i in at], threshold), side[at])
+            some = linked.any(axis=1)
+            out.append(np.stack((sid[at], _spanning(sid[at], linked)))[:, some])
+        a, b = np.concatenate(out, axis=1)
+        return pa.table([a, b], ["a", "b"])
+
+    return candidates
 
 
 def _verify(threshold: int):
@@ -277,26 +293,24 @@ def joined(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: i
     """One row per document: doc_id, n_shingles, component_id, n_links (other documents it is linked to)."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
     buckets = 1 << max(4, (text_bytes(rows, "text") // BUCKET_BYTES).bit_length())
-    signed_rows = rows.mapInArrow(_sign(width, threshold, buckets), "bucket long, a binary, b binary, c binary, d binary")
-    met = written(signed_rows.groupBy("bucket").applyInArrow(_meet(buckets), "doc_id long, sid long, size long, sig long, met long, need long"), "partenum")
+    signed_rows = rows.mapInArrow(_sign(width, threshold, buckets), "bucket long, a binary, b binary, c binary, d binary, e array<binary>")
+    met = written(signed_rows.groupBy("bucket").applyInArrow(_meet(buckets), "doc_id long, sid long, size long, sketch binary, sig long, met long, need long"), "partenum")
     documents = met.where("sig IS NULL").select("doc_id", "sid", "size")
+    sketches = met.where("sketch IS NOT NULL").groupBy("sid").agg(F.first("sketch").alias("sketch"))
     classes = written(documents.where("size > 0").groupBy("sid").agg(
         F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies"), F.first("size").alias("size")), "classes")
 
     # signatures that more than one set has; clusters by those without each set's `need - 1` most common ones
     level = (F.col("sig").bitwiseAND(F.lit(_LEVELS - 1))).alias("level")
     per_set = met.where("sig IS NOT NULL").groupBy("sid", level).agg(F.max("need").alias("need"), F.sort_array(F.collect_list(F.struct("met", "sig"))).alias("own"))
-    shared = written(per_set.where("size(own) >= need"), "shared")
-    kept = shared.select("sid", F.explode(F.expr("transform(slice(own, 1, size(own) - need + 1), x -> x.sig)")).alias("sig"))
+    kept = written(per_set.where("size(own) >= need").select("sid", F.explode(F.expr("transform(slice(own, 1, size(own) - need + 1), x -> x.sig)")).alias("sig")), "kept")
     low = kept.groupBy("sig").agg(F.min("sid").alias("low"), F.count(F.lit(1)).alias("n")).where("n > 1")
     rough = components(kept.join(low, "sig").select(F.col("sid").alias("a"), F.col("low").alias("b")).distinct())
 
-    # finer clusters: the pairs that have enough signatures in common
-    signed_sets = shared.select("sid", F.expr("transform(own, x -> x.sig)").alias("sigs"), F.expr("transform(own, x -> need)").alias("needs")).groupBy("sid").agg(
-        F.flatten(F.collect_list("sigs")).alias("sigs"), F.flatten(F.collect_list("needs")).alias("needs"))
+    # finer clusters: the pairs that the sketches do not rule out
     rough = rough.withColumnRenamed("node", "sid").withColumnRenamed("component", "cluster").join(classes.select("sid", "size"), "sid")
-    rough = written(rough.join(signed_sets, "sid"), "rough")
-    pairs = _tasks(rough, threshold, block).groupBy("task").applyInArrow(_candidates, "a long, b long")
+    rough = written(rough.join(sketches, "sid"), "rough")
+    pairs = _tasks(rough, threshold, block).groupBy("task").applyInArrow(_candidates(threshold), "a long, b long")
     fine = components(written(pairs.where("a <> b"), "pairs"))
     members = written(fine.withColumnRenamed("node", "sid").withColumnRenamed("component", "cluster").join(classes, "sid"), "members")
 
