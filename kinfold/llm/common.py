@@ -20,6 +20,7 @@ from kinfold.session import scratch_dir
 #: White space of the word and normalisation rules: space and \x09-\x0D.
 SPACE = r"[ \t-\r]+"
 CHUNK_BYTES = 4_000_000
+BATCH_BYTES = 8 << 20
 FILTER_BITS = 25
 
 
@@ -58,6 +59,15 @@ def text_bytes(docs: DataFrame, text: str) -> int:
     return int(row["n"])
 
 
+def bounded_batches(docs: DataFrame) -> DataFrame:
+    """docs; from here on the session sends Python at most BATCH_BYTES in an Arrow batch.
+
+    Spark's own bound is 64 MB, which a batch of long texts reaches in every running task, outside the heap and again in Python.
+    """
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return docs
+
+
 class WordHash(dict):
     """word (bytes) -> 64-bit hash, computed once per distinct word; cleared when large."""
 
@@ -116,6 +126,7 @@ def chunks(batches: Iterable[pa.RecordBatch], size: int = CHUNK_BYTES) -> Iterat
             part = batch.slice(start, stop - start)
             yield part, part.column(batch.num_columns - 1).to_pylist()
             start = stop
+    pa.default_memory_pool().release_unused()
 
 
 def possible_members(rows: DataFrame, key: Column, members: DataFrame, member_key: Column, flag: str = "_possible", bits: int = FILTER_BITS) -> DataFrame:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks
+from .common import bounded_batches, chunks
 
 ERRORS = 0.06
 MIN_CHARS = 24
@@ -128,7 +128,7 @@ def _matcher(items: list[tuple[int, str]], errors: float) -> Matcher:
 
 def item_blocks(items: DataFrame, item_id: str = "item_id", text: str = "text", block_chars: int = BLOCK_CHARS) -> Iterator[list[tuple[int, str]]]:
     """The items in blocks of about block_chars characters, one block at a time."""
-    rows = items.select(F.col(item_id).cast("long").alias("item_id"), F.col(text).alias("text")).where("text IS NOT NULL")
+    rows = bounded_batches(items).select(F.col(item_id).cast("long").alias("item_id"), F.col(text).alias("text")).where("text IS NOT NULL")
     total = rows.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).first()["n"]
     count = max(1, -(-total // block_chars))
     for block in range(count):

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks
+from .common import bounded_batches, chunks
 
 FEATURES = 1 << 15
 PER_LANGUAGE = 1200
@@ -145,7 +145,7 @@ def _document_frequencies(rows: DataFrame) -> tuple[np.ndarray, int]:
 
 def fit(rows: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", per_language: int = PER_LANGUAGE) -> Model:
     """A model from the rows with a label; the documents' id only picks the bounded sample."""
-    rows = rows.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")).where("lang IS NOT NULL AND text IS NOT NULL")
+    rows = bounded_batches(rows).select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")).where("lang IS NOT NULL AND text IS NOT NULL")
     shares = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
     if not shares:
         return Model([], np.ones(FEATURES), np.zeros((FEATURES, 0)), 1.0)
@@ -185,7 +185,7 @@ def predicted(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str =
             found = [shared.value.predict(t) for t in texts]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())], ["doc_id", "lang_pred", "score"])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).mapInArrow(predict, SCHEMA)
+    return bounded_batches(docs).select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).mapInArrow(predict, SCHEMA)
 
 
 def accepted(text: Column, model: Model, session, min_score: float = MIN_SCORE) -> Column:

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORDS, chunks, components, mix, possible_members, rolling, signed, text_bytes, written
+from .common import WORDS, bounded_batches, chunks, components, mix, possible_members, rolling, signed, text_bytes, written
 
 WIDTH = 4
 THRESHOLD = 85
@@ -291,7 +291,7 @@ def _tasks(members: DataFrame, threshold: int, block: int) -> DataFrame:
 
 def joined(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, threshold: int = THRESHOLD, block: int = BLOCK) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, n_links (other documents it is linked to)."""
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
+    rows = bounded_batches(docs).select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
     buckets = 1 << max(4, (text_bytes(rows, "text") // BUCKET_BYTES).bit_length())
     signed_rows = rows.mapInArrow(_sign(width, threshold, buckets), "bucket long, a binary, b binary, c binary, d binary, e array<binary>")
     met = written(signed_rows.groupBy("bucket").applyInArrow(_meet(buckets), "doc_id long, sid long, size long, sketch binary, sig long, met long, need long"), "partenum")

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks
+from .common import bounded_batches, chunks
 
 CAPACITY = 4096
 MAX_PIECE = 2048
@@ -213,5 +213,5 @@ def _table(path: str | None):
 def packed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary: str | None = None,
            capacity: int = CAPACITY, max_piece: int = MAX_PIECE, group_windows: int = GROUP_WINDOWS) -> DataFrame:
     """One row per piece; see SCHEMA.  vocabulary: a tokenizer file that every executor has."""
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
+    rows = bounded_batches(docs).select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
     return rows.mapInArrow(_packer(_table(vocabulary), capacity, max_piece, group_windows), SCHEMA)
