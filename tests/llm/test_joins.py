@@ -83,6 +83,28 @@ def test_signatures_lose_no_link():
                     assert len(at_level) >= max(x[at_level[0]], y[at_level[0]]) or len({h & 63 for h in common}) > 1
 
 
+def test_sketches_rule_out_no_link():
+    # pairs around the threshold, also of sets whose sketches have different lengths
+    rng = np.random.default_rng(6)
+    for threshold in (80, 85):
+        sets = []
+        for size in (1, 2, 5, 15, 17, 33, 60, 129, 500, 1030, 40_000):
+            a = rng.integers(0, 2**63, size, dtype=np.uint64)
+            sets += [a, a[size * (100 - threshold) // 100 :], a[size // 2 :], np.concatenate((a, rng.integers(0, 2**63, size // 7, dtype=np.uint64)))]
+        sets = [np.unique(sets[i]) for i in rng.permutation(len(sets))]
+        near = ngram_join.possible_links(np.array([len(x) for x in sets]), [ngram_join.sketch(x) for x in sets], threshold)
+        assert (near == near.T).all()
+        some = 0
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets):
+                common = len(np.intersect1d(a, b))
+                if i != j and 100 * common >= threshold * (len(a) + len(b) - common):
+                    some += 1
+                    assert near[i, j]
+        assert some > 20
+        assert near.sum() < 3 * some
+
+
 def test_representatives_keep_columns_and_rows_with_null_ids(spark):
     rows = [(1, "a b c d e f g h i j k l m n o p"), (2, "a b c d e f g h i j k l m n o p"), (3, "q r s t u v"), (None, "z y x"), (4, None), (5, "")]
     docs = frame(spark, rows)
