@@ -48,7 +48,7 @@ def tokens(text: bytes) -> np.ndarray:
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     size = words = learned = 0
-    for part, texts in chunks(batches):
+    for part, texts in chunks(batches, keep="words"):
         for learn, text in zip(part.column(0).to_pylist(), texts, strict=True):
             n = len(text.split()) + 1
             size += len(text)
@@ -113,7 +113,7 @@ def _grams(words: np.ndarray, prefixes: np.ndarray | None):
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = np.empty(0, np.int64), np.empty(0, np.int64)
-        for _, texts in chunks(batches):
+        for _, texts in chunks(batches, keep="words"):
             new, m = np.unique(np.concatenate([keys(t) for t in texts]), return_counts=True)
             both, at = np.unique(np.concatenate((held, new)), return_inverse=True)
             held, n = both, np.bincount(at, weights=np.concatenate((n, m)), minlength=len(both)).astype(np.int64)

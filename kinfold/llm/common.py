@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
@@ -86,6 +87,29 @@ class WordHash(dict):
 
 #: One per Python worker; entries are a pure function of the word.
 WORDS = WordHash()
+#: What operators keep in a Python worker from task to task, by name.
+_KEPT: dict[str, dict] = {"words": WORDS}
+
+
+def kept(name: str, cache: dict) -> dict:
+    """cache, known by its name to keep_only."""
+    _KEPT[name] = cache
+    return cache
+
+
+def keep_only(name: str = "") -> None:
+    """Forget what the operators before this one kept in the Python worker, which Spark uses again for the next stages."""
+    for other, cache in _KEPT.items():
+        if other != name:
+            cache.clear()
+
+
+def give_back() -> None:
+    """At the end of a task: hand freed memory to the system, for the next stages' sake."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -114,8 +138,12 @@ def signed(h: np.ndarray) -> np.ndarray:
     return h.astype(np.uint64).view(np.int64)
 
 
-def chunks(batches: Iterable[pa.RecordBatch], size: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, list]]:
-    """Slices of the batches with about `size` bytes in the last column, and that column's values (no nulls)."""
+def chunks(batches: Iterable[pa.RecordBatch], size: int = CHUNK_BYTES, keep: str = "") -> Iterator[tuple[pa.RecordBatch, list]]:
+    """Slices of the batches with about `size` bytes in the last column, and that column's values (no nulls).
+
+    keep: the cache that the task uses; the others go.
+    """
+    keep_only(keep)
     for batch in batches:
         text = batch.column(batch.num_columns - 1)
         ends = np.cumsum(pc.binary_length(text).to_numpy(zero_copy_only=False))
@@ -126,7 +154,8 @@ def chunks(batches: Iterable[pa.RecordBatch], size: int = CHUNK_BYTES) -> Iterat
             part = batch.slice(start, stop - start)
             yield part, part.column(batch.num_columns - 1).to_pylist()
             start = stop
-    pa.default_memory_pool().release_unused()
+    batch = text = part = None
+    give_back()
 
 
 def possible_members(rows: DataFrame, key: Column, members: DataFrame, member_key: Column, flag: str = "_possible", bits: int = FILTER_BITS) -> DataFrame:

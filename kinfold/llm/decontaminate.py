@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, chunks
+from .common import bounded_batches, chunks, keep_only, kept
 
 ERRORS = 0.06
 MIN_CHARS = 24
@@ -115,7 +115,7 @@ class Matcher:
             yield item_id, distance, budget, len(item), start, stop
 
 
-_MATCHERS: dict[int, Matcher] = {}
+_MATCHERS: dict[int, Matcher] = kept("matchers", {})
 
 
 def _matcher(items: list[tuple[int, str]], errors: float) -> Matcher:
@@ -143,9 +143,10 @@ def matches(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str
 
     def held_against(block: list[tuple[int, str]]) -> DataFrame:
         def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            keep_only("matchers")
             matcher = _matcher(block, errors)
             schema = pa.schema([(c.split()[0], pa.int64()) for c in SCHEMA.split(", ")])
-            for part, texts in chunks(batches):
+            for part, texts in chunks(batches, keep="matchers"):
                 out = [(doc, *found) for doc, t in zip(part.column(0).to_pylist(), texts, strict=True) for found in matcher.find(t)]
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], schema=schema)
@@ -160,6 +161,7 @@ def contaminated(text: Column, items: DataFrame, errors: float = ERRORS, block_c
     def block_condition(block: list[tuple[int, str]]) -> Column:
         @F.pandas_udf("boolean")
         def holds(texts: pd.Series) -> pd.Series:
+            keep_only("matchers")
             matcher = _matcher(block, errors)
             return texts.map(lambda t: next(matcher.find(t or ""), None) is not None)
 

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, chunks
+from .common import bounded_batches, chunks, keep_only
 
 FEATURES = 1 << 15
 PER_LANGUAGE = 1200
@@ -194,6 +194,7 @@ def accepted(text: Column, model: Model, session, min_score: float = MIN_SCORE)
 
     @F.pandas_udf("boolean")
     def accept(texts: pd.Series) -> pd.Series:
+        keep_only()
         return texts.map(lambda t: shared.value.predict(t)).map(lambda p: p[0] != UNKNOWN and p[1] >= min_score)
 
     return accept(F.coalesce(text, F.lit("")))

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORDS, bounded_batches, chunks, components, mix, possible_members, rolling, signed, text_bytes, written
+from .common import WORDS, bounded_batches, chunks, components, give_back, keep_only, mix, possible_members, rolling, signed, text_bytes, written
 
 WIDTH = 4
 THRESHOLD = 85
@@ -109,7 +109,7 @@ def _sign(width: int, threshold: int, buckets: int):
     shift = np.uint64(64 - buckets.bit_length() + 1)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, (part, texts) in enumerate(chunks(batches)):
+        for number, (part, texts) in enumerate(chunks(batches, keep="words")):
             ids, sizes, sids, parts, sketches = part.column(0), [], [], {}, []
             for text in texts:
                 s = shingles(text, width)
@@ -147,6 +147,7 @@ def _meet(buckets: int):
 
     def meet(group: pa.Table) -> pa.Table:
         """Document rows as they are; of the signatures those that more than one set has."""
+        keep_only()
         if group["bucket"][0].as_py() >= buckets:
             ids = pa.array(_joined(group["a"], np.int64), mask=_joined(group["d"], np.uint8).astype(bool))
             n = len(ids)
@@ -167,7 +168,7 @@ def _meet(buckets: int):
 
 def _sets(width: int):
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in chunks(batches):
+        for part, texts in chunks(batches, keep="words"):
             found = [shingles(t, width) for t in texts]
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(signed(np.array([set_id(s) for s in found], np.uint64))), pa.array([s.tobytes() for s in found], pa.binary())], ["sid", "places", "own", "features"])
 
@@ -232,6 +233,7 @@ def possible_links(size: np.ndarray, sketches: list[bytes], threshold: int) -> n
 def _candidates(threshold: int):
     def candidates(group: pa.Table) -> pa.Table:
         """Spanning links of the sets of a task whose sketches do not rule a link out."""
+        keep_only()
         cluster, sid, side, size = (group[c].to_numpy() for c in ("cluster", "sid", "side", "size"))
         sketches = group["sketch"].to_pylist()
         order = np.argsort(cluster, kind="stable")
@@ -241,6 +243,7 @@ def _candidates(threshold: int):
             some = linked.any(axis=1)
             out.append(np.stack((sid[at], _spanning(sid[at], linked)))[:, some])
         a, b = np.concatenate(out, axis=1)
+        give_back()
         return pa.table([a, b], ["a", "b"])
 
     return candidates
@@ -249,6 +252,7 @@ def _candidates(threshold: int):
 def _verify(threshold: int):
     def verify(group: pa.Table) -> pa.Table:
         """Spanning links of the linked sets of a task, and each set's number of linked documents."""
+        keep_only()
         cluster, sid, side, copies = (group[c].to_numpy() for c in ("cluster", "sid", "side", "copies"))
         features = group["features"].to_pylist()
         out: list[np.ndarray] = []
@@ -262,6 +266,7 @@ def _verify(threshold: int):
             some = linked.any(axis=1)
             out.append(np.stack((sid[at], _spanning(sid[at], linked), linked @ copies[at]))[:, some])
         a, b, degree = np.concatenate(out, axis=1) if out else np.empty((3, 0), np.int64)
+        give_back()
         return pa.table([a, b, degree], ["a", "b", "degree"])
 
     return verify

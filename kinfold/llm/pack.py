@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, chunks
+from .common import bounded_batches, chunks, keep_only, kept
 
 CAPACITY = 4096
 MAX_PIECE = 2048
@@ -87,7 +87,7 @@ class WordIds(dict):
 
 
 #: One table per Python worker and vocabulary; entries are a pure function of the word.
-_TABLES: dict[str, WordIds] = {}
+_TABLES: dict[str, WordIds] = kept("word ids", {})
 
 
 def word_ids(path: str) -> WordIds:
@@ -160,6 +160,7 @@ def pieces_of(total: int, capacity: int, max_piece: int) -> list[tuple[int, int]
 
 def _packer(tokens: Callable[[], WordIds], capacity: int, max_piece: int, group_windows: int):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only("word ids")
         table, schema = tokens(), _arrow_schema()
         sequence = TaskContext.get().partitionId() << 40
         rows: list[tuple] = []  # doc_id, start, length, crc, doc_tokens
@@ -182,7 +183,7 @@ def _packer(tokens: Callable[[], WordIds], capacity: int, max_piece: int, group_
             rows, held = [], 0
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], schema=schema)
 
-        for part, texts in chunks(batches):
+        for part, texts in chunks(batches, keep="word ids"):
             for doc, text in zip(part.column(0).to_pylist(), texts, strict=True):
                 ids = memoryview(table.of(text) + struct.pack("<I", END_ID))
                 total = len(ids) // 4

@@ -59,7 +59,7 @@ def _probe(window: int, block: int, buckets: int):
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
-        for number, (part, texts) in enumerate(chunks(batches)):
+        for number, (part, texts) in enumerate(chunks(batches, keep="words")):
             grams, valid, lengths = _hashes(texts, block)
             valid &= np.repeat(lengths >= window, lengths)
             starts = np.cumsum(lengths) - lengths
@@ -150,7 +150,7 @@ def _near(places: np.ndarray, before: int, size: int) -> np.ndarray:
 def _runs(window: int, block: int):
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """(run, doc_id, removed): the runs around hits; the chunk's smallest id of each asks, the others lose it."""
-        for part, texts in chunks(batches):
+        for part, texts in chunks(batches, keep="words"):
             out: list[tuple[np.ndarray, np.ndarray]] = []
             for doc, text, hits in zip(part.column(0).to_pylist(), texts, part.column(1).to_pylist(), strict=True):
                 h = WORDS.of(text.split())
@@ -173,7 +173,7 @@ def _runs(window: int, block: int):
 
 def _finish(window: int):
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in chunks(batches):
+        for part, texts in chunks(batches, keep="words"):
             out = []
             for doc, whole, lost, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2), texts, strict=True):
                 words = text.split()
