@@ -39,8 +39,9 @@ from .common import WORDS, bounded_batches, chunks, components, give_back, keep_
 WIDTH = 4
 THRESHOLD = 85
 BLOCK = 512
+BLOCK_SHINGLES = 500_000
 BUCKET_BYTES = 2_000_000
-_COLUMNS = 8192
+_COLUMNS = 2048
 _LEVELS = 64
 _SKETCH_BITS = 1 << 16
 
@@ -192,7 +193,17 @@ def intersections(sets: list[np.ndarray]) -> np.ndarray:
         dense = np.zeros((n, min(_COLUMNS, int(shared.sum()) - low)), np.float32)
         dense[row[a:b], column[a:b] - low] = 1
         total += dense @ dense.T
-    return total.astype(np.int64)
+    return total
+
+
+def links(sets: list[np.ndarray], threshold: int) -> np.ndarray:
+    """Which pairs of the sets of one task are linked (a set with itself too), some rows at a time."""
+    shared, size = intersections(sets), np.array([len(s) for s in sets])
+    linked = np.empty(shared.shape, bool)
+    for low in range(0, len(sets), 256):
+        at = slice(low, low + 256)
+        linked[at] = (100 + threshold) * shared[at].astype(np.int64) >= threshold * (size[at, None] + size[None, :])
+    return linked
 
 
 def _spanning(sid: np.ndarray, linked: np.ndarray) -> np.ndarray:
@@ -261,8 +272,7 @@ def _verify(threshold: int):
             _, first = np.unique(sid[at] * 4 + side[at], return_index=True)
             at = at[first]
             sets = [np.frombuffer(features[i], np.uint64) for i in at]
-            size = np.array([len(s) for s in sets])
-            linked = _across((100 + threshold) * intersections(sets) >= threshold * (size[:, None] + size[None, :]), side[at])
+            linked = _across(links(sets, threshold), side[at])
             some = linked.any(axis=1)
             out.append(np.stack((sid[at], _spanning(sid[at], linked), linked @ copies[at]))[:, some])
         a, b, degree = np.concatenate(out, axis=1) if out else np.empty((3, 0), np.int64)
@@ -276,15 +286,17 @@ def _tasks(members: DataFrame, threshold: int, block: int) -> DataFrame:
     """members (cluster, sid, size, ...) with a task and a side: small clusters share tasks, large ones become pairs of blocks.
 
     The blocks of a large cluster hold sets of one size band, as only sets of the same or the next band can be linked.
+    A block has about `block` sets, fewer when they are long: BLOCK_SHINGLES shingles in all, so a task's memory is bounded.
     """
-    totals = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("total"))
-    whole = 4 * block  # sets of a cluster that one task compares as they are
+    weight = F.greatest(F.col("size"), F.lit(max(1, BLOCK_SHINGLES // block)))
+    totals = members.groupBy("cluster").agg(F.sum(weight).alias("total"))
+    whole = 4 * BLOCK_SHINGLES  # of a cluster that one task compares as it is
     band = F.when(F.col("total") > whole, F.floor(F.log(F.col("size").cast("double")) / F.lit(float(np.log(100 / threshold))))).otherwise(0).cast("int")
     banded = members.join(totals, "cluster").withColumn("band", band)
     blocks = banded.groupBy("cluster", "band").agg(
-        F.when(F.max("total") > whole, F.ceil(F.count(F.lit(1)) / F.lit(block))).otherwise(1).cast("int").alias("blocks"))
+        F.when(F.max("total") > whole, F.ceil(F.sum(weight) / F.lit(BLOCK_SHINGLES))).otherwise(1).cast("int").alias("blocks"))
     plan = blocks.groupBy("cluster").agg(F.map_from_entries(F.collect_list(F.struct("band", "blocks"))).alias("plan"))
-    few = max(1, members.count() // block)
+    few = max(1, (members.agg(F.sum(weight)).first()[0] or 0) // BLOCK_SHINGLES)
     own = F.pmod(F.xxhash64("sid"), F.element_at("plan", F.col("band"))).cast("int")
     other = F.explode(F.expr("flatten(transform(filter(map_keys(plan), x -> abs(x - band) <= 1), x -> transform(sequence(0, plan[x] - 1), y -> struct(x AS band, y AS block))))"))
     placed = banded.join(plan, "cluster").withColumn("own", F.struct(F.col("band").alias("band"), own.alias("block"))).withColumn("other", other)

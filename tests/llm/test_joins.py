@@ -50,6 +50,12 @@ def test_join_against_all_pairs(spark, seed, width, threshold, block):
     assert sorted_rows(got) == brute_join(rows, width, threshold)
 
 
+def test_join_in_blocks_bounded_by_shingles(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", 300)
+    rows = corpus(6)
+    assert sorted_rows(ngram_join.joined(frame(spark, rows))) == brute_join(rows, 4, 85)
+
+
 def test_join_of_one_large_group_in_small_blocks(spark):
     # drifting copies: neighbours are linked, the ends are not; the group is compared as pairs of blocks
     rows, w = [], words(120, 1)
