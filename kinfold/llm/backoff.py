@@ -1,15 +1,19 @@
 """LM scoring with a weighted backoff automaton.
 
 Tokens are the words `[^\\x20\\x09-\\x0D]+` after lower-casing A-Z and one end per text.  Counts cover all learning
-rows.  Unigrams are smoothed by adding one; an n-gram of order 2 or more is kept when its share of all
-tokens is at least SHARE (at most 1 / SHARE of each order: a proven bound), found level by level, as
-a kept n-gram's parts are kept.  Kept n-grams are discounted by DISCOUNT, and what they leave goes to
-the shorter history.
+rows.  Unigrams are smoothed by adding one; every pair and triple that occurs in a learning row is kept, whatever the
+corpus' size, so the model grows with it.  (`share` and `word_share` set shares of all tokens that kept n-grams and their
+words must have, at two occurrences at least; 0, the default, keeps all.)  Kept n-grams are discounted by DISCOUNT, and
+what they leave goes to the shorter history.
 
 Each kept history is a state; its arcs are the kept n-grams that go on from it, and its failure arc leads to
-the next shorter history with the backoff weight.  One traversal from left to right carries the state
-and adds log10 weights.  The word counts grow with the corpus and are never gathered: documents
-form blocks, a block asks the hash buckets for its distinct words' counts and scores with the answers.
+the next shorter history with the backoff weight.  A token's weight is that of its arc from the longest
+history, or else the failure arc's and the weight from the shorter history; all of a block's tokens are weighed at once.
+
+No part of the model is gathered: documents form blocks, and hash buckets hold the n-grams.  A block asks the
+buckets for the counts of its distinct words and pairs, and then of the triples whose pairs other blocks hold too.  For
+the backoff weights, one block of those that hold an n-gram reports it to its history's bucket, which adds up
+whole numbers (so no order of sums shows) and answers all blocks that hold the history.  Keys travel sorted, as differences, in compressed byte planes.
 
 A null or empty text is one end.  A null id counts as an empty string in the split into learning and held-out rows;
 an empty table gives no rows; repeated rows count and are scored again; extra columns are ignored.
@@ -17,24 +21,22 @@ an empty table gives no rows; repeated rows count and are scored again; extra co
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORDS, chunks, shuffle_partitions, written
+from .common import WORDS, chunks, rolling, shuffle_partitions, written
 
 ORDER = 3
-SHARE = 4e-6
-WORD_SHARE = 5e-5
 DISCOUNT = 0.75
 BLOCK_BYTES = 8_000_000
-FLUSH = 1_500_000
 SCHEMA = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+ASKED = "bucket long, block long, keys binary, a binary, b binary, c binary"
+ANSWERS = "bucket long, block long, a binary, b binary, c binary, distinct long"
+KINDS = {"long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_(), "binary": pa.binary()}
 END = b""
 
 
@@ -57,145 +59,177 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in (size, words, learned)], ["size", "words", "learned"])
 
 
-def _count(buckets: int):
-    shift = np.uint64(64 - buckets.bit_length() + 1)
-
+def _table(rows: list[tuple], schema: str) -> pa.Table:
+    fields = [c.split() for c in schema.split(", ")]
+    columns = zip(*rows, strict=True) if rows else [[]] * len(fields)
+    return pa.table([pa.array(c, KINDS[k]) for c, (_, k) in zip(columns, fields, strict=True)], [n for n, _ in fields])
+
+
+def _pack(values: np.ndarray) -> bytes:
+    """64-bit values in compressed byte planes, after their number."""
+    planes = np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8).T)
+    return len(values).to_bytes(8, "little") + pa.compress(planes.tobytes(), "zstd", asbytes=True)
+
+
+def _unpack(packed: bytes) -> np.ndarray:
+    size = 8 * int.from_bytes(packed[:8], "little")
+    planes = np.frombuffer(pa.decompress(packed[8:], size, "zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, -1).T).view("<u8").ravel()
+
+
+class Grams:
+    """A block's distinct n-grams of each order in hash order, and which of them starts at each token."""
+
+    def __init__(self, texts: list[bytes], order: int):
+        parts = [tokens(t) for t in texts]
+        self.lengths = np.array([len(p) for p in parts])
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        h = np.concatenate(parts)
+        goes_on = np.ones(len(h), bool)
+        goes_on[self.starts + self.lengths - 1] = False
+        inside = [np.ones(len(h), bool), goes_on[:-1], goes_on[:-2] & goes_on[1:-1]]
+        self.keys: list[np.ndarray] = []
+        self.at: list[np.ndarray] = []  # -1 where the text ends before
+        for k in range(3):
+            hashes = (h if not k else rolling(h, k + 1))[inside[k]] if k < order else h[:0]
+            keys, found = np.unique(hashes, return_inverse=True)
+            at = np.full(len(inside[k]), -1, np.int32)
+            if k < order:
+                at[inside[k]] = found
+            self.keys.append(keys)
+            self.at.append(at)
+
+    def learned(self, k: int, learn: list[bool]) -> np.ndarray:
+        """Counts in the learning rows."""
+        at = self.at[k]
+        here = np.repeat(np.array(learn, bool), self.lengths)[: len(at)]
+        return np.bincount(at[(at >= 0) & here], minlength=len(self.keys[k]))
+
+    def parts(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The first and the last n-gram of order k within each of order k + 1."""
+        head, tail = np.zeros((2, len(self.keys[k])), np.int32)
+        place = np.flatnonzero(self.at[k] >= 0)
+        head[self.at[k][place]] = self.at[k - 1][place]
+        tail[self.at[k][place]] = self.at[k - 1][place + 1]
+        return head, tail
+
+
+class Counted:
+    """A block's n-grams with their counts, and who holds them: 0 and 1 several blocks (1: this one reports it), 2 this one only."""
+
+    def __init__(self, block: pa.Table, answers: list[dict], buckets: int, order: int, triples: bool = True):
+        self.grams = grams = Grams(block["text"].to_pylist(), order)
+        self.n = [answered(answers, "a", k, buckets) for k in (0, 1)]
+        self.held = [answered(answers, "b", k, buckets) for k in (0, 1)]
+        self.head, self.tail = zip((None, None), grams.parts(1), grams.parts(2), strict=True)
+        # a triple with a pair that no other block holds is in no other block: its own count is the whole
+        self.shared = (self.held[1][self.head[2]] < 2) & (self.held[1][self.tail[2]] < 2)
+        self.n.append(grams.learned(2, block["learn"].to_pylist()))
+        self.held.append(np.full(len(self.shared), 2))
+        if triples:
+            for own, column in ((self.n[2], "a"), (self.held[2], "b")):
+                own[self.shared] = answered(answers, column, 2, buckets)
+
+    def histories(self, least: int, least_word: int) -> None:
+        """Which n-grams are kept; by history of order k: its reported arcs, their counts, their last parts' counts; whether to ask."""
+        self.kept, self.sums, self.asked = [self.n[0] >= least_word], [], []
+        for k in (1, 2):
+            head, tail = self.head[k], self.tail[k]
+            self.kept.append((self.n[k] >= least) & self.kept[k - 1][head] & self.kept[k - 1][tail])
+            mine = self.kept[k] & (self.held[k] > 0)
+            size = len(self.n[k - 1])
+            self.sums.append([np.bincount(head[mine], weights=w, minlength=size) for w in (None, self.n[k][mine], self.n[k - 1][tail[mine]])])
+            used = np.zeros(size, bool)
+            used[head] = True
+            self.asked.append(used & self.kept[k - 1] & (self.held[k - 1] < 2))
+
+
+def answered(answers: list[dict], column: str, k: int, buckets: int) -> np.ndarray:
+    """A block's n-grams in hash order are its buckets' n-grams in bucket order."""
+    own = sorted((r["bucket"], r[column]) for r in answers if r["bucket"] // buckets == k)
+    return np.concatenate([np.empty(0, np.int64), *(_unpack(x).astype(np.int64) for _, x in own)])
+
+
+def _asked(block: int, k: int, bits: int, keys: np.ndarray, *values: np.ndarray) -> list[tuple]:
+    """Rows for the buckets of order k: sorted keys as differences, and their values."""
+    if not len(keys):
+        return []
+    bucket = (keys >> np.uint64(64 - bits)).astype(np.int64)
+    cuts = np.flatnonzero(np.diff(bucket)) + 1
+    out = []
+    for start, stop in zip([0, *cuts], [*cuts, len(keys)], strict=True):
+        packed = [_pack(v[start:stop]) for v in values]
+        out.append(((k << bits) + int(bucket[start]), block, _pack(np.diff(keys[start:stop], prepend=np.uint64(0))), *packed, *[None] * (3 - len(packed))))
+    return out
+
+
+def _count(bits: int, order: int):
     def count(group: pa.Table) -> pa.Table:
-        """A block's distinct words by hash bucket, in hash order, with their counts in its learning rows."""
-        learn = group["learn"].to_pylist()
-        parts = [tokens(t) for t in group["text"].to_pylist()]
-        h, at = np.unique(np.concatenate(parts), return_inverse=True)
-        learned = np.repeat(np.array(learn, bool), [len(p) for p in parts])
-        n = np.bincount(at[learned], minlength=len(h)).astype(np.uint32)
-        bucket = (h >> shift).astype(np.int64) if buckets > 1 else np.zeros(len(h), np.int64)
-        cuts = np.flatnonzero(np.diff(bucket)) + 1
-        block = group["block"][0].as_py()
-        rows = [(int(b), block, x.tobytes(), y.tobytes()) for b, x, y in zip(bucket[np.concatenate(([0], cuts))], np.split(h, cuts), np.split(n, cuts), strict=True)]
-        return pa.table([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int64(), pa.int64(), pa.binary(), pa.binary()], strict=True)], ["bucket", "block", "words", "counts"])
+        """A block's distinct words and pairs by hash bucket, in hash order, with their counts in its learning rows."""
+        grams, learn, rows = Grams(group["text"].to_pylist(), min(order, 2)), group["learn"].to_pylist(), []
+        for k in (0, 1):
+            rows += _asked(group["block"][0].as_py(), k, bits, grams.keys[k], grams.learned(k, learn))
+        return _table(rows, ASKED)
 
     return count
 
 
-def _total(least: int):
+def _count_triples(bits: int):
+    def count(block: pa.Table, answer: pa.Table) -> pa.Table:
+        """The same of the triples that other blocks may hold too."""
+        if not block.num_rows:
+            return _table([], ASKED)
+        own = Counted(block, answer.to_pylist(), 1 << bits, 3, triples=False)
+        return _table(_asked(block["block"][0].as_py(), 2, bits, own.grams.keys[2][own.shared], own.n[2][own.shared]), ASKED)
+
+    return count
+
+
+def _total(columns: str, report: bool):
     def total(group: pa.Table) -> pa.Table:
-        """The answers: for each block the totals of its words; the bucket's distinct learned words, and its common ones."""
-        words = [np.frombuffer(x, np.uint64) for x in group["words"].to_pylist()]
-        counts = np.concatenate([np.frombuffer(x, np.uint32) for x in group["counts"].to_pylist()])
-        h, at = np.unique(np.concatenate(words), return_inverse=True)
-        n = np.bincount(at, weights=counts, minlength=len(h)).astype(np.int64)
-        cuts = np.cumsum([len(w) for w in words])[:-1]
-        common = n >= least
-        rows = [(b, x.tobytes(), None, None) for b, x in zip(group["block"].to_pylist(), np.split(n[at], cuts), strict=True)]
-        rows.append((-1, n[common].tobytes(), h[common].tobytes(), int((n > 0).sum())))
-        out = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int64(), pa.binary(), pa.binary(), pa.int64()], strict=True)]
-        return pa.table([*out, pa.array([group["bucket"][0].as_py()] * len(rows), pa.int64())], ["block", "totals", "common", "distinct", "bucket"])
+        """The answers: for each block the totals of its keys (report: and who holds them, see Counted); the bucket's distinct learned keys."""
+        keys = [np.cumsum(_unpack(x), dtype=np.uint64) for x in group["keys"].to_pylist()]
+        h, first, at = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+        cuts = np.cumsum([len(x) for x in keys])[:-1]
+        totals = []
+        for c in columns:
+            n = np.bincount(at, weights=np.concatenate([_unpack(x) for x in group[c].to_pylist()]), minlength=len(h)).astype(np.int64)
+            totals.append(n[at])
+        distinct = int((n > 0).sum())
+        if report:
+            held = np.zeros(len(at), np.int64)
+            held[first] = np.where(np.bincount(at) == 1, 2, 1)
+            totals.append(held)
+        packed = [[_pack(x) for x in np.split(t, cuts)] for t in totals] + [[None] * len(keys)] * (3 - len(totals))
+        once = [distinct] + [0] * (len(keys) - 1)
+        return _table(list(zip(group["bucket"].to_pylist(), group["block"].to_pylist(), *packed, once, strict=True)), ANSWERS)
 
     return total
 
 
-def _grams(words: np.ndarray, prefixes: np.ndarray | None):
-    """Counts of the n-grams over the common words; prefixes: the kept keys one order below (None: the words)."""
-    base = np.int64(len(words))
-
-    def keys(text: bytes) -> np.ndarray:
-        h = tokens(text)
-        place = np.searchsorted(words, h)
-        place[place == len(words)] = 0
-        ids = np.where(words[place] == h, place, -1).astype(np.int64)
-        pair = np.where((ids[:-1] >= 0) & (ids[1:] >= 0), ids[:-1] * base + ids[1:], -1)
-        if prefixes is None:
-            return pair[pair >= 0]
-        place = np.searchsorted(prefixes, pair)
-        place[place == len(prefixes)] = 0
-        known = np.where(prefixes[place] == pair, place, -1) if len(prefixes) else np.full(len(pair), -1)
-        both = (known[:-1] >= 0) & (known[1:] >= 0)
-        return known[:-1][both] * base + ids[2:][both]
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = np.empty(0, np.int64), np.empty(0, np.int64)
-        for _, texts in chunks(batches, keep="words"):
-            new, m = np.unique(np.concatenate([keys(t) for t in texts]), return_counts=True)
-            both, at = np.unique(np.concatenate((held, new)), return_inverse=True)
-            held, n = both, np.bincount(at, weights=np.concatenate((n, m)), minlength=len(both)).astype(np.int64)
-            if len(held) > FLUSH:
-                yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(n)], ["key", "n"])
-                held, n = held[:0], n[:0]
-        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(n)], ["key", "n"])
-
-    return count
+def _cut(df: DataFrame, name: str) -> DataFrame:
+    """written; the shuffled files behind it go at once, as the n-grams are several times the text."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, "false")
+    conf.set(key, "true")
+    try:
+        return written(df, name)
+    finally:
+        conf.set(key, before)
 
 
-@dataclass
-class Automaton:
-    """States: 0 the empty history, 1 + i the i-th common word, then kept pairs that go on."""
-
-    words: np.ndarray  # hashes of the common words, sorted
-    arcs: dict[int, tuple[float, int]]  # state << 32 | word -> log10 weight, next state
-    backoff: list[float]  # log10 weight of a state's failure arc
-    failure: list[int]
-
-    def score(self, ids: list[int], unigrams: list[float]) -> float:
-        """One traversal; ids: the common words' numbers, -1 for others; unigrams: log10 weights at state 0."""
-        arcs, backoff, failure = self.arcs.get, self.backoff, self.failure
-        total, state = 0.0, 0
-        for i, alone in zip(ids, unigrams, strict=True):
-            while state:
-                arc = arcs(state << 32 | i) if i >= 0 else None
-                if arc is not None:
-                    total += arc[0]
-                    state = arc[1]
-                    break
-                total += backoff[state]
-                state = failure[state]
-            else:
-                total += alone
-                state = i + 1
-        return total
-
-
-def automaton(words: np.ndarray, counts: np.ndarray, pairs: tuple[np.ndarray, np.ndarray], triples: tuple[np.ndarray, np.ndarray],
-              tokens_learned: int, distinct: int) -> Automaton:
-    """Discounted weights of the kept n-grams and the backoff weights that make every state's sum one."""
-    size = len(words)
-    alone = (counts + 1.0) / (tokens_learned + distinct + 1)
-    (pair, pair_n), (triple, triple_n) = pairs, triples
-    first, second = np.divmod(pair, max(1, size))
-    weight2 = (pair_n - DISCOUNT) / counts[first] if len(pair) else np.empty(0)
-    left2 = 1 - np.bincount(first, weights=weight2, minlength=size)
-    back2 = left2 / (1 - np.bincount(first, weights=alone[second], minlength=size)) if len(pair) else np.ones(size)
-    prefix, third = np.divmod(triple, max(1, size))
-    weight3 = (triple_n - DISCOUNT) / pair_n[prefix] if len(triple) else np.empty(0)
-    lower = weight2[np.searchsorted(pair, second[prefix] * size + third)] if len(triple) else np.empty(0)
-    going = np.unique(prefix)
-    left3 = 1 - np.bincount(prefix, weights=weight3, minlength=len(pair))
-    back3 = left3 / (1 - np.bincount(prefix, weights=lower, minlength=len(pair)))
-    state = np.full(len(pair), -1, np.int64)
-    state[going] = 1 + size + np.arange(len(going))
-    after = np.where(state >= 0, state, second + 1)
-    arcs = dict(zip(((first + 1) << 32 | second).tolist(), zip(np.log10(weight2).tolist(), after.tolist(), strict=True), strict=True))
-    if len(triple):
-        after3 = after[np.searchsorted(pair, second[prefix] * size + third)]
-        arcs |= dict(zip((state[prefix] << 32 | third).tolist(), zip(np.log10(weight3).tolist(), after3.tolist(), strict=True), strict=True))
-    log = lambda x: np.log10(np.maximum(x, 1e-300)).tolist()
-    return Automaton(words, arcs, [0.0, *log(back2), *log(back3[going])], [0] * (1 + size) + (second[going] + 1).tolist())
-
-
-_AUTOMATA: dict[str, Automaton] = {}
-
-
-def _kept(rows: DataFrame, words: np.ndarray, prefixes: np.ndarray | None, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and counts of the n-grams with at least `least` occurrences; few by the bound on their share."""
-    if not len(words) or prefixes is not None and not len(prefixes):
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    counted = rows.mapInArrow(_grams(words, prefixes), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    found = counted.toArrow()
-    key, n = found["key"].to_numpy(), found["n"].to_numpy()
-    order = np.argsort(key)
-    return key[order], n[order]
+def ngram_counts(blocked: DataFrame, bits: int, order: int = ORDER) -> DataFrame:
+    """The answers to the blocks of (block, learn, text) from 2^bits buckets of each order; triples only where several blocks may hold them."""
+    blocked = blocked.select("block", "learn", "text")
+    counts = _cut(blocked.groupBy("block").applyInArrow(_count(bits, order), ASKED).groupBy("bucket").applyInArrow(_total("a", True), ANSWERS), "counts")
+    if order < 3:
+        return counts
+    triples = blocked.groupBy("block").cogroup(counts.groupBy("block")).applyInArrow(_count_triples(bits), ASKED)
+    return counts.union(_cut(triples.groupBy("bucket").applyInArrow(_total("a", True), ANSWERS), "counts"))
 
 
 def scored(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", learn: Column | None = None, order: int = ORDER,
-           share: float = SHARE, word_share: float = WORD_SHARE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+           share: float = 0, word_share: float = 0, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per document; see SCHEMA.  learn: rows to learn from (default: those not held out)."""
     out = held_out(F.col(doc_id))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), out.alias("held_out"), (~out if learn is None else learn).alias("learn"),
@@ -203,51 +237,56 @@ def scored(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", learn: C
     spark = docs.sparkSession
     size, _, learned = (int(x or 0) for x in rows.select("learn", "text").mapInArrow(_measure, "size long, words long, learned long").groupBy().sum().first())
     blocks = max(shuffle_partitions(spark), size // block_bytes)
-    buckets = 1 << max(4, (size // block_bytes).bit_length())
+    bits = max(4, (size // block_bytes).bit_length())
+    buckets = 1 << bits
     blocked = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(blocks)))
 
-    asked = blocked.select("block", "learn", "text").groupBy("block").applyInArrow(_count(buckets), "bucket long, block long, words binary, counts binary")
-    answers = asked.groupBy("bucket").applyInArrow(_total(max(2, int(word_share * learned))), "block long, totals binary, common binary, distinct long, bucket long")
-    answers = written(answers, "totals")
-    common = answers.where("block = -1").select("totals", "common", "distinct").toArrow()  # at most 1 / word_share words
-    distinct = sum(common["distinct"].to_pylist())
-    words = np.frombuffer(b"".join(common["common"].to_pylist()), np.uint64)
-    counts = np.frombuffer(b"".join(common["totals"].to_pylist()), np.int64)
-    by = np.argsort(words)
-    words, counts = words[by], counts[by]
-
-    least = max(2, int(share * learned))
-    learning = rows.where("learn").select("text")
-    none = (np.empty(0, np.int64), np.empty(0, np.int64))
-    pairs = _kept(learning, words, None, least) if order > 1 else none
-    triples = _kept(learning, words, pairs[0], least) if order > 2 else none
-    name = uuid.uuid4().hex
-    model = spark.sparkContext.broadcast((words, counts, pairs, triples, learned, distinct))
+    counts = ngram_counts(blocked, bits, order)
+    distinct = counts.where(F.col("bucket") < buckets).agg(F.sum("distinct")).first()[0] or 0
+    least = max(2, int(share * learned)) if share else 1
+    least_word = max(2, int(word_share * learned)) if word_share else 1
+
+    def histories(block: pa.Table, answer: pa.Table) -> pa.Table:
+        if not block.num_rows:
+            return _table([], ASKED)
+        own = Counted(block, answer.to_pylist(), buckets, order)
+        own.histories(least, least_word)
+        out = []
+        for k, (ask, sums) in enumerate(zip(own.asked, own.sums, strict=True)):
+            out += _asked(block["block"][0].as_py(), k, bits, own.grams.keys[k][ask], *(x[ask] for x in sums))
+        return _table(out, ASKED)
 
     def score(block: pa.Table, answer: pa.Table) -> pa.Table:
-        names = [c.split()[0] for c in SCHEMA.split(", ")]
-        kinds = [{"long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_()}[c.split()[1]] for c in SCHEMA.split(", ")]
         if not block.num_rows:
-            return pa.table([pa.array([], k) for k in kinds], names)
-        if name not in _AUTOMATA:  # once per Python worker
-            _AUTOMATA.clear()
-            _AUTOMATA[name] = automaton(*model.value)
-        machine = _AUTOMATA[name]
-        parts = [tokens(t) for t in block["text"].to_pylist()]
-        h, at = np.unique(np.concatenate(parts), return_inverse=True)
-        place = np.searchsorted(machine.words, h)
-        place[place == len(machine.words)] = 0
-        ids = np.where(machine.words[place] == h, place, -1) if len(machine.words) else np.full(len(h), -1)
-        # a block's distinct words in hash order are its buckets' words in bucket order
-        n = np.frombuffer(b"".join(x for _, x in sorted(zip(answer["bucket"].to_pylist(), answer["totals"].to_pylist(), strict=True))), np.int64)
-        weight = np.log10((n + 1) / (learned + 1 * (distinct + 1)))
-        out, start = [], 0
-        for doc, held, part in zip(block["doc_id"].to_pylist(), block["held_out"].to_pylist(), parts, strict=True):
-            own = at[start : start + len(part)]
-            start += len(part)
-            alone = weight[own]
-            out.append((doc, held, len(part), int((n[own] > 0).sum()), learned, float(alone.sum()), machine.score(ids[own].tolist(), alone.tolist())))
-        return pa.table([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
-
-    answers = answers.where("block >= 0").select("block", "bucket", "totals")
-    return blocked.select("block", "doc_id", "held_out", "text").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(score, SCHEMA)
+            return _table([], SCHEMA)
+        answers = answer.to_pylist()
+        counted, summed = ([r for r in answers if r["summed"] == x] for x in (False, True))
+        own = Counted(block, counted, buckets, order)
+        own.histories(least, least_word)
+        n, at = own.n, own.grams.at
+        alone = (n[0] + 1) / (learned + distinct + 1)
+        base = np.log10(alone)[at[0]]
+        weight = base.copy()
+        for k in (1, 2):
+            head = own.head[k]
+            arcs, going, lower = own.sums[k - 1]
+            for sums, c in ((arcs, "a"), (going, "b"), (lower, "c")):
+                sums[own.asked[k - 1]] = answered(summed, c, k - 1, buckets)
+            left = 1 - (going - DISCOUNT * arcs) / np.maximum(n[k - 1], 1)
+            # what the shorter history gives to the words that have arcs
+            taken = (lower + arcs) / (learned + distinct + 1) if k == 1 else (lower - DISCOUNT * arcs) / np.maximum(n[0][own.tail[1]], 1)
+            back = np.where(arcs > 0, np.log10(np.maximum(left / (1 - taken), 1e-300)), 0)
+            arc = np.log10(np.where(own.kept[k], n[k] - DISCOUNT, 1) / np.maximum(n[k - 1][head], 1))
+            starts = np.flatnonzero(at[k] >= 0)
+            gram = at[k][starts]
+            weight[starts + k] = np.where(own.kept[k][gram], arc[gram], back[head[gram]] + weight[starts + k])
+        known = np.add.reduceat((n[0] > 0)[at[0]].astype(np.int64), own.grams.starts)
+        sums = [np.add.reduceat(x, own.grams.starts).tolist() for x in (base, weight)]
+        return _table(list(zip(block["doc_id"].to_pylist(), block["held_out"].to_pylist(), own.grams.lengths.tolist(), known.tolist(),
+                               [learned] * len(known), *sums, strict=True)), SCHEMA)
+
+    counts, texts = counts.drop("distinct"), blocked.select("block", "doc_id", "held_out", "learn", "text").groupBy("block")
+    sums = texts.cogroup(counts.groupBy("block")).applyInArrow(histories, ASKED)
+    sums = _cut(sums.groupBy("bucket").applyInArrow(_total("abc", False), ANSWERS), "sums").drop("distinct")
+    answers = counts.withColumn("summed", F.lit(False)).unionByName(sums.withColumn("summed", F.lit(True)))
+    return texts.cogroup(answers.groupBy("block")).applyInArrow(score, SCHEMA)

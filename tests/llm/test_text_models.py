@@ -1,5 +1,6 @@
 import math
 import re
+import zlib
 from collections import Counter
 from itertools import product
 
@@ -243,3 +244,44 @@ def test_scores_on_held_out_text_beat_the_base(spark):
     rows = backoff.scored(spark.read.parquet(f"{SF}/documents.parquet")).where("held_out").collect()
     assert sum(r["score"] for r in rows) > sum(r["base_score"] for r in rows)
     assert backoff.scored(empty(spark)).collect() == []
+
+
+def test_the_model_keeps_rare_ngrams_of_a_large_corpus(spark):
+    ids = [i for i in range(300) if zlib.crc32(str(i).encode()) % 7 != 2]
+    new = next(i for i in range(300) if zlib.crc32(str(i).encode()) % 7 == 2)
+    rare = [(ids[0], "rare pair here"), (ids[1], "rare pair here"), (ids[2], "sole one"), (new, "rare pair here"), (new, "sole one"), (new, "rare pair new")]
+    for filler in (0, 200):  # 0 and 1.0 million tokens
+        rows = rare + [(i, "much more text " * 1700) for i in ids[3 : 3 + filler]]
+        got = [r for r in backoff.scored(frame(spark, rows)).collect() if r["doc_id"] == new]
+        total, distinct = got[0]["train_tokens"], 9 if filler else 6
+        assert total == 11 + filler * 5101
+        one = {w: (n + 1) / (total + distinct + 1) for w, n in (("rare", 2), ("sole", 1), ("end", 3 + filler), ("here", 2), ("new", 0))}
+        two, single, d = 1.25 / 2, 0.25, backoff.DISCOUNT
+        to_pair = (1 - two) / (1 - two)  # "rare pair" and "pair" both go on with "here" only
+        unseen = to_pair * (1 - two) / (1 - one["here"]) * one["new"]
+        want = [one["rare"] * two**3, one["sole"] * single**2, one["rare"] * two * unseen * one["end"]]
+        assert sorted(r["score"] for r in got) == pytest.approx(sorted(math.log10(x) for x in want)) and d == 0.75
+
+
+def test_the_model_grows_with_the_table(spark):
+    kept = []
+    for sf in ("sf0.01", "sf0.1"):
+        docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+        blocked = docs.select(F.col("doc_id") % 16, ~backoff.held_out(F.col("doc_id")), F.coalesce("text", F.lit("")).cast("binary")).toDF("block", "learn", "text")
+        orders = backoff.ngram_counts(blocked, 4).groupBy(F.shiftright("bucket", 4).alias("order")).agg(F.sum("distinct")).collect()
+        kept.append([n for _, n in sorted(orders)])
+    assert len(kept[0]) == 3 and all(b > 2 * a for a, b in zip(*kept, strict=True))
+
+
+def test_scores_do_not_depend_on_the_blocks(spark):
+    # in one block every n-gram is its own; in many the buckets answer
+    docs, before = frame(spark, corpus(9, 60)), spark.conf.get("spark.sql.shuffle.partitions")
+    got = [sorted((tuple(r) for r in backoff.scored(docs, block_bytes=1 << 10).collect()), key=repr)]
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        got.append(sorted((tuple(r) for r in backoff.scored(docs).collect()), key=repr))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(got[0]) == len(got[1]) == docs.count()
+    for a, b in zip(*got, strict=True):
+        assert a[:5] == b[:5] and a[5:] == pytest.approx(b[5:])
