@@ -285,3 +285,9 @@ def test_scores_do_not_depend_on_the_blocks(spark):
     assert len(got[0]) == len(got[1]) == docs.count()
     for a, b in zip(*got, strict=True):
         assert a[:5] == b[:5] and a[5:] == pytest.approx(b[5:])
+
+
+def test_digits_of_a_block_are_those_of_all_its_text():
+    long = "a" * 500 + "1" * 1500
+    own, early = (set(crf_extract.features([crf_extract.Block(t, (), 0)])[0]) for t in (long, "1" * 400 + "a" * 6000))
+    assert "digits2" in own and "digits0" in early
