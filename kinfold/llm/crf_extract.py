@@ -10,7 +10,8 @@ Labelled pages: rows of the table whose markup names the article (`article` elem
 it, and each is also set again into other usual layouts (LAYOUTS), where the place of every block, and
 so its label, is known.  At most SAMPLE_PAGES rows, chosen by a hash, are used to train; all rows are decoded.
 
-Scripts, styles, comments of the markup and everything in `head` are never text.  A null or empty page gives an
+Scripts, styles, comments of the markup and everything in `head` (which ends where an
+element opens that it cannot hold) are never text.  A null or empty page gives an
 empty text; an empty table no rows; repeated rows repeated results; extra columns are ignored.
 """
 
@@ -39,6 +40,7 @@ SCHEMA = "page_id long, url string, text string, n_chars long"
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN = frozenset("head title template noscript".split())
+HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 CLOSES_P = frozenset("address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(?P<raw>script|style|textarea|iframe|noscript|template|title)\b(?:"[^"]*"|'[^']*'|[^'">])*+>.*?(?:</(?P=raw)\s*>|\Z)|<![^>]*>|<\?[^>]*>"""
@@ -83,6 +85,10 @@ def leaf_blocks(page: str) -> list[Block]:
         tag = (m["tag"] or "").lower()
         if not tag:
             continue
+        if stack and stack[-1][0] == "head" and not m["close"] and tag not in HEAD:  # </head> may be left out
+            flush()
+            stack.pop()
+            hidden = sum(s[0] in HIDDEN for s in stack)
         if tag in VOID:
             if tag in ("br", "hr"):
                 flush()

@@ -291,3 +291,9 @@ def test_digits_of_a_block_are_those_of_all_its_text():
     long = "a" * 500 + "1" * 1500
     own, early = (set(crf_extract.features([crf_extract.Block(t, (), 0)])[0]) for t in (long, "1" * 400 + "a" * 6000))
     assert "digits2" in own and "digits0" in early
+
+
+@pytest.mark.parametrize("first", ["<body><p>", "<p>", "<body>", "<a href='/'>", "<img src='x'>"])
+def test_a_head_left_open_ends_at_the_body(first):
+    page = f"<html><head><meta charset='utf-8'><title>no</title><script>no</script><link rel='x'><style>no</style>{first}Text"
+    assert [(b.text, any(s[0] == "head" for s in b.above)) for b in crf_extract.leaf_blocks(page)] == [("Text", False)]
