@@ -8,7 +8,8 @@ gradient of the log-likelihood (forward-backward, AdaGrad) and decoded by Viterb
 
 Labelled pages: rows of the table whose markup names the article (`article` element) are labelled by
 it, and each is also set again into other usual layouts (LAYOUTS), where the place of every block, and
-so its label, is known.  At most SAMPLE_PAGES rows, chosen by a hash, are used to train; all rows are decoded.
+so its label, is known.  At most SAMPLE_PAGES different rows, chosen by a hash, with SAMPLE_CHARS characters in all are used to
+train; if they hold no main text, fixed layouts of made-up text are.  All rows are decoded.
 
 Scripts, styles, comments of the markup and everything in `head` (which ends where an
 element opens that it cannot hold) are never text.  A null or empty page gives an
@@ -32,6 +33,7 @@ from pyspark.sql import functions as F
 from .common import chunks
 
 SAMPLE_PAGES = 150
+SAMPLE_CHARS = 15_000_000
 LAYOUTS_PER_PAGE = 3
 EPOCHS = 5
 SCHEMA = "page_id long, url string, text string, n_chars long"
@@ -294,11 +296,31 @@ def labelled(pages: list[str], layouts: int = LAYOUTS_PER_PAGE) -> list[tuple[li
     return out
 
 
+def fixed_layouts(number: int = 60) -> list[tuple[list[list[str]], list[int]]]:
+    """Training chains of made-up text, for a table without labelled pages: sentences are main text, short pieces the rest."""
+    out = []
+    for seed in range(number):
+        pick = random.Random(seed)
+        main = ["text " * pick.randint(6, 150) + "end." for _ in range(pick.randint(2, 12))]
+        set_again, labels = layout("a title", main, ["text " * pick.randint(1, 12) for _ in range(8)], seed)
+        found = leaf_blocks(set_again)
+        if len(found) == len(labels):
+            out.append((features(found), labels))
+    return out
+
+
 def fit(pages: DataFrame, page: str = "html", page_id: str = "page_id", sample: int = SAMPLE_PAGES) -> Field:
-    """A field from a bounded sample of the rows whose markup names the article."""
+    """A field from a bounded sample of the rows whose markup names the article; from fixed layouts if that has no main text."""
     rows = pages.select(F.col(page).alias("html"), F.xxhash64(F.col(page_id), F.col(page)).alias("key"))
-    named = rows.where(F.lower("html").contains("<article") & (F.length("html") < 100_000))
-    return train(labelled([r["html"] for r in named.orderBy("key").limit(sample).collect()]))
+    named = rows.where(F.lower("html").contains("<article") & (F.length("html") <= SAMPLE_CHARS))
+    keys, left = [], SAMPLE_CHARS
+    for r in named.groupBy("key").agg(F.max(F.length("html")).alias("n")).orderBy("key").limit(sample).collect():
+        if r["n"] <= left:
+            keys.append(r["key"])
+            left -= r["n"]
+    found = {r["key"]: r["html"] for r in named.where(F.col("key").isin(keys)).dropDuplicates(["key"]).collect()} if keys else {}
+    chains = labelled([found[k] for k in keys])
+    return train(chains if any(1 in labels for _, labels in chains) else chains + fixed_layouts())
 
 
 def main_text(page: str, model: Field) -> str:

@@ -297,3 +297,13 @@ def test_digits_of_a_block_are_those_of_all_its_text():
 def test_a_head_left_open_ends_at_the_body(first):
     page = f"<html><head><meta charset='utf-8'><title>no</title><script>no</script><link rel='x'><style>no</style>{first}Text"
     assert [(b.text, any(s[0] == "head" for s in b.above)) for b in crf_extract.leaf_blocks(page)] == [("Text", False)]
+
+
+def test_extraction_learns_without_short_labelled_pages(spark):
+    body = "".join(f"<p>{'Some words of the long main text. ' * 12}</p>" for _ in range(4))
+    for markup, times in (("div id='content'", 1), ("article", 80)):
+        tag = markup.split()[0]
+        page = f"<html><body><nav><ul><li><a href='/'>Home</a></li></ul></nav><{markup}>{body * times}</{tag}><footer><p>Contact</p></footer></body></html>"
+        docs = spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string")
+        got = crf_extract.extracted(docs, crf_extract.fit(docs)).collect()[0]["text"]
+        assert got.startswith("Some words") and got.endswith("main text.") and got.count("Some words") == 48 * times
