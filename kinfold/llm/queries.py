@@ -9,7 +9,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import backoff, crf_extract, decontaminate, exact, langid, ngram_join, pack, secret_scan, substring, warc
+from . import backoff, bin_completion, crf_extract, decontaminate, exact, langid, ngram_join, pack, secret_scan, substring, warc
 from .common import ship_package, table
 
 
@@ -57,6 +57,10 @@ def op10_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.verdicts(table(spark, sf_dir, "documents"))
 
 
+def op13_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bin_completion.packed(table(spark, sf_dir, "documents"))
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,7 +71,8 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_decontaminate, op2_pack, op3_ngram_join, op4_substring, op5_secrets, op6_warc, op7_langid, op8_html, op9_lm, op10_exact)
+    own = (op1_decontaminate, op2_pack, op3_ngram_join, op4_substring, op5_secrets, op6_warc, op7_langid, op8_html, op9_lm, op10_exact,
+           op13_best_fit)
     return {f.__name__: _shipped(f) for f in own} | {"pipeline": _shipped(corpus_pipeline.run)}
 
 
