@@ -9,7 +9,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import backoff, bin_completion, crf_extract, decontaminate, exact, langid, ngram_join, pack, secret_scan, substring, warc
+from . import backoff, bin_completion, crf_extract, decontaminate, exact, hard_negatives, langid, ngram_join, pack, secret_scan, substring, warc
 from .common import ship_package, table
 
 
@@ -57,6 +57,12 @@ def op10_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.verdicts(table(spark, sf_dir, "documents"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, seventh = table(spark, sf_dir, "embeddings"), F.col("vec_id") % 7 == 0
+    label = F.when(seventh, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mined(rows, F.col("vec_id") % 50 == 0, label)
+
+
 def op13_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bin_completion.packed(table(spark, sf_dir, "documents"))
 
@@ -72,12 +78,12 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (op1_decontaminate, op2_pack, op3_ngram_join, op4_substring, op5_secrets, op6_warc, op7_langid, op8_html, op9_lm, op10_exact,
-           op13_best_fit)
+           op12_hard_negatives, op13_best_fit)
     return {f.__name__: _shipped(f) for f in own} | {"pipeline": _shipped(corpus_pipeline.run)}
 
 
 def oracle_sql() -> dict[str, str]:
-    known = {"op10_exact": OP10, "op4_substring": OP4, "pipeline": corpus_pipeline.ORACLE_SQL}
+    known = {"op10_exact": OP10, "op12_hard_negatives": OP12, "op4_substring": OP4, "pipeline": corpus_pipeline.ORACLE_SQL}
     return {k: v for k, v in known.items() if v}
 
 
@@ -98,3 +104,18 @@ kept AS (SELECT words.doc_id, string_agg(word, ' ' ORDER BY words.i) AS t, count
 SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id
 """
+
+OP12 = r"""
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+           FROM embeddings
+           WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, e.vec_id AS other, a.label = e.label AS same, CAST(list_inner_product(a.v, e.v) AS BIGINT) AS score
+      FROM e AS a JOIN e ON e.vec_id <> a.vec_id AND len(e.v) = len(a.v) WHERE a.vec_id % 50 = 0),
+p AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5),
+n AS (SELECT p.anchor_id, positive_id, other AS negative_id, positive_score, score AS negative_score,
+             row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other) AS rank
+      FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+"""
