@@ -9,7 +9,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import backoff, bin_completion, crf_extract, decontaminate, exact, hard_negatives, langid, ngram_join, pack, secret_scan, substring, warc
+from . import backoff, bin_completion, crf_extract, decontaminate, exact, hard_negatives, langid, ngram_join, pack, prefix_trie, secret_scan, substring, warc
 from .common import ship_package, table
 
 
@@ -57,6 +57,10 @@ def op10_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.verdicts(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, seventh = table(spark, sf_dir, "embeddings"), F.col("vec_id") % 7 == 0
     label = F.when(seventh, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -78,12 +82,12 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (op1_decontaminate, op2_pack, op3_ngram_join, op4_substring, op5_secrets, op6_warc, op7_langid, op8_html, op9_lm, op10_exact,
-           op12_hard_negatives, op13_best_fit)
+           op11_prefix_trie, op12_hard_negatives, op13_best_fit)
     return {f.__name__: _shipped(f) for f in own} | {"pipeline": _shipped(corpus_pipeline.run)}
 
 
 def oracle_sql() -> dict[str, str]:
-    known = {"op10_exact": OP10, "op12_hard_negatives": OP12, "op4_substring": OP4, "pipeline": corpus_pipeline.ORACLE_SQL}
+    known = {"op10_exact": OP10, "op11_prefix_trie": OP11, "op12_hard_negatives": OP12, "op4_substring": OP4, "pipeline": corpus_pipeline.ORACLE_SQL}
     return {k: v for k, v in known.items() if v}
 
 
@@ -105,6 +109,28 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS
 FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id
 """
 
+# the 32-bit checksum of decimal digits, bit by bit; a node's key is the list of its turns
+OP11 = r"""
+WITH t AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos,
+                  {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS x
+           FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT c, c - c % 20 AS source, list(x ORDER BY pos) AS own FROM t GROUP BY c),
+h AS (SELECT c, source, own, (4294967295 - list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda d: ascii(d)::BIGINT)),
+             lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda k, i: xor(k >> 1, 3988292384 * (k & 1))))) % 4 AS h FROM convs),
+r AS (SELECT h.c, list_concat(coalesce(list_slice(s.own, 1, h.h), []), list_slice(h.own, h.h + 1, len(h.own))) AS seq
+      FROM h LEFT JOIN convs AS s ON s.c = h.source),
+n AS (SELECT list_slice(seq, 1, d) AS k, d, min(c) AS conv_id, count(*) AS n_convs, list(c ORDER BY c) FILTER (len(seq) = d) AS ended
+      FROM r, unnest(range(len(seq) + 1)) AS u(d) GROUP BY ALL),
+kids AS (SELECT list_slice(k, 1, d - 1) AS k, count(*) AS n FROM n WHERE d > 0 GROUP BY ALL),
+own AS (SELECT n.*, coalesce(kids.n, 0) AS n_children, CASE WHEN d = 0 THEN 0 ELSE
+               (n_convs - 1) * len(regexp_extract_all(n.k[d].text, '[^\x20\x09-\x0D]+')) END AS saved FROM n LEFT JOIN kids ON kids.k = n.k),
+sums AS (SELECT list_slice(k, 1, u.d) AS k, sum((n_children = 0)::BIGINT) AS n_leaves, sum(saved) AS saved_tokens
+         FROM own, unnest(range(own.d + 1)) AS u(d) GROUP BY ALL)
+SELECT own.conv_id, own.d::BIGINT AS depth, p.conv_id AS parent_conv_id, own.n_convs, own.n_children, n_leaves::BIGINT AS n_leaves,
+       saved_tokens::BIGINT AS saved_tokens, sha256(coalesce(array_to_string(ended, ','), '')) AS ends_sha256
+FROM own JOIN sums ON sums.k = own.k LEFT JOIN n AS p ON own.d > 0 AND p.k = list_slice(own.k, 1, own.d - 1)
+"""
+
 OP12 = r"""
 WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
                   list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
