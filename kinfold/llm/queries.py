@@ -127,7 +127,7 @@ own AS (SELECT n.*, coalesce(kids.n, 0) AS n_children, CASE WHEN d = 0 THEN 0 EL
 sums AS (SELECT list_slice(k, 1, u.d) AS k, sum((n_children = 0)::BIGINT) AS n_leaves, sum(saved) AS saved_tokens
          FROM own, unnest(range(own.d + 1)) AS u(d) GROUP BY ALL)
 SELECT own.conv_id, own.d::BIGINT AS depth, p.conv_id AS parent_conv_id, own.n_convs, own.n_children, n_leaves::BIGINT AS n_leaves,
-       saved_tokens::BIGINT AS saved_tokens, sha256(coalesce(array_to_string(ended, ','), '')) AS ends_sha256
+       saved_tokens::BIGINT AS saved_tokens, sha256(coalesce(array_to_string(own.ended, ','), '')) AS ends_sha256
 FROM own JOIN sums ON sums.k = own.k LEFT JOIN n AS p ON own.d > 0 AND p.k = list_slice(own.k, 1, own.d - 1)
 """
 
