@@ -13,6 +13,7 @@ from __future__ import annotations
 import json
 import logging
 import time
+import uuid
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -22,13 +23,17 @@ from pyspark.sql import functions as F
 from kinfold.model import Dictionary, Graph
 from kinfold.operators.cohort import cohort_authz, select_cohort
 from kinfold.operators.records import walk_records
-from kinfold.operators.restore import (Restored, decoded_props, restore_records,
-                                       validate_records, without_existing)
+from kinfold.operators.restore import Restored, decoded_props
 from kinfold.operators.traverse import Walk, walk_graph
 from kinfold.sources.container import (container_schema, props_from_schema, read_container,
                                        write_container)
+from kinfold.session import scratch_dir
+from kinfold.sources.commits import ImportLog
 from kinfold.sources.manifest import EXPIRY_DAYS, artifact_manifest
-from kinfold.sources.sinks import write_records, write_restored_files, write_restored_jdbc
+from kinfold.sources.sinks import index_staged, stage_import, without_published, write_records, write_restored_jdbc
+
+NODE_SCHEMA = "node_table string, node_id string, _props string, acl string, _sysan string, created timestamp"
+EDGE_SCHEMA = "edge_table string, src_id string, dst_id string, _props string, acl string, _sysan string, created timestamp"
 
 log = logging.getLogger("kinfold")
 
@@ -125,42 +130,57 @@ def with_container_props(d: Dictionary, schema: dict) -> Dictionary:
     return Dictionary(dict(d.node_tables), list(d.edge_types), list(d.props) + extra)
 
 
-def read_export(spark: SparkSession, path: str, fmt: str = "avro") -> DataFrame:
+def read_export(spark: SparkSession, path: str, fmt: str = "avro", schema: dict | None = None) -> DataFrame:
     if fmt == "avro":
-        return read_container(spark, path)
-    return spark.read.parquet(path)
-
-
-def _existing(spark: SparkSession, path: str) -> DataFrame | None:
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
-        return None
+        return read_container(spark, path, schema)
     return spark.read.parquet(path)
 
 
 def import_job(spark: SparkSession, path: str, d: Dictionary, target: str | None = None,
                jdbc_url: str | None = None, jdbc_properties: dict[str, str] | None = None,
-               fmt: str = "avro", skip_existing: bool = False) -> Restored:
-    """Read an export, check it against the dictionary, append the tables.
+               fmt: str = "avro", skip_existing: bool = False, import_id: str | None = None) -> Restored:
+    """Read an export once, check it while staging it, and commit all its tables together.
 
-    Checks run before any write.  ``target`` writes Parquet tables
-    partitioned by table name; ``jdbc_url`` appends over JDBC.  Appending is
-    the default; ``skip_existing`` drops rows whose keys the Parquet target
-    already holds.
+    ``target`` is a folder with a commit log (``sources.commits``): node and edge rows become valid in one step, as
+    Parquet tables by import and table name.  Appending is the default; ``skip_existing`` drops rows
+    whose keys a committed import already holds.  An ``import_id`` makes the job safe to repeat: an
+    id that is committed is not imported again.  ``jdbc_url`` appends the committed rows over JDBC.
     """
     t0 = time.time()
-    records = read_export(spark, path, fmt)
-    if fmt == "avro":
-        d = with_container_props(d, container_schema(spark, path))
-    validate_records(records, d)
-    restored = restore_records(records, d, encoded=fmt == "avro")
-    if skip_existing and target:
-        restored = without_existing(restored, _existing(spark, f"{target}/nodes"),
-                                    _existing(spark, f"{target}/edges"))
-    if target:
-        write_restored_files(restored, target)
+    import_log = ImportLog(spark, target or scratch_dir(spark, "import"))
+    import_id = import_id or uuid.uuid4().hex
+    done = import_log.find(import_id)
+    if done is not None:
+        import_log.publish(done)
+        log.info("import %s of %s is committed already", import_id, path)
+        return imported(import_log, import_id)
+    schema = container_schema(spark, path) if fmt == "avro" else None
+    records = read_export(spark, path, fmt, schema)
+    if schema:
+        d = with_container_props(d, schema)
+    staged = import_log.new_attempt(import_id)
+    try:
+        counts = stage_import(records, d, f"{import_log.target}/{staged}", encoded=fmt == "avro")
+        if skip_existing:
+            staged, counts["files_compared"] = without_published(import_log, staged, import_log.new_attempt(import_id))
+        index_staged(import_log, staged)
+    except Exception:
+        import_log.discard(staged)
+        raise
+    import_log.commit(import_id, staged, counts)
+    restored = imported(import_log, import_id)
     if jdbc_url:
-        write_restored_jdbc(restored, d, jdbc_url, jdbc_properties or {})
+        write_restored_jdbc(restored, d, jdbc_url, jdbc_properties or {}, staged=True)
     log.info("import of %s finished in %.1fs", path, time.time() - t0)
     return restored
+
+
+def imported(import_log: ImportLog, import_id: str) -> Restored:
+    """The committed rows of one import."""
+    spark = import_log.spark
+    tables = []
+    for kind, schema in (("nodes", NODE_SCHEMA), ("edges", EDGE_SCHEMA)):
+        rows = import_log.table(kind)
+        tables.append(spark.createDataFrame([], schema) if rows is None else rows.where(F.col("import") == import_id).select(
+            *(c.split()[0] for c in schema.split(", "))))
+    return Restored(*tables)

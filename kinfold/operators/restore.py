@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from kinfold.functions.enums import ESCAPE_RE, decode_enum
@@ -169,34 +169,78 @@ def malformed_objects(records: DataFrame) -> DataFrame:
     return data_records(records).where(malformed(F.col("object"))).select("name", "id", "object")
 
 
-def import_problems(records: DataFrame, d: Dictionary) -> DataFrame:
-    """Everything an import must not write, in one scan: ``(problem, name, dst_name, n)``.
+#: what an import must not write
+PROBLEMS = ("unknown type", "null id", "malformed object", "unknown edge", "null relation id")
+_PROBLEM_ROWS = "array<struct<problem:string,dst_name:string>>"
 
-    Problems: ``unknown type`` (null names too), ``null id``, ``malformed object``,
-    ``unknown edge``, ``null relation id``; at most one row per problem and pair of types.
-    """
-    def found(condition: Column, problem: str, dst: Column | None = None) -> Column:
-        row = F.struct(F.lit(problem).alias("problem"), (F.lit(None) if dst is None else dst).cast("string").alias("dst_name"))
-        return F.when(condition, F.array(row)).otherwise(F.array().cast("array<struct<problem:string,dst_name:string>>"))
+
+def record_problems(d: Dictionary) -> Column:
+    """The problems of one data record, as an array of ``(problem, dst_name)``; null names are unknown types."""
+    def found(condition: Column, problem: str) -> Column:
+        row = F.struct(F.lit(problem).alias("problem"), F.lit(None).cast("string").alias("dst_name"))
+        return F.when(condition, F.array(row)).otherwise(F.array().cast(_PROBLEM_ROWS))
 
     def relation(r: Column) -> Column:
         known = edge_table_of(d, F.col("name"), r["dst_name"])
         return F.when(known.isNull(), F.lit("unknown edge")).when(r["dst_id"].isNull(), F.lit("null relation id"))
 
     bad_relations = F.filter(
-        F.transform(F.coalesce("relations", F.array().cast("array<struct<dst_id:string,dst_name:string>>")),
-                    lambda r: F.struct(relation(r).alias("problem"), r["dst_name"].alias("dst_name"))),
+        F.transform(_relations(), lambda r: F.struct(relation(r).alias("problem"), r["dst_name"].alias("dst_name"))),
         lambda x: x["problem"].isNotNull())
-    problems = F.concat(
+    return F.concat(
         found(node_table_of(d, F.col("name")).isNull(), "unknown type"),
         found(F.col("id").isNull(), "null id"),
         found(malformed(F.col("object")), "malformed object"),
         bad_relations)
-    rows = data_records(records).select("name", F.explode(problems).alias("p"))
+
+
+def _relations() -> Column:
+    return F.coalesce("relations", F.array().cast("array<struct<dst_id:string,dst_name:string>>"))
+
+
+def import_problems(records: DataFrame, d: Dictionary) -> DataFrame:
+    """Everything an import must not write, in one scan: ``(problem, name, dst_name, n)``.
+
+    Problems: ``unknown type`` (null names too), ``null id``, ``malformed object``,
+    ``unknown edge``, ``null relation id``; at most one row per problem and pair of types.
+    """
+    rows = data_records(records).select("name", F.explode(record_problems(d)).alias("p"))
     return (rows.select(F.col("p.problem").alias("problem"), "name", F.col("p.dst_name").alias("dst_name"))
             .groupBy("problem", "name", "dst_name").agg(F.count(F.lit(1)).alias("n")))
 
 
+def _times(problems: Column, problem: str) -> Column:
+    return F.size(F.filter(problems, lambda x: x["problem"] == problem))
+
+
+def import_rows(records: DataFrame, d: Dictionary, encoded: bool = False, observation: Observation | None = None) -> DataFrame:
+    """Node rows and edge rows in one frame, so that one write of one scan stages both:
+    ``(kind, table, node_id, src_id, dst_id, _props, acl, _sysan, created)``.
+
+    ``observation`` counts records, nodes, edges and every problem while the rows are written; rows with a
+    problem are staged too (under a null table when it is unknown), so publish only when all counts are 0.
+    """
+    d.edge_table_by_labels()  # ambiguous pairs raise here
+    recs = data_records(records).withColumn("_bad", record_problems(d))
+    if observation is not None:
+        recs = recs.observe(
+            observation, F.count(F.lit(1)).alias("nodes"), F.coalesce(F.sum(F.size(_relations())), F.lit(0)).alias("edges"),
+            *(F.coalesce(F.sum(_times(F.col("_bad"), p)), F.lit(0)).alias(p) for p in PROBLEMS))
+    none = F.lit(None).cast("string")
+
+    def row(kind: str, table: Column, node_id: Column, src_id: Column, dst_id: Column, props: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), table.alias("table"), node_id.alias("node_id"),
+                        src_id.alias("src_id"), dst_id.alias("dst_id"), props.alias("_props"))
+
+    props = decoded_props(d, F.col("name"), F.col("object")) if encoded else F.col("object")
+    node = row("nodes", node_table_of(d, F.col("name")), F.col("id"), none, none, F.col("_out"))
+    edges = F.transform(_relations(), lambda r: row(
+        "edges", edge_table_of(d, F.col("name"), r["dst_name"]), none, F.col("id"), r["dst_id"], F.lit("{}")))
+    out = recs.withColumn("_out", props).select(F.explode(F.concat(F.array(node), edges)).alias("r")).select("r.*")
+    # fixed values of the stored layout: empty acl, system annotations and edge properties
+    return out.withColumns({"acl": F.lit("{}"), "_sysan": F.lit("{}"), "created": F.current_timestamp()})
+
+
 def validate_records(records: DataFrame, d: Dictionary) -> None:
     """Raise before any write when :func:`import_problems` finds something."""
     bad = import_problems(records, d).orderBy("problem", "name", "dst_name").limit(20).collect()

@@ -4,8 +4,8 @@ The driver-side planner in :mod:`kinfold.plans.topology` works on the
 dictionary.  The functions here compute the same answers with Spark over an
 ``edge_types`` DataFrame ``(edge_table, src_label, dst_label)``, for instance
 the edge types that are actually *populated* in the data, so users can query
-the type graph like any table.  Levels are found by one join each; their number
-is bounded by the number of labels, and a cycle fails.
+the type graph like any table.  All levels come from one job over the distinct links; their
+number is bounded by the number of labels, and a cycle fails.
 """
 
 from __future__ import annotations
@@ -49,57 +49,62 @@ def ambiguous_edges(edge_types: DataFrame) -> DataFrame:
             .where(F.col("n_tables") > 1))
 
 
-def _levels(edge_types: DataFrame, root: str, direction: str, n_labels: int, longest: bool) -> DataFrame:
-    """``(label, depth)`` by one join per level, at most ``n_labels`` of them.
+def _levels(edge_types: DataFrame, root: str, ways: list[str], n_labels: int, longest: bool) -> dict[str, dict[str, int]]:
+    """Per direction, the depth of every label that the root reaches, in one job.
 
-    A level's labels are a bounded list (there are ``n_labels`` in all), so the levels are kept
-    as literal rows: no path is enumerated and no plan grows with the depth.
+    The distinct links are one bounded array (the type graph is metadata).  A fold over the possible levels
+    takes each level's labels to their neighbours as a set: a label that is reached again moves down (longest) or is
+    left out (breadth-first).  No path is enumerated and nothing returns to the driver between the levels.
     """
-    spark = edge_types.sparkSession
-    frm, to = ("src_label", "dst_label") if direction == UP else ("dst_label", "src_label")
-    links = edge_types.select(F.col(frm).alias("label"), F.col(to).alias("dst")).distinct().cache()
-    depth, frontier = {root: 0}, [root]
-    try:
-        for level in range(1, n_labels + 2):
-            here = spark.createDataFrame([(x,) for x in frontier], "label string")
-            reached = sorted(r["dst"] for r in links.join(here, "label").select("dst").distinct().collect())
-            frontier = reached if longest else [x for x in reached if x not in depth]
-            depth |= dict.fromkeys(frontier, level)
-            if not frontier:
-                break
-    finally:
-        links.unpersist()
-    if frontier:
-        raise GraphError(f"type graph has a cycle through {frontier}")
-    return spark.createDataFrame(sorted(depth.items()), "label string, depth int")
+    names = "array<string>"
+
+    def step(state: Column, label: Column, to: Column, links: Column) -> Column:
+        here = F.element_at(state, -1)
+        reached = F.array_distinct(F.transform(F.filter(links, lambda e: F.array_contains(here, label(e))), to))
+        new = reached if longest else F.array_except(reached, F.flatten(state))
+        return F.when(F.size(here) > 0, F.concat(state, F.array(F.array_sort(new)))).otherwise(state)
+
+    def fold(way: str) -> Column:
+        frm, to = ("src_label", "dst_label") if way == UP else ("dst_label", "src_label")
+        start = F.array(F.array(F.lit(root))).cast(f"array<{names}>")
+        return F.aggregate(F.sequence(F.lit(1), F.lit(n_labels + 1)), start, lambda state, _: step(
+            state, lambda e: e[frm], lambda e: e[to], F.col("links")))
+
+    links = edge_types.agg(F.collect_set(F.struct("src_label", "dst_label")).alias("links"))
+    row = links.select(*(fold(way).alias(way) for way in ways)).first()
+    out = {}
+    for way in ways:
+        if row[way][-1]:
+            raise GraphError(f"type graph has a cycle through {row[way][-1]}")
+        out[way] = {label: depth for depth, level in enumerate(row[way]) for label in level}
+    return out
+
+
+def _frame(edge_types: DataFrame, rows: list[tuple], schema: str) -> DataFrame:
+    return edge_types.sparkSession.createDataFrame(rows, schema)
 
 
 def type_depths(edge_types: DataFrame, root: str, direction: str,
                 n_labels: int) -> DataFrame:
     """Longest-path depth ``(label, depth)`` of labels reachable from ``root``.
 
-    A frontier still alive after ``n_labels`` steps can only come from a cycle and fails.
+    A level still alive after ``n_labels`` steps can only come from a cycle and fails.
     """
-    return _levels(edge_types, root, direction, n_labels, longest=True)
+    depths = _levels(edge_types, root, [direction], n_labels, True)[direction]
+    return _frame(edge_types, sorted(depths.items()), "label string, depth int")
 
 
 def type_bfs(edge_types: DataFrame, root: str, n_labels: int) -> DataFrame:
     """Breadth-first level ``(label, level)`` of descendant types."""
-    return _levels(edge_types, root, DOWN, n_labels, longest=False).withColumnRenamed("depth", "level")
+    return _frame(edge_types, sorted(_levels(edge_types, root, [DOWN], n_labels, False)[DOWN].items()), "label string, level int")
 
 
 def type_topology(edge_types: DataFrame, root: str, n_labels: int) -> DataFrame:
     """``(direction, label, depth, pos)``: both orders from ``root``, ties by label."""
-    from pyspark.sql import Window
-
-    parts = []
-    for direction in (UP, DOWN):
-        d = type_depths(edge_types, root, direction, n_labels)
-        parts.append(d.select(F.lit(direction).alias("direction"), "label", "depth"))
-    allp = reduce(lambda a, b: a.unionByName(b), parts)
-    # tiny frame (bounded by the number of labels): one partition is fine
-    w = Window.partitionBy("direction").orderBy("depth", "label")
-    return allp.withColumn("pos", (F.row_number().over(w) - 1).cast("int"))
+    depths = _levels(edge_types, root, [UP, DOWN], n_labels, True)
+    rows = [(way, label, depth, pos) for way in (UP, DOWN)
+            for pos, (depth, label) in enumerate(sorted((v, k) for k, v in depths[way].items()))]
+    return _frame(edge_types, rows, "direction string, label string, depth int, pos int")
 
 
 def traversal_plan_df(edge_types: DataFrame, root: str, extra: list[str] | None,

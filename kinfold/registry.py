@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kinfold import jobs
 from kinfold.functions.enums import decode_enum, encode_enum, encode_symbol_sql
 from kinfold.functions.props import json_int
 from kinfold.model import Dictionary, load_dictionary, save_dictionary, tables_graph
@@ -22,6 +23,7 @@ from kinfold.plans import typegraph as tg
 from kinfold.sources import star
 from kinfold.sources import container as ct
 from kinfold.sources.jdbc import keyed_scan
+from kinfold.sources.commits import ImportLog
 from kinfold.sources.manifest import artifact_manifest
 from kinfold.sources.sinks import write_records, write_restored_files
 from kinfold.session import scratch_dir
@@ -418,6 +420,22 @@ def _written_container(spark, sf_dir) -> str:
     return path
 
 
+def q_import_commit(spark, sf_dir):
+    """The export imported with one id twice, then again without the keys that are there.
+
+    Rows and imports per table: the second and the third job must add none.
+    """
+    d = star.star_dictionary(spark, sf_dir)
+    path, target = _written_container(spark, sf_dir), scratch_dir(spark, "imports")
+    for import_id in ("first", "first"):
+        jobs.import_job(spark, path, d, target=target, import_id=import_id)
+    jobs.import_job(spark, path, d, target=target, import_id="second", skip_existing=True)
+    log = ImportLog(spark, target)
+    tables = [log.table(kind).select(F.lit(kind).alias("kind"), F.col(f"{kind[:-1]}_table").alias("table"), "import") for kind in ("nodes", "edges")]
+    return tables[0].unionByName(tables[1]).groupBy("kind", "table").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.max("import").alias("import"))
+
+
 def q_container_scan(spark, sf_dir):
     """K4/K5 + S3/X1: export written as an Avro container and read back."""
     recs = rs.data_records(ct.read_container(spark, _written_container(spark, sf_dir)))
@@ -788,6 +806,11 @@ from rel group by name, dst_name
 """
 ORACLE_TYPE_TABLES = " union all ".join(
     f"select '{lbl}' as label, 'node_{lbl}' node_table, count(*) n_nodes from {lbl} having count(*) > 0" for lbl in star.LABELS)
+ORACLE_IMPORT_COMMIT = f"""
+with {_FLAGSHIP_CTES}
+select 'nodes' kind, 'node_' || name "table", count(*) n_rows, 'first' import from n group by name
+union all select 'edges', name || '_' || dst_name, count(*), 'first' from rel group by name, dst_name
+"""
 ORACLE_IMPORT_EDGES = f"""
 with {_FLAGSHIP_CTES}
 select name || '_' || dst_name edge_table, id src_id, dst_id from rel
@@ -863,6 +886,7 @@ _QUERIES: dict[str, tuple[Query, str | None]] = {
     "container_schema_fields": (q_container_schema_fields, ORACLE_CONTAINER_SCHEMA_FIELDS),
     "container_import_nodes": (q_container_import_nodes, ORACLE_IMPORT_NODES),
     "artifact_manifest": (q_artifact_manifest, ORACLE_ARTIFACT_MANIFEST),
+    "import_commit": (q_import_commit, ORACLE_IMPORT_COMMIT),
     "import_problems": (q_import_problems, ORACLE_IMPORT_PROBLEMS),
     "type_tables": (q_type_tables, ORACLE_TYPE_TABLES),
     "edge_labels": (q_edge_labels, ORACLE_EDGE_LABELS),

@@ -26,8 +26,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kinfold.functions.enums import encode_symbol
-from kinfold.model import Dictionary, PropField
+from kinfold.model import Dictionary, GraphError, PropField
 from kinfold.operators.traverse import Walk, sorted_relations
+from kinfold.sources.ranges import header_schemas, listed
 
 AVRO_FORMAT = "org.apache.spark.sql.avro.AvroFileFormat"
 METADATA = "Metadata"
@@ -180,43 +181,99 @@ def write_container(walk: Walk, path: str, mode: str = "errorifexists",
     return schema
 
 
-def read_container_raw(spark: SparkSession, path: str) -> DataFrame:
+def read_container_raw(spark: SparkSession, path: str, schema: dict | None = None) -> DataFrame:
     """Container rows as Spark reads them (union ``object`` as member struct) (S3).
 
     Part files are read split by split; the ``rank`` folder value comes back
     as a column when the container was written by :func:`write_container`.
+    ``schema``: the merged schema to read all parts with (:func:`container_schema`).
     """
-    return spark.read.format(AVRO_FORMAT).option("pathGlobFilter", "*.avro").load(path)
+    reader = spark.read.format(AVRO_FORMAT).option("pathGlobFilter", "*.avro")
+    if schema is not None:
+        reader = reader.option("avroSchema", json.dumps(schema))
+    return reader.load(path)
 
 
-def read_container(spark: SparkSession, path: str) -> DataFrame:
+def read_container(spark: SparkSession, path: str, schema: dict | None = None) -> DataFrame:
     """Container -> records ``(name, id, object JSON, relations)``.
 
     The branch that is set is the entity's own type; its struct is turned
     back into JSON text so the import path is shared with Parquet records.
     """
-    return container_records(read_container_raw(spark, path))
+    return container_records(read_container_raw(spark, path, schema))
 
 
 def container_schema(spark: SparkSession, path: str) -> dict:
-    """Writer schema from the header of one part file (S4; header only)."""
-    jvm = spark._jvm
-    conf = spark._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(conf)
-    status = fs.globStatus(jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/*.avro"))
-    if status is None or len(status) == 0:
-        status = fs.globStatus(jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/*/*.avro"))
-    if status is None or len(status) == 0:
-        status = [fs.getFileStatus(root)]
-    first = sorted(status, key=lambda s: s.getPath().toString())[0].getPath()
-    reader = jvm.org.apache.avro.file.DataFileReader.openReader(
-        jvm.org.apache.avro.mapred.FsInput(first, conf),
-        jvm.org.apache.avro.generic.GenericDatumReader())
-    try:
-        return json.loads(reader.getSchema().toString())
-    finally:
-        reader.close()
+    """Writer schema of all part files (S4; headers only, read in tasks).
+
+    Parts written with different schemas are merged: new types, new fields, more enum symbols and wider numbers; anything
+    else fails with the part, the type and the field.  What comes to the driver is one row per different schema.
+    """
+    found = (header_schemas(listed(spark, path, "*.avro")).groupBy("schema").agg(F.min("path").alias("path"))
+             .orderBy("path").collect())
+    if not found:
+        raise GraphError(f"no container parts below {path}")
+    merged = json.loads(found[0]["schema"])
+    for r in found[1:]:
+        merged = merge_schemas(merged, json.loads(r["schema"]), r["path"])
+    return merged
+
+
+#: wider last
+_NUMBERS = ["int", "long", "float", "double"]
+
+
+def merge_schemas(a: dict, b: dict, part: str) -> dict:
+    """Schema ``a`` widened so that it reads what was written with ``b``; ``part`` names b's file in errors."""
+    if a == b:
+        return a
+    return _merged(a, b, part, a.get("name", ""))
+
+
+def _merged(a, b, part: str, where: str):
+    if a == b:
+        return a
+
+    def conflict():
+        return GraphError(f"{part}: {where} is {json.dumps(b)[:200]}, elsewhere {json.dumps(a)[:200]}")
+
+    if isinstance(a, list) and isinstance(b, list):
+        return _merged_union(a, b, part, where)
+    if isinstance(a, dict) and isinstance(b, dict) and a.get("type") == b.get("type") and a.get("logicalType") == b.get("logicalType"):
+        kind = a["type"]
+        if kind == "record" and a["name"] == b["name"]:
+            own = {f["name"]: f for f in a["fields"]}
+            other = {f["name"]: f for f in b["fields"]}
+            late = [f for f in b["fields"] if f["name"] not in own]
+            for f in [*late, *(f for f in a["fields"] if f["name"] not in other)]:
+                if "default" not in f:  # some parts lack it
+                    raise GraphError(f"{part}: {where}.{f['name']} is not in all parts and has no default")
+            fields = [f | {"type": _merged(f["type"], other[f["name"]]["type"], part, f"{where}.{f['name']}")} if f["name"] in other else f
+                      for f in a["fields"]]
+            return a | {"fields": fields + late}
+        if kind == "enum" and a["name"] == b["name"]:
+            return a | {"symbols": a["symbols"] + [s for s in b["symbols"] if s not in a["symbols"]]}
+        if kind in ("array", "map"):
+            inner = "items" if kind == "array" else "values"
+            return a | {inner: _merged(a[inner], b[inner], part, where)}
+        raise conflict()
+    if a in _NUMBERS and b in _NUMBERS:
+        return max(a, b, key=_NUMBERS.index)
+    raise conflict()
+
+
+def _merged_union(a: list, b: list, part: str, where: str) -> list:
+    """Records are matched by name, new ones are added; any other branch must have its match."""
+    def is_record(t) -> bool:
+        return isinstance(t, dict) and t.get("type") == "record"
+
+    own, other = ({t["name"]: t for t in x if is_record(t)} for x in (a, b))
+    rest_a, rest_b = ([t for t in x if not is_record(t) and t != "null"] for x in (a, b))
+    if len(rest_a) != len(rest_b) or ("null" in a) != ("null" in b):
+        raise GraphError(f"{part}: {where} is {json.dumps(b)[:200]}, elsewhere {json.dumps(a)[:200]}")
+    matched = {id(x): _merged(x, y, part, where) for x, y in zip(rest_a, rest_b, strict=True)}
+    out = [matched.get(id(t), _merged(t, other[t["name"]], part, t["name"]) if is_record(t) and t["name"] in other else t) for t in a]
+    return out + [t for name, t in other.items() if name not in own]
 
 
 def _is_enum(t) -> bool:
