@@ -9,7 +9,8 @@ over the whole text, and the surroundings of a hit are verified with Myers' bit-
 The test items are a stated query set: they are taken in blocks of at most BLOCK_CHARS characters (an
 automaton of bounded size) and each block is held against all documents.  There is no shuffle.
 
-Items that are null or shorter than MIN_CHARS after normalisation match nothing.  A null or empty text
+Items shorter than MIN_CHARS after normalisation match exactly, as whole words.  Items that are null or have no word
+match nothing; an item_id is given back as it is, null too.  A null or empty text
 matches nothing; repeated rows repeat their result; empty tables give no rows; extra columns are ignored.
 """
 
@@ -73,16 +74,16 @@ def myers(pattern: str, text: str) -> tuple[int, int]:
 class Matcher:
     """All items of one block: the automaton of their pieces, and the verification."""
 
-    def __init__(self, items: list[tuple[int, str]], errors: float = ERRORS, min_chars: int = MIN_CHARS):
+    def __init__(self, items: list[tuple[int | None, str]], errors: float = ERRORS, min_chars: int = MIN_CHARS):
         import ahocorasick
 
         self.items, self.automaton = [], ahocorasick.Automaton()
         for item_id, text in items:
             item = normalise(text or "")
-            if len(item) < min_chars:
+            if not item:
                 continue
-            budget = int(len(item) * errors)
-            for offset, piece in pieces(item, budget):
+            budget = int(len(item) * errors) if len(item) >= min_chars else -1  # -1: whole words only
+            for offset, piece in pieces(item, max(0, budget)):
                 self.automaton.get(piece, None) or self.automaton.add_word(piece, (piece, []))
                 self.automaton.get(piece)[1].append((len(self.items), offset))
             self.items.append((item_id, item, budget))
@@ -100,6 +101,10 @@ class Matcher:
             for number, offset in places:
                 _, item, budget = self.items[number]
                 start = end + 1 - len(piece) - offset
+                if budget < 0:
+                    if number not in best and page[start - 1 : start] in ("", " ") and page[end + 1 : end + 2] in ("", " "):
+                        best[number] = (0, start, end + 1)
+                    continue
                 low, high = start - budget, start + len(item) + budget
                 if number in best and best[number][0] == 0 or tried.get(number, (1, 0))[0] <= low and high <= tried.get(number, (1, 0))[1]:
                     continue
@@ -112,13 +117,13 @@ class Matcher:
                     best[number] = (distance, low + stop - back, low + stop)
         for number, (distance, start, stop) in sorted(best.items()):
             item_id, item, budget = self.items[number]
-            yield item_id, distance, budget, len(item), start, stop
+            yield item_id, distance, max(0, budget), len(item), start, stop
 
 
 _MATCHERS: dict[int, Matcher] = kept("matchers", {})
 
 
-def _matcher(items: list[tuple[int, str]], errors: float) -> Matcher:
+def _matcher(items: list[tuple[int | None, str]], errors: float) -> Matcher:
     key = hash((tuple(items), errors))
     if key not in _MATCHERS:
         _MATCHERS.clear()
@@ -126,14 +131,14 @@ def _matcher(items: list[tuple[int, str]], errors: float) -> Matcher:
     return _MATCHERS[key]
 
 
-def item_blocks(items: DataFrame, item_id: str = "item_id", text: str = "text", block_chars: int = BLOCK_CHARS) -> Iterator[list[tuple[int, str]]]:
+def item_blocks(items: DataFrame, item_id: str = "item_id", text: str = "text", block_chars: int = BLOCK_CHARS) -> Iterator[list[tuple[int | None, str]]]:
     """The items in blocks of about block_chars characters, one block at a time."""
     rows = bounded_batches(items).select(F.col(item_id).cast("long").alias("item_id"), F.col(text).alias("text")).where("text IS NOT NULL")
     total = rows.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).first()["n"]
     count = max(1, -(-total // block_chars))
     for block in range(count):
         part = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == block) if count > 1 else rows
-        yield sorted((r["item_id"], r["text"]) for r in part.collect() if r["item_id"] is not None)
+        yield sorted(((r["item_id"], r["text"]) for r in part.collect()), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
 
 
 def matches(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", errors: float = ERRORS,
@@ -141,7 +146,7 @@ def matches(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str
     """One row per document and item that it holds, with the best match's distance and place in the normalised text."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
-    def held_against(block: list[tuple[int, str]]) -> DataFrame:
+    def held_against(block: list[tuple[int | None, str]]) -> DataFrame:
         def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keep_only("matchers")
             matcher = _matcher(block, errors)
@@ -158,7 +163,7 @@ def matches(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str
 
 def contaminated(text: Column, items: DataFrame, errors: float = ERRORS, block_chars: int = BLOCK_CHARS) -> Column:
     """Whether the text holds any item: a condition for filters that keep a document's other columns."""
-    def block_condition(block: list[tuple[int, str]]) -> Column:
+    def block_condition(block: list[tuple[int | None, str]]) -> Column:
         @F.pandas_udf("boolean")
         def holds(texts: pd.Series) -> pd.Series:
             keep_only("matchers")

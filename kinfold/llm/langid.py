@@ -4,8 +4,9 @@ A text is lower-cased, every run of other characters than letters becomes one sp
 3-grams are hashed into FEATURES buckets.  A feature's value is (1 + log count) * idf, and the vector has
 length 1.  Document frequencies are counted over all training rows.  The weights are learned by
 follow-the-regularised-leader (per-coordinate rates, L1 and L2) from a bounded sample: up to
-PER_LANGUAGE rows (in expectation) of each of the LANGUAGES most frequent labels, chosen by a hash of id and text.  A
-temperature is then fitted on a tenth of the sample that the weights did not see.
+PER_LANGUAGE rows (in expectation) of every label, chosen by a hash of id and text.  L1 leaves more than half of the
+weights of the seen features at zero; only features with a weight are kept.  A temperature is then fitted on a tenth of the
+sample that the weights did not see.  Labels are held on the driver, like a dictionary's types: one row each.
 
 Every text is scored whole.  A text that is null or has no letter is `und` with score 0; without any
 labelled row every text is `und`; an empty table gives no rows; ties between languages go to the
@@ -29,9 +30,8 @@ from .common import bounded_batches, chunks, keep_only
 
 FEATURES = 1 << 15
 PER_LANGUAGE = 1200
-LANGUAGES = 64
 EPOCHS = 3
-ALPHA, BETA, L1, L2 = 0.5, 1.0, 1e-5, 1e-6
+ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.1, 1e-6
 UNKNOWN = "und"
 MIN_SCORE = 0.5
 SCHEMA = "doc_id long, lang_pred string, score double"
@@ -73,14 +73,15 @@ def vector(text: str, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class Model:
     languages: list[str]
     idf: np.ndarray
-    weights: np.ndarray  # feature by language
+    weights: np.ndarray  # features with a weight, by language; the last row is zero
     temperature: float
+    row: np.ndarray  # each feature's row of the weights
 
     def probabilities(self, text: str | None) -> np.ndarray | None:
         if not self.languages or not has_letter(text):
             return None
         at, value = vector(text, self.idf)
-        return softmax(value @ self.weights[at] / self.temperature)
+        return softmax(value @ self.weights[self.row[at]] / self.temperature)
 
     def predict(self, text: str | None) -> tuple[str, float]:
         p = self.probabilities(text)
@@ -92,15 +93,23 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def follow_the_leader(rows: list[tuple[np.ndarray, np.ndarray, int]], languages: int, epochs: int = EPOCHS) -> np.ndarray:
-    """FTRL-proximal weights with elastic net; one row (features, values, language) at a time."""
-    z, n = np.zeros((FEATURES, languages)), np.zeros((FEATURES, languages))
+def follow_the_leader(rows: list[tuple[np.ndarray, np.ndarray, int]], languages: int, epochs: int = EPOCHS) -> tuple[np.ndarray, np.ndarray]:
+    """FTRL-proximal with elastic net, one row (features, values, language) at a time.
+
+    Sparse weights as (row of each feature, rows): features without any weight share the last row, which is zero.
+    """
+    seen = np.zeros(FEATURES, bool)
+    for at, _, _ in rows:
+        seen[at] = True
+    place = np.cumsum(seen) - 1
+    z, n = np.zeros((int(seen.sum()), languages)), np.zeros((int(seen.sum()), languages))
 
     def leader(at: np.ndarray) -> np.ndarray:
         return np.where(np.abs(z[at]) <= L1, 0, -(z[at] - np.sign(z[at]) * L1) / ((BETA + np.sqrt(n[at])) / ALPHA + L2))
 
     for _ in range(epochs):
-        for at, value, label in rows:
+        for features, value, label in rows:
+            at = place[features]
             w = leader(at)
             error = softmax(value @ w)
             error[label] -= 1
@@ -108,7 +117,11 @@ def follow_the_leader(rows: list[tuple[np.ndarray, np.ndarray, int]], languages:
             squares = gradient * gradient
             z[at] += gradient - (np.sqrt(n[at] + squares) - np.sqrt(n[at])) / ALPHA * w
             n[at] += squares
-    return leader(np.arange(FEATURES))
+    weights = leader(np.arange(len(z)))
+    held = np.flatnonzero(weights.any(axis=1))
+    row = np.full(FEATURES, len(held), np.int32)
+    row[np.flatnonzero(seen)[held]] = np.arange(len(held))
+    return row, np.concatenate([weights[held], np.zeros((1, languages))])
 
 
 def fit_temperature(logits: np.ndarray, labels: np.ndarray) -> float:
@@ -146,13 +159,13 @@ def _document_frequencies(rows: DataFrame) -> tuple[np.ndarray, int]:
 def fit(rows: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", per_language: int = PER_LANGUAGE) -> Model:
     """A model from the rows with a label; the documents' id only picks the bounded sample."""
     rows = bounded_batches(rows).select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")).where("lang IS NOT NULL AND text IS NOT NULL")
-    shares = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    shares = rows.groupBy("lang").count().orderBy("lang").collect()
     if not shares:
-        return Model([], np.ones(FEATURES), np.zeros((FEATURES, 0)), 1.0)
+        return Model([], np.ones(FEATURES), np.zeros((1, 0)), 1.0, np.zeros(FEATURES, np.int32))
     frequency, total = _document_frequencies(rows)
     idf = np.log((1 + total) / (1 + frequency)) + 1
     languages = sorted(r["lang"] for r in shares)
-    limit = F.coalesce(*(F.when(F.col("lang") == r["lang"], F.lit(min(1 << 31, (per_language << 31) // r["count"]))) for r in shares))
+    limit = F.create_map(*(F.lit(x) for r in shares for x in (r["lang"], min(1 << 31, (per_language << 31) // r["count"]))))[F.col("lang")]
     key = F.shiftrightunsigned(F.xxhash64("id", "text"), 33)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,14 +184,14 @@ def fit(rows: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "
         if r["features"]:
             row = (np.frombuffer(r["features"], np.int32), np.frombuffer(r["values"], np.float32).astype(float), known[r["lang"]])
             (held if zlib.crc32(r["features"]) % 10 == 0 else learned).append(row)
-    weights = follow_the_leader(learned, len(languages))
-    logits = np.array([v @ weights[at] for at, v, _ in held]).reshape(len(held), len(languages))
-    return Model(languages, idf, weights, fit_temperature(logits, np.array([y for *_, y in held], int)))
+    row, weights = follow_the_leader(learned, len(languages))
+    logits = np.array([v @ weights[row[at]] for at, v, _ in held]).reshape(len(held), len(languages))
+    return Model(languages, idf, weights, fit_temperature(logits, np.array([y for *_, y in held], int)), row)
 
 
 def predicted(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, lang_pred, score) of every row; score is the calibrated probability of lang_pred."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # fixed size: FEATURES by LANGUAGES
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # FEATURES by labels at most
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in chunks(batches):

@@ -29,6 +29,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -308,6 +309,11 @@ def _tasks(members: DataFrame, threshold: int, block: int) -> DataFrame:
 
 def joined(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, threshold: int = THRESHOLD, block: int = BLOCK) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, n_links (other documents it is linked to)."""
+    return _join_sets(docs, doc_id, text, width, threshold, block).drop("sid")
+
+
+def _join_sets(docs: DataFrame, doc_id: str, text: str, width: int, threshold: int, block: int) -> DataFrame:
+    """joined, with the id of each document's set."""
     rows = bounded_batches(docs).select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
     buckets = 1 << max(4, (text_bytes(rows, "text") // BUCKET_BYTES).bit_length())
     signed_rows = rows.mapInArrow(_sign(width, threshold, buckets), "bucket long, a binary, b binary, c binary, d binary, e array<binary>")
@@ -349,15 +355,35 @@ def joined(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: i
     linked = merged.join(names, "component").select("sid", "component_id").join(degrees, "sid", "left")
     named = classes.join(linked, "sid", "left").select("sid", F.coalesce("component_id", "first").alias("component_id"), (F.coalesce("degree", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     return documents.join(named, "sid", "left").select(
-        "doc_id", F.col("size").alias("n_shingles"), F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        "sid", "doc_id", F.col("size").alias("n_shingles"), F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
+def _own_set(width: int):
+    @F.pandas_udf("long")
+    def own(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: int(signed(np.array([set_id(shingles(t.encode(), width))], np.uint64))[0]))
+
+    return own
+
+
 def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, threshold: int = 80) -> DataFrame:
-    """The rows without those whose component has a smaller id; rows with a null id stay."""
-    result = joined(docs, doc_id, text, width, threshold)
-    dropped = written(result.where("doc_id <> component_id").select(F.col("doc_id").alias("dropped")).distinct(), "dropped")
-    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.struct(*docs.columns).alias("row"))
+    """The rows without those whose component has a smaller id; rows with a null id stay.
+
+    Rows of one id with different texts are decided one by one, by the set of each.
+    """
+    result = _join_sets(docs, doc_id, text, width, threshold, BLOCK)
+    goes = F.coalesce(F.col("doc_id") != F.col("component_id"), F.lit(False))
+    verdicts = written(result.where("doc_id IS NOT NULL").select("doc_id", "sid", goes.alias("goes")), "verdicts")
+    by_id = verdicts.groupBy(F.col("doc_id").alias("dropped")).agg(F.max("goes").alias("goes"), F.min("goes").alias("all")).where("goes")
+    dropped = written(by_id.select("dropped", "all"), "dropped")
+    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("own"), F.struct(*docs.columns).alias("row"))
     flagged = possible_members(rows, F.coalesce("id", F.lit(0)), dropped, F.col("dropped"))
-    rest = flagged.where("_possible").join(dropped, F.col("id") == F.col("dropped"), "left_anti")
+    rest = flagged.where("_possible").join(dropped.where("all"), F.col("id") == F.col("dropped"), "left_anti")
+    mixed = dropped.where("NOT all")
+    if not mixed.isEmpty():
+        gone = verdicts.where("goes").join(mixed, F.col("doc_id") == F.col("dropped")).select("doc_id", "sid").distinct()
+        several = rest.join(mixed, F.col("id") == F.col("dropped"), "left_semi").withColumn("sid", _own_set(width)(F.coalesce("own", F.lit(""))))
+        several = several.join(gone, (F.col("id") == F.col("doc_id")) & (several["sid"] == gone["sid"]), "left_anti")
+        rest = rest.join(mixed, F.col("id") == F.col("dropped"), "left_anti").select("row").unionAll(several.select("row"))
     return flagged.where("NOT _possible").select("row").unionAll(rest.select("row")).select("row.*")

@@ -13,7 +13,7 @@ reference blocks, the non-overlapping blocks of BLOCK words (2 * BLOCK - 1 <= WI
 3. All documents are written out; only those with removals meet their list of removed runs.
 
 A document whose words equal those of a document with a smaller id takes no part in 2: all its words
-go (if it has a run at all).  Null and empty texts have no words; rows with a null id neither remove
+go (if it has a run at all).  An id with several texts takes this way out only if it holds for all of them.  Null and empty texts have no words; rows with a null id neither remove
 nor lose words; rows of one id do not remove each other's words; an empty table gives no rows;
 extra columns are ignored.
 """
@@ -203,7 +203,8 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     # documents with the words of a smaller id
     same = rows.select("doc_id", F.sha2(F.trim(F.regexp_replace("text", SPACE, " ")), 256).alias("words")).where("doc_id IS NOT NULL")
     least = same.groupBy("words").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    copies = written(same.join(least, "words").where("doc_id > least").select("doc_id").distinct(), "copies")
+    is_copy = F.coalesce(F.col("doc_id") > F.col("least"), F.lit(False))
+    copies = written(same.join(least, "words", "left").groupBy("doc_id").agg(F.min(is_copy).alias("copy")).where("copy").select("doc_id"), "copies")
 
     buckets = 1 << max(4, (text_bytes(rows, "text") // BUCKET_BYTES).bit_length())
     sent = named.mapInArrow(_probe(window, block, buckets), "bucket long, chunk long, a binary, b binary, c binary")

@@ -120,6 +120,21 @@ def test_representatives_keep_columns_and_rows_with_null_ids(spark):
     assert {r["size"] for r in kept.collect()} == {"x"}
 
 
+def test_representatives_of_an_id_with_several_texts(spark):
+    one, two, three = (" ".join(words(40, k)) for k in (901, 902, 903))
+    rows = [(1, one), (5, one), (5, two), (7, three), (7, three + " more"), (8, two + " more"), (9, one), (9, two)]
+    kept = {(r["doc_id"], r["text"]) for r in ngram_join.representatives(frame(spark, rows)).collect()}
+    assert kept == {(1, one), (5, two), (7, three), (7, three + " more")}
+
+
+def test_substring_of_an_id_with_several_texts(spark):
+    one, two = (" ".join(words(40, k)) for k in (901, 902))
+    rows = [(1, one), (5, one), (5, two), (6, two + " " + one), (9, one), (9, one)]
+    want = brute_substring(rows)
+    assert sorted_rows(substring.digests(substring.deduplicated(frame(spark, rows)))) == want
+    assert {r[:3] for r in want} == {(1, 40, 0), (5, 40, 40), (5, 40, 0), (6, 80, 80), (9, 40, 40)}
+
+
 def test_joins_on_empty_tables(spark):
     assert ngram_join.joined(empty(spark)).collect() == []
     assert ngram_join.representatives(empty(spark)).collect() == []

@@ -1,4 +1,5 @@
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -48,6 +49,9 @@ def test_decontamination_against_all_places(item, edits, around):
     if not matcher.items:
         assert not found
         return
+    if matcher.items[0][2] < 0:  # a short item: exactly, as whole words
+        assert bool(found) == (f" {decontaminate.normalise(item)} " in f" {decontaminate.normalise(document)} ")
+        return
     want = edit_distance_to_substring(decontaminate.normalise(item), decontaminate.normalise(document))
     assert bool(found) == (want <= matcher.items[0][2])
 
@@ -66,6 +70,15 @@ def test_decontamination_rows_and_blocks(spark):
     assert decontaminate.matches(docs, items.limit(0)).collect() == []
 
 
+def test_short_items_and_items_without_an_id(spark):
+    items = spark.createDataFrame([(1, "Forty-two"), (None, "the answer is"), (None, "the answer is"), (3, " ?! "), (None, "a longer item of the benchmark without an id"), (4, None)], "item_id long, text string")
+    docs = frame(spark, [(1, "It is forty two."), (2, "forty twofold"), (3, "THE  ANSWER\nis: a longer item of the benchmurk without an id"), (4, None), (5, "!?")])
+    found = sorted(((r["doc_id"], r["item_id"], r["distance"], r["error_budget"], r["match_start"], r["match_end"]) for r in decontaminate.matches(docs, items).collect()), key=repr)
+    assert found == [(1, 1, 0, 0, 6, 15), (3, None, 0, 0, 0, 13), (3, None, 0, 0, 0, 13), (3, None, 1, 2, 14, 58)]
+    kept = docs.where(~decontaminate.contaminated(F.col("text"), items)).select("doc_id").collect()
+    assert sorted(r[0] for r in kept) == [2, 4, 5]
+
+
 def test_warc_derivatives_and_files(spark, tmp_path):
     pages = [(1, "http://a/", "<html><head><title>T &amp; x</title><script>no</script></head><body><p>One &copy;<br>two</p><a href='/l'>link</a></body>"), (2, None, None), (3, "http://b/", ""),
              (4, "http://c/", "WARC/1.1\r\n\r\nplain é " * 3000), (None, "http://d/", "<p>x"), (1, "http://a/", "<p>again")]
@@ -123,9 +136,46 @@ def test_features_are_the_ngrams():
 
 def test_follow_the_leader_is_sparse_and_separates():
     rng = np.random.default_rng(0)
-    rows = [(np.array([y, 2 + rng.integers(0, 50)]), np.array([1.0, 0.1]), y) for y in rng.integers(0, 2, 400)]
-    w = langid.follow_the_leader(rows, 2)
-    assert w[0, 0] > w[0, 1] and w[1, 1] > w[1, 0] and np.count_nonzero(w) < 200
+    rows = [(np.array([y, *(2 + rng.choice(50, 3, False))]), np.array([1.0, 0.1, 0.1, 0.1]), y) for y in rng.integers(0, 2, 400)]
+    row, w = langid.follow_the_leader(rows, 2)
+    assert w[row[0], 0] > w[row[0], 1] and w[row[1], 1] > w[row[1], 0] and not w[-1].any()
+    assert (w[row[:52]] == 0).mean() > 0.5 and (row[52:] == len(w) - 1).all()  # of the seen features
+
+
+def test_follow_the_leader_step_by_step():
+    """The same weights as the update rule written out for single numbers."""
+    pick = random.Random(2)
+    rows = [(np.array(sorted(pick.sample(range(9), 3))), np.array([pick.uniform(0.2, 1) for _ in range(3)]), pick.randrange(3)) for _ in range(60)]
+    z, n = [[0.0] * 3 for _ in range(9)], [[0.0] * 3 for _ in range(9)]
+
+    def weight(f, c):
+        if abs(z[f][c]) <= langid.L1:
+            return 0.0
+        return -(z[f][c] - math.copysign(langid.L1, z[f][c])) / ((langid.BETA + math.sqrt(n[f][c])) / langid.ALPHA + langid.L2)
+
+    for _ in range(langid.EPOCHS):
+        for at, value, label in rows:
+            w = {(f, c): weight(f, c) for f in at for c in range(3)}
+            logit = [sum(v * w[f, c] for f, v in zip(at, value, strict=True)) for c in range(3)]
+            total = sum(map(math.exp, logit))
+            for f, v in zip(at, value, strict=True):
+                for c in range(3):
+                    g = v * (math.exp(logit[c]) / total - (c == label))
+                    z[f][c] += g - (math.sqrt(n[f][c] + g * g) - math.sqrt(n[f][c])) / langid.ALPHA * w[f, c]
+                    n[f][c] += g * g
+    row, weights = langid.follow_the_leader(rows, 3)
+    assert np.allclose(weights[row[:9]], [[weight(f, c) for c in range(3)] for f in range(9)])
+
+
+def test_every_label_can_be_predicted(spark):
+    pick = random.Random(3)
+    word = lambda k: "".join(chr(0x4E00 + 3 * k + pick.randrange(3)) for _ in range(6))
+    rows = [(k * 1000 + i, " ".join(word(k) for _ in range(30)), f"l{k:02d}") for k in range(70) for i in range(16 if k else 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    model = langid.fit(docs)
+    assert len(model.languages) == 70
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.predicted(docs, model).collect()}
+    assert sum(got[i] == lang for i, _, lang in rows) > 0.95 * len(rows) and len(set(got.values())) == 70
 
 
 def pages_table(spark):
@@ -183,15 +233,12 @@ def toks(text):
     return [*re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")), None]
 
 
-def brute_model(texts, share, word_share, order=3):
+def brute_model(texts, order=3):
     """The model's probability function p(word, history), from plain counts."""
     lists = [toks(t) for t in texts]
     n = [Counter(tuple(x[i : i + k]) for x in lists for i in range(len(x) - k + 1)) for k in (1, 2, 3)]
     total, distinct = sum(n[0].values()), len(n[0])
-    common = {k[0] for k, v in n[0].items() if v >= max(2, int(word_share * total))}
-    least = max(2, int(share * total))
-    two = {k: v for k, v in n[1].items() if set(k) <= common and v >= least}
-    three = {k: v for k, v in n[2].items() if k[:2] in two and k[1:] in two and v >= least} if order > 2 else {}
+    two, three = n[1], n[2] if order > 2 else {}
 
     def one(w):
         return (n[0][(w,)] + 1) / (total + distinct + 1)
@@ -224,8 +271,8 @@ def test_scores_are_the_models_probabilities(spark, blocks):
 
     rows = [(i, re.sub("w(.)..?", r"w\1", t) if t else t) for i, t in corpus(9, 60)]
     learn = [t for i, t in rows if zlib.crc32(("" if i is None else str(i)).encode()) % 7 != 2]
-    p, one, counts, total = brute_model(learn, 0.0005, 0.001)
-    got = backoff.scored(frame(spark, rows), share=0.0005, word_share=0.001, block_bytes=blocks).collect()
+    p, one, counts, total = brute_model(learn)
+    got = backoff.scored(frame(spark, rows), block_bytes=blocks).collect()
     assert len(got) == len(rows)
     want = []
     for i, t in rows:
