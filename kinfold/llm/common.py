@@ -134,6 +134,27 @@ def rolling(h: np.ndarray, width: int) -> np.ndarray:
     return mix(out)
 
 
+def hash_order(h: np.ndarray) -> np.ndarray:
+    """Places of 64-bit hashes in rising order: their high bits are sorted together with the place, then rare ties are put right."""
+    mask = np.uint64((1 << len(h).bit_length()) - 1)
+    packed = (h & ~mask) | np.arange(len(h), dtype=np.uint64)
+    packed.sort()
+    at = (packed & mask).astype(np.int64)
+    s = h[at]
+    return at[np.argsort(s, kind="stable")] if (s[1:] < s[:-1]).any() else at
+
+
+def distinct_hashes(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct hashes in order, a place of each, the number of each entry's hash)."""
+    at = hash_order(h)
+    s = h[at]
+    new = np.ones(len(h), bool)
+    new[1:] = s[1:] != s[:-1]
+    number = np.empty(len(h), np.int32)
+    number[at] = np.cumsum(new, dtype=np.int32) - 1
+    return s[new], at[new], number
+
+
 def signed(h: np.ndarray) -> np.ndarray:
     return h.astype(np.uint64).view(np.int64)
 

@@ -233,6 +233,19 @@ def toks(text):
     return [*re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")), None]
 
 
+def test_tokens_are_the_words(monkeypatch):
+    texts = [(t or "").encode() for _, t in corpus(4, 60)] + ["A a\x0bÉ\x1cé\u00a0x".encode(), b"x" * 5000 + b" y", b" \n", b"ab ba abab baba"]
+    whole = backoff.tokens(texts)
+    monkeypatch.setattr(backoff, "SLICE", 64)  # the same in slices, and with long texts cut
+    for h, lengths in (whole, backoff.tokens(texts)):
+        words = [toks(t.decode()) for t in texts]
+        assert lengths.tolist() == [len(w) for w in words]
+        seen = {}
+        assert all(seen.setdefault(w, x) == x for w, x in zip((w for ws in words for w in ws), h.tolist(), strict=True))
+        assert len(set(seen.values())) == len(seen) > 400
+    assert backoff.tokens([])[0].tolist() == []
+
+
 def brute_model(texts, order=3):
     """The model's probability function p(word, history), from plain counts."""
     lists = [toks(t) for t in texts]
