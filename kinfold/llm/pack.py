@@ -7,7 +7,7 @@ with opposing order, the heaviest window of one with the lightest of the other,
 left.  Its windows are nearly equal.  When the heaviest exceeds the capacity the group gets one window more
 and is merged again.  Whole windows are cut from long documents first.
 
-Groups are consecutive documents of one input partition, so there is no shuffle, no text crosses a
+Groups end at GROUP_WINDOWS windows' ids or GROUP_PIECES pieces.  They are consecutive documents of one input partition, so there is no shuffle, no text crosses a
 task and a lost task is simply run again with the same result; memory is bounded by one group.
 
 A null text is an empty document (just the end id); an empty table gives no pieces; rows that repeat
@@ -17,6 +17,7 @@ an id are separate documents; extra columns are ignored.
 from __future__ import annotations
 
 import heapq
+import json
 import re
 import struct
 import zlib
@@ -33,6 +34,8 @@ from .common import bounded_batches, chunks, keep_only, kept
 CAPACITY = 4096
 MAX_PIECE = 2048
 GROUP_WINDOWS = 192
+#: A group also ends at so many pieces, as each starts as a partition of its own.
+GROUP_PIECES = 20_000
 END_ID = 2
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
           "offset long, sequence_tokens long")
@@ -53,12 +56,16 @@ def _byte_alphabet() -> dict[int, str]:
 class WordIds(dict):
     """word (bytes without white space) -> its ids as little-endian 32-bit bytes."""
 
-    LIMIT = 600_000
+    LIMIT = 250_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.runs, self.alphabet = Tokenizer.from_file(path), {}, _byte_alphabet()
+        own = json.loads(self.tokenizer.to_str())
+        # the rules above hold for this splitter and normaliser; texts go to any other vocabulary's tokenizer whole
+        kinds = [x["type"] for x in (own["normalizer"] or {}).get("normalizers", [])]
+        self.by_word = own["model"]["type"] == "BPE" and own["model"].get("end_of_word_suffix") == "</w>" and kinds == ["NFC", "Replace", "Lowercase"]
 
     def _run(self, run: str) -> bytes:
         found = self.runs.get(run)
@@ -83,6 +90,9 @@ class WordIds(dict):
         return ids
 
     def of(self, text: bytes) -> bytes:
+        if not self.by_word:
+            ids = self.tokenizer.encode(text.decode(), add_special_tokens=False).ids
+            return struct.pack(f"<{len(ids)}I", *ids)
         return b"".join(map(self.__getitem__, text.split()))
 
 
@@ -190,7 +200,7 @@ def _packer(tokens: Callable[[], WordIds], capacity: int, max_piece: int, group_
                 for start, length in pieces_of(total, capacity, max_piece):
                     rows.append((doc, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)]), total))
                     held += length
-                if held >= group_windows * capacity:
+                if held >= group_windows * capacity or len(rows) >= GROUP_PIECES:
                     yield flush()
         if rows:
             yield flush()
