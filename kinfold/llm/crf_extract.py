@@ -6,8 +6,11 @@ of link text, closing mark, place on the page).  The field has the labels rest a
 weight for each feature and label and one for each pair of neighbouring labels; it is trained by the
 gradient of the log-likelihood (forward-backward, AdaGrad) and decoded by Viterbi.
 
+Blocks keep the open elements above them as a path that they share, and what the path adds to a score or
+a gradient is summed once for each element, so deep nesting takes no more than linear time.
+
 Labelled pages: rows of the table whose markup names the article (`article` element) are labelled by
-it, and each is also set again into other usual layouts (LAYOUTS), where the place of every block, and
+it (but asides, forms, adverts, comments and inner articles of it are rest), and each is also set again into other usual layouts (LAYOUTS), where the place of every block, and
 so its label, is known.  At most SAMPLE_PAGES different rows, chosen by a hash, with SAMPLE_CHARS characters in all are used to
 train; if they hold no main text, fixed layouts of made-up text are.  All rows are decoded.
 
@@ -22,7 +25,7 @@ import html
 import random
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -31,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import chunks
+from .markup import attributes, tokens
 
 SAMPLE_PAGES = 150
 SAMPLE_CHARS = 15_000_000
@@ -45,33 +49,66 @@ HIDDEN = frozenset("head title template noscript".split())
 HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 CLOSES_P = frozenset("address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(?P<raw>script|style|textarea|iframe|noscript|template|title)\b(?:"[^"]*"|'[^']*'|[^'">])*+>.*?(?:</(?P=raw)\s*>|\Z)|<![^>]*>|<\?[^>]*>"""
-                    r"""|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attributes>(?:"[^"]*"|'[^']*'|[^'">])*+)>""", re.S | re.I)
-_NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
+RAW = frozenset("script style textarea iframe noscript template title".split())
+NO_MAIN = frozenset("aside footer form nav".split())
+NO_MAIN_NAMES = frozenset("ad ads advert advertisement advertisements banner comment comments commentlist cookie disclaimer footer menu nav navbar navigation newsletter notice promo "
+                          "related reply respond share sharing sidebar social sponsored subscribe widget".split())
+
 _NAME_WORD = re.compile("[a-z]+")
 
 
+@dataclass(eq=False)
+class Path:
+    """An open element below those above it, which the blocks and elements below share."""
+
+    tag: str
+    names: tuple[str, ...]  # words of its class, id and role
+    parent: Path | None
+    fresh: tuple[str, ...]  # its features that no element above has
+
+    def __iter__(self) -> Iterator[tuple[str, ...]]:
+        """For every open element, the innermost first: its tag, then its names."""
+        at = self
+        while at:
+            yield (at.tag, *at.names)
+            at = at.parent
+
+
 @dataclass
 class Block:
     text: str
-    above: tuple[tuple[str, ...], ...]  # for every open element: its tag, then the words of its class, id and role
+    above: Path | tuple[()]
     link_chars: int
 
 
+def along[T](path: Path | tuple[()], known: dict[Path, T], start: T, step: Callable[[T, Path], T]) -> T:
+    """`step` folded over the open elements, the outermost first; `known` keeps the value of each, so each takes one step in all."""
+    todo = []
+    at = path or None
+    while at is not None and at not in known:
+        todo.append(at)
+        at = at.parent
+    value = start if at is None else known[at]
+    for at in reversed(todo):
+        value = known[at] = step(value, at)
+    return value
+
+
 def leaf_blocks(page: str) -> list[Block]:
     """The page's non-empty leaf blocks in order."""
     blocks: list[Block] = []
-    stack: list[tuple[str, ...]] = []
+    stack: list[Path] = []
+    depths: dict[str, list[int]] = {}  # of the open elements of each tag
+    active: set[str] = set()  # features of the open elements
     held: list[str] = []
-    links = at = link_chars = 0
-    hidden = 0
+    links = at = link_chars = hidden = 0
 
     def flush() -> None:
         nonlocal held, link_chars
         if held:
             text = " ".join(html.unescape("".join(held)).split())
             if text:
-                blocks.append(Block(text, tuple(stack), link_chars))
+                blocks.append(Block(text, stack[-1] if stack else (), link_chars))
         held, link_chars = [], 0
 
     def add(piece: str) -> None:
@@ -81,57 +118,73 @@ def leaf_blocks(page: str) -> list[Block]:
             if links:
                 link_chars += len(piece.strip())
 
-    for m in _TOKEN.finditer(page):
-        add(page[at : m.start()])
-        at = m.end()
-        tag = (m["tag"] or "").lower()
-        if not tag:
+    def push(tag: str, names: tuple[str, ...]) -> None:
+        nonlocal hidden
+        fresh = tuple(f for f in dict.fromkeys((f"tag={tag}", *(f"name={w}" for w in names))) if f not in active)
+        active.update(fresh)
+        depths.setdefault(tag, []).append(len(stack))
+        stack.append(Path(tag, names, stack[-1] if stack else None, fresh))
+        hidden += tag in HIDDEN
+
+    def pop(depth: int) -> None:
+        nonlocal hidden
+        while len(stack) > depth:
+            last = stack.pop()
+            active.difference_update(last.fresh)
+            depths[last.tag].pop()
+            hidden -= last.tag in HIDDEN
+
+    for m in tokens(page, RAW):
+        add(page[at : m.start])
+        at = m.end
+        tag = m.tag
+        if m.skipped or not tag:
             continue
-        if stack and stack[-1][0] == "head" and not m["close"] and tag not in HEAD:  # </head> may be left out
+        if stack and stack[-1].tag == "head" and not m.closing and tag not in HEAD:  # </head> may be left out
             flush()
-            stack.pop()
-            hidden = sum(s[0] in HIDDEN for s in stack)
+            pop(len(stack) - 1)
         if tag in VOID:
             if tag in ("br", "hr"):
                 flush()
             continue
         if tag in INLINE:
             if tag == "a":
-                links = max(0, links - 1) if m["close"] else links + 1
+                links = max(0, links - 1) if m.closing else links + 1
             continue
         flush()
         links = 0
-        if m["close"]:
-            names = [s[0] for s in stack]
-            if tag in names:
-                del stack[len(names) - 1 - names[::-1].index(tag) :]
+        if m.closing:
+            if depths.get(tag):
+                pop(depths[tag][-1])
         else:
-            if stack and (stack[-1][0] == "p" and tag in CLOSES_P or stack[-1][0] == tag in ("li", "tr", "td", "dt", "dd", "option")):
-                stack.pop()
-            words = [w for x in _NAMES.findall(m["attributes"]) for w in _NAME_WORD.findall("".join(x).lower())] if m["attributes"] else []
-            stack.append((tag, *words))
-        hidden = sum(s[0] in HIDDEN for s in stack)
+            if stack and (stack[-1].tag == "p" and tag in CLOSES_P or stack[-1].tag == tag in ("li", "tr", "td", "dt", "dd", "option")):
+                pop(len(stack) - 1)
+            push(tag, tuple(w for name, value in attributes(m.attributes) if name in ("class", "id", "role") for w in _NAME_WORD.findall(value.lower())))
     add(page[at:])
     flush()
     return blocks
 
 
-def features(blocks: list[Block]) -> list[list[str]]:
+class Row(list):
+    """A block's own features; those of its open elements are reached by `above`."""
+
+    above: Path | tuple[()] = ()
+
+
+def features(blocks: list[Block]) -> list[Row]:
     """The active features of every block."""
     out = []
     total = len(blocks)
     for i, b in enumerate(blocks):
         n = len(b.text)
-        own = {"bias", f"len{min(7, n.bit_length() // 2)}", f"link{min(3, 4 * b.link_chars // max(1, n))}", f"place{4 * i // total}",
-               "stop" if b.text[-1] in ".!?…" else "nostop", f"digits{min(2, 6 * sum(map(str.isdigit, b.text)) // n)}"}
+        own = Row(("bias", f"len{min(7, n.bit_length() // 2)}", f"link{min(3, 4 * b.link_chars // max(1, n))}", f"place{4 * i // total}",
+                   "stop" if b.text[-1] in ".!?…" else "nostop", f"digits{min(2, 6 * sum(map(str.isdigit, b.text)) // n)}"))
         if "©" in b.text:
-            own.add("copyright")
-        for element in b.above:
-            own.add(f"tag={element[0]}")
-            own.update(f"name={w}" for w in element[1:])
+            own.append("copyright")
         if b.above:
-            own.add(f"in={b.above[-1][0]}")
-        out.append(sorted(own))
+            own.append(f"in={b.above.tag}")
+            own.above = b.above
+        out.append(own)
     return out
 
 
@@ -143,20 +196,26 @@ class Field:
     turn: np.ndarray = field(default_factory=lambda: np.zeros((2, 2)))
     begin: np.ndarray = field(default_factory=lambda: np.zeros(2))
 
-    def scores(self, rows: list[list[str]]) -> np.ndarray:
+    def scores(self, rows: list[Row]) -> np.ndarray:
         get = self.emit.get
-        out = np.zeros((len(rows), 2))
-        for i, row in enumerate(rows):
-            a = b = 0.0
-            for f in row:
+        known: dict[Path, tuple[float, float]] = {}
+
+        def added(sums: tuple[float, float], found: Iterable[str]) -> tuple[float, float]:
+            a, b = sums
+            for f in found:
                 w = get(f)
                 if w is not None:
                     a += w[0]
                     b += w[1]
-            out[i] = a, b
+            return a, b
+
+        out = np.zeros((len(rows), 2))
+        for i, row in enumerate(rows):
+            above = getattr(row, "above", ())
+            out[i] = added(along(above, known, (0.0, 0.0), lambda sums, path: added(sums, path.fresh)), row)
         return out
 
-    def decode(self, rows: list[list[str]]) -> list[int]:
+    def decode(self, rows: list[Row]) -> list[int]:
         """The most probable labels (Viterbi); ties go to rest."""
         if not rows:
             return []
@@ -191,7 +250,30 @@ class Field:
         return single, pair
 
 
-def train(pages: list[tuple[list[list[str]], list[int]]], epochs: int = EPOCHS, rate: float = 0.4, l2: float = 1e-4) -> Field:
+def totals(rows: list[Row], values: np.ndarray) -> dict[str, np.ndarray]:
+    """For every feature the sum over the rows that have it, open elements' features included."""
+    out: dict[str, np.ndarray] = {}
+    below: dict[Path, np.ndarray] = {}
+    depths: dict[Path, int] = {}
+
+    def add(found: Iterable[str], value: np.ndarray) -> None:
+        for f in found:
+            out[f] = out[f] + value if f in out else value
+
+    for row, value in zip(rows, values, strict=True):
+        add(row, value)
+        if above := getattr(row, "above", ()):
+            below[above] = below[above] + value if above in below else value
+            along(above, depths, 0, lambda depth, _: depth + 1)
+    for path in sorted(depths, key=depths.__getitem__, reverse=True):  # inner elements first
+        value = below[path]
+        add(path.fresh, value)
+        if path.parent:
+            below[path.parent] = below[path.parent] + value if path.parent in below else value
+    return out
+
+
+def train(pages: list[tuple[list[Row], list[int]]], epochs: int = EPOCHS, rate: float = 0.4, l2: float = 1e-4) -> Field:
     """AdaGrad on the log-likelihood, page by page in a fixed random order."""
     model, order = Field(), random.Random(7)
     squares: dict[str, np.ndarray] = {}
@@ -203,10 +285,7 @@ def train(pages: list[tuple[list[list[str]], list[int]]], epochs: int = EPOCHS,
             single, pair = model.marginals(model.scores(rows))
             gold = np.eye(2)[labels]
             difference = gold - single
-            gradient: dict[str, np.ndarray] = {}
-            for row, d in zip(rows, difference, strict=True):
-                for f in row:
-                    gradient[f] = gradient[f] + d if f in gradient else d
+            gradient = totals(rows, difference)
             for f, g in gradient.items():
                 w = model.emit.setdefault(f, np.zeros(2))
                 g = g - l2 * w
@@ -278,16 +357,30 @@ def layout(title: str, main: list[str], rest: list[str], seed: int) -> tuple[str
     return "".join(page) + "</body></html>", labels
 
 
-def labelled(pages: list[str], layouts: int = LAYOUTS_PER_PAGE) -> list[tuple[list[list[str]], list[int]]]:
+def _part(part: str, path: Path) -> str:
+    """Where a block stands: outside, in the article's main text, or in the rest of the article."""
+    if part == "outside":
+        return "main" if path.tag == "article" and NO_MAIN_NAMES.isdisjoint(path.names) else part
+    inner = path.tag == "article" or path.tag in NO_MAIN or not NO_MAIN_NAMES.isdisjoint(path.names)
+    return "rest" if inner else part
+
+
+def article_labels(blocks: list[Block]) -> list[int]:
+    """1 for a block inside `article`, but not inside an aside, a form, an advert, comments or an inner article of it."""
+    known: dict[Path, str] = {}
+    return [int(along(b.above, known, "outside", _part) == "main") for b in blocks]
+
+
+def labelled(pages: list[str], layouts: int = LAYOUTS_PER_PAGE) -> list[tuple[list[Row], list[int]]]:
     """Training chains of pages whose markup names the article, as they are and in other layouts."""
     out = []
     for number, page in enumerate(pages):
         blocks = leaf_blocks(page)
-        labels = [int(any(s[0] == "article" for s in b.above)) for b in blocks]
+        labels = article_labels(blocks)
         out.append((features(blocks), labels))
-        main = [b.text for b, y in zip(blocks, labels, strict=True) if y and b.above[-1][0] != "h1"]
+        main = [b.text for b, y in zip(blocks, labels, strict=True) if y and b.above.tag != "h1"]
         rest = [b.text for b, y in zip(blocks, labels, strict=True) if not y] or ["x"]
-        title = next((b.text for b, y in zip(blocks, labels, strict=True) if y and b.above[-1][0] == "h1"), "")
+        title = next((b.text for b, y in zip(blocks, labels, strict=True) if y and b.above.tag == "h1"), "")
         for k in range(layouts if main else 0):
             set_again, labels = layout(title, main[:12], rest, zlib.crc32(f"{number} {k}".encode()))
             found = leaf_blocks(set_again)
@@ -296,7 +389,7 @@ def labelled(pages: list[str], layouts: int = LAYOUTS_PER_PAGE) -> list[tuple[li
     return out
 
 
-def fixed_layouts(number: int = 60) -> list[tuple[list[list[str]], list[int]]]:
+def fixed_layouts(number: int = 60) -> list[tuple[list[Row], list[int]]]:
     """Training chains of made-up text, for a table without labelled pages: sentences are main text, short pieces the rest."""
     out = []
     for seed in range(number):

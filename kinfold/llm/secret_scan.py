@@ -59,8 +59,7 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 def entropy_windows(text: str, width: int, bits: float) -> Iterator[tuple[int, int]]:
     """Merged spans of the windows of `width` characters with at least `bits` of entropy, a digit and a letter."""
     counts: dict[str, int] = {}
-    total = digits = 0
-    total = 0.0
+    total, digits = 0.0, 0
     start = end = -1
     for i, c in enumerate(text):
         n = counts.get(c, 0)
@@ -100,9 +99,15 @@ def entropy_spans(text: str) -> list[tuple[int, int, str]]:
 def spans(text: str) -> tuple[list, list]:
     """Base spans, and the spans that the entropy adds; both by start, then kind as in KINDS."""
     order = lambda s: (s[0], KINDS.index(s[2]), s[1])
-    base = sorted(base_spans(text), key=order)
-    extra = [s for s in entropy_spans(text) if not any(b[0] <= s[0] and s[1] <= b[1] for b in base)]
-    return base, sorted(extra, key=order)
+    base, extra = sorted(base_spans(text), key=order), []
+    at = reach = 0  # the farthest end of the base spans that start no later than this one
+    for found in sorted(entropy_spans(text), key=order):
+        while at < len(base) and base[at][0] <= found[0]:
+            reach = max(reach, base[at][1])
+            at += 1
+        if found[1] > reach:
+            extra.append(found)
+    return base, extra
 
 
 def written_spans(found: list) -> str:

@@ -7,14 +7,17 @@ the metadata block keeps the source's HTTP headers, its digests and the page's t
 Record ids are name-based, so a task that runs twice gives the same records.
 
 A response whose payload is null has an empty payload; a null URI becomes an empty header value; an
-empty table gives no records; repeated rows give repeated records; extra columns are ignored.
+empty table gives no records; repeated rows give repeated records; extra columns are ignored.  Pages are read
+in linear time; a title element without its end is no title.
 """
 
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import html
+import io
 import re
 import uuid
 from collections.abc import Iterator
@@ -24,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import chunks
+from .markup import attributes, tokens
 
 DATE = "2024-01-01T00:00:00Z"
 VERSION = "WARC/1.1"
@@ -32,20 +36,36 @@ RECORD = ("page_id long, warc_type string, record_id string, refers_to string, t
           "header string, block string")
 RESPONSE = "page_id long, record_id string, target_uri string, warc_date string, http_headers string, payload string"
 
-_DROPPED = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
-_LINE = re.compile(r"</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|"
-                   r"h[1-6]|head|header|hr|html|li|main|nav|ol|option|p|pre|section|table|td|th|title|tr|ul)\b[^>]*>", re.I)
-_TAG = re.compile(r"</?[a-zA-Z!][^>]*>")
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
-_LINK = re.compile(r"""<a\b[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
-_LINES = re.compile(r"[^\n]+")
-
-
-def plain_text(page: str) -> str:
-    """Visible text, one line per block, white space of a line as one space."""
-    bare = _TAG.sub("", _LINE.sub("\n", _DROPPED.sub(" ", page.replace("\n", " "))))
-    lines = (" ".join(html.unescape(m.group()).split()) for m in _LINES.finditer(bare))
-    return "\n".join(x for x in lines if x)
+# Element names of HTML.
+DROPPED = frozenset("noscript script style template".split())
+LINES = frozenset("address article aside blockquote body br dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html "
+                  "li main nav ol option p pre section table td th title tr ul".split())
+_TITLE_END = re.compile(r"</title\s*+>", re.I)
+_LINE = re.compile(r"[^\n]+")
+
+
+def read_page(page: str) -> tuple[str, str | None, list[str]]:
+    """Visible text (one line per block, white space of a line as one space), the title (None without one) and the links' targets."""
+    pieces, links = [], []
+    title = None
+    titled, at = False, 0
+    for m in tokens(page, DROPPED):
+        pieces.append(page[at : m.start].replace("\n", " "))
+        at = m.end
+        if m.skipped:
+            pieces.append(" ")
+        elif m.tag in LINES:
+            pieces.append("\n")
+        if m.closing:
+            continue
+        if m.tag == "a":
+            links += [_value(html.unescape(v)) for name, v in attributes(m.attributes) if name == "href"][:1]
+        elif m.tag == "title" and not titled:
+            titled, end = True, _TITLE_END.search(page, m.end)
+            title = _value(html.unescape(page[m.end : end.start()])) if end else None
+    pieces.append(page[at:].replace("\n", " "))
+    lines = (" ".join(html.unescape(m.group()).split()) for m in _LINE.finditer("".join(pieces)))
+    return "\n".join(x for x in lines if x), title, links
 
 
 def digest(block: bytes) -> str:
@@ -75,14 +95,14 @@ def derive(source: tuple) -> list[tuple]:
     _, _, _, _, headers, payload = source
     payload, headers = payload or "", headers or ""
     payload_digest = digest(payload.encode())
-    title = _TITLE.search(payload)
+    text, title, links = read_page(payload)
     fields = [("source-payload-digest", payload_digest), ("source-block-digest", digest((headers + payload).encode()))]
     fields += [("source-http", _value(x)) for x in headers.split("\r\n") if x.strip()]
-    fields += [("title", _value(html.unescape(title[1])))] if title else []
-    fields += [("outlink", _value(html.unescape("".join(m.groups(""))))) for m in _LINK.finditer(_DROPPED.sub(" ", payload))]
+    fields += [("title", title)] if title is not None else []
+    fields += [("outlink", x) for x in links]
     block = "".join(f"{k}: {v}\r\n" for k, v in fields)
     return [_record("metadata", source, "application/warc-fields", block, payload_digest),
-            _record("conversion", source, "text/plain; charset=utf-8", plain_text(payload), payload_digest)]
+            _record("conversion", source, "text/plain; charset=utf-8", text, payload_digest)]
 
 
 def _arrow(ddl: str) -> pa.Schema:
@@ -119,29 +139,44 @@ def write_warc(records: DataFrame, path: str, records_per_file: int = 50_000) ->
     text.write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", records_per_file).text(path)
 
 
+def unpacked(data: bytes) -> bytes:
+    """The bytes of a file, its gzip members (commonly one for each record) put one after the other."""
+    if not data.startswith(b"\x1f\x8b"):
+        return data
+    try:
+        with gzip.GzipFile(fileobj=io.BytesIO(data)) as members:
+            return members.read()
+    except EOFError as e:
+        raise ValueError("a WARC file's last gzip member is cut short") from e
+
+
 def parse_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(header fields, block) of every record; lengths are taken from Content-Length."""
+    """(header fields, block) of every record; lengths are taken from Content-Length.  A file that is cut short or no WARC file fails."""
     at = 0
     while at < len(data):
-        end = data.index(b"\r\n\r\n", at)
-        first, *lines = data[at:end].decode().split("\r\n")
+        end = data.find(b"\r\n\r\n", at)
+        first, *lines = data[at:end].decode("utf-8", "replace").split("\r\n") if end >= 0 else [""]
         if not first.startswith("WARC/"):
             raise ValueError(f"no WARC record at byte {at}")
-        fields = dict(x.split(": ", 1) if ": " in x else (x.rstrip(":"), "") for x in lines)
-        size = int(fields["Content-Length"])
+        fields = {name.strip(): value.strip() for name, _, value in (x.partition(":") for x in lines)}
+        size = int({k.lower(): v for k, v in fields.items()}["content-length"])
+        if end + 4 + size > len(data):
+            raise ValueError(f"the WARC record at byte {at} is cut short")
         yield fields, data[end + 4 : end + 4 + size]
-        at = end + 4 + size + 4
+        at = end + 4 + size
+        while data.startswith(b"\r\n", at):
+            at += 2
 
 
-def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """(fields map, block binary) of the records of all files; write_warc bounds a file's records."""
+def read_warc(spark: SparkSession, path: str, files: str = "part-*") -> DataFrame:
+    """(fields map, block binary) of the records of all files whose names match `files`; plain or gzip, each of at most 2 GB."""
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.map_(pa.string(), pa.string())
         for batch in batches:
             for data in batch.column(0):
-                found = list(parse_warc(data.as_py()))
+                found = list(parse_warc(unpacked(data.as_py())))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([list(f.items()) for f, _ in found], kind), pa.array([b for _, b in found], pa.binary())], ["fields", "block"])
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-    return files.select("content").mapInArrow(parse, "fields map<string,string>, block binary")
+    content = spark.read.format("binaryFile").option("pathGlobFilter", files).load(path)
+    return content.select("content").mapInArrow(parse, "fields map<string,string>, block binary")
