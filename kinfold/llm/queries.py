@@ -87,7 +87,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    known = {"op10_exact": OP10, "op11_prefix_trie": OP11, "op12_hard_negatives": OP12, "op4_substring": OP4, "pipeline": corpus_pipeline.ORACLE_SQL}
+    known = {"op10_exact": OP10, "op11_prefix_trie": OP11, "op12_hard_negatives": OP12, "op3_ngram_join": OP3, "op4_substring": OP4, "pipeline": corpus_pipeline.ORACLE_SQL}
     return {k: v for k, v in known.items() if v}
 
 
@@ -97,6 +97,23 @@ SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc
 FROM d WINDOW w AS (PARTITION BY t)
 """
 
+OP3 = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (SELECT DISTINCT r, CASE WHEN len(w) < 4 THEN w ELSE list_slice(w, i, i + 3) END AS g
+      FROM d, unnest(generate_series(1, greatest(1, len(w) - 3))) AS u(i) WHERE len(w) > 0),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+common AS (SELECT a.r AS x, b.r AS y, count(*) AS c FROM s AS a JOIN s AS b ON a.g = b.g AND a.r <> b.r GROUP BY ALL),
+links AS (SELECT x, y FROM common JOIN n AS a ON a.r = x JOIN n AS b ON b.r = y WHERE 100 * c >= 85 * (a.n + b.n - c)),
+reach(x, y) AS (SELECT r, r FROM d UNION SELECT reach.x, links.y FROM reach JOIN links ON links.x = reach.y),
+classes AS (SELECT x, min(doc_id) AS component_id FROM reach JOIN d ON d.r = y GROUP BY x),
+degrees AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, coalesce(degrees.n, 0)::BIGINT AS n_links
+FROM d JOIN classes ON classes.x = d.r LEFT JOIN n ON n.r = d.r LEFT JOIN degrees ON degrees.x = d.r
+"""
+
 OP4 = r"""
 WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
 win AS (SELECT doc_id, i, list_slice(w, i, i + 12) AS g FROM d, unnest(generate_series(1, len(w) - 12)) AS s(i) WHERE len(w) >= 13),

@@ -50,6 +50,20 @@ def test_join_against_all_pairs(spark, seed, width, threshold, block):
     assert sorted_rows(got) == brute_join(rows, width, threshold)
 
 
+def test_join_is_the_sql(spark):
+    import duckdb
+    import pandas as pd
+    from kinfold.llm.queries import oracle_sql
+
+    rows = [r for r in corpus(5) if r[0] is None or r[0] < 5010]
+    documents = pd.DataFrame({"doc_id": pd.array([i for i, _ in rows], "Int64"), "text": [t for _, t in rows]})
+    with duckdb.connect() as db:
+        db.register("documents", documents)
+        wanted = db.sql(oracle_sql()["op3_ngram_join"]).fetchall()
+    assert len(wanted) == len(rows)
+    assert sorted_rows(ngram_join.joined(frame(spark, rows))) == sorted(wanted, key=repr)
+
+
 def test_join_in_blocks_bounded_by_shingles(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", 300)
     rows = corpus(6)
