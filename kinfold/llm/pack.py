@@ -44,6 +44,7 @@ SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
 # tokenizer's normaliser (NFC, lower case), and its splitter cuts exactly at these runs
 _RUNS = re.compile("[A-Za-zªµºÀ-ÖØ-öø-ÿ]+|[0-9²³¹¼½¾]|[^A-Za-zªµºÀ-ÖØ-öø-ÿ0-9²³¹¼½¾]+")
 _PLAIN = re.compile("[!-&(-;=~-~?-{}¡-¬®-ÿ]*")
+_MARKS = b".,;:!?"
 
 
 def _byte_alphabet() -> dict[int, str]:
@@ -54,40 +55,47 @@ def _byte_alphabet() -> dict[int, str]:
 
 
 class WordIds(dict):
-    """word (bytes without white space) -> its ids as little-endian 32-bit bytes."""
+    """word (bytes without white space) or run of one -> its ids as little-endian 32-bit bytes; cleared when large."""
 
-    LIMIT = 250_000
+    LIMIT = 400_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.runs, self.alphabet = Tokenizer.from_file(path), {}, _byte_alphabet()
+        self.tokenizer, self.alphabet = Tokenizer.from_file(path), _byte_alphabet()
+        self.model = self.tokenizer.model
         own = json.loads(self.tokenizer.to_str())
         # the rules above hold for this splitter and normaliser; texts go to any other vocabulary's tokenizer whole
         kinds = [x["type"] for x in (own["normalizer"] or {}).get("normalizers", [])]
         self.by_word = own["model"]["type"] == "BPE" and own["model"].get("end_of_word_suffix") == "</w>" and kinds == ["NFC", "Replace", "Lowercase"]
 
-    def _run(self, run: str) -> bytes:
-        found = self.runs.get(run)
+    def _keep(self, key: bytes, ids: bytes) -> bytes:
+        if len(self) >= self.LIMIT:
+            self.clear()
+        self[key] = ids
+        return ids
+
+    def _run(self, run: bytes) -> bytes:
+        """The ids of a run in lower case, which are also those of a word that is just this run."""
+        found = self.get(run)
         if found is None:
-            ids = [t.id for t in self.tokenizer.model.tokenize(run.encode().decode("latin-1").translate(self.alphabet))]
-            found = struct.pack(f"<{len(ids)}I", *ids)
-            if len(self.runs) >= self.LIMIT:
-                self.runs.clear()
-            self.runs[run] = found
+            text = run.decode() if run.isalpha() else run.decode("latin-1").translate(self.alphabet)
+            ids = [t.id for t in self.model.tokenize(text)]
+            found = self._keep(run, struct.pack(f"<{len(ids)}I", *ids))
         return found
 
     def __missing__(self, word: bytes) -> bytes:
+        run = word.lower()
+        if run.isalpha():  # the usual cases first: ASCII letters, and these with one mark
+            ids = self._run(run)
+            return ids if run == word else self._keep(word, ids)
+        if run[-1] in _MARKS and run[:-1].isalpha():
+            return self._keep(word, self._run(run[:-1]) + self._run(run[-1:]))
         text = word.decode()
         if _PLAIN.fullmatch(text):
-            ids = b"".join(map(self._run, _RUNS.findall(text.lower())))
-        else:
-            found = self.tokenizer.encode(text, add_special_tokens=False).ids
-            ids = struct.pack(f"<{len(found)}I", *found)
-        if len(self) >= self.LIMIT:
-            self.clear()
-        self[word] = ids
-        return ids
+            return self._keep(word, b"".join(self._run(r.encode()) for r in _RUNS.findall(text.lower())))
+        found = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return self._keep(word, struct.pack(f"<{len(found)}I", *found))
 
     def of(self, text: bytes) -> bytes:
         if not self.by_word:
