@@ -246,19 +246,25 @@ class Graph:
         self.dictionary.edge(edge_table)
         return self.edge_loader(edge_table)
 
-    def semi_edges(self, edge_table: str, side: str, ids: DataFrame) -> DataFrame:
+    def semi_edges(self, edge_table: str, side: str, ids: DataFrame, ranges: Sequence[tuple] | None = None) -> DataFrame:
         """Edges ``(src_id, dst_id)`` whose ``side`` ("src"/"dst") id is in ``ids.id``.
 
         Defaults to a left-semi join on the id column; a graph whose edges are
         projections of a wider table can semi-join on the raw key first so
-        that ids are only built for matching rows.
+        that ids are only built for matching rows.  ``ranges``: key ranges that hold
+        all ids (``operators.frontier``), pushed into the scan of the edges.
         """
         if side not in ("src", "dst"):
             raise ValueError("side must be 'src' or 'dst'")
         if self.edge_filter is not None:
             return self.edge_filter(edge_table, side, ids)
         key = f"{side}_id"
-        return self.edges(edge_table).join(ids.select(F.col("id").alias(key)), key, "left_semi")
+        edges = self.edges(edge_table)
+        if ranges is not None:
+            from kinfold.operators.frontier import pruned
+
+            edges = pruned(edges, key, ranges)
+        return edges.join(ids.select(F.col("id").alias(key)), key, "left_semi")
 
     def count_edges(self, label: str) -> DataFrame:
         """``(edge_table, n_edges)`` of a child label's edge tables.

@@ -40,6 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinfold.model import Graph, GraphError
+from kinfold.operators.frontier import PRUNE_BYTES, KeyRanges, key_ranges, worth_pruning
 from kinfold.plans.topology import UP, Step, record_ranks, traversal_plan
 from kinfold.session import scratch_dir
 
@@ -193,12 +194,14 @@ class Walk:
 
 class _Walker:
     def __init__(self, graph: Graph, plan: list[Step], cohort: DataFrame,
-                 root: str, materializer: Materializer):
+                 root: str, materializer: Materializer, prune_bytes: int | None = None):
         self.g = graph
         self.d = graph.dictionary
         self.m = materializer
         self.seeds: dict[str, list[DataFrame]] = {root: [cohort]}
         self.rels: dict[str, list[DataFrame]] = {}
+        self.prune_bytes = prune_bytes
+        self.ranges: dict[int, tuple[DataFrame, KeyRanges | None]] = {}  # by frame, which is held so that its id stays its own
         self.walk = Walk(graph, plan, record_ranks(plan), materializer)
 
     def _seal(self, label: str) -> None:
@@ -226,6 +229,14 @@ class _Walker:
             self.walk.states[label] = st
         return st
 
+    def _hits(self, edge_table: str, side: str, ids: DataFrame) -> DataFrame:
+        """Edges of the frontier ``ids``; a large edge table is read only where the frontier's key ranges lie."""
+        if self.g.edge_filter is not None or not worth_pruning(self.g.edges(edge_table), self.prune_bytes):
+            return self.g.semi_edges(edge_table, side, ids)
+        if id(ids) not in self.ranges:
+            self.ranges[id(ids)] = (ids, key_ranges(ids))
+        return self.g.semi_edges(edge_table, side, ids, self.ranges[id(ids)][1])
+
     def _visit_up(self, label: str) -> None:
         seeds = self.seeds.get(label)
         if not seeds:
@@ -236,7 +247,7 @@ class _Walker:
         ids = _union(seeds).select("id").distinct()
         parents = []
         for e in self.d.edges_by_child(label):
-            hits = self.g.semi_edges(e.edge_table, "src", ids)
+            hits = self._hits(e.edge_table, "src", ids)
             self.rels.setdefault(label, []).append(hits.select(
                 F.col("src_id").alias("id"),
                 relation_struct(F.lit(e.dst_label), F.col("dst_id")).alias("rel")))
@@ -256,7 +267,7 @@ class _Walker:
             parent_state = self._state(e.dst_label)
             if parent_state is None:  # parent not selected (yet): nothing to follow
                 continue
-            hits = self.g.semi_edges(e.edge_table, "dst", parent_state.select("id"))
+            hits = self._hits(e.edge_table, "dst", parent_state)
             self.rels.setdefault(label, []).append(hits.select(
                 F.col("src_id").alias("id"),
                 relation_struct(F.lit(e.dst_label), F.col("dst_id")).alias("rel")))
@@ -282,14 +293,16 @@ def walk_graph(graph: Graph, cohort: DataFrame, root: str,
                extra: list[str] | None = None, include_upward: bool = False,
                materialize: str = "parquet",
                storage: StorageLevel = StorageLevel.MEMORY_AND_DISK,
-               concurrent_writes: int = 4) -> Walk:
+               concurrent_writes: int = 4, prune_bytes: int | None = PRUNE_BYTES) -> Walk:
     """Walk the graph from a cohort of ``root`` ids.
 
     ``cohort`` is a DataFrame with an ``id`` column (any type; cast to string,
     a null id fails the job).  Each visit runs when its label is sealed
     (``materialize`` "parquet"/"checkpoint"); with "persist" nothing runs
     until the caller's action.  ``concurrent_writes`` independent state
-    writes may run at once (parquet mode).
+    writes may run at once (parquet mode).  Edge tables that the optimizer
+    knows to hold ``prune_bytes`` or more are read within the frontier's key
+    ranges only (None: never).
     """
     graph.dictionary.validate()
     graph.check_labels([root] + list(extra or []))
@@ -300,4 +313,4 @@ def walk_graph(graph: Graph, cohort: DataFrame, root: str,
     ids = checked_ids(cohort)
     if materialize == "parquet":
         ids = m(ids, "cohort")  # evaluated once: a changing index cannot split the walk
-    return _Walker(graph, plan, ids, root, m).run()
+    return _Walker(graph, plan, ids, root, m, prune_bytes if materialize != "persist" else None).run()

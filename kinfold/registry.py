@@ -17,6 +17,7 @@ from kinfold.functions.props import json_int
 from kinfold.model import Dictionary, load_dictionary, save_dictionary, tables_graph
 from kinfold.operators import cohort as co
 from kinfold.operators import restore as rs
+from kinfold.operators.frontier import RANGES
 from kinfold.operators.records import relations_text, walk_records
 from kinfold.operators.traverse import Materializer, walk_graph
 from kinfold.plans import typegraph as tg
@@ -210,6 +211,12 @@ def q_keyed_scan(spark, sf_dir):
                        "o_orderpriority")
 
 
+def q_ranged_scan(spark, sf_dir):
+    """Line items of the flagship cohort's orders, scanned within the orders' key ranges."""
+    rows = keyed_scan(star.read(spark, sf_dir, "lineitem"), q_keyed_scan(spark, sf_dir), "l_orderkey", "o_orderkey", RANGES)
+    return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+
+
 def q_record_objects(spark, sf_dir):
     """Order objects of the export parsed back with enum fields decoded."""
     d = star.star_dictionary(spark, sf_dir)
@@ -703,6 +710,11 @@ select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority from
 where o_custkey in (select c_custkey from ({_COHORT_SQL}))
 """
 
+ORACLE_RANGED_SCAN = f"""
+select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity from lineitem
+where l_orderkey in (select o_orderkey from ({ORACLE_KEYED_SCAN}))
+"""
+
 ORACLE_RECORD_OBJECTS = f"""
 select o_orderkey::varchar id, o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
        o_orderpriority
@@ -863,6 +875,7 @@ _QUERIES: dict[str, tuple[Query, str | None]] = {
     "relations_by_node": (q_relations_by_node, ORACLE_RELATIONS_BY_NODE),
     "edge_projection": (q_edge_projection, ORACLE_EDGE_PROJECTION),
     "keyed_scan": (q_keyed_scan, ORACLE_KEYED_SCAN),
+    "ranged_scan": (q_ranged_scan, ORACLE_RANGED_SCAN),
     "record_objects": (q_record_objects, ORACLE_RECORD_OBJECTS),
     "cohort_ids": (q_cohort_ids, ORACLE_COHORT_IDS),
     "cohort_filter_eq": (q_cohort_filter_eq, ORACLE_COHORT_FILTER_EQ),

@@ -14,13 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinfold.model import GraphError
+from kinfold.operators.frontier import key_ranges, pruned
 
 # fixed value: rows per JDBC round trip used by the export reads
 FETCH_SIZE = 10000
 
 
 def keyed_scan(table: DataFrame, ids: DataFrame | Sequence[str], id_column: str,
-               ids_column: str = "id") -> DataFrame:
+               ids_column: str = "id", ranges: int = 0) -> DataFrame:
     """Rows of ``table`` whose ``id_column`` is in the id set.
 
     ``ids`` as a DataFrame: a left-semi join; the id set is cast to the key's
@@ -28,7 +29,8 @@ def keyed_scan(table: DataFrame, ids: DataFrame | Sequence[str], id_column: str,
     the scan, and Spark picks broadcast or shuffle from measured sizes.
     ``ids`` as a literal list the caller already holds (bounded, e.g. a
     request): an ``IN`` filter pushed into the source (Parquet row groups,
-    a JDBC ``WHERE``).  Empty input gives an empty frame, no special case.
+    a JDBC ``WHERE``).  ``ranges``: also push the id set's key ranges, at most
+    so many, into the source (``operators.frontier``; one small job at once).  Empty input gives an empty frame, no special case.
     """
     key_type = table.schema[id_column].dataType
     if not isinstance(ids, DataFrame):
@@ -38,6 +40,8 @@ def keyed_scan(table: DataFrame, ids: DataFrame | Sequence[str], id_column: str,
         return table.where(F.col(id_column).isin(
             [F.lit(v).cast(key_type) for v in values]) if values else F.lit(False))
     keys = ids.select(F.col(ids_column).cast(key_type).alias(id_column))
+    if ranges:
+        table = pruned(table, id_column, key_ranges(keys, id_column, ranges))
     return table.join(keys, id_column, "left_semi")
 
 
