@@ -42,10 +42,16 @@ def key_index(rows: DataFrame) -> DataFrame:
     whole = sizes.groupBy("kind", "table").agg(F.sum("n").alias("n"), F.min("least").alias("least"), F.max("most").alias("most"))
     sizes = sizes.unionByName(whole.withColumn("file", F.lit(WHOLE))).withColumn(
         "blocks", F.ceil(F.col("n") * BITS / BLOCK).cast("long"))
-    both = keys.unionByName(keys.withColumn("file", F.lit(WHOLE)))
-    placed = both.join(sizes, GROUP).select(*GROUP, "n", "least", "most", "blocks", _block(),
-                                            F.explode(F.array(*map(_probe, range(PROBES)))).alias("bit"))
-    return placed.groupBy(*GROUP, "n", "least", "most", "blocks", "block").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    # keys are dealt out by block, so a large table's keys are spread however few groups there are; a hash stands for the
+    # group's names (two groups with one hash would only set more bits)
+    sizes = F.broadcast(sizes.withColumn("group", F.xxhash64(*GROUP)))
+    both = keys.withColumn("file", F.explode(F.array("file", F.lit(WHOLE))))
+    placed = both.join(sizes, GROUP).select("group", _block(), "h2").repartition("group", "block")
+    probes = [F.bitmap_construct_agg(_probe(i)).alias(f"bits{i}") for i in range(PROBES)]
+    bits = placed.groupBy("group", "block").agg(*probes).select(
+        "group", "block", F.explode(F.array(*(f"bits{i}" for i in range(PROBES)))).alias("bits"))
+    blocks = bits.groupBy("group", "block").agg(F.bitmap_or_agg("bits").alias("bits"))
+    return blocks.join(sizes, "group").select(*GROUP, "n", "least", "most", "blocks", "block", "bits")
 
 
 def _may_hold(keys: DataFrame, index: DataFrame, on: list[str]) -> DataFrame:

@@ -161,6 +161,29 @@ def test_key_index_never_misses(spark):
     assert index.select(F.max(F.octet_length("bits"))).first()[0] == keyindex.BLOCK // 8
 
 
+def test_key_index_deals_keys_out_by_block(spark):
+    """The keys of one large table are not one task's work: no raw key is dealt out by its table or file."""
+    held = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables that no join broadcasts by itself
+        ids = F.concat(F.lit("k"), F.col("id").cast("string"))
+        rows = spark.range(60_000, numPartitions=4).select(F.lit("nodes").alias("kind"), F.lit("t").alias("table"), F.lit("f").alias("file"), ids.alias("node_id"),
+                                                           F.lit(None).cast("string").alias("src_id"), F.lit(None).cast("string").alias("dst_id"))
+        index = keyindex.key_index(rows)
+        assert "SortMergeJoin" not in index._jdf.queryExecution().executedPlan().toString()
+        blocks = index.withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    assert len(blocks) == 2 * 22 and {(r["n"], r["blocks"], r["file"]) for r in blocks} == {(60_000, 22, "f"), (60_000, 22, "")}
+    tasks = [sum(r["task"] == t for r in blocks) for t in {r["task"] for r in blocks}]
+    assert len(tasks) > 1 and max(tasks) < 0.6 * len(blocks)
+    keys = {i: {r["block"]: bytes(r["bits"]) for r in blocks if r["file"] == i} for i in ("f", "")}
+    assert keys["f"] == keys[""]
+    assert keyindex.files_that_may_hold(rows.drop("file"), spark.createDataFrame(blocks).withColumn("import", F.lit("i"))).collect() == [("i", "nodes", "t", "f")]
+
+
 # -- headers of all parts ----------------------------------------------------
 
 def container_of(spark, symbols, extra=(), kind="int"):
