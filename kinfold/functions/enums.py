@@ -23,31 +23,50 @@ from pyspark.sql import functions as F
 # fixed values of the symbol convention
 KEEP_CLASS = "^[A-Za-z0-9_]$"
 KEEP_FIRST = "^[A-Za-z_]$"
+KEPT_RUN = "[A-Za-z0-9_]+"
 ESCAPE_RE = "_([0-9a-f]{2,6})_"
 SPLIT_RE = "_[0-9a-f]{2,6}_"
 LOOKS_ESCAPED = "[0-9a-f]{2,6}[^A-Za-z0-9]"
 ESCAPED_UNDERSCORE = "_5f_"
 
+#: different escaped characters of a text that get a pass each
+MAX_PASSES = 64
+
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def encode_enum(c: Column | str) -> Column:
-    """Text -> enum symbol; null stays null, '' stays ''."""
+    """Text -> enum symbol; null stays null, '' stays ''.
+
+    The cost of a text is one pass for each different character that it must escape; a text with more than
+    ``MAX_PASSES`` of them is escaped character by character.
+    """
     v = _col(c)
     safe = F.regexp_replace(v, f"_(?={LOOKS_ESCAPED})", ESCAPED_UNDERSCORE)
-    chars = F.filter(F.split(safe, ""), lambda ch: ch != "")  # split('', '') gives ['']
     # code point from the UTF-32 bytes (ascii() is wrong above the BMP); at
     # least two hex digits (lpad would cut longer values, so pad by hand)
-    def hexcode(ch: Column) -> Column:
+    def escape(ch: Column) -> Column:
         h = F.lower(F.regexp_replace(F.hex(F.encode(ch, "UTF-32")), "^0+", ""))
-        return F.when(F.length(h) < 2, F.lpad(h, 2, "0")).otherwise(h)
+        return F.concat(F.lit("_"), F.when(F.length(h) < 2, F.lpad(h, 2, "0")).otherwise(h), F.lit("_"))
+
+    def characters(text: Column) -> Column:
+        return F.filter(F.split(text, ""), lambda ch: ch != "")  # split('', '') gives ['']
+
+    def one_by_one() -> Column:
+        return F.array_join(F.transform(characters(safe), lambda ch, i: F.when(
+            F.when(i == 0, ch.rlike(KEEP_FIRST)).otherwise(ch.rlike(KEEP_CLASS)), ch).otherwise(escape(ch))), "")
+
+    def by_character(found: Column) -> Column:
+        # an escape holds no character that is escaped, so the order of the passes is free
+        first = F.regexp_replace(safe, "^([0-9])", "_3$1_")
+        return F.aggregate(found, first, lambda text, ch: F.replace(text, ch, escape(ch)))
 
-    escaped = F.transform(chars, lambda ch, i: F.when(
-        F.when(i == 0, ch.rlike(KEEP_FIRST)).otherwise(ch.rlike(KEEP_CLASS)), ch
-    ).otherwise(F.concat(F.lit("_"), hexcode(ch), F.lit("_"))))
-    return F.when(v.isNull(), F.lit(None).cast("string")).otherwise(F.array_join(escaped, ""))
+    escaped = F.array_distinct(characters(F.regexp_replace(v, KEPT_RUN, "")))
+    symbol = F.transform(F.array(escaped), lambda found: F.when(  # a lambda, so that ``escaped`` is found once
+        F.size(found) <= MAX_PASSES, by_character(found)).otherwise(one_by_one()))
+    return F.when(v.isNull(), F.lit(None).cast("string")).otherwise(symbol[0])
 
 
 def decode_enum(c: Column | str) -> Column:

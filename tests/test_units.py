@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -240,6 +241,27 @@ def test_enum_codec_is_exact_for_text_that_looks_escaped(spark, text):
     assert row["d"] == text and row["e"] == encode_symbol(text)
 
 
+def test_enum_codec_of_texts_with_few_and_many_different_characters(spark):
+    letters = [chr(c) for c in [*range(1, 127), *range(0xC0, 0x180), *range(0x4E00, 0x4E40), 0xFFFF, 0x1F600, 0x10FFFF]]
+    texts = ["".join(letters[(i * i + k) % n] for i in range(3 * n)) for n in (1, 7, 40, 126, len(letters)) for k in range(8)]
+    texts += ["9", "0 a", "9_ab ", "\n1", "_", "\U0001F600\U0001F600"]
+    df = spark.createDataFrame([(t,) for t in texts], "v string").select("v", encode_enum("v").alias("e"))
+    for r in df.select("v", "e", decode_enum("e").alias("d")).collect():
+        assert r["e"] == encode_symbol(r["v"]) and r["d"] == r["v"]
+
+
+def test_enum_symbol_of_a_long_text_takes_less_than_a_look_at_each_character(spark):
+    texts = spark.range(40, numPartitions=4).select(F.repeat(F.lit("a word, and 1 more\n"), 10_000).alias("v"))
+
+    def seconds(c):
+        t0 = time.perf_counter()
+        texts.select(F.md5(c).alias("x")).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - t0
+
+    each = F.array_join(F.filter(F.split("v", ""), lambda ch: ch.rlike("^[A-Za-z0-9_]$")), "")
+    assert min(seconds(encode_enum("v")) for _ in range(2)) < min(seconds(each) for _ in range(2))
+
+
 def test_type_graph_of_many_layers(spark):
     # every layer's two types link to both types above: 2 ** 30 paths, 30 levels
     edges = [(f"e{i}{a}{b}", f"t{i + 1}{a}", f"t{i}{b}") for i in range(30) for a in "xy" for b in "xy"]
